@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pick analytics this package rebuilds are bounded batch jobs only: there is
+no stream source, watermark, window over event time or stateful operator to
+re-express. Nothing is built here on purpose (see README, "Not built").
+"""
