@@ -106,13 +106,17 @@ def running_position(
     n = int(slices or spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [_as_col(c) for c in order]
 
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
+        return rows.withColumn(out_col, F.row_number().over(w).cast("int"))
+
     hot_names = [f"_pm_h{i}" for i in range(len(keys))]
     hot = hot_groups(df, keys, max_group_rows).select(*[F.col(k).alias(h) for k, h in zip(keys, hot_names)])
+    # One small job (a key-count aggregate) decides the plan: without hot
+    # groups the plain window is already bounded per task.
+    if hot.isEmpty():
+        return plain(df)
     on_hot = _same_keys(keys, hot_names)
-
-    cold = df.join(hot, on_hot, "left_anti")
-    cold_numbered = cold.withColumn(
-        out_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("int")
-    )
+    cold_numbered = plain(df.join(hot, on_hot, "left_anti"))
     hot_numbered = _number_hot(df.join(hot, on_hot, "left_semi"), keys, order_cols, out_col, n)
     return cold_numbered.unionByName(hot_numbered)

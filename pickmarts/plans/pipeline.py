@@ -1,0 +1,177 @@
+"""The full run (X2): raw CSV -> staging -> curation -> data marts.
+
+Each layer is written as Parquet under one shared ``base`` path and the next
+layer reads it back, so every layer boundary also cuts the lineage: a lost
+executor recomputes from the last written layer, never from the raw files.
+
+Layout::
+
+    <base>/staging/{pick_data,product_details,warehouse_sections}
+    <base>/curation/d_date
+    <base>/curation/pick_facts/kind={order_picks,pick_errors,returns}
+    <base>/curation/{d_product_details,d_warehouse_section}
+    <base>/curation/enriched_facts/kind={order_picks,pick_errors}
+    <base>/data_mart/<family>/<mart>
+
+The curated facts are one table partitioned by ``kind``: the position key (the
+one costly curation step) is computed once, and each fact is a pruned read of
+its partition. Returns are stored with their volume already made positive;
+``read_fact`` gives them their return_* names.
+"""
+
+from __future__ import annotations
+
+import logging
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pickmarts.operators import curation as cur
+from pickmarts.operators.calendar_dim import DEFAULT_END, DEFAULT_START, create_d_date
+from pickmarts.plans.registry import MARTS, Facts
+from pickmarts.schemas import FACT_COLUMNS
+from pickmarts.sources import staging as stg
+from pickmarts.sources.layers import CURATION, DATA_MART, STAGING, layer_path, write_table
+
+log = logging.getLogger(__name__)
+
+# Fact kinds by sign of the pick volume.
+KIND_ORDER_PICKS = "order_picks"
+KIND_PICK_ERRORS = "pick_errors"
+KIND_RETURNS = "returns"
+
+FACT_KINDS = {"f_order_picks": KIND_ORDER_PICKS, "f_pick_errors": KIND_PICK_ERRORS, "f_returns": KIND_RETURNS}
+
+
+@dataclass(frozen=True)
+class RawFiles:
+    """Locations of the three raw CSV inputs (file or folder each)."""
+
+    pick_data: str
+    product_details: str
+    warehouse_sections: str
+
+
+def run_staging(spark: SparkSession, raw: RawFiles, base: str, multiline: bool = True) -> None:
+    """S1-S3."""
+    write_table(stg.read_pick_data(spark, raw.pick_data, multiline), layer_path(base, STAGING, "pick_data"))
+    write_table(
+        stg.read_product_details(spark, raw.product_details, multiline),
+        layer_path(base, STAGING, "product_details"),
+    )
+    write_table(
+        stg.read_warehouse_sections(spark, raw.warehouse_sections, multiline),
+        layer_path(base, STAGING, "warehouse_sections"),
+    )
+
+
+def _kind_column() -> F.Column:
+    v = F.col("pick_volume")
+    return (
+        F.when(v > 0, F.lit(KIND_ORDER_PICKS))
+        .when(v == 0, F.lit(KIND_PICK_ERRORS))
+        .when(v < 0, F.lit(KIND_RETURNS))
+    )
+
+
+def curate_facts(staged: DataFrame, slices: int | None = None) -> DataFrame:
+    """Keyed picks with a ``kind`` column, returns' volume made positive."""
+    keyed = cur.curate_pick_data(staged, with_positions=True, slices=slices)
+    kind = _kind_column()
+    volume = F.when(F.col("pick_volume") < 0, -F.col("pick_volume")).otherwise(F.col("pick_volume"))
+    return keyed.select(*[volume.alias(c) if c == "pick_volume" else F.col(c) for c in FACT_COLUMNS], kind.alias("kind"))
+
+
+def publish_dimension(df: DataFrame, path: str, name: str, write_when_empty: bool) -> bool:
+    """Write a dimension; an empty one is logged, and written only if asked."""
+    if df.isEmpty():
+        log.warning("%s is empty%s", name, "" if write_when_empty else "; nothing written")
+        if not write_when_empty:
+            return False
+    write_table(df, path)
+    return True
+
+
+def run_curation(
+    spark: SparkSession,
+    base: str,
+    start: str = DEFAULT_START,
+    end: str = DEFAULT_END,
+    slices: int | None = None,
+) -> None:
+    """C1-C8."""
+    write_table(create_d_date(spark, start, end), layer_path(base, CURATION, "d_date"))
+    staged = spark.read.parquet(layer_path(base, STAGING, "pick_data"))
+    write_table(curate_facts(staged, slices), layer_path(base, CURATION, "pick_facts"), partition_by=["kind"])
+    products = cur.d_product_details(spark.read.parquet(layer_path(base, STAGING, "product_details")))
+    publish_dimension(products, layer_path(base, CURATION, "d_product_details"), "d_product_details", True)
+    sections = cur.d_warehouse_section(spark.read.parquet(layer_path(base, STAGING, "warehouse_sections")))
+    publish_dimension(sections, layer_path(base, CURATION, "d_warehouse_section"), "d_warehouse_section", False)
+
+
+def read_fact(spark: SparkSession, base: str, name: str, enriched: bool = False) -> DataFrame:
+    """One fact table by its name (``f_order_picks``, ``f_pick_errors``, ``f_returns``)."""
+    kind = FACT_KINDS[name]
+    table = "enriched_facts" if enriched else "pick_facts"
+    df = spark.read.parquet(layer_path(base, CURATION, table)).filter(F.col("kind") == kind).drop("kind")
+    if name == "f_returns":
+        df = df.withColumnsRenamed(
+            {"pick_volume": "return_volume", "pick_timestamp": "return_timestamp", "pick_date": "return_date"}
+        )
+    return df
+
+
+def check_products_unique(d_product: DataFrame) -> None:
+    """Q6: a product listed twice would multiply its facts in every mart."""
+    if not cur.duplicate_products(d_product).isEmpty():
+        raise ValueError("d_product_details lists a product_id more than once")
+
+
+def run_enrichment(spark: SparkSession, base: str) -> None:
+    """C9 / C10, written once for all marts."""
+    d_product = spark.read.parquet(layer_path(base, CURATION, "d_product_details"))
+    check_products_unique(d_product)
+    facts = spark.read.parquet(layer_path(base, CURATION, "pick_facts")).filter(
+        F.col("kind").isin(KIND_ORDER_PICKS, KIND_PICK_ERRORS)
+    )
+    enriched = cur.enrich(facts.drop("kind"), d_product).withColumn("kind", _kind_column())
+    write_table(enriched, layer_path(base, CURATION, "enriched_facts"), partition_by=["kind"])
+
+
+def run_marts(
+    spark: SparkSession,
+    base: str,
+    names: list[str] | None = None,
+    sort_output: bool = False,
+) -> list[str]:
+    """All marts of the registry (or ``names``), each written under its family."""
+    facts = Facts(
+        read_fact(spark, base, "f_order_picks", enriched=True),
+        read_fact(spark, base, "f_pick_errors", enriched=True),
+        spark.read.parquet(layer_path(base, CURATION, "d_date")),
+    )
+    written = []
+    for name in names or list(MARTS):
+        spec = MARTS[name]
+        df = spec.build(facts)
+        if sort_output and spec.sort_by:
+            df = df.orderBy(*[F.col(c).asc_nulls_last() for c in spec.sort_by])
+        write_table(df, layer_path(base, DATA_MART, spec.family, name))
+        written.append(name)
+    return written
+
+
+def run_all(
+    spark: SparkSession,
+    raw: RawFiles,
+    base: str,
+    start: str = DEFAULT_START,
+    end: str = DEFAULT_END,
+    multiline: bool = True,
+    sort_output: bool = False,
+) -> list[str]:
+    run_staging(spark, raw, base, multiline)
+    run_curation(spark, base, start, end)
+    run_enrichment(spark, base)
+    return run_marts(spark, base, sort_output=sort_output)

@@ -38,7 +38,7 @@ def build_session(
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    conf = {**REQUIRED_CONF, **SCALE_CONF, "spark.ui.enabled": "false"}
+    conf = {**REQUIRED_CONF, **SCALE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -81,7 +81,7 @@ def picks_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         zero_pad(F.col("l_linenumber"), 4).alias("position_in_order"),
         volume.cast("bigint").alias("pick_volume"),
         F.lit("St").alias("quantity_unit"),
-        (shipped + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)).alias("pick_timestamp"),
+        F.timestamp_add("SECOND", seconds, shipped).alias("pick_timestamp"),
         F.to_date(shipped).alias("pick_date"),
     ).select(*STAGED_PICK_COLUMNS)
 

@@ -1,0 +1,64 @@
+"""Column helpers: calendar labels, rounding, bins, padding."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+from pyspark.sql import functions as F
+
+from pickmarts.functions import bin_label, half_up, share_percent, zero_pad
+from pickmarts.operators.calendar_dim import calendar_days, create_d_date
+
+
+def test_calendar_matches_python_strftime(spark):
+    start, end = "2011-06-01", "2020-07-15"
+    d = create_d_date(spark, start, end)
+    got = {r["date"]: (r["year"], r["week"], r["month"], r["quarter"], r["year_half"]) for r in d.collect()}
+    assert len(got) == 3333 == calendar_days(start, end)
+    day = dt.date(2011, 6, 1)
+    while day <= dt.date(2020, 7, 15):
+        q = (day.month - 1) // 3 + 1
+        want = (day.year, day.strftime("%Y_%W"), day.strftime("%Y_%m"), f"{day.year}_Q{q}", f"{day.year}_H{(q + 1) // 2}")
+        assert got[day] == want, day
+        day += dt.timedelta(days=1)
+
+
+def test_week_edge_days(spark):
+    d = create_d_date(spark, "2012-01-01", "2012-01-02").unionByName(create_d_date(spark, "2018-01-01", "2018-01-01"))
+    weeks = {r["date"].isoformat(): r["week"] for r in d.collect()}
+    assert weeks == {"2012-01-01": "2012_00", "2012-01-02": "2012_01", "2018-01-01": "2018_01"}
+
+
+def test_calendar_leap_day_and_quarter_ends(spark):
+    d = create_d_date(spark, "2016-02-28", "2016-12-31")
+    rows = {r["date"].isoformat(): r for r in d.collect()}
+    assert rows["2016-02-29"]["month"] == "2016_02"
+    assert rows["2016-03-31"]["quarter"] == "2016_Q1" and rows["2016-04-01"]["quarter"] == "2016_Q2"
+    assert rows["2016-06-30"]["year_half"] == "2016_H1" and rows["2016-07-01"]["year_half"] == "2016_H2"
+    assert rows["2016-12-31"]["quarter"] == "2016_Q4"
+
+
+def test_half_up_rounds_the_binary_double(spark):
+    df = spark.createDataFrame([(57, 800), (1, 3), (2, 3), (0, 5), (5, 0)], "a long, b long")
+    got = [r[0] for r in df.select(share_percent(F.col("a"), F.col("b"))).collect()]
+    # 57/800 = 0.07124999999999999 in binary: 7.12, not the decimal 7.13.
+    assert got == [7.12, 33.33, 66.67, 0.0, None]
+    xs = [2.675, 1.005, 0.125, 12.3449999]
+    got2 = list(spark.range(1).select(*[half_up(F.lit(x), 2) for x in xs]).collect()[0])
+    assert got2 == [math.floor(x * 100.0 + 0.5) / 100.0 for x in xs]
+
+
+def test_bins_right_closed(spark):
+    vals = [0, 1, 50, 51, 150, 151, 350, 351, 600, 601, 900, 901, 200000, 200001, -3]
+    df = spark.createDataFrame([(v,) for v in vals], "v long")
+    got = [r[0] for r in df.select(bin_label(F.col("v"))).collect()]
+    assert got == [
+        None, "mini", "mini", "small", "small", "medium", "medium", "large", "large",
+        "extra_large", "extra_large", "extreme", "extreme", None, None,
+    ]
+
+
+def test_zero_pad_keeps_long_values(spark):
+    df = spark.createDataFrame([(7,), (12345678,), (123456789,)], "v long")
+    assert [r[0] for r in df.select(zero_pad(F.col("v"), 8)).collect()] == ["00000007", "12345678", "123456789"]
