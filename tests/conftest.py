@@ -80,3 +80,8 @@ def rows_of(df, order=None):
         [tuple(r[c] for c in cols) for r in df.collect()],
         key=lambda t: tuple((x is None, str(x)) for x in t),
     )
+
+
+def srt(rows):
+    """Expected rows in the order ``rows_of`` returns them."""
+    return sorted(rows, key=lambda t: tuple((x is None, str(x)) for x in t))
