@@ -81,12 +81,16 @@ def weekly_zscore_distribution(
         F.coalesce(F.avg("pick_volume"), F.lit(0.0)).alias("_mean"),
         F.coalesce(F.stddev_samp("pick_volume"), F.lit(1.0)).alias("_std"),
     )
-    z = orders.join(F.broadcast(stats), orders[period] == stats["_period"], "left")
+    # NULL-safe join, NULL period masked below: a plain `=` would let the
+    # optimizer push `period IS NOT NULL` into the statistics branch only,
+    # and the two branches could no longer share one aggregate exchange.
+    z = orders.join(F.broadcast(stats), orders[period].eqNullSafe(stats["_period"]), "left")
+    zscore = F.try_divide(F.col("pick_volume") - F.col("_mean"), F.col("_std"))
     return z.select(
         "sk_order_id",
         period,
         "pick_volume",
-        F.try_divide(F.col("pick_volume") - F.col("_mean"), F.col("_std")).alias("zscore"),
+        F.when(F.col(period).isNotNull(), zscore).alias("zscore"),
     )
 
 
