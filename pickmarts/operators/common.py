@@ -40,6 +40,22 @@ def with_calendar(df: DataFrame, d_date: DataFrame, on: str, *cols: str) -> Data
     return df.join(cal, df[on] == cal["date"], "left")
 
 
+# Rows of a pre-aggregated input may stand for several fact rows; this column
+# holds how many. Marts count fact rows with ``row_count``, so they give the
+# same result on raw facts and on such inputs.
+ROWS = "_rows"
+
+
+def row_count(df: DataFrame):
+    """``count(*)`` of the fact rows behind ``df``."""
+    return F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
+
+
+def with_rows(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` projected to ``cols`` plus the row weight when it has one."""
+    return df.select(*cols, *([ROWS] if ROWS in df.columns else []))
+
+
 def total_order(*cols: str) -> list:
     """Ascending, NULLs last (the order the original reports used)."""
     return [F.col(c).asc_nulls_last() for c in cols]

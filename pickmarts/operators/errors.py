@@ -18,14 +18,14 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.operators.common import drill_keys, with_calendar
+from pickmarts.operators.common import drill_keys, row_count, with_calendar, with_rows
 
 _KEYS = ("date", "week", "month")
 
 
 def _daily_counts(fact: DataFrame, d_date: DataFrame, g: list[str], name: str) -> DataFrame:
-    j = with_calendar(fact.select("pick_date", *g), d_date, "pick_date", "week", "month")
-    return j.groupBy(*_KEYS, *g).agg(F.count(F.lit(1)).alias(name))
+    j = with_calendar(with_rows(fact, "pick_date", *g), d_date, "pick_date", "week", "month")
+    return j.groupBy(*_KEYS, *g).agg(row_count(j).cast("bigint").alias(name))
 
 
 def pick_errors(

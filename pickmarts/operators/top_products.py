@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pickmarts.operators.common import drill_keys, with_calendar
+from pickmarts.operators.common import drill_keys, row_count, with_calendar, with_rows
 
 DEFAULT_TOP_N = 10
 
@@ -27,8 +27,8 @@ def top_n_products_weekly(
     if int(n) < 1:
         raise ValueError("n must be at least 1")
     g = drill_keys(drill_down)
-    j = with_calendar(f_order_picks.select("pick_date", "product_id", *g), d_date, "pick_date", "week")
-    counts = j.groupBy("week", "product_id", *g).agg(F.count(F.lit(1)).alias("total_picks"))
+    j = with_calendar(with_rows(f_order_picks, "pick_date", "product_id", *g), d_date, "pick_date", "week")
+    counts = j.groupBy("week", "product_id", *g).agg(row_count(j).cast("bigint").alias("total_picks"))
     w = Window.partitionBy("week", *g).orderBy(F.col("total_picks").desc(), F.col("product_id").asc_nulls_last())
     return (
         counts.withColumn("_rank", F.row_number().over(w))

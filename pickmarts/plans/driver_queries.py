@@ -80,3 +80,17 @@ def all_queries() -> dict[str, Query]:
     out = _curation_queries()
     out.update({name: _mart_query(spec) for name, spec in MARTS.items()})
     return out
+
+
+def stage_driver_tables(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """Write the driver tables as the staging layer of a full run.
+
+    Stands in for the CSV staging jobs: picks and products come from the
+    adapter; the driver has no warehouse-section list, so that one is empty.
+    """
+    from pickmarts.schemas import RAW_WAREHOUSE_SECTIONS
+    from pickmarts.sources.layers import STAGING, layer_path, write_table
+
+    write_table(staged_picks(spark, sf_dir), layer_path(base, STAGING, "pick_data"))
+    write_table(product_details(spark, sf_dir), layer_path(base, STAGING, "product_details"))
+    write_table(spark.createDataFrame([], RAW_WAREHOUSE_SECTIONS), layer_path(base, STAGING, "warehouse_sections"))

@@ -41,6 +41,9 @@ class MartSpec:
     needs_errors: bool = False
     # Order of rows when a sorted file is asked for (ascending, NULLs last).
     sort_by: tuple[str, ...] = field(default_factory=tuple)
+    # Shared pre-aggregated input a full run feeds it from
+    # (``pickmarts.operators.mart_inputs``), or "facts".
+    source: str = "facts"
 
 
 def _family(base: str, g: str | None) -> str:
@@ -59,6 +62,7 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: total_pick_volume(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("date", *gk),
+                source="hourly_volume",
             ),
             MartSpec(
                 _family("total_orders_processed", g),
@@ -66,6 +70,7 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: total_orders_processed(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("date", *gk),
+                source="order_days",
             ),
             MartSpec(
                 _family("pick_errors", g),
@@ -74,6 +79,7 @@ def _specs() -> list[MartSpec]:
                 needs,
                 needs_errors=True,
                 sort_by=("date", *gk),
+                source="hourly_volume",
             ),
             MartSpec(
                 _family("top_n_products_weekly", g),
@@ -81,6 +87,7 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: top_n_products_weekly(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("week", *gk, "product_id"),
+                source="product_counts",
             ),
             MartSpec(
                 _family("pick_throughput_weekly", g),
@@ -88,6 +95,7 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: pick_throughput_weekly(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("week", *gk),
+                source="hourly_volume",
             ),
         ]
     specs += [
@@ -96,8 +104,15 @@ def _specs() -> list[MartSpec]:
             "pick_throughput",
             lambda f: pick_throughput_hourly(f.f_order_picks),
             sort_by=("pick_date", "pick_hour"),
+            source="hourly_volume",
+        ),
+        MartSpec(
+            "order_mix",
+            "order_mix",
+            lambda f: order_mix(f.f_order_picks),
+            sort_by=("sk_order_id",),
+            source="order_days",
         ),
-        MartSpec("order_mix", "order_mix", lambda f: order_mix(f.f_order_picks), sort_by=("sk_order_id",)),
         MartSpec(
             "avg_products_picked_per_order",
             "avg_products_picked_per_order",
@@ -109,30 +124,35 @@ def _specs() -> list[MartSpec]:
             "order_count_by_type",
             lambda f: order_count_by_type(f.f_order_picks, f.d_date),
             sort_by=("week",),
+            source="order_days",
         ),
         MartSpec(
             "warehouse_utilization_per_section",
             "warehouse_utilization_per_section",
             lambda f: warehouse_utilization_per_section(f.d_date, f.f_order_picks),
             sort_by=("week", "warehouse_section"),
+            source="hourly_volume",
         ),
         MartSpec(
             "binned_order_volume",
             "binned_order_volume",
             lambda f: binned_order_volume(f.f_order_picks, f.d_date),
             sort_by=("date", "bins"),
+            source="order_days",
         ),
         MartSpec(
             "weekly_zscore_distribution",
             "weekly_zscore_distribution",
             lambda f: weekly_zscore_distribution(f.f_order_picks, f.d_date),
             sort_by=("week", "sk_order_id"),
+            source="order_days",
         ),
         MartSpec(
             "zscore_outliers",
             "weekly_zscore_distribution",
             lambda f: zscore_outliers(weekly_zscore_distribution(f.f_order_picks, f.d_date)),
             sort_by=("week", "sk_order_id"),
+            source="order_days",
         ),
     ]
     return specs
