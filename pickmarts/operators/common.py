@@ -54,8 +54,3 @@ def row_count(df: DataFrame):
 def with_rows(df: DataFrame, *cols: str) -> DataFrame:
     """``df`` projected to ``cols`` plus the row weight when it has one."""
     return df.select(*cols, *([ROWS] if ROWS in df.columns else []))
-
-
-def total_order(*cols: str) -> list:
-    """Ascending, NULLs last (the order the original reports used)."""
-    return [F.col(c).asc_nulls_last() for c in cols]

@@ -24,6 +24,13 @@ def test_calendar_matches_python_strftime(spark):
         day += dt.timedelta(days=1)
 
 
+def test_calendar_schema(spark):
+    from pickmarts.schemas import D_DATE
+
+    got = create_d_date(spark, "2018-01-01", "2018-01-02").schema
+    assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in D_DATE.fields]
+
+
 def test_week_edge_days(spark):
     d = create_d_date(spark, "2012-01-01", "2012-01-02").unionByName(create_d_date(spark, "2018-01-01", "2018-01-01"))
     weeks = {r["date"].isoformat(): r["week"] for r in d.collect()}
