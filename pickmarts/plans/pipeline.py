@@ -30,12 +30,13 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pickmarts.operators import curation as cur
 from pickmarts.operators import mart_inputs
 from pickmarts.operators.calendar_dim import DEFAULT_END, DEFAULT_START, create_d_date
+from pickmarts.operators.distribution import OUTLIER_THRESHOLD
 from pickmarts.plans.registry import MARTS, Facts
 from pickmarts.schemas import FACT_COLUMNS
 from pickmarts.sources import staging as stg
@@ -60,9 +61,23 @@ class RawFiles:
     warehouse_sections: str
 
 
+def write_observed(df: DataFrame, path: str, name: str, partition_by: list[str] | None = None, **metrics) -> dict:
+    """Write ``df`` and return its row count (plus ``metrics``), logged.
+
+    The counts are collected by ``observe`` while the write runs: no extra
+    job over the data.
+    """
+    obs = Observation(name)
+    exprs = [F.count(F.lit(1)).alias("rows")] + [m.alias(k) for k, m in metrics.items()]
+    write_table(df.observe(obs, *exprs), path, partition_by=partition_by)
+    counts = dict(obs.get)
+    log.info("%s: %s", name, ", ".join(f"{k}={v}" for k, v in counts.items()))
+    return counts
+
+
 def run_staging(spark: SparkSession, raw: RawFiles, base: str, multiline: bool = True) -> None:
     """S1-S3."""
-    write_table(stg.read_pick_data(spark, raw.pick_data, multiline), layer_path(base, STAGING, "pick_data"))
+    write_observed(stg.read_pick_data(spark, raw.pick_data, multiline), layer_path(base, STAGING, "pick_data"), "pick_data")
     write_table(
         stg.read_product_details(spark, raw.product_details, multiline),
         layer_path(base, STAGING, "product_details"),
@@ -106,15 +121,19 @@ def run_curation(
     start: str = DEFAULT_START,
     end: str = DEFAULT_END,
     slices: int | None = None,
-) -> None:
-    """C1-C8."""
+) -> dict:
+    """C1-C8. Returns the observed row counts of the fact table by kind."""
     write_table(create_d_date(spark, start, end), layer_path(base, CURATION, "d_date"))
     staged = spark.read.parquet(layer_path(base, STAGING, "pick_data"))
-    write_table(curate_facts(staged, slices), layer_path(base, CURATION, "pick_facts"), partition_by=["kind"])
+    by_kind = {k: F.count(F.when(F.col("kind") == k, 1)) for k in (KIND_ORDER_PICKS, KIND_PICK_ERRORS, KIND_RETURNS)}
+    counts = write_observed(
+        curate_facts(staged, slices), layer_path(base, CURATION, "pick_facts"), "pick_facts", ["kind"], **by_kind
+    )
     products = cur.d_product_details(spark.read.parquet(layer_path(base, STAGING, "product_details")))
     publish_dimension(products, layer_path(base, CURATION, "d_product_details"), "d_product_details", True)
     sections = cur.d_warehouse_section(spark.read.parquet(layer_path(base, STAGING, "warehouse_sections")))
     publish_dimension(sections, layer_path(base, CURATION, "d_warehouse_section"), "d_warehouse_section", False)
+    return counts
 
 
 def read_fact(spark: SparkSession, base: str, name: str, enriched: bool = False) -> DataFrame:
@@ -222,7 +241,10 @@ def run_marts(
             df = spec.build(facts)
             if sort_output and spec.sort_by:
                 df = df.orderBy(*[F.col(c).asc_nulls_last() for c in spec.sort_by])
-            write_table(df, layer_path(base, DATA_MART, spec.family, spec.name))
+            metrics = {}
+            if "zscore" in df.columns:  # the original run logs the number of outliers
+                metrics["outliers"] = F.count(F.when(F.abs(F.col("zscore")) > F.lit(OUTLIER_THRESHOLD), 1))
+            write_observed(df, layer_path(base, DATA_MART, spec.family, spec.name), spec.name, **metrics)
             return spec.name
 
         return task
