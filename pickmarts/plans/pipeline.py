@@ -252,6 +252,25 @@ def run_marts(
     return _run_all([write(s) for s in specs], parallelism)
 
 
+def run_sql_mart(
+    spark: SparkSession,
+    sql: str,
+    name: str,
+    base: str,
+    family: str | None = None,
+    **frames: DataFrame,
+) -> dict:
+    """Run SQL text over DataFrames and write it as ``data_mart/<family>/<name>``.
+
+    Tables are referenced as ``{name}`` in the text and passed as keyword
+    arguments (``spark.sql`` parameters), e.g.
+    ``run_sql_mart(spark, "SELECT origin, sum(pick_volume) AS v FROM {f} GROUP BY origin", "by_origin", base, f=picks)``.
+    Returns the observed row count.
+    """
+    df = spark.sql(sql, **frames)
+    return write_observed(df, layer_path(base, DATA_MART, family or name, name), name)
+
+
 def run_all(
     spark: SparkSession,
     raw: RawFiles,
