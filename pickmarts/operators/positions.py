@@ -10,15 +10,17 @@ sorted by one task alone. This operator splits the work:
   bounded by that size.
 * Rows of larger ("hot") groups are numbered like a distributed sort:
   ``repartitionByRange`` on (k, o) cuts them into ranges of similar size, so a
-  hot group spans several ranges; rows are numbered inside each
-  (group, range) slice; then each slice is shifted by the number of rows of
-  its group in earlier ranges (a small table: one row per slice).
+  hot group spans several ranges, and each range is sorted inside its task;
+  a row's number inside its (group, range) slice follows from its index in
+  the sorted range; then each slice is shifted by the number of rows of its
+  group in earlier ranges (a small table: one row per slice, broadcast).
+  Every task holds one range, never a whole hot group.
 
 Range bounds come from sampling, and a re-evaluated plan may sample again.
-The sliced rows are therefore pinned with a reliable ``checkpoint`` (written
-under ``spark.checkpoint.dir``) before the slice counts are taken, so the
-numbers and the offsets always refer to the same slices, also after a lost
-executor.
+The sorted ranges are therefore pinned with a reliable ``checkpoint``
+(written under ``spark.checkpoint.dir``) before the slice counts are taken, so
+the indexes and the offsets always refer to the same slices, also after a
+lost executor.
 
 The result equals the plain window for any data. Keys compare NULL-safely,
 so NULL keys form one group, as in ``partitionBy``.
@@ -37,6 +39,10 @@ from pickmarts.session import checkpoint_dir
 # Groups up to this many rows are numbered by one task each.
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
+# The hot-key list is broadcast when it has at most this many keys (tens of
+# MB); a longer list is joined by shuffle, where AQE splits skewed partitions.
+MAX_BROADCAST_HOT_KEYS = 200_000
+
 _SLICE = "_pm_slice"
 _LOCAL = "_pm_local"
 _COUNT = "_pm_count"
@@ -54,9 +60,7 @@ def _same_keys(keys: list[str], other: list[str]) -> Column:
 def hot_groups(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame:
     """Keys of groups with more than ``max_group_rows`` rows.
 
-    At most (rows / max_group_rows) of them exist; the join that uses this
-    list is left to adaptive execution, which broadcasts it by its measured
-    size.
+    At most (rows / max_group_rows) of them exist.
     """
     return (
         df.groupBy(*keys)
@@ -69,23 +73,31 @@ def hot_groups(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame
 def _number_hot(rows: DataFrame, keys: list[str], order_cols: list[Column], out_col: str, slices: int) -> DataFrame:
     checkpoint_dir(rows.sparkSession)
     key_cols = [F.col(k) for k in keys]
-    local = (
+    # One range shuffle: each range partition holds its slice of every hot
+    # group, sorted. Inside a partition ``monotonically_increasing_id`` then
+    # counts rows in that order, so no second shuffle (no window) is needed.
+    ranged = (
         rows.repartitionByRange(slices, *key_cols, *order_cols)
+        .sortWithinPartitions(*key_cols, *order_cols)
         .withColumn(_SLICE, F.spark_partition_id())
-        .withColumn(_LOCAL, F.row_number().over(Window.partitionBy(*keys, _SLICE).orderBy(*order_cols)))
+        .withColumn(_LOCAL, F.monotonically_increasing_id())
         .checkpoint(eager=False)
     )
-    per_slice = local.groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias(_COUNT))
+    # One row per (group, slice): at most hot groups + slices rows.
+    per_slice = ranged.groupBy(*keys, _SLICE).agg(
+        F.count(F.lit(1)).alias(_COUNT), F.min(_LOCAL).alias("_pm_first")
+    )
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     off_keys = [f"_pm_o{i}" for i in range(len(keys))]
     offsets = per_slice.select(
         *[F.col(k).alias(o) for k, o in zip(keys, off_keys)],
         F.col(_SLICE).alias("_pm_oslice"),
+        "_pm_first",
         F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_OFFSET),
     )
     on = _same_keys(keys, off_keys) & (F.col(_SLICE) == F.col("_pm_oslice"))
-    out = local.join(offsets, on, "left")
-    pos = (F.col(_LOCAL) + F.coalesce(F.col(_OFFSET), F.lit(0))).cast("int")
+    out = ranged.join(F.broadcast(offsets), on, "inner")
+    pos = (F.col(_LOCAL) - F.col("_pm_first") + F.lit(1) + F.col(_OFFSET)).cast("int")
     return out.select(*[F.col(c) for c in rows.columns], pos.alias(out_col))
 
 
@@ -114,8 +126,13 @@ def running_position(
     hot = hot_groups(df, keys, max_group_rows).select(*[F.col(k).alias(h) for k, h in zip(keys, hot_names)])
     # One small job (a key-count aggregate) decides the plan: without hot
     # groups the plain window is already bounded per task.
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if n_hot == 0:
         return plain(df)
+    # Splitting the rows by a shuffle join on the key would send a hot group
+    # to one task again, so the (counted, bounded) key list is broadcast.
+    if n_hot <= MAX_BROADCAST_HOT_KEYS:
+        hot = F.broadcast(hot)
     on_hot = _same_keys(keys, hot_names)
     cold_numbered = plain(df.join(hot, on_hot, "left_anti"))
     hot_numbered = _number_hot(df.join(hot, on_hot, "left_semi"), keys, order_cols, out_col, n)
