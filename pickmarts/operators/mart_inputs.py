@@ -37,7 +37,12 @@ _G = list(DRILL_DOWNS)
 
 
 def hourly_volume(f_order_picks: DataFrame) -> DataFrame:
-    hour = F.date_trunc("HOUR", F.col("pick_timestamp")).cast("timestamp_ntz").alias("pick_timestamp")
+    # The hour is rebuilt from the naive timestamp's parts: no session time
+    # zone (and no daylight-saving gap) can move a pick to another hour.
+    ts = F.col("pick_timestamp")
+    hour = F.make_timestamp_ntz(
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0)
+    ).alias("pick_timestamp")
     return f_order_picks.groupBy("pick_date", hour, *_G).agg(
         F.sum("pick_volume").alias("pick_volume"), F.count(F.lit(1)).alias(ROWS)
     )

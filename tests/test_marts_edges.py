@@ -191,3 +191,19 @@ def test_drill_down_allow_list(spark, cal):
         total_pick_volume(f, cal, "description")
     with pytest.raises(ValueError):
         weekly_zscore_distribution(f, cal, "pick_volume")
+
+
+@pytest.mark.parametrize("tz", ["Europe/Berlin", "Asia/Kolkata"])
+def test_hourly_input_is_zone_independent(spark, tz):
+    from pickmarts.operators.mart_inputs import hourly_volume
+
+    f = facts(spark, [
+        fact_row(volume=5, when="2018-03-25 02:30:00"),  # inside Berlin's daylight-saving gap
+        fact_row(volume=7, when="2018-10-28 02:15:00"),
+        fact_row(volume=1, when="2018-01-30 23:59:59"),
+    ])
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        assert rows_of(pick_throughput_hourly(hourly_volume(f))) == rows_of(pick_throughput_hourly(f))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
