@@ -13,7 +13,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.operators.positions import running_position
+from pickmarts.operators.positions import DEFAULT_MAX_GROUP_ROWS, running_position
 from pickmarts.schemas import ENRICHED_FACT_COLUMNS, FACT_COLUMNS, STAGED_PICK_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -36,21 +36,32 @@ def with_order_key(staged: DataFrame) -> DataFrame:
     return staged.select(*STAGED_PICK_COLUMNS, key.alias("sk_order_id"))
 
 
-def with_position_key(keyed: DataFrame, slices: int | None = None) -> DataFrame:
-    """1-based position inside (sk_order_id, origin) by pick time."""
+def with_position_key(
+    keyed: DataFrame, slices: int | None = None, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS
+) -> DataFrame:
+    """1-based position inside (sk_order_id, origin) by pick time.
+
+    Orders with more than ``max_group_rows`` picks are split over several
+    tasks (see ``pickmarts.operators.positions``).
+    """
     return running_position(
-        keyed, list(POSITION_GROUP), list(POSITION_ORDER), "sk_position_in_order", slices
+        keyed, list(POSITION_GROUP), list(POSITION_ORDER), "sk_position_in_order", slices, max_group_rows
     ).select(*FACT_COLUMNS)
 
 
-def curate_pick_data(staged: DataFrame, with_positions: bool = True, slices: int | None = None) -> DataFrame:
+def curate_pick_data(
+    staged: DataFrame,
+    with_positions: bool = True,
+    slices: int | None = None,
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+) -> DataFrame:
     """C2 + C3: staged picks with both surrogate keys (all signs).
 
     ``with_positions=False`` leaves out the position key; no mart reads it,
     and it is the only costly step of curation.
     """
     keyed = with_order_key(staged)
-    return with_position_key(keyed, slices) if with_positions else keyed
+    return with_position_key(keyed, slices, max_group_rows) if with_positions else keyed
 
 
 def pick_errors_fact(keyed: DataFrame) -> DataFrame:

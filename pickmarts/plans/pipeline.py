@@ -37,6 +37,7 @@ from pickmarts.operators import curation as cur
 from pickmarts.operators import mart_inputs
 from pickmarts.operators.calendar_dim import DEFAULT_END, DEFAULT_START, create_d_date
 from pickmarts.operators.distribution import OUTLIER_THRESHOLD
+from pickmarts.operators.positions import DEFAULT_MAX_GROUP_ROWS
 from pickmarts.plans.registry import MARTS, Facts
 from pickmarts.schemas import FACT_COLUMNS
 from pickmarts.sources import staging as stg
@@ -97,9 +98,11 @@ def _kind_column() -> F.Column:
     )
 
 
-def curate_facts(staged: DataFrame, slices: int | None = None) -> DataFrame:
+def curate_facts(
+    staged: DataFrame, slices: int | None = None, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS
+) -> DataFrame:
     """Keyed picks with a ``kind`` column, returns' volume made positive."""
-    keyed = cur.curate_pick_data(staged, with_positions=True, slices=slices)
+    keyed = cur.curate_pick_data(staged, with_positions=True, slices=slices, max_group_rows=max_group_rows)
     kind = _kind_column()
     volume = F.when(F.col("pick_volume") < 0, -F.col("pick_volume")).otherwise(F.col("pick_volume"))
     return keyed.select(*[volume.alias(c) if c == "pick_volume" else F.col(c) for c in FACT_COLUMNS], kind.alias("kind"))
@@ -121,13 +124,18 @@ def run_curation(
     start: str = DEFAULT_START,
     end: str = DEFAULT_END,
     slices: int | None = None,
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> dict:
     """C1-C8. Returns the observed row counts of the fact table by kind."""
     write_table(create_d_date(spark, start, end), layer_path(base, CURATION, "d_date"))
     staged = spark.read.parquet(layer_path(base, STAGING, "pick_data"))
     by_kind = {k: F.count(F.when(F.col("kind") == k, 1)) for k in (KIND_ORDER_PICKS, KIND_PICK_ERRORS, KIND_RETURNS)}
     counts = write_observed(
-        curate_facts(staged, slices), layer_path(base, CURATION, "pick_facts"), "pick_facts", ["kind"], **by_kind
+        curate_facts(staged, slices, max_group_rows),
+        layer_path(base, CURATION, "pick_facts"),
+        "pick_facts",
+        ["kind"],
+        **by_kind,
     )
     products = cur.d_product_details(spark.read.parquet(layer_path(base, STAGING, "product_details")))
     publish_dimension(products, layer_path(base, CURATION, "d_product_details"), "d_product_details", True)
