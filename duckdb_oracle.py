@@ -306,23 +306,23 @@ CROSS JOIN labels l
 LEFT JOIN agg ON d.date = agg.pick_date AND l.bins = agg.bins"""
 
 
-def _zscores(where: str = "") -> str:
+def _zscores(where: str = "", period: str = "week") -> str:
     z = "(o.pick_volume - s.m) / nullif(s.sd, 0)"
     return _with(
-        """
+        f"""
 o AS (
-    SELECT f.sk_order_id AS sk_order_id, d.week AS week, CAST(sum(f.pick_volume) AS BIGINT) AS pick_volume
+    SELECT f.sk_order_id AS sk_order_id, d.{period} AS {period}, CAST(sum(f.pick_volume) AS BIGINT) AS pick_volume
     FROM f LEFT JOIN d_date d ON f.pick_date = d.date
-    GROUP BY f.sk_order_id, d.week),
+    GROUP BY f.sk_order_id, d.{period}),
 s AS (
-    SELECT week,
+    SELECT {period},
         coalesce(CAST(sum(pick_volume) AS DOUBLE) / nullif(count(pick_volume), 0), 0.0) AS m,
         coalesce(stddev_samp(pick_volume), 1.0) AS sd
-    FROM o GROUP BY week)"""
+    FROM o GROUP BY {period})"""
     ) + f"""
-SELECT o.sk_order_id AS sk_order_id, o.week AS week, o.pick_volume AS pick_volume,
+SELECT o.sk_order_id AS sk_order_id, o.{period} AS {period}, o.pick_volume AS pick_volume,
     {_half_up(z, 6)} AS zscore
-FROM o LEFT JOIN s ON o.week = s.week
+FROM o LEFT JOIN s ON o.{period} = s.{period}
 {where.format(z=z)}"""
 
 
@@ -383,6 +383,8 @@ def oracle_queries() -> dict[str, str]:
             "binned_order_volume": binned_order_volume(),
             "weekly_zscore_distribution": weekly_zscore_distribution(),
             "zscore_outliers": zscore_outliers(),
+            "zscore_distribution_month": _zscores(period="month"),
+            "zscore_distribution_year": _zscores(period="year"),
         }
     )
     return q

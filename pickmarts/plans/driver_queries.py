@@ -76,9 +76,21 @@ def _curation_queries() -> dict[str, Query]:
     }
 
 
+def _zscore_period_query(period: str) -> Query:
+    """M26 with another calendar column as the period (the full run uses week)."""
+    from pickmarts.operators.distribution import weekly_zscore_distribution
+
+    spec = MARTS["weekly_zscore_distribution"]
+    return lambda spark, sf_dir: weekly_zscore_distribution(
+        mart_facts(spark, sf_dir, spec).f_order_picks, adapter_calendar(spark), period
+    )
+
+
 def all_queries() -> dict[str, Query]:
     out = _curation_queries()
     out.update({name: _mart_query(spec) for name, spec in MARTS.items()})
+    for period in ("month", "year"):
+        out[f"zscore_distribution_{period}"] = _zscore_period_query(period)
     return out
 
 
