@@ -10,7 +10,7 @@ Layout::
     <base>/curation/d_date
     <base>/curation/pick_facts/kind={order_picks,pick_errors,returns}
     <base>/curation/{d_product_details,d_warehouse_section}
-    <base>/curation/enriched_facts/kind={order_picks,pick_errors}
+    <base>/curation/enriched_facts/kind={order_picks,pick_errors}   (large product lists only)
     <base>/data_mart/_inputs/{hourly_volume,product_counts,error_counts,order_days}
     <base>/data_mart/<family>/<mart>
 
@@ -19,6 +19,11 @@ one costly curation step) is computed once, and each fact is a pruned read of
 its partition. Returns are stored with their volume already made positive;
 ``read_fact`` gives them their return_* names.
 
+Enrichment: a product list of at most ``MAX_INLINE_PRODUCTS`` rows (counted)
+is broadcast and joined map-side wherever the facts are read, so no enriched
+copy of the facts is written; a larger list is joined once by shuffle and the
+enriched facts are written.
+
 The marts are fed from a few pre-aggregated inputs
 (``pickmarts.operators.mart_inputs``), each written once: a mart run reads the
 enriched facts 5 times instead of once per mart.
@@ -52,6 +57,10 @@ KIND_RETURNS = "returns"
 
 FACT_KINDS = {"f_order_picks": KIND_ORDER_PICKS, "f_pick_errors": KIND_PICK_ERRORS, "f_returns": KIND_RETURNS}
 
+# Product lists up to this many rows are broadcast to the fact scans (the marts
+# only need product_id and product_group from them: tens of MB at most).
+MAX_INLINE_PRODUCTS = 1_000_000
+
 
 @dataclass(frozen=True)
 class RawFiles:
@@ -162,15 +171,42 @@ def check_products_unique(d_product: DataFrame) -> None:
         raise ValueError("d_product_details lists a product_id more than once")
 
 
-def run_enrichment(spark: SparkSession, base: str) -> None:
-    """C9 / C10, written once for all marts."""
-    d_product = spark.read.parquet(layer_path(base, CURATION, "d_product_details"))
+def _products(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(layer_path(base, CURATION, "d_product_details"))
+
+
+def enrichment_inline(spark: SparkSession, base: str, max_inline_products: int = MAX_INLINE_PRODUCTS) -> bool:
+    """True when the product list is small enough to broadcast (one counting job)."""
+    return _products(spark, base).count() <= max_inline_products
+
+
+def run_enrichment(spark: SparkSession, base: str, max_inline_products: int = MAX_INLINE_PRODUCTS) -> bool:
+    """C9 / C10. Returns True when the enriched facts were written.
+
+    The product list is checked for duplicates first (Q6). A small list is
+    joined map-side when the facts are read (``read_enriched``), so nothing is
+    written; a large one is joined here once and the enriched facts written.
+    """
+    d_product = _products(spark, base)
     check_products_unique(d_product)
+    if enrichment_inline(spark, base, max_inline_products):
+        log.info("product list fits a broadcast: facts are enriched when read, no enriched copy written")
+        return False
     facts = spark.read.parquet(layer_path(base, CURATION, "pick_facts")).filter(
         F.col("kind").isin(KIND_ORDER_PICKS, KIND_PICK_ERRORS)
     )
     enriched = cur.enrich(facts.drop("kind"), d_product).withColumn("kind", _kind_column())
     write_table(enriched, layer_path(base, CURATION, "enriched_facts"), partition_by=["kind"])
+    return True
+
+
+def read_enriched(spark: SparkSession, base: str, name: str, inline: bool | None = None) -> DataFrame:
+    """``f_order_picks`` or ``f_pick_errors`` with description and product_group."""
+    if inline is None:
+        inline = enrichment_inline(spark, base)
+    if inline:
+        return cur.enrich(read_fact(spark, base, name), F.broadcast(_products(spark, base)))
+    return read_fact(spark, base, name, enriched=True)
 
 
 def _run_all(tasks: list, parallelism: int) -> list:
@@ -190,9 +226,10 @@ def build_mart_inputs(
     spark: SparkSession, base: str, sources: set[str], parallelism: int = 1
 ) -> dict[str, DataFrame]:
     """Write the shared inputs named in ``sources`` and return them read back."""
+    inline = enrichment_inline(spark, base)
     facts = {
-        "picks": read_fact(spark, base, "f_order_picks", enriched=True),
-        "errors": read_fact(spark, base, "f_pick_errors", enriched=True),
+        "picks": read_enriched(spark, base, "f_order_picks", inline),
+        "errors": read_enriched(spark, base, "f_pick_errors", inline),
     }
     names = sorted(set(sources) - {"facts"})
 
