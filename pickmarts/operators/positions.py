@@ -70,7 +70,14 @@ def hot_groups(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame
     )
 
 
-def _number_hot(rows: DataFrame, keys: list[str], order_cols: list[Column], out_col: str, slices: int) -> DataFrame:
+def _number_hot(
+    rows: DataFrame,
+    keys: list[str],
+    order_cols: list[Column],
+    out_col: str,
+    slices: int,
+    small_offsets: bool,
+) -> DataFrame:
     checkpoint_dir(rows.sparkSession)
     key_cols = [F.col(k) for k in keys]
     # One range shuffle: each range partition holds its slice of every hot
@@ -96,7 +103,9 @@ def _number_hot(rows: DataFrame, keys: list[str], order_cols: list[Column], out_
         F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_OFFSET),
     )
     on = _same_keys(keys, off_keys) & (F.col(_SLICE) == F.col("_pm_oslice"))
-    out = ranged.join(F.broadcast(offsets), on, "inner")
+    # The offsets have one row per (hot group, range): broadcast while the
+    # counted hot-group list is within the broadcast limit.
+    out = ranged.join(F.broadcast(offsets) if small_offsets else offsets, on, "inner")
     pos = (F.col(_LOCAL) - F.col("_pm_first") + F.lit(1) + F.col(_OFFSET)).cast("int")
     return out.select(*[F.col(c) for c in rows.columns], pos.alias(out_col))
 
@@ -131,9 +140,10 @@ def running_position(
         return plain(df)
     # Splitting the rows by a shuffle join on the key would send a hot group
     # to one task again, so the (counted, bounded) key list is broadcast.
-    if n_hot <= MAX_BROADCAST_HOT_KEYS:
+    small = n_hot <= MAX_BROADCAST_HOT_KEYS
+    if small:
         hot = F.broadcast(hot)
     on_hot = _same_keys(keys, hot_names)
     cold_numbered = plain(df.join(hot, on_hot, "left_anti"))
-    hot_numbered = _number_hot(df.join(hot, on_hot, "left_semi"), keys, order_cols, out_col, n)
+    hot_numbered = _number_hot(df.join(hot, on_hot, "left_semi"), keys, order_cols, out_col, n, small)
     return cold_numbered.unionByName(hot_numbered)
