@@ -89,3 +89,18 @@ def test_running_position_equals_plain_window(spark, max_group_rows):
     got = running_position(keyed, keys, order, "pos", slices=5, max_group_rows=max_group_rows)
     assert got.count() == plain.count()
     assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+
+
+def test_running_position_without_broadcasts(spark, monkeypatch):
+    """Over the broadcast limit the hot keys and offsets are joined by shuffle: same numbers."""
+    from pickmarts.operators import positions
+
+    monkeypatch.setattr(positions, "MAX_BROADCAST_HOT_KEYS", 0)
+    keyed = cur.with_order_key(staged_picks(spark, SMOKE_DIR))
+    keyed = keyed.withColumn(
+        "sk_order_id", F.when(F.col("pick_volume") % 3 == 0, F.lit(None)).otherwise(F.col("sk_order_id"))
+    )
+    keys, order = list(cur.POSITION_GROUP), list(cur.POSITION_ORDER)
+    plain = keyed.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    got = running_position(keyed, keys, order, "pos", slices=4, max_group_rows=5)
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
