@@ -245,12 +245,16 @@ def build_mart_inputs(
     out: dict[str, DataFrame] = dict(_run_all([write(n) for n in names], parallelism))
     out["facts"] = facts["picks"]
     out["facts_errors"] = facts["errors"]
+    # Marts without product attributes read the curated facts as they are.
+    out["plain_facts"] = read_fact(spark, base, "f_order_picks")
+    out["plain_facts_errors"] = read_fact(spark, base, "f_pick_errors")
     return out
 
 
 def _facts_for(spec, inputs: dict[str, DataFrame], d_date: DataFrame) -> Facts:
     if spec.source == "facts":
-        return Facts(inputs["facts"], inputs["facts_errors"], d_date)
+        prefix = "" if spec.needs_products else "plain_"
+        return Facts(inputs[f"{prefix}facts"], inputs[f"{prefix}facts_errors"], d_date)
     errors = inputs.get("error_counts") if spec.needs_errors else None
     return Facts(inputs[spec.source], errors, d_date)
 
