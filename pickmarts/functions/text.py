@@ -6,11 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def zero_pad(c: Column, width: int) -> Column:
-    """Left-pad ``c`` (cast to string) with zeros to ``width`` characters.
+def zero_pad_sql(expr: str, width: int) -> str:
+    """SQL that left-pads ``expr`` (cast to string) with zeros to ``width``.
 
     Unlike ``lpad`` alone, a longer value is kept whole instead of being cut
     to ``width`` characters, so distinct ids never collide.
     """
-    s = c.cast("string")
-    return F.when(F.length(s) >= F.lit(width), s).otherwise(F.lpad(s, width, "0"))
+    s = f"CAST({expr} AS STRING)"
+    return f"CASE WHEN length({s}) >= {width} THEN {s} ELSE lpad({s}, {width}, '0') END"
+
+
+def zero_pad(expr: str, width: int) -> Column:
+    return F.expr(zero_pad_sql(expr, width))

@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickmarts.functions.calendar import month_label, quarter_label, week_label, year_half_label
+from pickmarts.functions.calendar import month_label_sql, quarter_label_sql, week_label_sql, year_half_label_sql
 
 # Calendar range of the original full run.
 DEFAULT_START = "2011-06-01"
@@ -35,17 +35,17 @@ def create_d_date(spark: SparkSession, start: str = DEFAULT_START, end: str = DE
     n = calendar_days(start, end)
     if n > MAX_CALENDAR_DAYS:
         raise ValueError(f"calendar of {n} days exceeds {MAX_CALENDAR_DAYS}")
-    d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
+    first = dt.date.fromisoformat(start).isoformat()  # normalised: safe as a SQL literal
     return (
         spark.range(0, n, 1, numPartitions=1)
-        .select(d.alias("date"))
-        .select(
+        .selectExpr(f"date_add(DATE '{first}', CAST(id AS INT)) AS date")
+        .selectExpr(
             "date",
-            F.year("date").cast("int").alias("year"),
-            week_label("date").alias("week"),
-            month_label("date").alias("month"),
-            quarter_label("date").alias("quarter"),
-            year_half_label("date").alias("year_half"),
+            "CAST(year(date) AS INT) AS year",
+            f"{week_label_sql('date')} AS week",
+            f"{month_label_sql('date')} AS month",
+            f"{quarter_label_sql('date')} AS quarter",
+            f"{year_half_label_sql('date')} AS year_half",
         )
     )
 

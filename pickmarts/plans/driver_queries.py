@@ -22,7 +22,10 @@ from pickmarts.plans.registry import MARTS, Facts, MartSpec
 from pickmarts.sources.tpch_adapter import (
     ADAPTER_CALENDAR_END,
     ADAPTER_CALENDAR_START,
+    picks_from_lineitem,
     product_details,
+    products_from_part,
+    read_table,
     staged_picks,
 )
 
@@ -33,16 +36,19 @@ def adapter_calendar(spark: SparkSession) -> DataFrame:
     return create_d_date(spark, ADAPTER_CALENDAR_START, ADAPTER_CALENDAR_END)
 
 
-def keyed_picks(spark: SparkSession, sf_dir: str, with_positions: bool) -> DataFrame:
-    return cur.curate_pick_data(staged_picks(spark, sf_dir), with_positions=with_positions)
+def keyed_picks(spark: SparkSession, sf_dir: str, with_positions: bool, part: DataFrame | None = None) -> DataFrame:
+    part = part if part is not None else read_table(spark, sf_dir, "part")
+    staged = picks_from_lineitem(read_table(spark, sf_dir, "lineitem"), part)
+    return cur.curate_pick_data(staged, with_positions=with_positions)
 
 
 def mart_facts(spark: SparkSession, sf_dir: str, spec: MartSpec) -> Facts:
-    keyed = keyed_picks(spark, sf_dir, with_positions=False)
+    part = read_table(spark, sf_dir, "part")  # read once: sizes and product list
+    keyed = keyed_picks(spark, sf_dir, with_positions=False, part=part)
     picks = cur.order_picks_fact(keyed)
     errors = cur.pick_errors_fact(keyed) if spec.needs_errors else None
     if spec.needs_products:
-        dim = cur.d_product_details(product_details(spark, sf_dir))
+        dim = cur.d_product_details(products_from_part(part))
         picks = cur.enrich(picks, dim)
         errors = cur.enrich(errors, dim) if errors is not None else None
     return Facts(picks, errors, adapter_calendar(spark))
@@ -58,8 +64,9 @@ def _curation_queries() -> dict[str, Query]:
 
     def enriched(fact_of):
         def q(spark, sf_dir):
-            dim = cur.d_product_details(product_details(spark, sf_dir))
-            return cur.enrich(fact_of(positioned(spark, sf_dir)), dim)
+            part = read_table(spark, sf_dir, "part")  # read once: sizes and product list
+            dim = cur.d_product_details(products_from_part(part))
+            return cur.enrich(fact_of(keyed_picks(spark, sf_dir, with_positions=True, part=part)), dim)
 
         return q
 

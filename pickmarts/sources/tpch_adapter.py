@@ -29,9 +29,8 @@ p_name, product_group = p_type except NULL when p_partkey % 50 = 7.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pickmarts.functions.text import zero_pad
+from pickmarts.functions.text import zero_pad_sql
 from pickmarts.schemas import STAGED_PICK_COLUMNS
 
 # Calendar range used with the driver tables. It leaves pick
@@ -44,56 +43,38 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# The mapping as SQL expressions: each column is handed to the JVM as one
+# expression (one round trip) instead of being composed call by call.
+_PICK_EXPRESSIONS = (
+    f"{zero_pad_sql('l_partkey', 8)} AS product_id",
+    "CASE WHEN l_returnflag = 'A' THEN 'AKL' WHEN l_returnflag = 'N' THEN 'HRL' ELSE 'Manuell' END AS warehouse_section",
+    "CAST(CASE WHEN l_orderkey % 3 = 0 THEN 46 ELSE 48 END AS INT) AS origin",
+    f"{zero_pad_sql('CAST(floor(l_orderkey / 8) AS BIGINT)', 8)} AS order_number",
+    f"{zero_pad_sql('l_linenumber', 4)} AS position_in_order",
+    "CAST((CASE WHEN l_tax = 0.0 THEN 0 WHEN l_tax > 0.075 AND l_discount > 0.095 THEN -1 ELSE 1 END)"
+    " * CAST(l_quantity AS BIGINT) * (p_size % 12 + 1) AS BIGINT) AS pick_volume",
+    "'St' AS quantity_unit",
+    "timestampadd(SECOND, (l_orderkey * 7919 + l_partkey * 3571 + l_linenumber * 613) % 86400,"
+    " CAST(l_shipdate AS TIMESTAMP_NTZ)) AS pick_timestamp",
+    "CAST(CAST(l_shipdate AS TIMESTAMP_NTZ) AS DATE) AS pick_date",
+)
+
+
 def picks_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Staged pick rows (9 columns) from order lines and part sizes."""
     li = lineitem.select(
-        "l_orderkey",
-        "l_partkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_discount",
-        "l_tax",
-        "l_returnflag",
-        "l_shipdate",
-    )
-    sizes = part.select(F.col("p_partkey").alias("l_partkey"), "p_size")
-    j = li.join(sizes, "l_partkey", "left")
-
-    sign = (
-        F.when(F.col("l_tax") == F.lit(0.0), F.lit(0))
-        .when((F.col("l_tax") > F.lit(0.075)) & (F.col("l_discount") > F.lit(0.095)), F.lit(-1))
-        .otherwise(F.lit(1))
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate"
     )
-    volume = sign * F.col("l_quantity").cast("bigint") * (F.col("p_size") % F.lit(12) + F.lit(1))
-    seconds = (
-        F.col("l_orderkey") * F.lit(7919) + F.col("l_partkey") * F.lit(3571) + F.col("l_linenumber") * F.lit(613)
-    ) % F.lit(86400)
-    shipped = F.col("l_shipdate").cast("timestamp_ntz")
-
-    return j.select(
-        zero_pad(F.col("l_partkey"), 8).alias("product_id"),
-        F.when(F.col("l_returnflag") == F.lit("A"), F.lit("AKL"))
-        .when(F.col("l_returnflag") == F.lit("N"), F.lit("HRL"))
-        .otherwise(F.lit("Manuell"))
-        .alias("warehouse_section"),
-        F.when(F.col("l_orderkey") % F.lit(3) == F.lit(0), F.lit(46)).otherwise(F.lit(48)).cast("int").alias("origin"),
-        zero_pad(F.floor(F.col("l_orderkey") / F.lit(8)).cast("bigint"), 8).alias("order_number"),
-        zero_pad(F.col("l_linenumber"), 4).alias("position_in_order"),
-        volume.cast("bigint").alias("pick_volume"),
-        F.lit("St").alias("quantity_unit"),
-        F.timestamp_add("SECOND", seconds, shipped).alias("pick_timestamp"),
-        F.to_date(shipped).alias("pick_date"),
-    ).select(*STAGED_PICK_COLUMNS)
+    sizes = part.selectExpr("p_partkey AS l_partkey", "p_size")
+    return li.join(sizes, "l_partkey", "left").selectExpr(*_PICK_EXPRESSIONS).select(*STAGED_PICK_COLUMNS)
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
     """Product list (product_id, description, product_group) from ``part``."""
-    return part.select(
-        zero_pad(F.col("p_partkey"), 8).alias("product_id"),
-        F.col("p_name").alias("description"),
-        F.when(F.col("p_partkey") % F.lit(50) == F.lit(7), F.lit(None).cast("string"))
-        .otherwise(F.col("p_type"))
-        .alias("product_group"),
+    return part.selectExpr(
+        f"{zero_pad_sql('p_partkey', 8)} AS product_id",
+        "p_name AS description",
+        "CASE WHEN p_partkey % 50 = 7 THEN CAST(NULL AS STRING) ELSE p_type END AS product_group",
     )
 
 

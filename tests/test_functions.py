@@ -68,4 +68,4 @@ def test_bins_right_closed(spark):
 
 def test_zero_pad_keeps_long_values(spark):
     df = spark.createDataFrame([(7,), (12345678,), (123456789,)], "v long")
-    assert [r[0] for r in df.select(zero_pad(F.col("v"), 8)).collect()] == ["00000007", "12345678", "123456789"]
+    assert [r[0] for r in df.select(zero_pad("v", 8)).collect()] == ["00000007", "12345678", "123456789"]
