@@ -13,7 +13,8 @@ sorted by one task alone. This operator splits the work:
   hot group spans several ranges, and each range is sorted inside its task;
   a row's number inside its (group, range) slice follows from its index in
   the sorted range; then each slice is shifted by the number of rows of its
-  group in earlier ranges (a small table: one row per slice, broadcast).
+  group in earlier ranges (a small table: one row per slice, broadcast while
+  the counted hot-group list is within ``MAX_BROADCAST_HOT_KEYS``).
   Every task holds one range, never a whole hot group.
 
 Range bounds come from sampling, and a re-evaluated plan may sample again.
@@ -23,7 +24,10 @@ the indexes and the offsets always refer to the same slices, also after a
 lost executor.
 
 The result equals the plain window for any data. Keys compare NULL-safely,
-so NULL keys form one group, as in ``partitionBy``.
+so NULL keys form one group, as in ``partitionBy``. Rows equal in every
+ordering column may trade numbers between runs, as with ``row_number``; a
+recomputed range can reorder only such rows, and the first index and row
+count of every slice stay the same, so the numbering stays dense and unique.
 """
 
 from __future__ import annotations
