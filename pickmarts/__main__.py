@@ -14,7 +14,7 @@ import os
 import sys
 
 from pickmarts.operators.calendar_dim import DEFAULT_END, DEFAULT_START
-from pickmarts.plans import pipeline
+from pickmarts.plans import full_run
 from pickmarts.plans.registry import MARTS
 
 # Raw file names of the original run.
@@ -42,7 +42,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def raw_files(args: argparse.Namespace) -> pipeline.RawFiles:
+def raw_files(args: argparse.Namespace) -> full_run.RawFiles:
     def path(key: str) -> str:
         given = getattr(args, key)
         if given:
@@ -51,7 +51,7 @@ def raw_files(args: argparse.Namespace) -> pipeline.RawFiles:
             raise SystemExit(f"--raw-dir or --{key.replace('_', '-')} is needed for staging")
         return os.path.join(args.raw_dir, RAW_NAMES[key])
 
-    return pipeline.RawFiles(path("pick_data"), path("product_details"), path("warehouse_sections"))
+    return full_run.RawFiles(path("pick_data"), path("product_details"), path("warehouse_sections"))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -61,12 +61,12 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="[%(asctime)s] %(levelname)s [%(name)s]: %(message)s")
     spark = build_session(args.master)
     if args.step in ("staging", "all"):
-        pipeline.run_staging(spark, raw_files(args), args.base, multiline=not args.no_multiline)
+        full_run.run_staging(spark, raw_files(args), args.base, multiline=not args.no_multiline)
     if args.step in ("curation", "all"):
-        pipeline.run_curation(spark, args.base, args.start, args.end)
+        full_run.run_curation(spark, args.base, args.start, args.end)
     if args.step in ("marts", "all"):
-        pipeline.run_enrichment(spark, args.base)
-        pipeline.run_marts(
+        full_run.run_enrichment(spark, args.base)
+        full_run.run_marts(
             spark, args.base, names=args.marts, sort_output=args.sort_output, parallelism=args.parallelism
         )
     return 0

@@ -8,7 +8,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from pickmarts.plans.pipeline import (
+from pickmarts.plans.full_run import (
     RawFiles,
     read_enriched,
     read_fact,
@@ -139,7 +139,7 @@ def test_shared_inputs_give_the_direct_results(spark, run):
 def test_full_run_on_driver_tables(spark):
     from conftest import SMOKE_DIR
     from pickmarts.plans.driver_queries import stage_driver_tables
-    from pickmarts.plans.pipeline import run_marts
+    from pickmarts.plans.full_run import run_marts
     from pickmarts.sources.tpch_adapter import ADAPTER_CALENDAR_END, ADAPTER_CALENDAR_START
 
     base = tempfile.mkdtemp(prefix="pickmarts-base-")
@@ -161,7 +161,7 @@ def test_full_run_on_driver_tables(spark):
 
 
 def test_sql_mart_writer(spark, run):
-    from pickmarts.plans.pipeline import run_sql_mart
+    from pickmarts.plans.full_run import run_sql_mart
 
     base, _ = run
     picks = read_enriched(spark, base, "f_order_picks")
@@ -179,7 +179,7 @@ def test_sql_mart_writer(spark, run):
 
 
 def test_sorted_mart_output(spark, run):
-    from pickmarts.plans.pipeline import run_marts
+    from pickmarts.plans.full_run import run_marts
 
     base, _ = run
     run_marts(spark, base, names=["total_orders_processed", "order_mix"], sort_output=True, parallelism=1)
@@ -219,7 +219,7 @@ def test_large_product_list_writes_enriched_facts(spark):
     """Above the broadcast limit the enriched facts are written once; same marts."""
     from conftest import SMOKE_DIR
     from pickmarts.plans.driver_queries import stage_driver_tables
-    from pickmarts.plans.pipeline import run_marts
+    from pickmarts.plans.full_run import run_marts
     from pickmarts.sources.tpch_adapter import ADAPTER_CALENDAR_END, ADAPTER_CALENDAR_START
 
     base = tempfile.mkdtemp(prefix="pickmarts-base-")
