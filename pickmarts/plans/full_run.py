@@ -31,10 +31,12 @@ enriched facts 5 times instead of once per mart.
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,11 @@ KIND_RETURNS = "returns"
 
 FACT_KINDS = {"f_order_picks": KIND_ORDER_PICKS, "f_pick_errors": KIND_PICK_ERRORS, "f_returns": KIND_RETURNS}
 
+# Shared mart inputs written bucketed by a key their consumers group on: the
+# order-level input is aggregated and windowed by order in nine marts, which
+# then read it without a shuffle.
+BUCKETED_INPUTS = {"order_days": "sk_order_id"}
+
 # Product lists up to this many rows are broadcast to the fact scans (the marts
 # only need product_id and product_group from them: tens of MB at most).
 MAX_INLINE_PRODUCTS = 1_000_000
@@ -222,6 +229,32 @@ def _run_all(tasks: list, parallelism: int) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
+def write_bucketed(spark: SparkSession, df: DataFrame, path: str, name: str, key: str) -> DataFrame:
+    """Write ``df`` at ``path`` bucketed by ``key`` and return the bucketed table.
+
+    One bucket per shuffle partition; rows are repartitioned by the same hash
+    first, so each task writes one bucket file. Bucketing needs a catalog
+    table (an external one, at ``path``); if the catalog refuses it, the
+    input is written as plain files and its consumers shuffle as usual.
+    """
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"pickmarts_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+    try:
+        (
+            df.repartition(buckets, key)
+            .write.mode("overwrite")
+            .format("parquet")
+            .bucketBy(buckets, key)
+            .option("path", path)
+            .saveAsTable(table)
+        )
+        return spark.table(table)
+    except AnalysisException as e:
+        log.warning("bucketed table %s not available (%s); writing plain files", table, e)
+        write_table(df, path)
+        return spark.read.parquet(path)
+
+
 def build_mart_inputs(
     spark: SparkSession, base: str, sources: set[str], parallelism: int = 1
 ) -> dict[str, DataFrame]:
@@ -237,7 +270,10 @@ def build_mart_inputs(
         def task():
             build, fact = mart_inputs.BUILDERS[name]
             path = layer_path(base, DATA_MART, "_inputs", name)
-            write_table(build(facts[fact]), path)
+            df = build(facts[fact])
+            if name in BUCKETED_INPUTS:
+                return name, write_bucketed(spark, df, path, name, BUCKETED_INPUTS[name])
+            write_table(df, path)
             return name, spark.read.parquet(path)
 
         return task

@@ -19,7 +19,13 @@ ORACLE_DIR = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app_name="pickmarts-tests", shuffle_partitions=8)
+    s = build_session(
+        "local[*]",
+        app_name="pickmarts-tests",
+        shuffle_partitions=8,
+        # catalog tables (bucketed mart inputs) are external; keep the default database out of the repo
+        extra_conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="pickmarts-test-wh-")},
+    )
     s.sparkContext.setLogLevel("ERROR")
     # Tests set their own checkpoint folder; a cluster names a shared one.
     if not s.sparkContext.getCheckpointDir():

@@ -283,3 +283,15 @@ def test_command_line_steps(spark):
     assert not os.path.exists(os.path.join(base, "data_mart", "pick_errors"))
     with pytest.raises(SystemExit):
         main(["staging", *common])  # no raw files given
+
+
+def test_order_level_marts_read_the_bucketed_input_without_shuffle(spark, run):
+    from pickmarts.operators.orders import order_mix
+    from pickmarts.plans.full_run import build_mart_inputs
+
+    base, _ = run
+    order_days = build_mart_inputs(spark, base, {"order_days"})["order_days"]
+    df = order_mix(order_days)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Exchange hashpartitioning(sk_order_id" not in final
