@@ -28,7 +28,10 @@ p_name, product_group = p_type except NULL when p_partkey % 50 = 7.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from pickmarts.functions.text import zero_pad_sql
 from pickmarts.schemas import STAGED_PICK_COLUMNS
@@ -39,8 +42,19 @@ ADAPTER_CALENDAR_START = "1995-07-01"
 ADAPTER_CALENDAR_END = "2001-06-30"
 
 
+# Schemas of the driver's read-only tables, inferred once per process: later
+# reads declare them and skip the schema-inference job of every scan.
+_SCHEMAS: dict[str, str] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(StructType.fromJson(json.loads(known))).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema.json()
+    return df
 
 
 # The mapping as SQL expressions: each column is handed to the JVM as one
