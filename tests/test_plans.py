@@ -53,3 +53,11 @@ def test_one_fact_scan_for_section_shares(spark, q):
 def test_zscore_stats_broadcast_not_windowed(spark, q):
     plan = _plan(q["weekly_zscore_distribution"](spark, SMOKE_DIR))
     assert "Window" not in plan
+
+
+def test_zscore_branches_share_one_aggregate_exchange(spark, q):
+    df = q["weekly_zscore_distribution"](spark, SMOKE_DIR)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+    assert sum(1 for line in final.splitlines() if "FileScan parquet" in line and "lineitem" in line) == 1
