@@ -385,6 +385,7 @@ def oracle_queries() -> dict[str, str]:
             "zscore_outliers": zscore_outliers(),
             "zscore_distribution_month": _zscores(period="month"),
             "zscore_distribution_year": _zscores(period="year"),
+            "zscore_distribution_date": _zscores(period="date"),
         }
     )
     return q

@@ -96,7 +96,7 @@ def _zscore_period_query(period: str) -> Query:
 def all_queries() -> dict[str, Query]:
     out = _curation_queries()
     out.update({name: _mart_query(spec) for name, spec in MARTS.items()})
-    for period in ("month", "year"):
+    for period in ("month", "year", "date"):
         out[f"zscore_distribution_{period}"] = _zscore_period_query(period)
     return out
 
