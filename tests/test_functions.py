@@ -69,3 +69,21 @@ def test_bins_right_closed(spark):
 def test_zero_pad_keeps_long_values(spark):
     df = spark.createDataFrame([(7,), (12345678,), (123456789,)], "v long")
     assert [r[0] for r in df.select(zero_pad("v", 8)).collect()] == ["00000007", "12345678", "123456789"]
+
+
+def test_bins_equal_pandas_cut(spark):
+    """The right-closed bins give the labels pandas.cut gives with the same edges."""
+    import random
+
+    import pandas as pd
+
+    from pickmarts.functions import BIN_EDGES, BIN_LABELS
+
+    rnd = random.Random(7)
+    values = [rnd.randrange(-5, 250_000) for _ in range(5000)]
+    values += [e + d for e in BIN_EDGES for d in (-1, 0, 1)]
+    want = pd.cut(pd.Series(values), bins=list(BIN_EDGES), labels=list(BIN_LABELS)).astype(object)
+    want = [None if pd.isna(w) else w for w in want]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v long")
+    got = [r[1] for r in sorted(df.select("i", bin_label(F.col("v"))).collect())]
+    assert got == want
