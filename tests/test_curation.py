@@ -104,3 +104,14 @@ def test_running_position_without_broadcasts(spark, monkeypatch):
     plain = keyed.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     got = running_position(keyed, keys, order, "pos", slices=4, max_group_rows=5)
     assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+
+
+def test_positions_equal_pandas_cumcount(spark):
+    """Same numbers as pandas: sort by the position order, cumcount per (order, origin), plus one."""
+    keyed = cur.curate_pick_data(staged_picks(spark, SMOKE_DIR))
+    pdf = keyed.toPandas()
+    order = list(cur.POSITION_ORDER)
+    ordered = pdf.sort_values(order, kind="mergesort")
+    want = ordered.groupby(list(cur.POSITION_GROUP), sort=False).cumcount() + 1
+    got = pdf.loc[want.index, "sk_position_in_order"]
+    assert (got.to_numpy() == want.to_numpy()).all()
