@@ -86,3 +86,43 @@ def test_splittable_read_without_multiline(spark):
     rows = sorted(read_pick_data(spark, p, multiline=False).collect(), key=lambda r: r["product_id"])
     assert [r["warehouse_section"] for r in rows] == ["HRL", "Übergabe"]
     assert rows[1]["pick_timestamp"] == dt.datetime(2018, 1, 31, 0, 0, 0, 1)
+
+
+def test_staging_equals_pandas_read_csv(spark):
+    """Same values as pandas.read_csv with the original loader's settings (NaN read as NULL)."""
+    import pandas as pd
+
+    products = (
+        '000010,"ETAP, ""LED"" Leuchte",35_Leuchten\n'
+        '232357,"NIEDAX Hängestiel\nHUF50/400",31_Install.\n'
+        "F22429,NA,nan\n"
+        "D72590,Profil ÄÖÜ ß,NULL\n"
+        "A1,,x\n"
+    )
+    picks = (
+        "000010,HRL,48,08197426,0001,24,St,2018-01-30 10:52:31.000000\n"
+        "D72590,Manuell,46,NA,0002,-3,Mt,2018-01-30 03:42:41.5\n"
+        "232357,AKL,48,08202478,0005,0,St,2018-12-31 23:59:59.123456\n"
+    )
+    pp, pk = _write(products, "product_details.csv"), _write(picks, "pick_data.csv")
+
+    want_p = pd.read_csv(pp, header=None, names=["product_id", "description", "product_group"],
+                         dtype=str, encoding="iso-8859-1")
+    got_p = read_product_details(spark, pp).toPandas()
+    norm = lambda df: [tuple(None if pd.isna(v) else v for v in row) for row in df.itertuples(index=False)]
+    assert sorted(norm(got_p), key=str) == sorted(norm(want_p), key=str)
+
+    cols = ["product_id", "warehouse_section", "origin", "order_number", "position_in_order", "pick_volume",
+            "quantity_unit", "date"]
+    dtypes = {c: str for c in cols} | {"origin": int, "pick_volume": int}
+    want = pd.read_csv(pk, header=None, names=cols, dtype=dtypes, encoding="iso-8859-1")
+    want["pick_timestamp"] = pd.to_datetime(want["date"], format="%Y-%m-%d %H:%M:%S.%f")
+    got = read_pick_data(spark, pk).toPandas()
+    got = got.sort_values("pick_timestamp").reset_index(drop=True)
+    want = want.sort_values("pick_timestamp").reset_index(drop=True)
+    for c in ["product_id", "warehouse_section", "order_number", "position_in_order", "quantity_unit"]:
+        assert norm(got[[c]]) == norm(want[[c]]), c
+    assert got["origin"].tolist() == want["origin"].tolist()
+    assert got["pick_volume"].tolist() == want["pick_volume"].tolist()
+    assert [t.to_pydatetime() for t in got["pick_timestamp"]] == [t.to_pydatetime() for t in want["pick_timestamp"]]
+    assert got["pick_date"].tolist() == [t.date() for t in want["pick_timestamp"]]
