@@ -23,7 +23,9 @@ stands for (see ``pickmarts.operators.common.row_count``), so the mart
 functions run unchanged on either. Three of the inputs are bounded by the
 dimensions (days x 24 x origins x sections x groups, or x products), not by
 the number of picks; ``order_days`` is at most one row per order, day and
-section. Only the distinct-products mart (M22) still reads the facts.
+section, and the full run writes it bucketed by ``sk_order_id`` so that its
+consumers, which all group or window by order, read it without a shuffle.
+Only the distinct-products mart (M22) still reads the facts.
 """
 
 from __future__ import annotations
