@@ -138,7 +138,11 @@ def running_position(
     hot_names = [f"_pm_h{i}" for i in range(len(keys))]
     hot = hot_groups(df, keys, max_group_rows).select(*[F.col(k).alias(h) for k, h in zip(keys, hot_names)])
     # One small job (a key-count aggregate) decides the plan: without hot
-    # groups the plain window is already bounded per task.
+    # groups the plain window is already bounded per task. The list is kept
+    # (it is small: at most rows / max_group_rows keys) so the joins below
+    # reuse it instead of aggregating all rows again; lost blocks are
+    # recomputed from the same deterministic aggregate.
+    hot = hot.persist()
     n_hot = hot.count()
     if n_hot == 0:
         return plain(df)
