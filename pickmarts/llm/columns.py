@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pickmarts.session import checkpoint_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -29,15 +33,25 @@ def drop_named(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
-def running_total(df: DataFrame, group: list[str], block: str, order: list[Column], value: Column, out: str) -> DataFrame:
+def running_total(
+    df: DataFrame,
+    group: list[str],
+    block: str,
+    order: list[Column],
+    value: Column,
+    out: str,
+    totals_from: DataFrame | None = None,
+) -> DataFrame:
     """``out`` = sum of ``value`` over the earlier rows of the same group, in the order (block, order).
 
     Exact in two levels, so that no task orders a whole group: the totals of the
     blocks (one row per group and block, summed map-side) give each block its
     offset, and rows are summed only inside their block. ``block`` must be a
     non-null long that ascends with the order; its size bounds a task.
+    ``totals_from`` may give a cheaper DataFrame of the same rows for the totals.
     """
-    sums = df.groupBy(*group, block).agg(F.sum(value).alias("__block_sum"))
+    base = totals_from if totals_from is not None else df
+    sums = base.groupBy(*group, block).agg(F.sum(value).alias("__block_sum"))
     earlier = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         *[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)],
@@ -47,14 +61,24 @@ def running_total(df: DataFrame, group: list[str], block: str, order: list[Colum
     inside = Window.partitionBy(*group, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))
     same = [F.col(c) == F.col(f"__g{i}") for i, c in enumerate(group)] + [F.col(block) == F.col("__b")]
-    joined = rows.join(offsets, on=[c for c in same][0] if len(same) == 1 else _all(same), how="left")
+    joined = rows.join(offsets, on=same, how="left")
     return joined.withColumn(out, F.col("__offset") + F.col("__inside")).drop(
         "__inside", "__offset", "__b", *[f"__g{i}" for i in range(len(group))]
     )
 
 
-def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+def word_count(text: Column) -> Column:
+    """Number of words: each word becomes one letter, then white space goes (memory follows the text)."""
+    marks = F.regexp_replace(F.coalesce(text, F.lit("")), WORD, "x")
+    return F.length(F.translate(marks, " \t\n\x0b\x0c\r", "")).cast("long")
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back.
+
+    Cuts lineage: a lost executor reads the files again instead of recomputing.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

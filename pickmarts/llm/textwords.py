@@ -217,12 +217,14 @@ def ngram_hashes(words: Words, n: int, short_whole: bool = False) -> tuple[np.nd
     return mix64(h), doc, at
 
 
-def distinct_per_text(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of each text, ascending within a text."""
+def distinct_per_text(h: np.ndarray, doc: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each text, ascending within a text; ``doc`` must ascend."""
     if not len(h):
         return h, doc
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
+    h = h.copy()
+    first = np.searchsorted(doc, np.arange(n_texts + 1))
+    for a, b in zip(first[:-1], first[1:]):
+        h[a:b].sort()
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     return h[keep], doc[keep]
