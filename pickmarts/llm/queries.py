@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickmarts.llm import mixing, sharding
+from pickmarts.llm import minhash, mixing, sharding
 from pickmarts.llm.columns import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_sharding": lambda s, d: sharding.op1_shard(read_table(s, d, "documents")),
+        "op4_minhash_dedup": lambda s, d: minhash.near_duplicates(read_table(s, d, "documents")),
         "op7_mixing": lambda s, d: mixing.op7_mix(read_table(s, d, "documents")),
     }
 
@@ -22,5 +23,6 @@ def llm_queries() -> dict[str, Query]:
 def llm_oracle() -> dict[str, str]:
     return {
         "op1_sharding": sharding.ORACLE_SQL,
+        "op4_minhash_dedup": minhash.ORACLE_SQL,
         "op7_mixing": mixing.ORACLE_SQL,
     }
