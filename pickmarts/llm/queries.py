@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickmarts.llm import minhash, mixing, sharding
+from pickmarts.llm import decontamination, htmltext, langid, minhash, mixing, sharding
 from pickmarts.llm.columns import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +16,12 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_sharding": lambda s, d: sharding.op1_shard(read_table(s, d, "documents")),
         "op4_minhash_dedup": lambda s, d: minhash.near_duplicates(read_table(s, d, "documents")),
+        "op5_language_id": lambda s, d: langid.op5_identify(read_table(s, d, "documents")),
+        "op6_html_text": lambda s, d: htmltext.op6_extract(read_table(s, d, "pages")),
         "op7_mixing": lambda s, d: mixing.op7_mix(read_table(s, d, "documents")),
+        "op10_decontamination": lambda s, d: decontamination.leaks(
+            read_table(s, d, "documents"), read_table(s, d, "benchmark")
+        ),
     }
 
 

@@ -23,6 +23,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Separators for words of letters and digits only: every other ASCII byte.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -139,8 +141,8 @@ def _hash_chunk(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: n
     return mix64(h ^ (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
-def words_of(texts: Texts, lower: bool) -> Words:
-    """Words of every text; ``lower`` folds A-Z before hashing."""
+def words_of(texts: Texts, lower: bool, separators: np.ndarray = _SPACE) -> Words:
+    """Words of every text; ``lower`` folds A-Z before hashing, ``separators`` marks the bytes between words."""
     data, offsets = texts.data, texts.offsets
     n = len(data)
     codes = _CODES[lower]
@@ -154,13 +156,13 @@ def words_of(texts: Texts, lower: bool) -> Words:
             stop = int(border)
             at = begin + CHUNK_BYTES
             while at < border:
-                space = _SPACE[data[at : min(at + 4096, border)]]
+                space = separators[data[at : min(at + 4096, border)]]
                 if space.any():
                     stop = at + int(np.argmax(space)) + 1
                     break
                 at += 4096
         piece = data[begin:stop]
-        space = _SPACE[piece]
+        space = separators[piece]
         lo, hi = np.searchsorted(offsets, [begin, stop])
         inner = offsets[lo:hi] - begin
         inner = inner[(inner > 0) & (inner < len(piece))]
