@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickmarts.llm import decontamination, htmltext, langid, minhash, mixing, sharding, spotsigs
+from pickmarts.llm import decontamination, htmltext, langid, minhash, mixing, ppm, sharding, spotsigs
 from pickmarts.llm.columns import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ def llm_queries() -> dict[str, Query]:
         "op6_html_text": lambda s, d: htmltext.op6_extract(read_table(s, d, "pages")),
         "op7_mixing": lambda s, d: mixing.op7_mix(read_table(s, d, "documents")),
         "op8_spotsigs": lambda s, d: spotsigs.likeness_to_next(read_table(s, d, "documents")),
+        "op9_ppm": lambda s, d: ppm.op9_score(read_table(s, d, "documents")),
         "op10_decontamination": lambda s, d: decontamination.leaks(
             read_table(s, d, "documents"), read_table(s, d, "benchmark")
         ),
