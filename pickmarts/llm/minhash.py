@@ -272,6 +272,12 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     )
 
 
+def without_near_duplicates(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose document stands for its group (smallest id), columns unchanged."""
+    removed = near_duplicates(df).where("not kept").select(F.col("doc_id").alias("__removed")).distinct()
+    return df.join(removed, F.col("doc_id") == F.col("__removed"), "left_anti")
+
+
 # The same rows in DuckDB SQL, from all pairs that share a shingle.
 ORACLE_SQL = """
 WITH RECURSIVE words AS (
