@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickmarts.llm import decontamination, htmltext, langid, minhash, mixing, ppm, sharding, spotsigs, urlfilter
+from pickmarts.llm import decontamination, fmindex, htmltext, langid, minhash, mixing, ppm, sharding, spotsigs, urlfilter
 from pickmarts.llm.columns import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_sharding": lambda s, d: sharding.op1_shard(read_table(s, d, "documents")),
+        "op2_substring_dedup": lambda s, d: fmindex.op2_dedup(read_table(s, d, "documents")),
         "op3_url_filter": lambda s, d: urlfilter.op3_judge(read_table(s, d, "pages")),
         "op4_minhash_dedup": lambda s, d: minhash.near_duplicates(read_table(s, d, "documents")),
         "op5_language_id": lambda s, d: langid.op5_identify(read_table(s, d, "documents")),
@@ -31,6 +32,7 @@ def llm_queries() -> dict[str, Query]:
 def llm_oracle() -> dict[str, str]:
     return {
         "op1_sharding": sharding.ORACLE_SQL,
+        "op2_substring_dedup": fmindex.ORACLE_SQL,
         "op3_url_filter": urlfilter.ORACLE_SQL,
         "op4_minhash_dedup": minhash.ORACLE_SQL,
         "op7_mixing": mixing.ORACLE_SQL,
