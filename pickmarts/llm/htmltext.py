@@ -108,7 +108,9 @@ def _named_bad(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
         if name in ("class", "id") and tag not in ("html", "body", *REGIONS):
+            # "sideBar", "side-bar" and "sidebar" name the same thing
             words = {w.lower() for w in _NAME.findall(value)}
+            words |= {re.sub("[^a-z]", "", w.lower()) for w in value.split()}
             if in_article:
                 words.discard("header")
             if words & BAD_NAMES:
