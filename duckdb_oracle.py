@@ -1,16 +1,17 @@
-"""Independent DuckDB SQL for every registered query (the correctness oracle).
+"""DuckDB SQL for every registered query of the marts (the correctness oracle).
 
-The SQL follows the original job definitions literally (full outer joins,
-self-joins, a cross join for the bin grid), not the Spark plans, so a
-rewrite in the Spark jobs is checked against the plain definition.
+Written from the meaning of each mart, in a shape of its own: no calendar join
+(a pick's calendar day and labels are computed from its date and the calendar's
+bounds), scalar subqueries, conditional aggregates, window statistics and list
+aggregates where the Spark jobs aggregate, join and window differently.
 
 Conventions so both engines agree bit for bit:
 * sums are cast to BIGINT (DuckDB widens them to HUGEINT);
-* means are ``CAST(sum AS DOUBLE) / count`` (as Spark computes ``avg``);
-* rounding is ``floor(x * 10^d + 0.5) / 10^d`` on both sides;
-* every division goes through ``nullif(divisor, 0)`` (NULL, not NaN);
-* z-scores are rounded to 6 digits (the engines' variance algorithms differ
-  in the last bits).
+* means are a DOUBLE sum over a count;
+* rounding is ``floor(x * 10^d + 0.5) / 10^d``;
+* a division by zero is NULL;
+* z-scores are rounded to 6 digits (the engines' variance algorithms differ in
+  the last bits).
 """
 
 from __future__ import annotations
@@ -22,370 +23,240 @@ CALENDAR_END = "2001-06-30"
 BIN_EDGES = (0, 50, 150, 350, 600, 900, 200000)
 BIN_LABELS = ("mini", "small", "medium", "large", "extra_large", "extreme")
 DRILL_DOWNS = ("product_group", "origin", "warehouse_section")
-TOP_N = 10
-
 STAGED = (
-    "product_id",
-    "warehouse_section",
-    "origin",
-    "order_number",
-    "position_in_order",
-    "pick_volume",
-    "quantity_unit",
-    "pick_timestamp",
-    "pick_date",
-)
+    "product_id warehouse_section origin order_number position_in_order pick_volume quantity_unit "
+    "pick_timestamp pick_date"
+).split()
+
+# Calendar labels of a day column.
+LABELS = {
+    "date": "{d}",
+    "year": "CAST(year({d}) AS INTEGER)",
+    "week": "strftime({d}, '%Y_%W')",
+    "month": "strftime({d}, '%Y_%m')",
+    "quarter": "year({d}) || '_Q' || quarter({d})",
+    "year_half": "year({d}) || '_H' || CASE WHEN month({d}) > 6 THEN 2 ELSE 1 END",
+}
 
 
-def _pad(expr: str, width: int) -> str:
-    s = f"CAST({expr} AS VARCHAR)"
-    return f"CASE WHEN length({s}) >= {width} THEN {s} ELSE lpad({s}, {width}, '0') END"
+def _padded(expr: str, width: int) -> str:
+    return f"lpad({expr}::VARCHAR, greatest({width}, length({expr}::VARCHAR))::INTEGER, '0')"
 
 
 def _half_up(expr: str, digits: int) -> str:
-    scale = 10**digits
-    return f"(floor(({expr}) * {scale}.0 + 0.5) / {scale}.0)"
-
-
-def _share(part: str, whole: str) -> str:
-    return f"({_half_up(f'CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)', 4)} * 100.0)"
-
-
-BASE_CTES = f"""
-staged AS (
-    SELECT
-        {_pad('l.l_partkey', 8)} AS product_id,
-        CASE WHEN l.l_returnflag = 'A' THEN 'AKL' WHEN l.l_returnflag = 'N' THEN 'HRL' ELSE 'Manuell' END
-            AS warehouse_section,
-        CAST(CASE WHEN l.l_orderkey % 3 = 0 THEN 46 ELSE 48 END AS INTEGER) AS origin,
-        {_pad('CAST(floor(l.l_orderkey / 8) AS BIGINT)', 8)} AS order_number,
-        {_pad('l.l_linenumber', 4)} AS position_in_order,
-        CAST((CASE WHEN l.l_tax = 0.0 THEN 0
-                   WHEN l.l_tax > 0.075 AND l.l_discount > 0.095 THEN -1
-                   ELSE 1 END)
-             * CAST(trunc(l.l_quantity) AS BIGINT) * (p.p_size % 12 + 1) AS BIGINT) AS pick_volume,
-        'St' AS quantity_unit,
-        CAST(l.l_shipdate AS TIMESTAMP)
-            + to_seconds(CAST((l.l_orderkey * 7919 + l.l_partkey * 3571 + l.l_linenumber * 613) % 86400 AS BIGINT))
-            AS pick_timestamp,
-        CAST(l.l_shipdate AS DATE) AS pick_date
-    FROM lineitem l
-    LEFT JOIN part p ON l.l_partkey = p.p_partkey
-),
-keyed AS (
-    SELECT *, order_number || '_' || CAST(year(pick_timestamp) AS VARCHAR) AS sk_order_id
-    FROM staged
-),
-products AS (
-    SELECT
-        {_pad('p_partkey', 8)} AS product_id,
-        p_name AS description,
-        CASE WHEN p_partkey % 50 = 7 THEN NULL ELSE p_type END AS product_group
-    FROM part
-),
-d_date AS (
-    SELECT
-        CAST(t.d AS DATE) AS date,
-        CAST(year(t.d) AS INTEGER) AS year,
-        strftime(t.d, '%Y_%W') AS week,
-        strftime(t.d, '%Y_%m') AS month,
-        CAST(year(t.d) AS VARCHAR) || '_Q' || CAST(quarter(t.d) AS VARCHAR) AS quarter,
-        CAST(year(t.d) AS VARCHAR) || '_H' || CAST((quarter(t.d) + 1) // 2 AS VARCHAR) AS year_half
-    FROM generate_series(TIMESTAMP '{CALENDAR_START}', TIMESTAMP '{CALENDAR_END}', INTERVAL 1 DAY) AS t(d)
+    return f"(floor(({expr}) * {10**digits}.0 + 0.5) / {10**digits}.0)"
+
+
+def _percent(part: str, whole: str) -> str:
+    return f"({_half_up(f'({part})::DOUBLE / nullif(({whole})::DOUBLE, 0)', 4)} * 100.0)"
+
+
+def _labels(day: str, *names: str) -> str:
+    return ", ".join(f"{LABELS[n].format(d=day)} AS {n}" for n in names)
+
+
+# day: the pick date where the calendar holds it, else NULL.
+PICKS = f"""
+WITH picks AS (
+  SELECT {_padded('l_partkey', 8)} AS product_id,
+    CASE l_returnflag WHEN 'A' THEN 'AKL' WHEN 'N' THEN 'HRL' ELSE 'Manuell' END AS warehouse_section,
+    (CASE l_orderkey % 3 WHEN 0 THEN 46 ELSE 48 END)::INTEGER AS origin,
+    {_padded('(l_orderkey // 8)', 8)} AS order_number,
+    {_padded('l_linenumber', 4)} AS position_in_order,
+    (CASE WHEN l_tax = 0 THEN 0 WHEN l_tax > 0.075 AND l_discount > 0.095 THEN -1 ELSE 1 END
+      * trunc(l_quantity)::BIGINT * (l_partkey % 12 + 1))::BIGINT AS pick_volume,
+    'St' AS quantity_unit,
+    l_shipdate::TIMESTAMP + to_seconds((l_orderkey * 7919 + l_partkey * 3571 + l_linenumber * 613) % 86400) AS pick_timestamp,
+    l_shipdate::DATE AS pick_date,
+    order_number || '_' || year(pick_timestamp) AS sk_order_id,
+    CASE WHEN pick_date BETWEEN DATE '{CALENDAR_START}' AND DATE '{CALENDAR_END}' THEN pick_date END AS day,
+    (SELECT CASE WHEN p_partkey % 50 != 7 THEN p_type END FROM part WHERE p_partkey = l_partkey) AS product_group,
+    (SELECT p_name FROM part WHERE p_partkey = l_partkey) AS description
+  FROM lineitem
 ),
-f AS (
-    SELECT k.*, pr.description, pr.product_group
-    FROM keyed k LEFT JOIN products pr ON k.product_id = pr.product_id
-    WHERE k.pick_volume > 0
-),
-e AS (
-    SELECT k.*, pr.description, pr.product_group
-    FROM keyed k LEFT JOIN products pr ON k.product_id = pr.product_id
-    WHERE k.pick_volume = 0
-)"""
-
-POSITIONED_CTE = """
-positioned AS (
-    SELECT *,
-        CAST(row_number() OVER (
-            PARTITION BY sk_order_id, origin
-            ORDER BY pick_timestamp, position_in_order, product_id, warehouse_section, pick_volume
-        ) AS INTEGER) AS sk_position_in_order
-    FROM keyed
-)"""
-
-CAL = "d.week AS week, d.month AS month, d.quarter AS quarter, d.year_half AS year_half, d.year AS year"
-
+f AS (SELECT * FROM picks WHERE pick_volume > 0),
+days AS (SELECT unnest(generate_series(DATE '{CALENDAR_START}', DATE '{CALENDAR_END}', INTERVAL 1 DAY))::DATE AS day)
+"""
 
-def _with(*ctes: str) -> str:
-    return "WITH " + ",".join([BASE_CTES, POSITIONED_CTE, *ctes])
+POSITION = """count(*) OVER (PARTITION BY sk_order_id, origin
+  ORDER BY pick_timestamp, position_in_order, product_id, warehouse_section, pick_volume
+  ROWS UNBOUNDED PRECEDING)::INTEGER AS sk_position_in_order"""
 
 
-def _g(g: str | None, prefix: str = "") -> tuple[str, str]:
-    """(select item with trailing comma, join/group item) for a drill-down."""
-    if g is None:
-        return "", ""
-    return f"{prefix}{g} AS {g}, ", f"{prefix}{g}"
+def _by(g: str | None, prefix: str = "") -> str:
+    return f", {prefix}{g}" if g else ""
 
 
 def total_pick_volume(g: str | None) -> str:
-    gs, gk = _g(g, "a.")
-    grp = "pick_date" + (f", {g}" if g else "")
-    return _with(
-        f"""
-a AS (SELECT pick_date, {g + ',' if g else ''} sum(pick_volume) AS pick_volume FROM f GROUP BY {grp})"""
-    ) + f"""
-SELECT d.date AS date, {gs} CAST(coalesce(a.pick_volume, 0) AS BIGINT) AS pick_volume, {CAL}
-FROM a LEFT JOIN d_date d ON d.date = a.pick_date"""
+    return PICKS + f"""
+SELECT {_labels('any_value(day)', 'date', 'week', 'month', 'quarter', 'year_half', 'year')}{_by(g)},
+  sum(pick_volume)::BIGINT AS pick_volume
+FROM f GROUP BY pick_date{_by(g)}"""
 
 
 def total_orders_processed(g: str | None) -> str:
-    gs, _ = _g(g, "a.")
-    grp = "pick_date" + (f", {g}" if g else "")
-    return _with(
-        f"""
-a AS (SELECT pick_date, {g + ',' if g else ''} count(DISTINCT sk_order_id) AS order_volume FROM f GROUP BY {grp})"""
-    ) + f"""
-SELECT d.date AS date, {gs} CAST(coalesce(a.order_volume, 0) AS BIGINT) AS order_volume, {CAL}
-FROM d_date d LEFT JOIN a ON d.date = a.pick_date"""
+    empty = f", NULL AS {g}" if g else ""
+    return PICKS + f"""
+, counted AS (
+  SELECT day{_by(g)}, count(*) AS n FROM (SELECT DISTINCT day{_by(g)}, sk_order_id FROM f) WHERE day IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT day{empty}, 0 FROM (FROM days EXCEPT SELECT day FROM f)
+)
+SELECT {_labels('day', 'date', 'week', 'month', 'quarter', 'year_half', 'year')}{_by(g)}, n::BIGINT AS order_volume FROM counted"""
 
 
 def pick_errors(g: str | None) -> str:
-    def counts(src: str, alias: str, name: str) -> str:
-        gsel = f", x.{g} AS {g}" if g else ""
-        ggrp = f", x.{g}" if g else ""
-        return f"""
-{alias} AS (
-    SELECT d.date AS date, d.week AS week, d.month AS month{gsel}, count(*) AS {name}
-    FROM {src} x LEFT JOIN d_date d ON x.pick_date = d.date
-    GROUP BY d.date, d.week, d.month{ggrp})"""
-
-    gsel = f"te.{g} AS {g}, " if g else ""
-    gjoin = f" AND te.{g} = tp.{g}" if g else ""
-    return _with(counts("e", "te", "total_errors"), counts("f", "tp", "total_picks")) + f"""
-SELECT te.date AS date, te.week AS week, te.month AS month, {gsel}
-    CAST(te.total_errors AS BIGINT) AS total_errors, CAST(tp.total_picks AS BIGINT) AS total_picks
-FROM te LEFT JOIN tp
-    ON te.date = tp.date AND te.week = tp.week AND te.month = tp.month{gjoin}"""
-
-
-def top_n_products_weekly(g: str | None) -> str:
-    gsel = f", f.{g} AS {g}" if g else ""
-    ggrp = f", f.{g}" if g else ""
-    gpart = f", {g}" if g else ""
-    gout = f"{g}, " if g else ""
-    return _with(
-        f"""
-tp AS (
-    SELECT d.week AS week, f.product_id AS product_id{gsel}, count(*) AS total_picks
-    FROM f LEFT JOIN d_date d ON f.pick_date = d.date
-    GROUP BY d.week, f.product_id{ggrp}),
-rk AS (
-    SELECT *, row_number() OVER (
-        PARTITION BY week{gpart} ORDER BY total_picks DESC, product_id ASC NULLS LAST) AS rnk
-    FROM tp)"""
-    ) + f"""
-SELECT week, product_id, {gout}CAST(total_picks AS BIGINT) AS total_picks FROM rk WHERE rnk <= {TOP_N}"""
+    same = f" AND f.{g} = e.{g}" if g else ""
+    return PICKS + f"""
+, e AS (SELECT day{_by(g)}, count(*) AS n FROM picks WHERE pick_volume = 0 GROUP BY ALL)
+SELECT {_labels('e.day', 'date', 'week', 'month')}{_by(g, 'e.')}, n::BIGINT AS total_errors,
+  nullif((SELECT count(*) FROM f WHERE f.day = e.day{same}), 0)::BIGINT AS total_picks
+FROM e"""
+
+
+def top_n_products_weekly(g: str | None, n: int = 10) -> str:
+    return PICKS + f"""
+, counts AS (SELECT {_labels('day', 'week')}{_by(g)}, product_id, count(*) AS c FROM f GROUP BY ALL),
+best AS (
+  SELECT week{_by(g)}, list({{'product_id': product_id, 'total_picks': c::BIGINT}} ORDER BY c DESC, product_id)[1:{n}] AS l
+  FROM counts GROUP BY ALL
+)
+SELECT week{_by(g)}, unnest(l, recursive := true) FROM best"""
 
 
 def pick_throughput_hourly() -> str:
-    return _with() + """
-SELECT pick_date, CAST(hour(pick_timestamp) AS INTEGER) AS pick_hour, CAST(sum(pick_volume) AS BIGINT) AS pick_volume
-FROM f GROUP BY pick_date, hour(pick_timestamp)"""
+    return PICKS + """
+, hours AS (SELECT date_trunc('hour', pick_timestamp) AS h, sum(pick_volume) AS v FROM f GROUP BY h)
+SELECT h::DATE AS pick_date, date_part('hour', h)::INTEGER AS pick_hour, v::BIGINT AS pick_volume FROM hours"""
 
 
 def pick_throughput_weekly(g: str | None) -> str:
-    gsel = f", {g}" if g else ""
-    hsel = f"h.{g} AS {g}, " if g else ""
-    hgrp = f", h.{g}" if g else ""
-    avg = "CAST(sum(h.pick_volume) AS DOUBLE) / count(h.pick_volume)"
-    return _with(
-        f"""
-h AS (
-    SELECT pick_date, hour(pick_timestamp) AS pick_hour{gsel}, CAST(sum(pick_volume) AS BIGINT) AS pick_volume
-    FROM f GROUP BY pick_date, hour(pick_timestamp){gsel})"""
-    ) + f"""
-SELECT d.week AS week, {hsel}{_half_up(avg, 2)} AS weekly_pick_throughput_avg
-FROM h LEFT JOIN d_date d ON h.pick_date = d.date
-GROUP BY d.week{hgrp}"""
+    # the mean of hourly sums is the whole volume over the number of hours with picks
+    mean = "sum(pick_volume)::DOUBLE / count(DISTINCT date_trunc('hour', pick_timestamp))"
+    return PICKS + f"""
+SELECT {_labels('day', 'week')}{_by(g)}, {_half_up(mean, 2)} AS weekly_pick_throughput_avg FROM f GROUP BY 1{_by(g)}"""
 
 
 def order_mix() -> str:
-    return _with(
-        """
-ps AS (SELECT sk_order_id, warehouse_section, sum(pick_volume) AS s FROM f GROUP BY sk_order_id, warehouse_section),
-po AS (SELECT sk_order_id, min(pick_date) AS order_date, sum(pick_volume) AS s FROM f GROUP BY sk_order_id)"""
-    ) + f"""
-SELECT po.order_date AS order_date, ps.sk_order_id AS sk_order_id, ps.warehouse_section AS warehouse_section,
-    {_share('ps.s', 'po.s')} AS section_pick_percentage
-FROM ps LEFT JOIN po ON ps.sk_order_id = po.sk_order_id"""
+    return PICKS + f"""
+, cells AS (SELECT DISTINCT sk_order_id, warehouse_section FROM f)
+SELECT sk_order_id, warehouse_section,
+  (SELECT min(pick_date) FROM f WHERE f.sk_order_id = cells.sk_order_id) AS order_date,
+  {_percent(
+      "SELECT sum(pick_volume) FROM f WHERE f.sk_order_id = cells.sk_order_id AND f.warehouse_section = cells.warehouse_section",
+      "SELECT sum(pick_volume) FROM f WHERE f.sk_order_id = cells.sk_order_id",
+  )} AS section_pick_percentage
+FROM cells"""
 
 
 def avg_products_picked_per_order() -> str:
-    return _with(
-        """
-o AS (
-    SELECT sk_order_id, min(pick_date) AS order_date, count(DISTINCT product_id) AS c
-    FROM f GROUP BY sk_order_id)"""
-    ) + """
-SELECT d.week AS week, CAST(sum(o.c) AS DOUBLE) / count(o.c) AS avg_products_picked_per_order
-FROM o LEFT JOIN d_date d ON o.order_date = d.date
-GROUP BY d.week"""
+    return PICKS + f"""
+, firsts AS (SELECT sk_order_id, min(pick_date) AS low FROM f GROUP BY 1),
+placed AS (
+  SELECT DISTINCT sk_order_id, product_id,
+    (SELECT CASE WHEN low BETWEEN DATE '{CALENDAR_START}' AND DATE '{CALENDAR_END}' THEN low END
+     FROM firsts WHERE firsts.sk_order_id = f.sk_order_id) AS first_day
+  FROM f
+)
+SELECT {_labels('first_day', 'week')}, count(*)::DOUBLE / count(DISTINCT sk_order_id) AS avg_products_picked_per_order
+FROM placed GROUP BY 1"""
 
 
 def order_count_by_type() -> str:
-    def side(origin: int) -> str:
-        return f"""
-c{origin} AS (
-    SELECT d.week AS week, count(DISTINCT f.sk_order_id) AS v
-    FROM f LEFT JOIN d_date d ON f.pick_date = d.date
-    WHERE f.origin = {origin}
-    GROUP BY d.week)"""
-
-    ratio = lambda num, den: (
-        f"CASE WHEN {den} > 0 THEN {_half_up(f'CAST({num} AS DOUBLE) / nullif(CAST({den} AS DOUBLE), 0)', 2)}"
-        " ELSE 0.0 END"
-    )
-    return _with(
-        side(48),
-        side(46),
-        f"""
-a AS (
-    SELECT
-        coalesce(c48.week, c46.week) AS week,
-        coalesce(c48.v, 0) AS order_volume_48,
-        coalesce(c46.v, 0) AS order_volume_46,
-        c48.v + c46.v AS total_order_volume,
-        {_share('c48.v', 'c48.v + c46.v')} AS order_percentage_48,
-        {_share('c46.v', 'c48.v + c46.v')} AS order_percentage_46
-    FROM c48 FULL OUTER JOIN c46 ON c48.week = c46.week)""",
-    ) + f"""
-SELECT week,
-    CAST(order_volume_48 AS BIGINT) AS order_volume_48,
-    CAST(order_volume_46 AS BIGINT) AS order_volume_46,
-    CAST(total_order_volume AS BIGINT) AS total_order_volume,
-    order_percentage_48, order_percentage_46,
-    {ratio('order_volume_46', 'order_volume_48')} AS ratio_46_48,
-    {ratio('order_volume_48', 'order_volume_46')} AS ratio_48_46
-FROM a"""
+    a, b = "coalesce(v48, 0)", "coalesce(v46, 0)"
+    ratio = "CASE WHEN {1} > 0 THEN {2} ELSE 0.0 END"
+    return PICKS + f"""
+, weeks AS (
+  SELECT {_labels('day', 'week')},
+    nullif(count(DISTINCT sk_order_id) FILTER (origin = 48), 0) AS v48,
+    nullif(count(DISTINCT sk_order_id) FILTER (origin = 46), 0) AS v46
+  FROM f GROUP BY 1
+),
+-- days outside the calendar have no week in common: one row for each origin
+rows_ AS (
+  SELECT week, v48, v46 FROM weeks WHERE week IS NOT NULL
+  UNION ALL SELECT NULL, v48, NULL FROM weeks WHERE week IS NULL AND v48 > 0
+  UNION ALL SELECT NULL, NULL, v46 FROM weeks WHERE week IS NULL AND v46 > 0
+)
+SELECT week, {a}::BIGINT AS order_volume_48, {b}::BIGINT AS order_volume_46, (v48 + v46)::BIGINT AS total_order_volume,
+  {_percent('v48', 'v48 + v46')} AS order_percentage_48, {_percent('v46', 'v48 + v46')} AS order_percentage_46,
+  {ratio.format(b, a, _half_up(f'{b}::DOUBLE / {a}', 2))} AS ratio_46_48,
+  {ratio.format(a, b, _half_up(f'{a}::DOUBLE / {b}', 2))} AS ratio_48_46
+FROM rows_"""
 
 
 def warehouse_utilization_per_section() -> str:
-    return _with(
-        """
-sa AS (
-    SELECT d.week AS week, f.warehouse_section AS warehouse_section, sum(f.pick_volume) AS v
-    FROM f LEFT JOIN d_date d ON f.pick_date = d.date
-    GROUP BY d.week, f.warehouse_section),
-ta AS (
-    SELECT d.week AS week, sum(f.pick_volume) AS v
-    FROM f LEFT JOIN d_date d ON f.pick_date = d.date
-    GROUP BY d.week)"""
-    ) + f"""
-SELECT ta.week AS week, sa.warehouse_section AS warehouse_section,
-    {_share('coalesce(sa.v, 0)', 'ta.v')} AS section_utilization
-FROM ta LEFT JOIN sa ON ta.week = sa.week"""
+    return PICKS + f"""
+, volumes AS (SELECT {_labels('day', 'week')}, warehouse_section, sum(pick_volume) AS v FROM f WHERE day IS NOT NULL GROUP BY ALL)
+SELECT week, warehouse_section,
+  {_percent('v', 'SELECT sum(o.v) FROM volumes o WHERE o.week = volumes.week')} AS section_utilization FROM volumes
+UNION ALL
+SELECT DISTINCT NULL, NULL, 0.0::DOUBLE FROM f WHERE day IS NULL"""
 
 
 def binned_order_volume() -> str:
-    cases = " ".join(
-        f"WHEN v > {lo} AND v <= {hi} THEN '{lab}'" for lo, hi, lab in zip(BIN_EDGES[:-1], BIN_EDGES[1:], BIN_LABELS)
+    bins = ", ".join(
+        f"{{'lo': {lo}, 'hi': {hi}, 'bins': '{name}'}}" for lo, hi, name in zip(BIN_EDGES, BIN_EDGES[1:], BIN_LABELS)
     )
-    values = ", ".join(f"('{lab}')" for lab in BIN_LABELS)
-    return _with(
-        f"""
-ro AS (SELECT pick_date, sk_order_id, sum(pick_volume) AS v FROM f GROUP BY pick_date, sk_order_id),
-rb AS (SELECT pick_date, CASE {cases} END AS bins FROM ro),
-agg AS (SELECT pick_date, bins, count(1) AS order_volume FROM rb GROUP BY pick_date, bins),
-labels AS (SELECT * FROM (VALUES {values}) AS t(bins))"""
-    ) + """
-SELECT d.date AS date, l.bins AS bins, CAST(coalesce(agg.order_volume, 0) AS BIGINT) AS order_volume,
-    d.week AS week, d.month AS month, d.quarter AS quarter, d.year_half AS year_half
-FROM d_date d
-CROSS JOIN labels l
-LEFT JOIN agg ON d.date = agg.pick_date AND l.bins = agg.bins"""
-
-
-def _zscores(where: str = "", period: str = "week") -> str:
-    z = "(o.pick_volume - s.m) / nullif(s.sd, 0)"
-    return _with(
-        f"""
-o AS (
-    SELECT f.sk_order_id AS sk_order_id, d.{period} AS {period}, CAST(sum(f.pick_volume) AS BIGINT) AS pick_volume
-    FROM f LEFT JOIN d_date d ON f.pick_date = d.date
-    GROUP BY f.sk_order_id, d.{period}),
-s AS (
-    SELECT {period},
-        coalesce(CAST(sum(pick_volume) AS DOUBLE) / nullif(count(pick_volume), 0), 0.0) AS m,
-        coalesce(stddev_samp(pick_volume), 1.0) AS sd
-    FROM o GROUP BY {period})"""
-    ) + f"""
-SELECT o.sk_order_id AS sk_order_id, o.{period} AS {period}, o.pick_volume AS pick_volume,
-    {_half_up(z, 6)} AS zscore
-FROM o LEFT JOIN s ON o.{period} = s.{period}
-{where.format(z=z)}"""
-
-
-def weekly_zscore_distribution() -> str:
-    return _zscores()
-
-
-def zscore_outliers() -> str:
-    return _zscores("WHERE abs({z}) > 3")
-
-
-def _fact_select(src: str, where: str, returns: bool = False) -> str:
-    if returns:
-        cols = (
-            "product_id, warehouse_section, origin, order_number, position_in_order, "
-            "-pick_volume AS return_volume, quantity_unit, pick_timestamp AS return_timestamp, "
-            "pick_date AS return_date, sk_order_id, sk_position_in_order"
-        )
-    else:
-        cols = ", ".join(STAGED) + ", sk_order_id, sk_position_in_order"
-    return f"SELECT {cols} FROM {src} WHERE {where}"
-
-
-def _enriched(where: str) -> str:
-    cols = ", ".join(f"x.{c}" for c in STAGED) + ", x.sk_order_id, x.sk_position_in_order"
-    return _with() + f"""
-SELECT {cols}, pr.description AS description, pr.product_group AS product_group
-FROM positioned x LEFT JOIN products pr ON x.product_id = pr.product_id
-WHERE {where}"""
+    return PICKS + f"""
+, orders AS (SELECT day, sum(pick_volume) AS v FROM f GROUP BY day, pick_date, sk_order_id),
+grid AS (SELECT day, unnest([{bins}], recursive := true) FROM days)
+SELECT {_labels('grid.day', 'date', 'week', 'month', 'quarter', 'year_half')}, bins,
+  (SELECT count(*) FROM orders WHERE orders.day = grid.day AND v > lo AND v <= hi)::BIGINT AS order_volume
+FROM grid"""
+
+
+def zscores(period: str = "week", outliers: bool = False) -> str:
+    mean = "(sum(v) OVER p)::DOUBLE / count(*) OVER p"
+    z = f"(v - {mean}) / nullif(coalesce(stddev_samp(v) OVER p, 1.0), 0)"
+    return PICKS + f"""
+, orders AS (SELECT sk_order_id, {_labels('day', period)}, sum(pick_volume)::BIGINT AS v FROM f GROUP BY ALL),
+scored AS (SELECT sk_order_id, {period}, v, CASE WHEN {period} IS NOT NULL THEN {z} END AS z FROM orders WINDOW p AS (PARTITION BY {period}))
+SELECT sk_order_id, {period}, v AS pick_volume, {_half_up('z', 6)} AS zscore
+FROM scored {'WHERE abs(z) > 3' if outliers else ''}"""
+
+
+def _picks(where: str = "true", extra: str = "", **renamed: str) -> str:
+    columns = ", ".join(renamed.get(c, c) for c in STAGED)
+    return PICKS + f""", placed AS (SELECT *, {POSITION} FROM picks)
+SELECT {columns}, sk_order_id, sk_position_in_order{extra} FROM placed WHERE {where}"""
 
 
 def oracle_queries() -> dict[str, str]:
+    attributes = ", description, product_group"
     q: dict[str, str] = {
-        "staged_pick_data": _with() + f"\nSELECT {', '.join(STAGED)} FROM staged",
-        "d_product_details": _with() + "\nSELECT product_id, description, product_group FROM products",
-        "sk_order_id": _with() + f"\nSELECT {', '.join(STAGED)}, sk_order_id FROM keyed",
-        "sk_position_in_order": _with() + "\n" + _fact_select("positioned", "true"),
-        "f_pick_errors": _with() + "\n" + _fact_select("positioned", "pick_volume = 0"),
-        "f_returns": _with() + "\n" + _fact_select("positioned", "pick_volume < 0", returns=True),
-        "f_order_picks": _with() + "\n" + _fact_select("positioned", "pick_volume > 0"),
-        "enrich_order_picks": _enriched("x.pick_volume > 0"),
-        "enrich_pick_errors": _enriched("x.pick_volume = 0"),
+        "staged_pick_data": PICKS + f"SELECT {', '.join(STAGED)} FROM picks",
+        "d_product_details": f"""SELECT {_padded('p_partkey', 8)} AS product_id, p_name AS description,
+          CASE WHEN p_partkey % 50 != 7 THEN p_type END AS product_group FROM part""",
+        "sk_order_id": PICKS + f"SELECT {', '.join(STAGED)}, sk_order_id FROM picks",
+        "sk_position_in_order": _picks(),
+        "f_pick_errors": _picks("pick_volume = 0"),
+        "f_returns": _picks(
+            "pick_volume < 0",
+            pick_volume="abs(pick_volume) AS return_volume",
+            pick_timestamp="pick_timestamp AS return_timestamp",
+            pick_date="pick_date AS return_date",
+        ),
+        "f_order_picks": _picks("pick_volume > 0"),
+        "enrich_order_picks": _picks("pick_volume > 0", attributes),
+        "enrich_pick_errors": _picks("pick_volume = 0", attributes),
+        "pick_throughput_hourly": pick_throughput_hourly(),
+        "order_mix": order_mix(),
+        "avg_products_picked_per_order": avg_products_picked_per_order(),
+        "order_count_by_type": order_count_by_type(),
+        "warehouse_utilization_per_section": warehouse_utilization_per_section(),
+        "binned_order_volume": binned_order_volume(),
+        "weekly_zscore_distribution": zscores(),
+        "zscore_outliers": zscores(outliers=True),
+        "top_3_products_weekly": top_n_products_weekly(None, 3),
     }
     for g in (None, *DRILL_DOWNS):
-        sfx = f"_{g}" if g else ""
-        q[f"total_pick_volume{sfx}"] = total_pick_volume(g)
-        q[f"total_orders_processed{sfx}"] = total_orders_processed(g)
-        q[f"pick_errors{sfx}"] = pick_errors(g)
-        q[f"top_n_products_weekly{sfx}"] = top_n_products_weekly(g)
-        q[f"pick_throughput_weekly{sfx}"] = pick_throughput_weekly(g)
-    q.update(
-        {
-            "pick_throughput_hourly": pick_throughput_hourly(),
-            "order_mix": order_mix(),
-            "avg_products_picked_per_order": avg_products_picked_per_order(),
-            "order_count_by_type": order_count_by_type(),
-            "warehouse_utilization_per_section": warehouse_utilization_per_section(),
-            "binned_order_volume": binned_order_volume(),
-            "weekly_zscore_distribution": weekly_zscore_distribution(),
-            "zscore_outliers": zscore_outliers(),
-            "zscore_distribution_month": _zscores(period="month"),
-            "zscore_distribution_year": _zscores(period="year"),
-            "zscore_distribution_date": _zscores(period="date"),
-        }
-    )
+        name = f"_{g}" if g else ""
+        q[f"total_pick_volume{name}"] = total_pick_volume(g)
+        q[f"total_orders_processed{name}"] = total_orders_processed(g)
+        q[f"pick_errors{name}"] = pick_errors(g)
+        q[f"top_n_products_weekly{name}"] = top_n_products_weekly(g)
+        q[f"pick_throughput_weekly{name}"] = pick_throughput_weekly(g)
+    for period in ("month", "year", "date", "quarter", "year_half"):
+        q[f"zscore_distribution_{period}"] = zscores(period)
     return q

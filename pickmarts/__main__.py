@@ -34,10 +34,12 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
         p.add_argument(f"--{key.replace('_', '-')}", help=f"raw file or folder (default <raw-dir>/{name})")
     p.add_argument("--start", default=DEFAULT_START, help="first calendar day")
     p.add_argument("--end", default=DEFAULT_END, help="last calendar day")
-    p.add_argument("--no-multiline", action="store_true", help="raw CSV has no quoted newlines: split big files")
+    p.add_argument("--multiline", action="store_true", help="pick data holds quoted newlines (files are then not split)")
     p.add_argument("--marts", nargs="*", choices=sorted(MARTS), help="only these marts")
     p.add_argument("--sort-output", action="store_true", help="write marts sorted as the original reports")
     p.add_argument("--parallelism", type=int, default=4, help="marts written at a time")
+    p.add_argument("--buckets", type=int, default=full_run.DEFAULT_BUCKETS, help="buckets of the order-level mart input")
+    p.add_argument("--bucket-table", default=full_run.BUCKET_TABLE, help="catalog table used for it while marts run")
     p.add_argument("--master", help="Spark master (default: from the launcher)")
     return p.parse_args(argv)
 
@@ -61,13 +63,18 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="[%(asctime)s] %(levelname)s [%(name)s]: %(message)s")
     spark = build_session(args.master)
     if args.step in ("staging", "all"):
-        full_run.run_staging(spark, raw_files(args), args.base, multiline=not args.no_multiline)
+        full_run.run_staging(spark, raw_files(args), args.base, multiline=args.multiline)
     if args.step in ("curation", "all"):
         full_run.run_curation(spark, args.base, args.start, args.end)
     if args.step in ("marts", "all"):
-        full_run.run_enrichment(spark, args.base)
         full_run.run_marts(
-            spark, args.base, names=args.marts, sort_output=args.sort_output, parallelism=args.parallelism
+            spark,
+            args.base,
+            names=args.marts,
+            sort_output=args.sort_output,
+            parallelism=args.parallelism,
+            bucket_table=args.bucket_table,
+            buckets=args.buckets,
         )
     return 0
 

@@ -4,8 +4,8 @@ Columns: date, year, week (``YYYY_WW``, Monday-first, week 00 before the first
 Monday), month (``YYYY_MM``), quarter (``YYYY_Qn``), year_half (``YYYY_Hn``).
 
 The table is generated with ``spark.range`` (no driver-side list, no giant
-array) and its row count is known from the arguments alone. That count is the
-proven size bound that lets the marts broadcast it.
+array). Marts look it up after their first aggregation and leave the join
+strategy to the optimizer, so a calendar of any length will do.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pickmarts.functions.calendar import month_label_sql, quarter_label_sql, week_label_sql, year_half_label_sql
 
@@ -21,9 +20,6 @@ from pickmarts.functions.calendar import month_label_sql, quarter_label_sql, wee
 DEFAULT_START = "2011-06-01"
 DEFAULT_END = "2020-07-15"
 
-# A calendar is broadcast to every task; refuse absurd ranges (about 275 years).
-MAX_CALENDAR_DAYS = 100_000
-
 
 def calendar_days(start: str, end: str) -> int:
     """Number of rows of ``create_d_date(start, end)``."""
@@ -33,8 +29,6 @@ def calendar_days(start: str, end: str) -> int:
 
 def create_d_date(spark: SparkSession, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     n = calendar_days(start, end)
-    if n > MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {n} days exceeds {MAX_CALENDAR_DAYS}")
     first = dt.date.fromisoformat(start).isoformat()  # normalised: safe as a SQL literal
     return (
         spark.range(0, n, 1, numPartitions=1)
@@ -49,12 +43,3 @@ def create_d_date(spark: SparkSession, start: str = DEFAULT_START, end: str = DE
         )
     )
 
-
-def broadcast_calendar(d_date: DataFrame, *cols: str) -> DataFrame:
-    """Calendar columns for a map-side join.
-
-    A calendar holds one row per day of its range (bounded by
-    ``MAX_CALENDAR_DAYS`` when built here), so broadcasting it is safe at
-    any fact size.
-    """
-    return F.broadcast(d_date.select("date", *cols))

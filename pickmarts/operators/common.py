@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.operators.calendar_dim import broadcast_calendar
-
 # The drill-down dimensions of every mart family.
 DRILL_DOWNS = ("product_group", "origin", "warehouse_section")
 
@@ -33,10 +31,10 @@ def with_calendar(df: DataFrame, d_date: DataFrame, on: str, *cols: str) -> Data
     """``df`` left-joined to the calendar on ``df[on] = d_date.date``.
 
     The calendar ``date`` column comes along as ``date`` (NULL when the day is
-    outside the calendar). The calendar is broadcast: it is bounded by its
-    date range, never by the fact size, so the join stays map-side.
+    outside the calendar). Additive marts call it on their daily aggregate, not
+    on the facts; the optimizer picks the join by measured size.
     """
-    cal = broadcast_calendar(d_date, *cols)
+    cal = d_date.select("date", *cols)
     return df.join(cal, df[on] == cal["date"], "left")
 
 

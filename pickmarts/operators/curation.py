@@ -13,7 +13,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.operators.positions import DEFAULT_MAX_GROUP_ROWS, running_position
+from pickmarts.operators.positions import BUCKET_UNIT, running_position
 from pickmarts.schemas import ENRICHED_FACT_COLUMNS, FACT_COLUMNS, STAGED_PICK_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -25,6 +25,9 @@ POSITION_GROUP = ("sk_order_id", "origin")
 
 PRODUCT_ATTRIBUTES = ("description", "product_group")
 
+# The intended column names of returns.
+RETURN_NAMES = {"pick_volume": "return_volume", "pick_timestamp": "return_timestamp", "pick_date": "return_date"}
+
 
 def with_order_key(staged: DataFrame) -> DataFrame:
     """``sk_order_id = order_number || '_' || year(pick_timestamp)``.
@@ -36,32 +39,26 @@ def with_order_key(staged: DataFrame) -> DataFrame:
     return staged.select(*STAGED_PICK_COLUMNS, key.alias("sk_order_id"))
 
 
-def with_position_key(
-    keyed: DataFrame, slices: int | None = None, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS
-) -> DataFrame:
+def with_position_key(keyed: DataFrame, bucket_unit: str = BUCKET_UNIT) -> DataFrame:
     """1-based position inside (sk_order_id, origin) by pick time.
 
-    Orders with more than ``max_group_rows`` picks are split over several
-    tasks (see ``pickmarts.operators.positions``).
+    An order is numbered one time bucket at a time, so an order of any size
+    spreads over tasks (see ``pickmarts.operators.positions``). Picks without a
+    timestamp have a NULL position.
     """
     return running_position(
-        keyed, list(POSITION_GROUP), list(POSITION_ORDER), "sk_position_in_order", slices, max_group_rows
+        keyed, list(POSITION_GROUP), list(POSITION_ORDER), "sk_position_in_order", bucket_unit
     ).select(*FACT_COLUMNS)
 
 
-def curate_pick_data(
-    staged: DataFrame,
-    with_positions: bool = True,
-    slices: int | None = None,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-) -> DataFrame:
+def curate_pick_data(staged: DataFrame, with_positions: bool = True, bucket_unit: str = BUCKET_UNIT) -> DataFrame:
     """C2 + C3: staged picks with both surrogate keys (all signs).
 
     ``with_positions=False`` leaves out the position key; no mart reads it,
     and it is the only costly step of curation.
     """
     keyed = with_order_key(staged)
-    return with_position_key(keyed, slices, max_group_rows) if with_positions else keyed
+    return with_position_key(keyed, bucket_unit) if with_positions else keyed
 
 
 def pick_errors_fact(keyed: DataFrame) -> DataFrame:
@@ -79,9 +76,7 @@ def returns_fact(keyed: DataFrame, legacy_names: bool = False) -> DataFrame:
     out = keyed.filter(F.col("pick_volume") < F.lit(0)).withColumn("pick_volume", -F.col("pick_volume"))
     if legacy_names:
         return out
-    return out.withColumnsRenamed(
-        {"pick_volume": "return_volume", "pick_timestamp": "return_timestamp", "pick_date": "return_date"}
-    )
+    return out.withColumnsRenamed(RETURN_NAMES)
 
 
 def order_picks_fact(keyed: DataFrame) -> DataFrame:
@@ -104,6 +99,14 @@ def duplicate_products(d_product: DataFrame) -> DataFrame:
     return d_product.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def unique_products(d_product: DataFrame) -> DataFrame:
+    """The product list, failing while it is read if a product id is listed twice (a NULL id never joins)."""
+    one = d_product.where("product_id is not null").groupBy("product_id")
+    one = one.agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in PRODUCT_ATTRIBUTES])
+    twice = F.raise_error(F.concat(F.lit("product listed more than once: "), F.col("product_id")))
+    return one.select(F.when(F.col("_n") > 1, twice).otherwise(F.col("product_id")).alias("product_id"), *PRODUCT_ATTRIBUTES)
+
+
 def enrich(fact: DataFrame, d_product: DataFrame) -> DataFrame:
     """Add description and product_group by product_id.
 

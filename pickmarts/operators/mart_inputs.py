@@ -36,30 +36,43 @@ from pyspark.sql import functions as F
 from pickmarts.operators.common import DRILL_DOWNS, ROWS
 
 _G = list(DRILL_DOWNS)
+_OWN = [g for g in _G if g != "product_group"]
 
 
-def hourly_volume(f_order_picks: DataFrame) -> DataFrame:
+def _by_group(per_product: DataFrame, products: DataFrame, keys: list[str], *sums: str) -> DataFrame:
+    """Sums per product added up per product group; the lookup meets the aggregate, not the facts."""
+    groups = products.select("product_id", "product_group")
+    joined = per_product.join(groups, "product_id", "left")
+    return joined.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def hourly_volume(f_order_picks: DataFrame, products: DataFrame) -> DataFrame:
     # The hour is rebuilt from the naive timestamp's parts: no session time
     # zone (and no daylight-saving gap) can move a pick to another hour.
     ts = F.col("pick_timestamp")
     hour = F.make_timestamp_ntz(
         F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0)
     ).alias("pick_timestamp")
-    return f_order_picks.groupBy("pick_date", hour, *_G).agg(
+    per_product = f_order_picks.groupBy("pick_date", hour, *_OWN, "product_id").agg(
         F.sum("pick_volume").alias("pick_volume"), F.count(F.lit(1)).alias(ROWS)
     )
+    return _by_group(per_product, products, ["pick_date", "pick_timestamp", *_G], "pick_volume", ROWS)
 
 
-def product_counts(f_order_picks: DataFrame) -> DataFrame:
-    return f_order_picks.groupBy("pick_date", "product_id", *_G).agg(F.count(F.lit(1)).alias(ROWS))
+def product_counts(f_order_picks: DataFrame, products: DataFrame) -> DataFrame:
+    per_product = f_order_picks.groupBy("pick_date", "product_id", *_OWN).agg(F.count(F.lit(1)).alias(ROWS))
+    return per_product.join(products.select("product_id", "product_group"), "product_id", "left")
 
 
-def error_counts(f_pick_errors: DataFrame) -> DataFrame:
-    return f_pick_errors.groupBy("pick_date", *_G).agg(F.count(F.lit(1)).alias(ROWS))
+def error_counts(f_pick_errors: DataFrame, products: DataFrame) -> DataFrame:
+    per_product = f_pick_errors.groupBy("pick_date", *_OWN, "product_id").agg(F.count(F.lit(1)).alias(ROWS))
+    return _by_group(per_product, products, ["pick_date", *_G], ROWS)
 
 
-def order_days(f_order_picks: DataFrame) -> DataFrame:
-    return f_order_picks.groupBy("pick_date", "sk_order_id", *_G).agg(F.sum("pick_volume").alias("pick_volume"))
+def order_days(f_order_picks: DataFrame, products: DataFrame) -> DataFrame:
+    # grouped by product group and order: the lookup has to come first
+    enriched = f_order_picks.join(products.select("product_id", "product_group"), "product_id", "left")
+    return enriched.groupBy("pick_date", "sk_order_id", *_G).agg(F.sum("pick_volume").alias("pick_volume"))
 
 
 BUILDERS = {

@@ -1,157 +1,83 @@
 """Running position inside a group, safe for groups of any size.
 
 ``row_number() over (partition by k order by o)`` sends each group to one
-task. That is fine for ordinary groups, but a group holding a large share of
-all rows (a huge order, or every row with a NULL order number) would be
-sorted by one task alone. This operator splits the work:
-
-* Group sizes come from an aggregate (combined map-side). Groups with at most
-  ``max_group_rows`` rows take the plain window: one shuffle, every task
-  bounded by that size.
-* Rows of larger ("hot") groups are numbered like a distributed sort:
-  ``repartitionByRange`` on (k, o) cuts them into ranges of similar size, so a
-  hot group spans several ranges, and each range is sorted inside its task;
-  a row's number inside its (group, range) slice follows from its index in
-  the sorted range; then each slice is shifted by the number of rows of its
-  group in earlier ranges (a small table: one row per slice, broadcast while
-  the counted hot-group list is within ``MAX_BROADCAST_HOT_KEYS``).
-  Every task holds one range, never a whole hot group.
-
-Range bounds come from sampling, and a re-evaluated plan may sample again.
-The sorted ranges are therefore pinned with a reliable ``checkpoint``
-(written under ``spark.checkpoint.dir``) before the slice counts are taken, so
-the indexes and the offsets always refer to the same slices, also after a
-lost executor.
-
-The result equals the plain window for any data. Keys compare NULL-safely,
-so NULL keys form one group, as in ``partitionBy``. Rows equal in every
-ordering column may trade numbers between runs, as with ``row_number``; a
-recomputed range can reorder only such rows, and the first index and row
-count of every slice stay the same, so the numbering stays dense and unique.
+task. A group holding a large share of all rows (a huge order, or every row
+without an order number) would be sorted by one task alone. The order starts
+with a timestamp, so the work splits by time without changing the result:
+
+* rows are numbered inside (k, time bucket), the bucket being the timestamp
+  truncated to ``bucket_unit`` (a fixed parameter, never derived from the data);
+* a bucket's rows come after all rows of the group's earlier buckets, whose
+  number is a running sum over per-bucket counts. The counts are an aggregate
+  (combined map-side) with one narrow row per group and bucket.
+
+There is one code path for every size, it is lazy (no job runs while the
+DataFrame is built) and deterministic, so a lost executor recomputes the same
+numbers. Group keys are carried as (value, is-null) pairs without NULLs inside
+the plan: the window and the join then need the same partitioning, and the rows
+are shuffled once.
+
+Rows without a timestamp have no place in the order: their position is NULL.
+Rows equal in every ordering column may trade numbers between runs, as with
+``row_number``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pickmarts.session import checkpoint_dir
-
-# Groups up to this many rows are numbered by one task each.
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-
-# The hot-key list is broadcast when it has at most this many keys (tens of
-# MB); a longer list is joined by shuffle, where AQE splits skewed partitions.
-MAX_BROADCAST_HOT_KEYS = 200_000
-
-_SLICE = "_pm_slice"
-_LOCAL = "_pm_local"
-_COUNT = "_pm_count"
-_OFFSET = "_pm_offset"
-
-
-def _as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _same_keys(keys: list[str], other: list[str]) -> Column:
-    return reduce(and_, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, other)])
-
+# Groups are numbered an hour at a time.
+BUCKET_UNIT = "hour"
 
-def hot_groups(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame:
-    """Keys of groups with more than ``max_group_rows`` rows.
-
-    At most (rows / max_group_rows) of them exist.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(_COUNT))
-        .filter(F.col(_COUNT) > F.lit(int(max_group_rows)))
-        .select(*keys)
-    )
+_BUCKET = "_pm_bucket"
+_INSIDE = "_pm_inside"
+_BEFORE = "_pm_before"
 
 
-def _number_hot(
-    rows: DataFrame,
-    keys: list[str],
-    order_cols: list[Column],
-    out_col: str,
-    slices: int,
-    small_offsets: bool,
-) -> DataFrame:
-    checkpoint_dir(rows.sparkSession)
-    key_cols = [F.col(k) for k in keys]
-    # One range shuffle: each range partition holds its slice of every hot
-    # group, sorted. Inside a partition ``monotonically_increasing_id`` then
-    # counts rows in that order, so no second shuffle (no window) is needed.
-    ranged = (
-        rows.repartitionByRange(slices, *key_cols, *order_cols)
-        .sortWithinPartitions(*key_cols, *order_cols)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .withColumn(_LOCAL, F.monotonically_increasing_id())
-        .checkpoint(eager=False)
-    )
-    # One row per (group, slice): at most hot groups + slices rows.
-    per_slice = ranged.groupBy(*keys, _SLICE).agg(
-        F.count(F.lit(1)).alias(_COUNT), F.min(_LOCAL).alias("_pm_first")
-    )
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    off_keys = [f"_pm_o{i}" for i in range(len(keys))]
-    offsets = per_slice.select(
-        *[F.col(k).alias(o) for k, o in zip(keys, off_keys)],
-        F.col(_SLICE).alias("_pm_oslice"),
-        "_pm_first",
-        F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_OFFSET),
-    )
-    on = _same_keys(keys, off_keys) & (F.col(_SLICE) == F.col("_pm_oslice"))
-    # The offsets have one row per (hot group, range): broadcast while the
-    # counted hot-group list is within the broadcast limit.
-    out = ranged.join(F.broadcast(offsets) if small_offsets else offsets, on, "inner")
-    pos = (F.col(_LOCAL) - F.col("_pm_first") + F.lit(1) + F.col(_OFFSET)).cast("int")
-    return out.select(*[F.col(c) for c in rows.columns], pos.alias(out_col))
+def _null_free(df: DataFrame, keys: list[str]) -> tuple[list[Column], list[str]]:
+    """Every key as a value without NULLs and a flag, and their names."""
+    cols, names = [], []
+    for i, k in enumerate(keys):
+        # any value will do where the flag says NULL
+        empty = F.lit("").cast(df.schema[k].dataType) if df.schema[k].dataType.typeName() == "string" else F.lit(0)
+        cols += [
+            F.coalesce(F.col(k), empty.cast(df.schema[k].dataType)).alias(f"_pm_k{i}"),
+            F.col(k).isNull().alias(f"_pm_n{i}"),
+        ]
+        names += [f"_pm_k{i}", f"_pm_n{i}"]
+    return cols, names
 
 
 def running_position(
     df: DataFrame,
     keys: list[str],
-    order: list[Column | str],
+    order: list[str],
     out_col: str,
-    slices: int | None = None,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    bucket_unit: str = BUCKET_UNIT,
 ) -> DataFrame:
     """Add ``out_col`` = 1-based row number inside ``keys`` ordered by ``order``.
 
-    ``order`` should make rows unique inside a group; otherwise ties are
-    numbered in an arbitrary order, as with ``row_number``.
+    ``order[0]`` must be a timestamp. ``order`` should make rows unique inside a
+    group; otherwise ties are numbered in an arbitrary order, as with
+    ``row_number``.
     """
-    spark = df.sparkSession
-    n = int(slices or spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = [_as_col(c) for c in order]
-
-    def plain(rows: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
-        return rows.withColumn(out_col, F.row_number().over(w).cast("int"))
-
-    hot_names = [f"_pm_h{i}" for i in range(len(keys))]
-    hot = hot_groups(df, keys, max_group_rows).select(*[F.col(k).alias(h) for k, h in zip(keys, hot_names)])
-    # One small job (a key-count aggregate) decides the plan: without hot
-    # groups the plain window is already bounded per task. The list is kept
-    # (it is small: at most rows / max_group_rows keys) so the joins below
-    # reuse it instead of aggregating all rows again; lost blocks are
-    # recomputed from the same deterministic aggregate.
-    hot = hot.persist()
-    n_hot = hot.count()
-    if n_hot == 0:
-        return plain(df)
-    # Splitting the rows by a shuffle join on the key would send a hot group
-    # to one task again, so the (counted, bounded) key list is broadcast.
-    small = n_hot <= MAX_BROADCAST_HOT_KEYS
-    if small:
-        hot = F.broadcast(hot)
-    on_hot = _same_keys(keys, hot_names)
-    cold_numbered = plain(df.join(hot, on_hot, "left_anti"))
-    hot_numbered = _number_hot(df.join(hot, on_hot, "left_semi"), keys, order_cols, out_col, n, small)
-    return cold_numbered.unionByName(hot_numbered)
+    key_cols, names = _null_free(df, keys)
+    bucket = F.date_trunc(bucket_unit, F.col(order[0]))
+    # rows without a timestamp get no number; a bucket without NULLs keeps join and window aligned
+    bucket = F.coalesce(F.unix_seconds(bucket.cast("timestamp")), F.lit(-(1 << 62)))
+    rows = df.select("*", *key_cols, bucket.alias(_BUCKET))
+
+    counts = rows.groupBy(*names, _BUCKET).agg(F.count(F.col(order[0])).alias("_pm_rows"))
+    earlier = Window.partitionBy(*names).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    renamed = [f"{n}_o" for n in names]
+    offsets = counts.select(
+        *[F.col(n).alias(r) for n, r in zip(names, renamed)],
+        F.col(_BUCKET).alias("_pm_bucket_o"),
+        F.coalesce(F.sum("_pm_rows").over(earlier), F.lit(0)).alias(_BEFORE),
+    )
+    same = [F.col(n) == F.col(r) for n, r in zip(names, renamed)] + [F.col(_BUCKET) == F.col("_pm_bucket_o")]
+    inside = Window.partitionBy(*names, _BUCKET).orderBy(*order)
+    numbered = rows.withColumn(_INSIDE, F.row_number().over(inside)).join(offsets, same, "left")
+    position = F.when(F.col(order[0]).isNotNull(), F.col(_BEFORE) + F.col(_INSIDE)).cast("int")
+    return numbered.select(*[F.col(c) for c in df.columns], position.alias(out_col))

@@ -1,6 +1,7 @@
 """The n most picked products of each week [and drill-down value].
 
-Picks are counted per (week, product[, g]); a product's rank inside its week
+Picks are counted per (day, product[, g]), the days looked up in the calendar
+and the counts added per week; a product's rank inside its week
 is a ``row_number`` by count descending, ties broken by product id so the
 result is repeatable. The rank filter lets Catalyst insert a partial
 ``WindowGroupLimit`` before the shuffle: each task sends at most n rows per
@@ -27,8 +28,10 @@ def top_n_products_weekly(
     if int(n) < 1:
         raise ValueError("n must be at least 1")
     g = drill_keys(drill_down)
-    j = with_calendar(with_rows(f_order_picks, "pick_date", "product_id", *g), d_date, "pick_date", "week")
-    counts = j.groupBy("week", "product_id", *g).agg(row_count(j).cast("bigint").alias("total_picks"))
+    picks = with_rows(f_order_picks, "pick_date", "product_id", *g)
+    daily = picks.groupBy("pick_date", "product_id", *g).agg(row_count(picks).cast("bigint").alias("picks"))
+    counts = with_calendar(daily, d_date, "pick_date", "week").groupBy("week", "product_id", *g)
+    counts = counts.agg(F.sum("picks").alias("total_picks"))
     w = Window.partitionBy("week", *g).orderBy(F.col("total_picks").desc(), F.col("product_id").asc_nulls_last())
     return (
         counts.withColumn("_rank", F.row_number().over(w))

@@ -1,7 +1,8 @@
 """Weekly share of each warehouse section in the week's pick volume.
 
-One aggregate by (week, section) and a window total over the week: the facts
-are scanned once, and the window input has at most (weeks x sections) rows.
+The facts are added up per (day, section) first; the calendar lookup, the
+weekly aggregate and the window total over the week see at most (days x
+sections) rows.
 
 Out-of-calendar picks (NULL week) never match a week total in the original
 definition, so they give exactly one row (NULL, NULL, 0.0); the aggregate
@@ -19,9 +20,8 @@ from pickmarts.operators.common import with_calendar
 
 def warehouse_utilization_per_section(d_date: DataFrame, f_order_picks: DataFrame) -> DataFrame:
     """week, warehouse_section, section_utilization. Argument order as in the original."""
-    j = with_calendar(
-        f_order_picks.select("pick_date", "warehouse_section", "pick_volume"), d_date, "pick_date", "week"
-    )
+    daily = f_order_picks.groupBy("pick_date", "warehouse_section").agg(F.sum("pick_volume").alias("pick_volume"))
+    j = with_calendar(daily, d_date, "pick_date", "week")
     in_calendar = F.col("week").isNotNull()
     per_section = j.groupBy(
         "week", F.when(in_calendar, F.col("warehouse_section")).alias("warehouse_section")

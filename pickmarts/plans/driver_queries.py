@@ -4,10 +4,10 @@ Each entry is ``(spark, sf_dir) -> DataFrame``: it reads the whole tables,
 maps them to pick data (``pickmarts.sources.tpch_adapter``), curates, and
 runs one job. Nothing is sampled or capped.
 
-Marts that never read product attributes skip the enrichment join: with a
-product list unique on product_id (required, see ``duplicate_products``) a
-left join cannot change their rows. The marts also skip the position key,
-which none of them reads.
+Marts that never read product attributes skip the enrichment join: the product
+list is made to fail where it is not unique on product_id
+(``unique_products``), so a left join cannot change their rows. The marts also
+skip the position key, which none of them reads.
 """
 
 from __future__ import annotations
@@ -18,13 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pickmarts.operators import curation as cur
 from pickmarts.operators.calendar_dim import create_d_date
+from pickmarts.operators.errors import pick_errors_of_picks
+from pickmarts.operators.top_products import top_n_products_weekly
 from pickmarts.plans.registry import MARTS, Facts, MartSpec
+from pickmarts.sources.staging import stage_pick_data, stage_product_details
 from pickmarts.sources.tpch_adapter import (
     ADAPTER_CALENDAR_END,
     ADAPTER_CALENDAR_START,
     picks_from_lineitem,
     product_details,
-    products_from_part,
+    raw_picks_from_lineitem,
     read_table,
     staged_picks,
 )
@@ -36,26 +39,34 @@ def adapter_calendar(spark: SparkSession) -> DataFrame:
     return create_d_date(spark, ADAPTER_CALENDAR_START, ADAPTER_CALENDAR_END)
 
 
-def keyed_picks(spark: SparkSession, sf_dir: str, with_positions: bool, part: DataFrame | None = None) -> DataFrame:
-    part = part if part is not None else read_table(spark, sf_dir, "part")
-    staged = picks_from_lineitem(read_table(spark, sf_dir, "lineitem"), part)
+def keyed_picks(spark: SparkSession, sf_dir: str, with_positions: bool, lines: str | None = None) -> DataFrame:
+    staged = picks_from_lineitem(read_table(spark, sf_dir, "lineitem"), lines)
     return cur.curate_pick_data(staged, with_positions=with_positions)
 
 
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cur.d_product_details(stage_product_details(product_details(spark, sf_dir)))
+
+
 def mart_facts(spark: SparkSession, sf_dir: str, spec: MartSpec) -> Facts:
-    part = read_table(spark, sf_dir, "part")  # read once: sizes and product list
-    keyed = keyed_picks(spark, sf_dir, with_positions=False, part=part)
-    picks = cur.order_picks_fact(keyed)
-    errors = cur.pick_errors_fact(keyed) if spec.needs_errors else None
+    picks = cur.order_picks_fact(keyed_picks(spark, sf_dir, with_positions=False, lines="picks"))
     if spec.needs_products:
-        dim = cur.d_product_details(products_from_part(part))
-        picks = cur.enrich(picks, dim)
-        errors = cur.enrich(errors, dim) if errors is not None else None
-    return Facts(picks, errors, adapter_calendar(spark))
+        picks = cur.enrich(picks, cur.unique_products(products(spark, sf_dir)))
+    return Facts(picks, None, adapter_calendar(spark))
 
 
 def _mart_query(spec: MartSpec) -> Query:
-    return lambda spark, sf_dir: spec.build(mart_facts(spark, sf_dir, spec))
+    if not spec.needs_errors:
+        return lambda spark, sf_dir: spec.build(mart_facts(spark, sf_dir, spec))
+
+    def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # picks and errors come from one scan
+        keyed = keyed_picks(spark, sf_dir, with_positions=False)
+        if spec.needs_products:
+            keyed = cur.enrich(keyed, cur.unique_products(products(spark, sf_dir)))
+        return pick_errors_of_picks(keyed, adapter_calendar(spark), spec.drill_down)
+
+    return errors
 
 
 def _curation_queries() -> dict[str, Query]:
@@ -63,16 +74,11 @@ def _curation_queries() -> dict[str, Query]:
         return keyed_picks(spark, sf_dir, with_positions=True)
 
     def enriched(fact_of):
-        def q(spark, sf_dir):
-            part = read_table(spark, sf_dir, "part")  # read once: sizes and product list
-            dim = cur.d_product_details(products_from_part(part))
-            return cur.enrich(fact_of(keyed_picks(spark, sf_dir, with_positions=True, part=part)), dim)
-
-        return q
+        return lambda s, d: cur.enrich(fact_of(positioned(s, d)), cur.unique_products(products(s, d)))
 
     return {
-        "staged_pick_data": staged_picks,
-        "d_product_details": lambda s, d: cur.d_product_details(product_details(s, d)),
+        "staged_pick_data": lambda s, d: stage_pick_data(raw_picks_from_lineitem(read_table(s, d, "lineitem"))),
+        "d_product_details": products,
         "sk_order_id": lambda s, d: keyed_picks(s, d, with_positions=False),
         "sk_position_in_order": positioned,
         "f_pick_errors": lambda s, d: cur.pick_errors_fact(positioned(s, d)),
@@ -93,11 +99,18 @@ def _zscore_period_query(period: str) -> Query:
     )
 
 
+def _top_3_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13 with another n."""
+    facts = mart_facts(spark, sf_dir, MARTS["top_n_products_weekly"])
+    return top_n_products_weekly(facts.f_order_picks, facts.d_date, n=3)
+
+
 def all_queries() -> dict[str, Query]:
     out = _curation_queries()
     out.update({name: _mart_query(spec) for name, spec in MARTS.items()})
-    for period in ("month", "year", "date"):
+    for period in ("month", "year", "date", "quarter", "year_half"):
         out[f"zscore_distribution_{period}"] = _zscore_period_query(period)
+    out["top_3_products_weekly"] = _top_3_products
     return out
 
 

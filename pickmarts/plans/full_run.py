@@ -8,35 +8,32 @@ Layout::
 
     <base>/staging/{pick_data,product_details,warehouse_sections}
     <base>/curation/d_date
-    <base>/curation/pick_facts/kind={order_picks,pick_errors,returns}
+    <base>/curation/{f_order_picks,f_pick_errors,f_returns}
     <base>/curation/{d_product_details,d_warehouse_section}
-    <base>/curation/enriched_facts/kind={order_picks,pick_errors}   (large product lists only)
+    <base>/curation/_keyed_picks/kind={order_picks,pick_errors,returns}
     <base>/data_mart/_inputs/{hourly_volume,product_counts,error_counts,order_days}
     <base>/data_mart/<family>/<mart>
 
-The curated facts are one table partitioned by ``kind``: the position key (the
-one costly curation step) is computed once, and each fact is a pruned read of
-its partition. Returns are stored with their volume already made positive;
-``read_fact`` gives them their return_* names.
+The position key (the one costly curation step) is computed once, into
+``_keyed_picks``; each published fact table is a copy of one of its partitions,
+returns with their return_* names. The layout is the same for any input.
 
-Enrichment: a product list of at most ``MAX_INLINE_PRODUCTS`` rows (counted)
-is broadcast and joined map-side wherever the facts are read, so no enriched
-copy of the facts is written; a larger list is joined once by shuffle and the
-enriched facts are written.
+The facts are enriched when they are read, by a join whose strategy the
+optimizer picks from the product list's measured size; no enriched copy is
+written. Additive inputs are aggregated by product first and look the product
+group up afterwards.
 
 The marts are fed from a few pre-aggregated inputs
 (``pickmarts.operators.mart_inputs``), each written once: a mart run reads the
-enriched facts 5 times instead of once per mart.
+facts 5 times instead of once per mart.
 """
 
 from __future__ import annotations
 
-import hashlib
 import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +41,8 @@ from pickmarts.operators import curation as cur
 from pickmarts.operators import mart_inputs
 from pickmarts.operators.calendar_dim import DEFAULT_END, DEFAULT_START, create_d_date
 from pickmarts.operators.distribution import OUTLIER_THRESHOLD
-from pickmarts.operators.positions import DEFAULT_MAX_GROUP_ROWS
+from pickmarts.operators.positions import BUCKET_UNIT
 from pickmarts.plans.registry import MARTS, Facts
-from pickmarts.schemas import FACT_COLUMNS
 from pickmarts.sources import staging as stg
 from pickmarts.sources.layers import CURATION, DATA_MART, STAGING, layer_path, write_table
 
@@ -64,9 +60,12 @@ FACT_KINDS = {"f_order_picks": KIND_ORDER_PICKS, "f_pick_errors": KIND_PICK_ERRO
 # then read it without a shuffle.
 BUCKETED_INPUTS = {"order_days": "sk_order_id"}
 
-# Product lists up to this many rows are broadcast to the fact scans (the marts
-# only need product_id and product_group from them: tens of MB at most).
-MAX_INLINE_PRODUCTS = 1_000_000
+# Buckets of that input: the parallelism of its consumers, to be set with the
+# cluster (about one bucket per 200 MB of it).
+DEFAULT_BUCKETS = 64
+
+# Name of the catalog table that a bucketed write needs while the marts run.
+BUCKET_TABLE = "pickmarts_order_days"
 
 
 @dataclass(frozen=True)
@@ -92,15 +91,15 @@ def write_observed(df: DataFrame, path: str, name: str, partition_by: list[str]
     return counts
 
 
-def run_staging(spark: SparkSession, raw: RawFiles, base: str, multiline: bool = True) -> None:
-    """S1-S3."""
+def run_staging(spark: SparkSession, raw: RawFiles, base: str, multiline: bool = False) -> None:
+    """S1-S3. ``multiline``: pick data holds quoted newlines (each file is then one task)."""
     write_observed(stg.read_pick_data(spark, raw.pick_data, multiline), layer_path(base, STAGING, "pick_data"), "pick_data")
     write_table(
-        stg.read_product_details(spark, raw.product_details, multiline),
+        stg.read_product_details(spark, raw.product_details),
         layer_path(base, STAGING, "product_details"),
     )
     write_table(
-        stg.read_warehouse_sections(spark, raw.warehouse_sections, multiline),
+        stg.read_warehouse_sections(spark, raw.warehouse_sections),
         layer_path(base, STAGING, "warehouse_sections"),
     )
 
@@ -114,14 +113,9 @@ def _kind_column() -> F.Column:
     )
 
 
-def curate_facts(
-    staged: DataFrame, slices: int | None = None, max_group_rows: int = DEFAULT_MAX_GROUP_ROWS
-) -> DataFrame:
-    """Keyed picks with a ``kind`` column, returns' volume made positive."""
-    keyed = cur.curate_pick_data(staged, with_positions=True, slices=slices, max_group_rows=max_group_rows)
-    kind = _kind_column()
-    volume = F.when(F.col("pick_volume") < 0, -F.col("pick_volume")).otherwise(F.col("pick_volume"))
-    return keyed.select(*[volume.alias(c) if c == "pick_volume" else F.col(c) for c in FACT_COLUMNS], kind.alias("kind"))
+def curate_facts(staged: DataFrame, bucket_unit: str = BUCKET_UNIT) -> DataFrame:
+    """Keyed picks of all signs with a ``kind`` column."""
+    return cur.curate_pick_data(staged, bucket_unit=bucket_unit).withColumn("kind", _kind_column())
 
 
 def publish_dimension(df: DataFrame, path: str, name: str, write_when_empty: bool) -> bool:
@@ -139,20 +133,18 @@ def run_curation(
     base: str,
     start: str = DEFAULT_START,
     end: str = DEFAULT_END,
-    slices: int | None = None,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    bucket_unit: str = BUCKET_UNIT,
 ) -> dict:
     """C1-C8. Returns the observed row counts of the fact table by kind."""
     write_table(create_d_date(spark, start, end), layer_path(base, CURATION, "d_date"))
     staged = spark.read.parquet(layer_path(base, STAGING, "pick_data"))
     by_kind = {k: F.count(F.when(F.col("kind") == k, 1)) for k in (KIND_ORDER_PICKS, KIND_PICK_ERRORS, KIND_RETURNS)}
-    counts = write_observed(
-        curate_facts(staged, slices, max_group_rows),
-        layer_path(base, CURATION, "pick_facts"),
-        "pick_facts",
-        ["kind"],
-        **by_kind,
-    )
+    path = layer_path(base, CURATION, "_keyed_picks")
+    counts = write_observed(curate_facts(staged, bucket_unit), path, "pick_facts", ["kind"], **by_kind)
+    keyed = spark.read.parquet(path)
+    for name, kind in FACT_KINDS.items():
+        fact = keyed.filter(F.col("kind") == kind).drop("kind")
+        write_table(cur.returns_fact(fact) if name == "f_returns" else fact, layer_path(base, CURATION, name))
     products = cur.d_product_details(spark.read.parquet(layer_path(base, STAGING, "product_details")))
     publish_dimension(products, layer_path(base, CURATION, "d_product_details"), "d_product_details", True)
     sections = cur.d_warehouse_section(spark.read.parquet(layer_path(base, STAGING, "warehouse_sections")))
@@ -160,16 +152,9 @@ def run_curation(
     return counts
 
 
-def read_fact(spark: SparkSession, base: str, name: str, enriched: bool = False) -> DataFrame:
+def read_fact(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One fact table by its name (``f_order_picks``, ``f_pick_errors``, ``f_returns``)."""
-    kind = FACT_KINDS[name]
-    table = "enriched_facts" if enriched else "pick_facts"
-    df = spark.read.parquet(layer_path(base, CURATION, table)).filter(F.col("kind") == kind).drop("kind")
-    if name == "f_returns":
-        df = df.withColumnsRenamed(
-            {"pick_volume": "return_volume", "pick_timestamp": "return_timestamp", "pick_date": "return_date"}
-        )
-    return df
+    return spark.read.parquet(layer_path(base, CURATION, name))
 
 
 def check_products_unique(d_product: DataFrame) -> None:
@@ -178,42 +163,13 @@ def check_products_unique(d_product: DataFrame) -> None:
         raise ValueError("d_product_details lists a product_id more than once")
 
 
-def _products(spark: SparkSession, base: str) -> DataFrame:
+def read_products(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(layer_path(base, CURATION, "d_product_details"))
 
 
-def enrichment_inline(spark: SparkSession, base: str, max_inline_products: int = MAX_INLINE_PRODUCTS) -> bool:
-    """True when the product list is small enough to broadcast (one counting job)."""
-    return _products(spark, base).count() <= max_inline_products
-
-
-def run_enrichment(spark: SparkSession, base: str, max_inline_products: int = MAX_INLINE_PRODUCTS) -> bool:
-    """C9 / C10. Returns True when the enriched facts were written.
-
-    The product list is checked for duplicates first (Q6). A small list is
-    joined map-side when the facts are read (``read_enriched``), so nothing is
-    written; a large one is joined here once and the enriched facts written.
-    """
-    d_product = _products(spark, base)
-    check_products_unique(d_product)
-    if enrichment_inline(spark, base, max_inline_products):
-        log.info("product list fits a broadcast: facts are enriched when read, no enriched copy written")
-        return False
-    facts = spark.read.parquet(layer_path(base, CURATION, "pick_facts")).filter(
-        F.col("kind").isin(KIND_ORDER_PICKS, KIND_PICK_ERRORS)
-    )
-    enriched = cur.enrich(facts.drop("kind"), d_product).withColumn("kind", _kind_column())
-    write_table(enriched, layer_path(base, CURATION, "enriched_facts"), partition_by=["kind"])
-    return True
-
-
-def read_enriched(spark: SparkSession, base: str, name: str, inline: bool | None = None) -> DataFrame:
-    """``f_order_picks`` or ``f_pick_errors`` with description and product_group."""
-    if inline is None:
-        inline = enrichment_inline(spark, base)
-    if inline:
-        return cur.enrich(read_fact(spark, base, name), F.broadcast(_products(spark, base)))
-    return read_fact(spark, base, name, enriched=True)
+def read_enriched(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """``f_order_picks`` or ``f_pick_errors`` with description and product_group."""
+    return cur.enrich(read_fact(spark, base, name), read_products(spark, base))
 
 
 def _run_all(tasks: list, parallelism: int) -> list:
@@ -229,61 +185,55 @@ def _run_all(tasks: list, parallelism: int) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
-def write_bucketed(spark: SparkSession, df: DataFrame, path: str, name: str, key: str) -> DataFrame:
+def write_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> DataFrame:
     """Write ``df`` at ``path`` bucketed by ``key`` and return the bucketed table.
 
-    One bucket per shuffle partition; rows are repartitioned by the same hash
-    first, so each task writes one bucket file. Bucketing needs a catalog
-    table (an external one, at ``path``); if the catalog refuses it, the
-    input is written as plain files and its consumers shuffle as usual.
+    Rows are repartitioned by the same hash first, so each task writes one bucket
+    file. Bucketing needs a catalog table (an external one, at ``path``): ``table``,
+    which must not exist yet and is the caller's to drop.
     """
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"pickmarts_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
-    try:
-        (
-            df.repartition(buckets, key)
-            .write.mode("overwrite")
-            .format("parquet")
-            .bucketBy(buckets, key)
-            .option("path", path)
-            .saveAsTable(table)
-        )
-        return spark.table(table)
-    except AnalysisException as e:
-        log.warning("bucketed table %s not available (%s); writing plain files", table, e)
-        write_table(df, path)
-        return spark.read.parquet(path)
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        raise ValueError(f"table {table} exists; name another one for the bucketed mart input")
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    writer.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
 
 
 def build_mart_inputs(
-    spark: SparkSession, base: str, sources: set[str], parallelism: int = 1
+    spark: SparkSession,
+    base: str,
+    sources: set[str],
+    parallelism: int = 1,
+    bucket_table: str | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> dict[str, DataFrame]:
-    """Write the shared inputs named in ``sources`` and return them read back."""
-    inline = enrichment_inline(spark, base)
-    facts = {
-        "picks": read_enriched(spark, base, "f_order_picks", inline),
-        "errors": read_enriched(spark, base, "f_pick_errors", inline),
-    }
+    """Write the shared inputs named in ``sources`` and return them read back.
+
+    With ``bucket_table`` the order-level input is bucketed and registered under
+    that name; without, it is plain files and its consumers shuffle it.
+    """
+    plain = {"picks": read_fact(spark, base, "f_order_picks"), "errors": read_fact(spark, base, "f_pick_errors")}
+    products = read_products(spark, base)
     names = sorted(set(sources) - {"facts"})
 
     def write(name: str):
         def task():
             build, fact = mart_inputs.BUILDERS[name]
             path = layer_path(base, DATA_MART, "_inputs", name)
-            df = build(facts[fact])
-            if name in BUCKETED_INPUTS:
-                return name, write_bucketed(spark, df, path, name, BUCKETED_INPUTS[name])
+            df = build(plain[fact], products)
+            if bucket_table and name in BUCKETED_INPUTS:
+                return name, write_bucketed(df, path, bucket_table, BUCKETED_INPUTS[name], buckets)
             write_table(df, path)
             return name, spark.read.parquet(path)
 
         return task
 
     out: dict[str, DataFrame] = dict(_run_all([write(n) for n in names], parallelism))
-    out["facts"] = facts["picks"]
-    out["facts_errors"] = facts["errors"]
+    out["facts"] = read_enriched(spark, base, "f_order_picks")
+    out["facts_errors"] = read_enriched(spark, base, "f_pick_errors")
     # Marts without product attributes read the curated facts as they are.
-    out["plain_facts"] = read_fact(spark, base, "f_order_picks")
-    out["plain_facts_errors"] = read_fact(spark, base, "f_pick_errors")
+    out["plain_facts"], out["plain_facts_errors"] = plain["picks"], plain["errors"]
     return out
 
 
@@ -295,6 +245,11 @@ def _facts_for(spec, inputs: dict[str, DataFrame], d_date: DataFrame) -> Facts:
     return Facts(inputs[spec.source], errors, d_date)
 
 
+def _sort_column(item: str) -> F.Column:
+    name, _, direction = item.partition(" ")
+    return F.col(name).desc_nulls_last() if direction == "desc" else F.col(name).asc_nulls_last()
+
+
 def run_marts(
     spark: SparkSession,
     base: str,
@@ -302,19 +257,25 @@ def run_marts(
     sort_output: bool = False,
     shared_inputs: bool = True,
     parallelism: int = 4,
+    bucket_table: str | None = BUCKET_TABLE,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> list[str]:
     """All marts of the registry (or ``names``), each written under its family.
 
-    With ``shared_inputs`` (default) the marts read the pre-aggregated inputs;
-    without, every mart reads the enriched facts itself. ``parallelism`` marts
-    are written at a time.
+    The product list is checked for duplicates first (Q6). With ``shared_inputs``
+    (default) the marts read the pre-aggregated inputs; without, every mart reads
+    the enriched facts itself. ``parallelism`` marts are written at a time.
+    ``bucket_table`` names the catalog table of the bucketed order-level input,
+    dropped again when the marts are written; None writes it unbucketed.
     """
+    check_products_unique(read_products(spark, base))
     specs = [MARTS[n] for n in (names or list(MARTS))]
     d_date = spark.read.parquet(layer_path(base, CURATION, "d_date"))
     sources = {s.source for s in specs} if shared_inputs else {"facts"}
     if shared_inputs and any(s.needs_errors for s in specs):
         sources.add("error_counts")
-    inputs = build_mart_inputs(spark, base, sources, parallelism)
+    table = bucket_table if sources & set(BUCKETED_INPUTS) else None
+    inputs = build_mart_inputs(spark, base, sources, parallelism, table, buckets)
 
     def write(spec):
         def task():
@@ -325,16 +286,20 @@ def run_marts(
             )
             df = spec.build(facts)
             if sort_output and spec.sort_by:
-                df = df.orderBy(*[F.col(c).asc_nulls_last() for c in spec.sort_by])
+                df = df.orderBy(*[_sort_column(c) for c in spec.sort_by])
             metrics = {}
             if "zscore" in df.columns:  # the original run logs the number of outliers
                 metrics["outliers"] = F.count(F.when(F.abs(F.col("zscore")) > F.lit(OUTLIER_THRESHOLD), 1))
-            write_observed(df, layer_path(base, DATA_MART, spec.family, spec.name), spec.name, **metrics)
+            write_observed(df, layer_path(base, DATA_MART, spec.family, spec.table), spec.name, **metrics)
             return spec.name
 
         return task
 
-    return _run_all([write(s) for s in specs], parallelism)
+    try:
+        return _run_all([write(s) for s in specs], parallelism)
+    finally:
+        if table:  # the external table's files stay under the mart inputs
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def run_sql_mart(
@@ -362,10 +327,9 @@ def run_all(
     base: str,
     start: str = DEFAULT_START,
     end: str = DEFAULT_END,
-    multiline: bool = True,
+    multiline: bool = False,
     sort_output: bool = False,
 ) -> list[str]:
     run_staging(spark, raw, base, multiline)
     run_curation(spark, base, start, end)
-    run_enrichment(spark, base)
     return run_marts(spark, base, sort_output=sort_output)

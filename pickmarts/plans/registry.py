@@ -39,12 +39,20 @@ class MartSpec:
     # Reads product attributes (product_group): needs the enriched facts.
     needs_products: bool = False
     needs_errors: bool = False
-    # Order of rows when a sorted file is asked for (ascending, NULLs last).
+    drill_down: str | None = None
+    # Order of rows when a sorted file is asked for: column names, ascending
+    # unless followed by " desc"; NULLs last.
     sort_by: tuple[str, ...] = field(default_factory=tuple)
+    # Name of the written table where it differs from the mart's own.
+    published: str | None = None
     # Shared pre-aggregated input a full run feeds it from
     # (``pickmarts.operators.mart_inputs``), or "facts".
     source: str = "facts"
 
+    @property
+    def table(self) -> str:
+        return self.published or self.name
+
 
 def _family(base: str, g: str | None) -> str:
     return base if g is None else f"{base}_{g}"
@@ -78,6 +86,7 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: pick_errors(f.f_order_picks, f.f_pick_errors, f.d_date, g),
                 needs,
                 needs_errors=True,
+                drill_down=g,
                 sort_by=("date", *gk),
                 source="hourly_volume",
             ),
@@ -96,6 +105,7 @@ def _specs() -> list[MartSpec]:
                 needs,
                 sort_by=("week", *gk),
                 source="hourly_volume",
+                published=_family("pick_throughput", g) if g else None,
             ),
         ]
     specs += [
@@ -105,6 +115,7 @@ def _specs() -> list[MartSpec]:
             lambda f: pick_throughput_hourly(f.f_order_picks),
             sort_by=("pick_date", "pick_hour"),
             source="hourly_volume",
+            published="pick_throughput",
         ),
         MartSpec(
             "order_mix",
@@ -130,7 +141,7 @@ def _specs() -> list[MartSpec]:
             "warehouse_utilization_per_section",
             "warehouse_utilization_per_section",
             lambda f: warehouse_utilization_per_section(f.d_date, f.f_order_picks),
-            sort_by=("week", "warehouse_section"),
+            sort_by=("week", "warehouse_section desc"),
             source="hourly_volume",
         ),
         MartSpec(

@@ -19,24 +19,21 @@ from pyspark.sql.types import (
 # Text encoding of the raw CSV files.
 RAW_ENCODING = "ISO-8859-1"
 
-# Timestamp layout of the raw `date` column (fraction required).
-RAW_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
 
 def _s(name: str) -> StructField:
     return StructField(name, StringType(), True)
 
 
-# Raw pick data: product_id, warehouse_section, origin, order_number,
+# Raw column names. Raw pick data: product_id, warehouse_section, origin, order_number,
 # position_in_order, pick_volume, quantity_unit, date.
 RAW_PICK_DATA = StructType(
     [
         _s("product_id"),
         _s("warehouse_section"),
-        StructField("origin", IntegerType(), True),
+        _s("origin"),
         _s("order_number"),
         _s("position_in_order"),
-        StructField("pick_volume", LongType(), True),
+        _s("pick_volume"),
         _s("quantity_unit"),
         _s("date"),
     ]

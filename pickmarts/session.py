@@ -53,12 +53,15 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback_prefix: str = "pickmarts-ckpt-") -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) is a private
-    folder created and registered.
+    A cluster names it; only a local session without one gets a private folder.
+    Elsewhere a missing setting is an error: a folder of the driver's own would
+    not be seen by the executors.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix=fallback_prefix)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

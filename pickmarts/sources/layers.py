@@ -20,18 +20,8 @@ def layer_path(base: str, layer: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), layer, *parts])
 
 
-def write_table(
-    df: DataFrame,
-    path: str,
-    partition_by: list[str] | None = None,
-    max_files: int | None = None,
-) -> None:
-    """Overwrite ``path`` with ``df`` as Parquet.
-
-    ``max_files`` coalesces small outputs (marts) without a shuffle.
-    """
-    if max_files:
-        df = df.coalesce(max_files)
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Overwrite ``path`` with ``df`` as Parquet."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

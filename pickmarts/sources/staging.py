@@ -1,16 +1,20 @@
 """Staging jobs S1-S3: headerless latin-1 CSV -> typed DataFrame.
 
-The raw files carry no header; names and types come from
-``pickmarts.schemas``. Quotes are escaped by doubling (``""``), fields may
-hold commas and newlines, and the usual spreadsheet missing-value tokens
-(``NA``, ``NULL``, ``nan`` ...) mean NULL. A malformed number or timestamp
-fails the job (``FAILFAST`` and ANSI parsing), and so does a missing
-``origin``, ``pick_volume`` or ``date``: the check is an expression in the
+The raw files carry no header; names come from ``pickmarts.schemas`` and every
+field is read as text. Quotes are escaped by doubling (``""``), fields may hold
+commas (and newlines with ``multiline=True``), and the usual spreadsheet
+missing-value tokens (``NA``, ``NULL``, ``nan`` ...) mean NULL.
+
+Accepted as by the original loader: a missing ``date`` (NULL timestamp and
+date), rows with fewer fields (the rest is NULL), blanks around numbers, dates
+without zero padding, and up to nine fraction digits (cut to microseconds).
+Rejected: a missing or non-numeric ``origin`` or ``pick_volume``, a date that
+does not fit, and rows with too many fields. The checks are expressions in the
 same scan, not an extra pass.
 
-``multiline=True`` (the default) honours quoted newlines but makes each file
-one task; files without embedded newlines can pass ``multiline=False`` to
-be split across tasks.
+Pick data is read with ``multiline=False``, so that a large file is split across
+tasks; a record broken over lines is reported by the checks. The two small lists
+default to ``multiline=True``.
 """
 
 from __future__ import annotations
@@ -22,7 +26,6 @@ from pickmarts.schemas import (
     RAW_ENCODING,
     RAW_PICK_DATA,
     RAW_PRODUCT_DETAILS,
-    RAW_TIMESTAMP_FORMAT,
     RAW_WAREHOUSE_SECTIONS,
     STAGED_PICK_COLUMNS,
 )
@@ -52,6 +55,13 @@ MISSING_TOKENS = (
 )
 
 
+# One field more than the schema has, to notice rows that are too long.
+_SURPLUS = "_surplus"
+
+# The parts of the raw timestamp.
+_TIMESTAMP_PARTS = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})\.(\d{1,9})\s*$"
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -59,17 +69,21 @@ def read_raw_csv(
     multiline: bool = True,
     encoding: str = RAW_ENCODING,
 ) -> DataFrame:
-    """Scan headerless CSV with a declared schema; malformed rows fail."""
-    return (
-        spark.read.schema(schema)
+    """Scan headerless CSV as text columns named by ``schema``; short rows are padded, long rows fail."""
+    names = [f.name for f in schema.fields]
+    raw = (
+        spark.read.schema(", ".join(f"`{n}` string" for n in [*names, _SURPLUS]))
         .option("header", "false")
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", str(multiline).lower())
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    too_long = F.raise_error(F.lit(f"a row has more than {len(names)} fields"))
+    first = F.when(F.col(_SURPLUS).isNotNull(), too_long).otherwise(F.col(names[0])).alias(names[0])
+    return raw.select(first, *[F.col(n) for n in names[1:]])
 
 
 def _missing_to_null(c: str) -> Column:
@@ -91,19 +105,35 @@ def _normalise_text(df: DataFrame) -> DataFrame:
     )
 
 
+def _number(c: str, kind: str) -> Column:
+    """A required number; blanks around it are ignored, anything else fails (ANSI cast)."""
+    text = F.trim(F.col(c).cast("string"))
+    return _required(F.when(text != "", text).cast(kind), c).alias(c)
+
+
+def _timestamp(c: str) -> Column:
+    """The raw timestamp; missing stays missing, a value that does not fit fails."""
+    part = lambda k: F.regexp_extract(c, _TIMESTAMP_PARTS, k)
+    micros = F.substring(F.rpad(part(7), 6, "0"), 1, 6)
+    seconds = F.concat(part(6), F.lit("."), micros).cast("decimal(8,6)")
+    whole = [part(k).cast("int") for k in range(1, 6)]
+    misfit = F.raise_error(F.concat(F.lit(f"{c} does not fit: "), F.col(c))).cast("timestamp_ntz")
+    parsed = F.when(F.col(c).rlike(_TIMESTAMP_PARTS), F.make_timestamp_ntz(*whole, seconds)).otherwise(misfit)
+    return F.when(F.col(c).isNotNull(), parsed)
+
+
 def stage_pick_data(raw: DataFrame) -> DataFrame:
     """Parse ``date`` into ``pick_timestamp`` and ``pick_date``; drop ``date``."""
     df = _normalise_text(raw)
-    ts = F.to_timestamp_ntz(_required(F.col("date"), "date"), F.lit(RAW_TIMESTAMP_FORMAT))
     return df.select(
         "product_id",
         "warehouse_section",
-        _required(F.col("origin"), "origin").alias("origin"),
+        _number("origin", "int"),
         "order_number",
         "position_in_order",
-        _required(F.col("pick_volume"), "pick_volume").alias("pick_volume"),
+        _number("pick_volume", "bigint"),
         "quantity_unit",
-        ts.alias("pick_timestamp"),
+        _timestamp("date").alias("pick_timestamp"),
     ).withColumn("pick_date", F.to_date("pick_timestamp")).select(*STAGED_PICK_COLUMNS)
 
 
@@ -117,7 +147,7 @@ def stage_warehouse_sections(raw: DataFrame) -> DataFrame:
     return _normalise_text(raw)
 
 
-def read_pick_data(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
+def read_pick_data(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
     return stage_pick_data(read_raw_csv(spark, path, RAW_PICK_DATA, multiline))
 
 

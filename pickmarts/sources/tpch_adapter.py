@@ -1,8 +1,8 @@
 """Driver tables in the role of the raw pick files.
 
 The test data offers order lines (``lineitem``) and parts (``part``) but no
-pick log. This source maps them onto the staged pick schema so that every job
-runs on data whose size grows with the scale factor:
+pick log. This source maps them onto the pick schemas (staged, and raw text) so
+that every job runs on data whose size grows with the scale factor:
 
 ============================  =================================================
 pick column                   from
@@ -13,7 +13,7 @@ origin                        46 when l_orderkey % 3 = 0, else 48
 order_number                  floor(l_orderkey / 8), zero-padded to 8 (numbers
                               repeat across years on purpose)
 position_in_order             l_linenumber, zero-padded to 4
-pick_volume                   sign * int(l_quantity) * (p_size % 12 + 1); sign 0
+pick_volume                   sign * int(l_quantity) * (l_partkey % 12 + 1); sign 0
                               when l_tax = 0, -1 when l_tax > 0.075 and
                               l_discount > 0.095, else 1
 quantity_unit                 'St'
@@ -28,10 +28,7 @@ p_name, product_group = p_type except NULL when p_partkey % 50 = 7.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from pickmarts.functions.text import zero_pad_sql
 from pickmarts.schemas import STAGED_PICK_COLUMNS
@@ -42,19 +39,8 @@ ADAPTER_CALENDAR_START = "1995-07-01"
 ADAPTER_CALENDAR_END = "2001-06-30"
 
 
-# Schemas of the driver's read-only tables, inferred once per process: later
-# reads declare them and skip the schema-inference job of every scan.
-_SCHEMAS: dict[str, str] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _SCHEMAS.get(path)
-    if known is not None:
-        return spark.read.schema(StructType.fromJson(json.loads(known))).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema.json()
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The mapping as SQL expressions: each column is handed to the JVM as one
@@ -66,7 +52,7 @@ _PICK_EXPRESSIONS = (
     f"{zero_pad_sql('CAST(floor(l_orderkey / 8) AS BIGINT)', 8)} AS order_number",
     f"{zero_pad_sql('l_linenumber', 4)} AS position_in_order",
     "CAST((CASE WHEN l_tax = 0.0 THEN 0 WHEN l_tax > 0.075 AND l_discount > 0.095 THEN -1 ELSE 1 END)"
-    " * CAST(l_quantity AS BIGINT) * (p_size % 12 + 1) AS BIGINT) AS pick_volume",
+    " * CAST(l_quantity AS BIGINT) * (l_partkey % 12 + 1) AS BIGINT) AS pick_volume",
     "'St' AS quantity_unit",
     "timestampadd(SECOND, (l_orderkey * 7919 + l_partkey * 3571 + l_linenumber * 613) % 86400,"
     " CAST(l_shipdate AS TIMESTAMP_NTZ)) AS pick_timestamp",
@@ -74,13 +60,33 @@ _PICK_EXPRESSIONS = (
 )
 
 
-def picks_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Staged pick rows (9 columns) from order lines and part sizes."""
-    li = lineitem.select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate"
-    )
-    sizes = part.selectExpr("p_partkey AS l_partkey", "p_size")
-    return li.join(sizes, "l_partkey", "left").selectExpr(*_PICK_EXPRESSIONS).select(*STAGED_PICK_COLUMNS)
+# The same rows as a raw pick file would hold them: numbers and date as text.
+_RAW_EXPRESSIONS = (
+    "product_id",
+    "warehouse_section",
+    "CAST(origin AS STRING) AS origin",
+    "order_number",
+    "position_in_order",
+    "CAST(pick_volume AS STRING) AS pick_volume",
+    "quantity_unit",
+    "date_format(pick_timestamp, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS date",
+)
+
+# What the sign of the volume means in terms of the order lines.
+# Filters on these columns reach the scan; the sign itself is computed.
+LINES_OF = {"errors": "l_tax = 0.0", "picks": "l_tax != 0.0 OR l_tax IS NULL"}
+
+
+def picks_from_lineitem(lineitem: DataFrame, lines: str | None = None) -> DataFrame:
+    """Staged pick rows (9 columns) from order lines, all or a superset of one kind (``LINES_OF``)."""
+    if lines:
+        lineitem = lineitem.where(LINES_OF[lines])
+    return lineitem.selectExpr(*_PICK_EXPRESSIONS).select(*STAGED_PICK_COLUMNS)
+
+
+def raw_picks_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """The order lines as raw pick rows, input of the staging job."""
+    return picks_from_lineitem(lineitem).selectExpr(*_RAW_EXPRESSIONS)
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
@@ -93,7 +99,7 @@ def products_from_part(part: DataFrame) -> DataFrame:
 
 
 def staged_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return picks_from_lineitem(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
+    return picks_from_lineitem(read_table(spark, sf_dir, "lineitem"))
 
 
 def product_details(spark: SparkSession, sf_dir: str) -> DataFrame:

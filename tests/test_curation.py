@@ -76,8 +76,8 @@ def test_enrichment_left_join_and_duplicates(spark, staged):
     assert not cur.duplicate_products(dim.unionByName(dim.limit(1))).isEmpty()
 
 
-@pytest.mark.parametrize("max_group_rows", [1, 3, 40, 1_000_000])
-def test_running_position_equals_plain_window(spark, max_group_rows):
+@pytest.mark.parametrize("unit", ["minute", "hour", "year"])
+def test_running_position_equals_plain_window(spark, unit):
     keyed = cur.with_order_key(staged_picks(spark, SMOKE_DIR))
     # A third of the rows share one NULL order key: a hot group.
     keyed = keyed.withColumn(
@@ -86,24 +86,32 @@ def test_running_position_equals_plain_window(spark, max_group_rows):
     keys = list(cur.POSITION_GROUP)
     order = list(cur.POSITION_ORDER)
     plain = keyed.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    got = running_position(keyed, keys, order, "pos", slices=5, max_group_rows=max_group_rows)
+    got = running_position(keyed, keys, order, "pos", unit)
     assert got.count() == plain.count()
     assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
 
 
-def test_running_position_without_broadcasts(spark, monkeypatch):
-    """Over the broadcast limit the hot keys and offsets are joined by shuffle: same numbers."""
-    from pickmarts.operators import positions
+def test_rows_without_timestamp_have_no_position(spark):
+    keyed = cur.with_order_key(staged_picks(spark, SMOKE_DIR))
+    gone = F.when(F.col("position_in_order") != "0002", F.col("pick_timestamp"))
+    rows = cur.with_position_key(keyed.withColumn("pick_timestamp", gone)).select("pick_timestamp", "sk_position_in_order")
+    assert rows.where("(pick_timestamp IS NULL) != (sk_position_in_order IS NULL)").isEmpty()
+    assert not rows.where("pick_timestamp IS NULL").isEmpty()
+
 
-    monkeypatch.setattr(positions, "MAX_BROADCAST_HOT_KEYS", 0)
+def test_building_positions_runs_no_job_and_shuffles_the_facts_once(spark):
+    tracker = spark.sparkContext.statusTracker()
     keyed = cur.with_order_key(staged_picks(spark, SMOKE_DIR))
-    keyed = keyed.withColumn(
-        "sk_order_id", F.when(F.col("pick_volume") % 3 == 0, F.lit(None)).otherwise(F.col("sk_order_id"))
-    )
-    keys, order = list(cur.POSITION_GROUP), list(cur.POSITION_ORDER)
-    plain = keyed.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    got = running_position(keyed, keys, order, "pos", slices=4, max_group_rows=5)
-    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    spark.sparkContext.setJobGroup("build positions", "")
+    df = cur.with_position_key(keyed)
+    assert not tracker.getJobIdsForGroup("build positions")
+    df.collect()
+    spark.sparkContext.setJobGroup("", "")
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    wide = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    # the facts, the counts for their running sum, the running sums for the join
+    assert len(wide) == 3, plan
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
 def test_positions_equal_pandas_cumcount(spark):

@@ -9,12 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from pickmarts.plans.full_run import (
+    BUCKET_TABLE,
     RawFiles,
     read_enriched,
     read_fact,
     run_all,
     run_curation,
-    run_enrichment,
+    run_marts,
     run_staging,
 )
 from pickmarts.plans.registry import MARTS, Facts
@@ -29,16 +30,16 @@ def _write(d: str, name: str, text: str) -> str:
 
 PICKS = "\n".join(
     [
-        "000010,HRL,48,08197426,0001,24,St,2018-01-30 10:52:31.000000",
-        "000010,HRL,48,08197426,0001,12,St,2018-01-30 12:03:18.000000",
-        "000020,AKL,48,08197426,0002,5,St,2018-01-30 11:00:00.000000",
-        "000020,AKL,46,08196941,0001,0,Mt,2018-01-30 04:04:56.000000",
-        "D72590,Manuell,48,08196537,0002,-4,Mt,2018-01-31 03:42:41.000000",
-        "000030,AKL,48,08197426,0003,7,St,2019-01-02 08:00:00.000000",
+        "p1,bay,48,70001,01,24,pc,2018-01-30 10:52:31.000000",
+        "p1,bay,48,70001,01,12,pc,2018-01-30 12:03:18.000000",
+        "p2,aisle,48,70001,02,5,pc,2018-01-30 11:00:00.000000",
+        "p2,aisle,46,70002,01,0,m,2018-01-30 04:04:56.000000",
+        "p9,cart,48,70003,02,-4,m,2018-01-31 03:42:41.000000",
+        "p3,aisle,48,70001,03,7,pc,2019-01-02 08:00:00.000000",
     ]
 ) + "\n"
-PRODUCTS = '000010,"ETAP U738R1, Leuchte",35_Leuchten\n000020,Kabel Ã¼,38_Leitungen\nD72590,Profil,31_Install\n'
-SECTIONS = "AKL,Automatisches Kleinteilelager,Lager,A\nHRL,Hochregallager,Lager,B\n"
+PRODUCTS = 'p1,"Lamp, small",lamps\np2,Cable ä,cables\np9,Rail,fixings\n'
+SECTIONS = "aisle,small parts,hall,A\nbay,pallets,hall,B\n"
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +59,7 @@ def test_all_marts_written(spark, run):
     base, written = run
     assert sorted(written) == sorted(MARTS)
     for name in written:
-        path = os.path.join(base, "data_mart", MARTS[name].family, name)
+        path = os.path.join(base, "data_mart", MARTS[name].family, MARTS[name].table)
         assert os.path.isdir(path), path
         spark.read.parquet(path).collect()
 
@@ -70,11 +71,11 @@ def test_facts_by_kind(spark, run):
     returns = read_fact(spark, base, "f_returns")
     assert (picks.count(), errors.count(), returns.count()) == (4, 1, 1)
     r = returns.collect()[0]
-    assert r["return_volume"] == 4 and r["sk_order_id"] == "08196537_2018"
+    assert r["return_volume"] == 4 and r["sk_order_id"] == "70003_2018"
     # positions are numbered before the split
     pos = {(x["product_id"], x["pick_volume"]): x["sk_position_in_order"] for x in picks.collect()}
-    assert pos[("000010", 24)] == 1 and pos[("000020", 5)] == 2 and pos[("000010", 12)] == 3
-    assert pos[("000030", 7)] == 1  # same order number, next year: new order
+    assert pos[("p1", 24)] == 1 and pos[("p2", 5)] == 2 and pos[("p1", 12)] == 3
+    assert pos[("p3", 7)] == 1  # same order number, next year: new order
 
 
 def test_mart_values(spark, run):
@@ -84,7 +85,7 @@ def test_mart_values(spark, run):
     assert rows == {"2018-01-30": 41, None: 7}  # 2019 is outside this calendar
     enriched = read_enriched(spark, base, "f_order_picks")
     groups = {r["product_id"]: r["product_group"] for r in enriched.collect()}
-    assert groups == {"000010": "35_Leuchten", "000020": "38_Leitungen", "000030": None}
+    assert groups == {"p1": "lamps", "p2": "cables", "p3": None}
 
 
 def test_empty_section_list_writes_nothing(spark):
@@ -99,7 +100,6 @@ def test_empty_section_list_writes_nothing(spark):
     run_curation(spark, base, start="2018-01-01", end="2018-12-31")
     assert not os.path.exists(os.path.join(base, "curation", "d_warehouse_section"))
     assert os.path.isdir(os.path.join(base, "curation", "d_product_details"))  # written although empty
-    run_enrichment(spark, base)
     enriched = read_enriched(spark, base, "f_order_picks")
     assert enriched.filter(F.col("description").isNotNull()).isEmpty()
 
@@ -109,13 +109,13 @@ def test_duplicate_products_are_rejected(spark):
     base = tempfile.mkdtemp(prefix="pickmarts-base-")
     raw = RawFiles(
         _write(raw_dir, "pick_data.csv", PICKS),
-        _write(raw_dir, "product_details.csv", PRODUCTS + "000010,again,35_Leuchten\n"),
+        _write(raw_dir, "product_details.csv", PRODUCTS + "p1,again,lamps\n"),
         _write(raw_dir, "warehouse_sections.csv", SECTIONS),
     )
     run_staging(spark, raw, base)
     run_curation(spark, base, start="2018-01-01", end="2018-12-31")
     with pytest.raises(ValueError):
-        run_enrichment(spark, base)
+        run_marts(spark, base)
 
 
 def _rounded(df):
@@ -130,7 +130,7 @@ def test_shared_inputs_give_the_direct_results(spark, run):
         spark.read.parquet(os.path.join(base, "curation", "d_date")),
     )
     for name, spec in MARTS.items():
-        written = _rounded(spark.read.parquet(os.path.join(base, "data_mart", spec.family, name)))
+        written = _rounded(spark.read.parquet(os.path.join(base, "data_mart", spec.family, spec.table)))
         direct = _rounded(spec.build(facts))
         assert written.columns == direct.columns, name
         assert written.exceptAll(direct).isEmpty() and direct.exceptAll(written).isEmpty(), name
@@ -139,14 +139,12 @@ def test_shared_inputs_give_the_direct_results(spark, run):
 def test_full_run_on_driver_tables(spark):
     from conftest import SMOKE_DIR
     from pickmarts.plans.driver_queries import stage_driver_tables
-    from pickmarts.plans.full_run import run_marts
     from pickmarts.sources.tpch_adapter import ADAPTER_CALENDAR_END, ADAPTER_CALENDAR_START
 
     base = tempfile.mkdtemp(prefix="pickmarts-base-")
     stage_driver_tables(spark, SMOKE_DIR, base)
     counts = run_curation(spark, base, ADAPTER_CALENDAR_START, ADAPTER_CALENDAR_END)
     assert counts == {"rows": 6000, "order_picks": 5620, "pick_errors": 361, "returns": 19}
-    run_enrichment(spark, base)
     run_marts(spark, base)
     facts = Facts(
         read_enriched(spark, base, "f_order_picks"),
@@ -155,7 +153,7 @@ def test_full_run_on_driver_tables(spark):
     )
     assert facts.f_order_picks.count() == 5620 and facts.f_pick_errors.count() == 361
     for name, spec in MARTS.items():
-        written = _rounded(spark.read.parquet(os.path.join(base, "data_mart", spec.family, name)))
+        written = _rounded(spark.read.parquet(os.path.join(base, "data_mart", spec.family, spec.table)))
         direct = _rounded(spec.build(facts))
         assert written.exceptAll(direct).isEmpty() and direct.exceptAll(written).isEmpty(), name
 
@@ -179,8 +177,6 @@ def test_sql_mart_writer(spark, run):
 
 
 def test_sorted_mart_output(spark, run):
-    from pickmarts.plans.full_run import run_marts
-
     base, _ = run
     run_marts(spark, base, names=["total_orders_processed", "order_mix"], sort_output=True, parallelism=1)
     import glob
@@ -198,40 +194,34 @@ def test_sorted_mart_output(spark, run):
         assert a[-1] <= b[0]  # ... and files follow each other in part order
 
 
-def test_curation_splits_big_orders(spark):
-    """A low threshold sends most orders through the range-split path: same facts."""
-    from conftest import SMOKE_DIR
-    from pickmarts.plans.driver_queries import stage_driver_tables
-    from pickmarts.sources.tpch_adapter import ADAPTER_CALENDAR_END, ADAPTER_CALENDAR_START
-
-    base_a = tempfile.mkdtemp(prefix="pickmarts-base-")
-    base_b = tempfile.mkdtemp(prefix="pickmarts-base-")
-    for b in (base_a, base_b):
-        stage_driver_tables(spark, SMOKE_DIR, b)
-    run_curation(spark, base_a, ADAPTER_CALENDAR_START, ADAPTER_CALENDAR_END)
-    run_curation(spark, base_b, ADAPTER_CALENDAR_START, ADAPTER_CALENDAR_END, slices=6, max_group_rows=2)
-    for name in ("f_order_picks", "f_pick_errors", "f_returns"):
-        a, b = read_fact(spark, base_a, name), read_fact(spark, base_b, name)
-        assert a.count() == b.count() and a.exceptAll(b).isEmpty(), name
-
+def test_published_layout(spark, run):
+    base, _ = run
+    assert sorted(os.listdir(os.path.join(base, "curation"))) == [
+        "_keyed_picks", "d_date", "d_product_details", "d_warehouse_section",
+        "f_order_picks", "f_pick_errors", "f_returns",
+    ]
+    returns = spark.read.parquet(os.path.join(base, "curation", "f_returns"))
+    assert {"return_volume", "return_timestamp", "return_date"} <= set(returns.columns)
+    assert "pick_volume" not in returns.columns
+    throughput = os.listdir(os.path.join(base, "data_mart", "pick_throughput"))
+    assert sorted(throughput) == [
+        "pick_throughput", "pick_throughput_origin", "pick_throughput_product_group",
+        "pick_throughput_warehouse_section", "pick_throughput_weekly",
+    ]
+    assert not spark.catalog.tableExists(BUCKET_TABLE)
+
+
+def test_sections_are_sorted_descending_within_a_week(spark, run):
+    import glob
 
-def test_large_product_list_writes_enriched_facts(spark):
-    """Above the broadcast limit the enriched facts are written once; same marts."""
-    from conftest import SMOKE_DIR
-    from pickmarts.plans.driver_queries import stage_driver_tables
-    from pickmarts.plans.full_run import run_marts
-    from pickmarts.sources.tpch_adapter import ADAPTER_CALENDAR_END, ADAPTER_CALENDAR_START
+    import pyarrow.parquet as pq
 
-    base = tempfile.mkdtemp(prefix="pickmarts-base-")
-    stage_driver_tables(spark, SMOKE_DIR, base)
-    run_curation(spark, base, ADAPTER_CALENDAR_START, ADAPTER_CALENDAR_END)
-    assert run_enrichment(spark, base) is False
-    assert not os.path.exists(os.path.join(base, "curation", "enriched_facts"))
-    inline = read_enriched(spark, base, "f_order_picks")
-    assert run_enrichment(spark, base, max_inline_products=10) is True
-    written = read_enriched(spark, base, "f_order_picks", inline=False)
-    assert inline.count() == written.count() == 5620
-    assert inline.exceptAll(written.select(*inline.columns)).isEmpty()
+    base, _ = run
+    name = "warehouse_utilization_per_section"
+    run_marts(spark, base, names=[name], sort_output=True)
+    files = sorted(glob.glob(os.path.join(base, "data_mart", name, name, "part-*.parquet")))
+    rows = [(r["week"], r["warehouse_section"]) for f in files for r in pq.read_table(f).to_pylist()]
+    assert rows == [("2018_05", "bay"), ("2018_05", "aisle"), (None, None)]
 
 
 def test_full_run_from_raw_csv_matches_registered_queries(spark):
@@ -261,7 +251,7 @@ def test_full_run_from_raw_csv_matches_registered_queries(spark):
     run_all(spark, raw, base, start=ADAPTER_CALENDAR_START, end=ADAPTER_CALENDAR_END, multiline=False)
     queries = all_queries()
     for name, spec in MARTS.items():
-        written = _rounded(spark.read.parquet(os.path.join(base, "data_mart", spec.family, name)))
+        written = _rounded(spark.read.parquet(os.path.join(base, "data_mart", spec.family, spec.table)))
         direct = _rounded(queries[name](spark, SMOKE_DIR))
         assert written.exceptAll(direct).isEmpty() and direct.exceptAll(written).isEmpty(), name
 
@@ -290,31 +280,17 @@ def test_order_level_marts_read_the_bucketed_input_without_shuffle(spark, run):
     from pickmarts.plans.full_run import build_mart_inputs
 
     base, _ = run
-    order_days = build_mart_inputs(spark, base, {"order_days"})["order_days"]
-    df = order_mix(order_days)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "Exchange hashpartitioning(sk_order_id" not in final
-
-
-def test_bucketed_input_falls_back_to_plain_files(spark, run, monkeypatch):
-    """Without a usable catalog the order-level input is written as plain files: same marts."""
-    from pyspark.errors import AnalysisException
-    from pyspark.sql.readwriter import DataFrameWriter
-
-    from pickmarts.operators.orders import order_mix
-    from pickmarts.plans.full_run import build_mart_inputs
-
-    base, _ = run
-
-    def refuse(self, *args, **kwargs):
-        raise AnalysisException("catalog refuses tables")
-
-    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
     plain = build_mart_inputs(spark, base, {"order_days"})["order_days"]
     # collected now: the next build overwrites the same files
     from_plain = sorted(map(tuple, _rounded(order_mix(plain)).collect()), key=str)
-    monkeypatch.undo()
-    bucketed = build_mart_inputs(spark, base, {"order_days"})["order_days"]
-    from_bucketed = sorted(map(tuple, _rounded(order_mix(bucketed)).collect()), key=str)
-    assert from_plain == from_bucketed and len(from_plain) > 0
+    try:
+        order_days = build_mart_inputs(spark, base, {"order_days"}, bucket_table="t_order_days", buckets=4)["order_days"]
+        df = order_mix(order_days)
+        assert sorted(map(tuple, _rounded(df).collect()), key=str) == from_plain and from_plain
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "Exchange hashpartitioning(sk_order_id" not in final
+        with pytest.raises(ValueError):
+            build_mart_inputs(spark, base, {"order_days"}, bucket_table="t_order_days")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS t_order_days")

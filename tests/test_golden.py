@@ -1,7 +1,7 @@
 """The original test suite's twelve golden results, on our own fixture rows.
 
 Fixture: one customer order (origin 48) of one product group picked on one day
-(37 picks: 8 in HRL summing to 176, 29 in AKL summing to 92) and six pick
+(37 picks: 8 in one section summing to 176, 29 in another summing to 92) and six pick
 errors spread over two origins, four product groups and three sections; the
 calendar holds that one day.
 """
@@ -18,30 +18,30 @@ from pickmarts.operators import pick_errors, total_orders_processed, total_pick_
 DAY = dt.date(2018, 1, 30)
 CAL = ("2018_05", "2018_01", "2018_Q1", "2018_H1", 2018)
 
-# Product groups of the golden fixture.
-LEUCHTEN = "35_Leuchten"
-INSTALL = "31_Install.-Befestigungs-Mat."
-LEITUNGEN = "38_Leitungen"
-NETZWERK = "42_Netzwerktechnik"
-VERTEILER = "34_Verteiler_Schränke"
+# Invented product groups.
+LAMPS = "lamps"
+FIXINGS = "fixings"
+CABLES = "cables"
+NETWORK = "network"
+CABINETS = "cabinets"
 
 
 @pytest.fixture(scope="module")
 def golden(spark):
     picks = []
     for i in range(8):
-        picks.append(fact_row(section="HRL", order="08197426", volume=22, when=f"2018-01-30 10:{i:02d}:00",
-                              seq=i + 1, group=LEUCHTEN))
+        picks.append(fact_row(section="bay", order="70000001", volume=22, when=f"2018-01-30 10:{i:02d}:00",
+                              seq=i + 1, group=LAMPS))
     for i in range(29):
-        picks.append(fact_row(section="AKL", order="08197426", volume=8 if i == 0 else 3,
-                              when=f"2018-01-30 12:{i:02d}:00", seq=9 + i, group=LEUCHTEN))
+        picks.append(fact_row(section="aisle", order="70000001", volume=8 if i == 0 else 3,
+                              when=f"2018-01-30 12:{i:02d}:00", seq=9 + i, group=LAMPS))
     errors = [
-        fact_row(section="AKL", origin=48, order="08202478", volume=0, group=INSTALL),
-        fact_row(section="AKL", origin=46, order="08196941", volume=0, group=LEITUNGEN),
-        fact_row(section="Manuell", origin=48, order="08196537", volume=0, group=INSTALL),
-        fact_row(section="AKL", origin=48, order="08204769", volume=0, group=INSTALL),
-        fact_row(section="AKL", origin=46, order="08196000", volume=0, group=NETZWERK),
-        fact_row(section="HRL", origin=48, order="08196111", volume=0, group=VERTEILER),
+        fact_row(section="aisle", origin=48, order="70000002", volume=0, group=FIXINGS),
+        fact_row(section="aisle", origin=46, order="70000003", volume=0, group=CABLES),
+        fact_row(section="cart", origin=48, order="70000004", volume=0, group=FIXINGS),
+        fact_row(section="aisle", origin=48, order="70000005", volume=0, group=FIXINGS),
+        fact_row(section="aisle", origin=46, order="70000006", volume=0, group=NETWORK),
+        fact_row(section="bay", origin=48, order="70000007", volume=0, group=CABINETS),
     ]
     return facts(spark, picks), facts(spark, errors), calendar(spark, "2018-01-30")
 
@@ -53,7 +53,7 @@ def test_total_pick_volume(golden):
 
 @pytest.mark.parametrize(
     "g,want",
-    [("origin", [(48, 268)]), ("product_group", [(LEUCHTEN, 268)]), ("warehouse_section", [("AKL", 92), ("HRL", 176)])],
+    [("origin", [(48, 268)]), ("product_group", [(LAMPS, 268)]), ("warehouse_section", [("aisle", 92), ("bay", 176)])],
 )
 def test_total_pick_volume_drill_down(golden, g, want):
     f, _, d = golden
@@ -67,7 +67,7 @@ def test_total_orders_processed(golden):
 
 @pytest.mark.parametrize(
     "g,want",
-    [("origin", [48]), ("product_group", [LEUCHTEN]), ("warehouse_section", ["AKL", "HRL"])],
+    [("origin", [48]), ("product_group", [LAMPS]), ("warehouse_section", ["aisle", "bay"])],
 )
 def test_total_orders_processed_drill_down(golden, g, want):
     f, _, d = golden
@@ -83,8 +83,8 @@ def test_pick_errors(golden):
     "g,want",
     [
         ("origin", [(46, 2, None), (48, 4, 37)]),
-        ("product_group", [(INSTALL, 3, None), (VERTEILER, 1, None), (LEITUNGEN, 1, None), (NETZWERK, 1, None)]),
-        ("warehouse_section", [("AKL", 4, 29), ("HRL", 1, 8), ("Manuell", 1, None)]),
+        ("product_group", [(FIXINGS, 3, None), (CABINETS, 1, None), (CABLES, 1, None), (NETWORK, 1, None)]),
+        ("warehouse_section", [("aisle", 4, 29), ("bay", 1, 8), ("cart", 1, None)]),
     ],
 )
 def test_pick_errors_drill_down(golden, g, want):

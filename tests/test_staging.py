@@ -1,4 +1,4 @@
-"""Headerless latin-1 CSV with declared schemas."""
+"""Headerless latin-1 CSV read as the original loader reads it."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ import datetime as dt
 import os
 import tempfile
 
+import pandas as pd
 import pytest
 
+from pickmarts.schemas import RAW_PICK_DATA, RAW_PRODUCT_DETAILS, STAGED_PICK_COLUMNS
 from pickmarts.sources.staging import read_pick_data, read_product_details, read_warehouse_sections
 
+NOON = "2021-05-04 12:00:00.000000"
+
 
 def _write(text: str, name: str) -> str:
     d = tempfile.mkdtemp(prefix="pickmarts-csv-")
@@ -19,110 +23,83 @@ def _write(text: str, name: str) -> str:
     return p
 
 
-def test_pick_data_parses_and_types(spark):
-    p = _write(
-        "000010,HRL,48,08197426,0001,24,St,2018-01-30 10:52:31.000000\n"
-        "D72590,Manuell,46,08196537,0002,0,Mt,2018-01-30 03:42:41.5\n"
-        "232357,AKL,48,NA,0005,-3,St,2018-12-31 23:59:59.123456\n",
-        "pick_data.csv",
-    )
-    df = read_pick_data(spark, p)
-    assert df.columns == [
-        "product_id", "warehouse_section", "origin", "order_number", "position_in_order",
-        "pick_volume", "quantity_unit", "pick_timestamp", "pick_date",
-    ]
+def _picks(spark, *lines: str, **options):
+    return read_pick_data(spark, _write("\n".join(lines) + "\n", "picks.csv"), **options)
+
+
+def test_columns_and_types(spark):
+    df = _picks(spark, f"x1,north,48,o1,p1,24,pc,{NOON}")
+    assert df.columns == list(STAGED_PICK_COLUMNS)
     types = dict(df.dtypes)
     assert types["origin"] == "int" and types["pick_volume"] == "bigint"
     assert types["pick_timestamp"] == "timestamp_ntz" and types["pick_date"] == "date"
-    rows = sorted(df.collect(), key=lambda r: r["pick_timestamp"])
-    assert rows[0]["product_id"] == "D72590"  # ids stay text
-    assert rows[0]["pick_timestamp"] == dt.datetime(2018, 1, 30, 3, 42, 41, 500000)
-    assert rows[1]["product_id"] == "000010" and rows[1]["pick_date"] == dt.date(2018, 1, 30)
-    assert rows[2]["order_number"] is None  # 'NA' means missing
-    assert rows[2]["pick_volume"] == -3
+
+
+# lines the original loader accepts, with its reading of origin, volume and date
+ACCEPTED = [
+    (f"007,north,48,0010,02,24,pc,{NOON}", 48, 24, dt.datetime(2021, 5, 4, 12)),
+    ("x,north,46,o,p,-3,pc,2021-05-04 23:59:59.123456", 46, -3, dt.datetime(2021, 5, 4, 23, 59, 59, 123456)),
+    ("x,north,46,o,p,0,pc,2021-05-04 01:02:03.5", 46, 0, dt.datetime(2021, 5, 4, 1, 2, 3, 500000)),
+    (f"x,north, 46,o,p, 7,pc,{NOON}", 46, 7, dt.datetime(2021, 5, 4, 12)),
+    (f"x,north,+46,o,p,+7,pc,{NOON}", 46, 7, dt.datetime(2021, 5, 4, 12)),
+    ("x,north,46,o,p,7,pc,", 46, 7, None),
+    ("x,north,46,o,p,7", 46, 7, None),
+    ("x,north,46,o,p,7,pc,2021-5-4 1:02:03.25", 46, 7, dt.datetime(2021, 5, 4, 1, 2, 3, 250000)),
+    ("x,north,46,o,p,7,pc,2021-05-04 01:02:03.123456789", 46, 7, dt.datetime(2021, 5, 4, 1, 2, 3, 123456)),
+]
+
+
+@pytest.mark.parametrize("line, origin, volume, when", ACCEPTED)
+def test_accepted_like_pandas(spark, line, origin, volume, when):
+    row = _picks(spark, line).collect()[0]
+    assert (row["origin"], row["pick_volume"], row["pick_timestamp"]) == (origin, volume, when)
+    assert row["pick_date"] == (when.date() if when else None)
+    names = [f.name for f in RAW_PICK_DATA.fields]
+    kinds = {n: str for n in names} | {"origin": int, "pick_volume": int}
+    want = pd.read_csv(_write(line + "\n", "p.csv"), header=None, names=names, dtype=kinds, encoding="iso-8859-1").iloc[0]
+    assert (want["origin"], want["pick_volume"]) == (origin, volume)
+    stamp = pd.to_datetime(want["date"], format="%Y-%m-%d %H:%M:%S.%f")
+    assert (None if pd.isna(stamp) else stamp.floor("us").to_pydatetime()) == when
+    for c in ("product_id", "warehouse_section", "order_number", "position_in_order", "quantity_unit"):
+        assert row[c] == (None if pd.isna(want[c]) else want[c])
 
 
 @pytest.mark.parametrize(
     "line",
     [
-        "000010,HRL,,08197426,0001,24,St,2018-01-30 10:52:31.000000",  # missing int
-        "000010,HRL,4x,08197426,0001,24,St,2018-01-30 10:52:31.000000",  # malformed int
-        "000010,HRL,48,08197426,0001,24,St,2018-01-30 10:52:31",  # timestamp without fraction
-        "000010,HRL,48,08197426,0001,,St,2018-01-30 10:52:31.000000",  # missing volume
+        f"x,north,,o,p,24,pc,{NOON}",
+        f"x,north,4x,o,p,24,pc,{NOON}",
+        f"x,north,48,o,p,,pc,{NOON}",
+        f"x,north,48,o,p,2.5,pc,{NOON}",
+        "x,north,48,o,p,24,pc,2021-05-04 12:00:00",
+        "x,north,48,o,p,24,pc,2021-13-04 12:00:00.0",
+        f"x,north,48,o,p,24,pc,{NOON},surplus",
+        "x",
     ],
 )
-def test_pick_data_rejects_bad_rows(spark, line):
-    p = _write(line + "\n", "pick_data.csv")
+def test_rejected(spark, line):
     with pytest.raises(Exception):
-        read_pick_data(spark, p).collect()
-
-
-def test_product_details_latin1_quotes_newlines(spark):
-    p = _write(
-        '000010,"ETAP U738R1, ""LED"" Leuchte",35_Leuchten\n'
-        '232357,"NIEDAX Hängestiel\nHUF50/400",31_Install.-Befestigungs-Mat.\n'
-        "F22429,NULL,nan\n",
-        "product_details.csv",
-    )
-    rows = {r["product_id"]: r for r in read_product_details(spark, p).collect()}
-    assert rows["000010"]["description"] == 'ETAP U738R1, "LED" Leuchte'
-    assert rows["232357"]["description"] == "NIEDAX Hängestiel\nHUF50/400"
-    assert rows["F22429"]["description"] is None and rows["F22429"]["product_group"] is None
-
-
-def test_warehouse_sections(spark):
-    p = _write("AKL,Automatisches Kleinteilelager,Lager,Ü1\nHRL,Hochregallager,Lager,N/A\n", "warehouse_sections.csv")
-    rows = {r["abbreviation"]: r for r in read_warehouse_sections(spark, p).collect()}
-    assert rows["AKL"]["pick_reference"] == "Ü1" and rows["HRL"]["pick_reference"] is None
-    assert read_warehouse_sections(spark, p).columns == ["abbreviation", "description", "group", "pick_reference"]
-
-
-def test_splittable_read_without_multiline(spark):
-    p = _write(
-        "000010,HRL,48,08197426,0001,24,St,2018-01-30 10:52:31.000000\n"
-        "000011,Übergabe,46,08197427,0002,3,St,2018-01-31 00:00:00.000001\n",
-        "pick_data.csv",
-    )
-    rows = sorted(read_pick_data(spark, p, multiline=False).collect(), key=lambda r: r["product_id"])
-    assert [r["warehouse_section"] for r in rows] == ["HRL", "Übergabe"]
-    assert rows[1]["pick_timestamp"] == dt.datetime(2018, 1, 31, 0, 0, 0, 1)
-
-
-def test_staging_equals_pandas_read_csv(spark):
-    """Same values as pandas.read_csv with the original loader's settings (NaN read as NULL)."""
-    import pandas as pd
-
-    products = (
-        '000010,"ETAP, ""LED"" Leuchte",35_Leuchten\n'
-        '232357,"NIEDAX Hängestiel\nHUF50/400",31_Install.\n'
-        "F22429,NA,nan\n"
-        "D72590,Profil ÄÖÜ ß,NULL\n"
-        "A1,,x\n"
-    )
-    picks = (
-        "000010,HRL,48,08197426,0001,24,St,2018-01-30 10:52:31.000000\n"
-        "D72590,Manuell,46,NA,0002,-3,Mt,2018-01-30 03:42:41.5\n"
-        "232357,AKL,48,08202478,0005,0,St,2018-12-31 23:59:59.123456\n"
-    )
-    pp, pk = _write(products, "product_details.csv"), _write(picks, "pick_data.csv")
-
-    want_p = pd.read_csv(pp, header=None, names=["product_id", "description", "product_group"],
-                         dtype=str, encoding="iso-8859-1")
-    got_p = read_product_details(spark, pp).toPandas()
-    norm = lambda df: [tuple(None if pd.isna(v) else v for v in row) for row in df.itertuples(index=False)]
-    assert sorted(norm(got_p), key=str) == sorted(norm(want_p), key=str)
-
-    cols = ["product_id", "warehouse_section", "origin", "order_number", "position_in_order", "pick_volume",
-            "quantity_unit", "date"]
-    dtypes = {c: str for c in cols} | {"origin": int, "pick_volume": int}
-    want = pd.read_csv(pk, header=None, names=cols, dtype=dtypes, encoding="iso-8859-1")
-    want["pick_timestamp"] = pd.to_datetime(want["date"], format="%Y-%m-%d %H:%M:%S.%f")
-    got = read_pick_data(spark, pk).toPandas()
-    got = got.sort_values("pick_timestamp").reset_index(drop=True)
-    want = want.sort_values("pick_timestamp").reset_index(drop=True)
-    for c in ["product_id", "warehouse_section", "order_number", "position_in_order", "quantity_unit"]:
-        assert norm(got[[c]]) == norm(want[[c]]), c
-    assert got["origin"].tolist() == want["origin"].tolist()
-    assert got["pick_volume"].tolist() == want["pick_volume"].tolist()
-    assert [t.to_pydatetime() for t in got["pick_timestamp"]] == [t.to_pydatetime() for t in want["pick_timestamp"]]
-    assert got["pick_date"].tolist() == [t.date() for t in want["pick_timestamp"]]
+        _picks(spark, line).collect()
+
+
+def test_lists_like_pandas(spark):
+    text = 'a1,"Desk lamp, ""warm""",light\nb2,"Rack\nÄÖÜ",metal\nc3,NULL,nan\nd4,,x\ne5\n'
+    p = _write(text, "products.csv")
+    names = [f.name for f in RAW_PRODUCT_DETAILS.fields]
+    want = pd.read_csv(p, header=None, names=names, dtype=str, encoding="iso-8859-1")
+    want = [tuple(None if pd.isna(v) else v for v in r) for r in want.itertuples(index=False)]
+    assert sorted(map(tuple, read_product_details(spark, p).collect())) == sorted(want)
+    sections = read_warehouse_sections(spark, _write("N,north hall,hall,Ü1\nS,south hall,hall,N/A\n", "sections.csv"))
+    assert sorted(map(tuple, sections.collect())) == [("N", "north hall", "hall", "Ü1"), ("S", "south hall", "hall", None)]
+
+
+def test_a_large_file_is_read_by_several_tasks(spark):
+    path = _write("".join(f"x{i},north,48,o{i},p,{i},pc,{NOON}\n" for i in range(200_000)), "picks.csv")
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    try:
+        df = read_pick_data(spark, path)
+        assert df.rdd.getNumPartitions() > 2
+        assert df.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
