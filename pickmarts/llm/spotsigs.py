@@ -57,6 +57,7 @@ ANCHORS = "a an the is was that of der die das ein ist von le la les un est de e
 CHAIN = 2
 DOCS_PER_RANGE = 2048
 MOST_RANGES = 4096
+CHUNK_BYTES = 2 << 20
 
 _U = np.uint64
 
@@ -165,7 +166,7 @@ def _first_batches(borders: np.ndarray):
     return run
 
 
-def _compared(rows: list[tuple[int, bytes]], followed: list[bool]) -> pa.RecordBatch | None:
+def _compared(rows: list[tuple[int, bytes]], followed: list[bool]) -> pa.RecordBatch:
     """Result rows of consecutive documents; ``followed[i]``: row i + 1 is the successor of row i, else it has none.
 
     Rows after the last entry of ``followed`` only serve as successors.
@@ -178,8 +179,6 @@ def _compared(rows: list[tuple[int, bytes]], followed: list[bool]) -> pa.RecordB
         successor = rows[i + 1][1].decode("utf-8") if follows else ""
         edited.append((text[: len(text) - half] + successor[:half]).encode("utf-8"))
         lengths.append(len(text))
-    if not edited:
-        return None
     h, doc = signatures(own)
     at = np.searchsorted(doc, np.arange(len(rows) + 1))
     eh, edoc = signatures(texts_from_bytes(edited))
@@ -202,36 +201,30 @@ def _compared(rows: list[tuple[int, bytes]], followed: list[bool]) -> pa.RecordB
 
 
 def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Walks through the sorted rows of ranges; holds about CHUNK_BYTES of text."""
     unpack = zstandard.ZstdDecompressor()
     rows: list[tuple[int | None, bytes]] = []
-    followed: list[bool] = []  # known for all rows but the last
-    last: tuple = ()  # range and tail of the last row
+    followed: list[bool] = []  # of every row but the last
+    open_range = None  # range of the last row, while its successor may still come
     held = 0
-
-    def flush(keep_last: bool) -> Iterator[pa.RecordBatch]:
-        nonlocal rows, followed, held
-        out = _compared(rows, followed)
-        rows = rows[-1:] if keep_last else []
-        followed, held = [], 0
-        if out is not None:
-            yield out
-
     for batch in batches:
         for block, tail, doc_id, packed in zip(*[c.to_pylist() for c in batch.columns]):
-            same = bool(last) and last[0] == block and doc_id is not None
-            if tail and (not same or last[1]):
-                continue  # only the first of the rows sent ahead is needed
-            if rows and last and not last[1]:
+            same = block == open_range and doc_id is not None
+            if tail and not same:
+                continue  # a range sent ahead more than its first row, or this range is empty
+            if rows:
                 followed.append(same)
-            if held > (2 << 20) or (rows and last[1]):
-                yield from flush(keep_last=not last[1])
             text = unpack.decompress(packed)
             rows.append((doc_id, text))
             held += len(text)
-            last = (block, tail)
-    if rows and not last[1]:
-        followed.append(False)
-    yield from flush(keep_last=False)
+            open_range = None if tail else block
+            if tail or held > CHUNK_BYTES:
+                if followed:
+                    yield _compared(rows, followed)
+                rows, followed = ([] if tail else rows[-1:]), []
+                held = sum(len(t) for _, t in rows)
+    if rows:
+        yield _compared(rows, [*followed, False])
 
 
 def likeness_to_next(df: DataFrame) -> DataFrame:
