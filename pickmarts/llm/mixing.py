@@ -12,7 +12,7 @@ are taken in rank order up to the words that the remainders stand for, and the
 document across that line is taken if its larger half lies below. u is hashed
 from the document, so reruns agree.
 
-Built-in functions only. Ranks are never ordered in one task: blocks of the rank
+Built-in functions only. Ranks are never ordered in one task: blocks of u
 are summed first, and rows are ordered inside (source, block); a source's block
 holds about 1/65536 of it. The table of sources has one row per source.
 
@@ -67,37 +67,40 @@ def _source_key(source: Column) -> Column:
 
 
 def mix(
-    df: DataFrame, size: Column, doc_id: str = "doc_id", source: str = "source", tie: Column | None = None, sums: DataFrame | None = None
+    df: DataFrame,
+    size: Column,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    tie: Column | None = None,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
-    """All rows and columns of ``df`` with size, source_size, target, copies and taken (words, repeats counted).
+    """All rows and columns of ``df`` with size, source_size, target, rank, copies and taken (words, repeats counted).
 
     ``size`` counts a row's words and ``tie`` orders rows of one id. ``sums`` may
     give a cheaper DataFrame of the same rows to take the totals from, with
     columns ``doc_id``, ``source`` and ``__size``.
     """
-    df = drop_named(df, "size", "source_size", "target", "copies", "taken")
+    df = drop_named(df, "size", "source_size", "target", "rank", "copies", "taken")
     rows = df.withColumn("__key", _source_key(F.col(source))).withColumn("__size", size.cast("long"))
     rows = rows.withColumn("__tie", tie if tie is not None else F.lit(0))
     base = sums if sums is not None else rows
     base = base.select(F.col(doc_id), _source_key(F.col(source)).alias("__key"), "__size")
     targets = source_targets(base)
 
-    def ranked(d: DataFrame) -> DataFrame:
-        expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    # the remainder p is one for a source, so its documents rank by odds of u as they do by odds of u over those
+    # of p: blocks and order need u alone, and no row has to be dealt by its source to learn its target first
+    def drawn(d: DataFrame) -> DataFrame:
         u = hash_unit(F.lit("mix"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
-        p = F.col("__expected") - F.col("__whole")
-        rank = F.when(p > 0, u / (1.0 - u) / (p / (1.0 - p)))
-        block = F.floor(F.col("__rank") / (1.0 + F.col("__rank")) * RANK_BLOCKS).cast("long")
-        return (
-            d.join(targets, "__key", "left")
-            .withColumn("__expected", expected)
-            .withColumn("__whole", F.floor("__expected").cast("long"))
-            .withColumn("__rank", rank)
-            .withColumn("__block", F.coalesce(block, F.lit(-1).cast("long")))
-        )
-
-    order = [F.col("__rank"), F.col(doc_id), F.col("__tie")]
-    out = running_total(ranked(rows), ["__key"], "__block", order, F.col("__size"), "__earlier", totals_from=ranked(base))
+        return d.withColumn("__u", u).withColumn("__block", F.floor(F.col("__u") * RANK_BLOCKS).cast("long"))
+
+    order = [F.col("__u"), F.col(doc_id), F.col("__tie")]
+    out = running_total(
+        drawn(rows), ["__key"], "__block", order, F.col("__size"), "__earlier", totals_from=drawn(base), attach=targets
+    )
+    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    out = out.withColumn("__whole", F.floor(expected).cast("long")).withColumn("__p", expected - F.floor(expected))
+    odds = F.col("__u") / (1.0 - F.col("__u"))
+    out = out.withColumn("__rank", F.when(F.col("__p") > 0, odds * (1.0 - F.col("__p")) / F.col("__p")))
     # the words the remainders of the source stand for
     rest = F.col("target") - F.col("__whole") * F.col("source_size")
     chosen = F.col("__rank").isNotNull() & (2 * F.col("__earlier") + F.col("__size") <= 2 * rest + SLACK)
@@ -107,6 +110,7 @@ def mix(
         F.col("__size").alias("size"),
         "source_size",
         "target",
+        F.col("__rank").alias("rank"),
         "copies",
         (F.col("copies") * F.col("__size")).alias("taken"),
     )
