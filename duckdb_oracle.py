@@ -98,7 +98,7 @@ def total_orders_processed(g: str | None) -> str:
     empty = f", NULL AS {g}" if g else ""
     return PICKS + f"""
 , counted AS (
-  SELECT day{_by(g)}, count(*) AS n FROM (SELECT DISTINCT day{_by(g)}, sk_order_id FROM f) WHERE day IS NOT NULL GROUP BY ALL
+  SELECT day{_by(g)}, count(sk_order_id) AS n FROM (SELECT DISTINCT day{_by(g)}, sk_order_id FROM f) WHERE day IS NOT NULL GROUP BY ALL
   UNION ALL
   SELECT day{empty}, 0 FROM (FROM days EXCEPT SELECT day FROM f)
 )
@@ -143,7 +143,7 @@ def order_mix() -> str:
 SELECT sk_order_id, warehouse_section,
   (SELECT min(pick_date) FROM f WHERE f.sk_order_id = cells.sk_order_id) AS order_date,
   {_percent(
-      "SELECT sum(pick_volume) FROM f WHERE f.sk_order_id = cells.sk_order_id AND f.warehouse_section = cells.warehouse_section",
+      "SELECT sum(pick_volume) FROM f WHERE f.sk_order_id = cells.sk_order_id AND f.warehouse_section IS NOT DISTINCT FROM cells.warehouse_section",
       "SELECT sum(pick_volume) FROM f WHERE f.sk_order_id = cells.sk_order_id",
   )} AS section_pick_percentage
 FROM cells"""
@@ -155,10 +155,10 @@ def avg_products_picked_per_order() -> str:
 placed AS (
   SELECT DISTINCT sk_order_id, product_id,
     (SELECT CASE WHEN low BETWEEN DATE '{CALENDAR_START}' AND DATE '{CALENDAR_END}' THEN low END
-     FROM firsts WHERE firsts.sk_order_id = f.sk_order_id) AS first_day
+     FROM firsts WHERE firsts.sk_order_id IS NOT DISTINCT FROM f.sk_order_id) AS first_day
   FROM f
 )
-SELECT {_labels('first_day', 'week')}, count(*)::DOUBLE / count(DISTINCT sk_order_id) AS avg_products_picked_per_order
+SELECT {_labels('first_day', 'week')}, count(*)::DOUBLE / count(DISTINCT coalesce(sk_order_id, '')) AS avg_products_picked_per_order
 FROM placed GROUP BY 1"""
 
 
@@ -168,15 +168,15 @@ def order_count_by_type() -> str:
     return PICKS + f"""
 , weeks AS (
   SELECT {_labels('day', 'week')},
-    nullif(count(DISTINCT sk_order_id) FILTER (origin = 48), 0) AS v48,
-    nullif(count(DISTINCT sk_order_id) FILTER (origin = 46), 0) AS v46
+    CASE WHEN bool_or(origin = 48) THEN count(DISTINCT sk_order_id) FILTER (origin = 48) END AS v48,
+    CASE WHEN bool_or(origin = 46) THEN count(DISTINCT sk_order_id) FILTER (origin = 46) END AS v46
   FROM f GROUP BY 1
 ),
 -- days outside the calendar have no week in common: one row for each origin
 rows_ AS (
-  SELECT week, v48, v46 FROM weeks WHERE week IS NOT NULL
-  UNION ALL SELECT NULL, v48, NULL FROM weeks WHERE week IS NULL AND v48 > 0
-  UNION ALL SELECT NULL, NULL, v46 FROM weeks WHERE week IS NULL AND v46 > 0
+  SELECT week, v48, v46 FROM weeks WHERE week IS NOT NULL AND coalesce(v48, v46) IS NOT NULL
+  UNION ALL SELECT NULL, v48, NULL FROM weeks WHERE week IS NULL AND v48 IS NOT NULL
+  UNION ALL SELECT NULL, NULL, v46 FROM weeks WHERE week IS NULL AND v46 IS NOT NULL
 )
 SELECT week, {a}::BIGINT AS order_volume_48, {b}::BIGINT AS order_volume_46, (v48 + v46)::BIGINT AS total_order_volume,
   {_percent('v48', 'v48 + v46')} AS order_percentage_48, {_percent('v46', 'v48 + v46')} AS order_percentage_46,

@@ -202,8 +202,9 @@ def test_hourly_input_is_zone_independent(spark, tz):
         fact_row(volume=7, when="2018-10-28 02:15:00"),
         fact_row(volume=1, when="2018-01-30 23:59:59"),
     ])
+    products = spark.createDataFrame([], "product_id string, product_group string")
     spark.conf.set("spark.sql.session.timeZone", tz)
     try:
-        assert rows_of(pick_throughput_hourly(hourly_volume(f))) == rows_of(pick_throughput_hourly(f))
+        assert rows_of(pick_throughput_hourly(hourly_volume(f, products))) == rows_of(pick_throughput_hourly(f))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
