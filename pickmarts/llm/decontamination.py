@@ -3,9 +3,9 @@
 Words are runs of letters and digits (A-Z folded). A test item gives its runs
 of ``SEED`` words as seeds (a shorter item gives one seed of all its words). Seeds
 are counted over all documents; an item keeps its rare ones: those in at most
-``RARE_SHARE`` of the documents, and in any case those no more frequent than its
-own lower quartile, so that an item copied into a third of the corpus keeps seeds
-too. Where a kept seed occurs in a document, the passage around it on the seed's
+``RARE_SHARE`` of the documents, and in any case those at most ``COMMON_TIMES`` as
+frequent as its own lower quartile, so that an item copied into a third of the
+corpus, with edits here and there, keeps its seeds too. Where a kept seed occurs in a document, the passage around it on the seed's
 diagonal is aligned with the whole item (match 2, mismatch -1, gap -1). The
 alignment's score over that of a perfect copy is the leak score: paraphrased or
 edited copies lose some points, chance seeds nearly all.
@@ -45,6 +45,7 @@ from pickmarts.llm.textwords import (
 SEED = 3
 SEGMENT = 256
 RARE_SHARE = 0.001
+COMMON_TIMES = 10
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_BYTES = 4 << 20
@@ -140,7 +141,8 @@ def rare_seeds(df: DataFrame, items: Items, text: str = "text") -> Items:
     starts = np.searchsorted(items.segment[order], np.arange(len(items.words) + 1))
     for k in range(len(items.words)):
         own = each[order[starts[k] : starts[k + 1]]]
-        line[k] = max(np.quantile(own, 0.25) if len(own) else 0, RARE_SHARE * counts.get(-1, 0))
+        usual = max(np.quantile(own, 0.25), 1) if len(own) else 1
+        line[k] = max(COMMON_TIMES * usual, RARE_SHARE * counts.get(-1, 0))
     return items.kept(each <= line[items.segment])
 
 
