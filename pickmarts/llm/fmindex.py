@@ -48,8 +48,8 @@ from pickmarts.llm.textwords import Words, batches_by_bytes, mix64, texts_from_b
 WINDOW = 13
 GRAM = 4
 SHARD_WORDS = 1 << 15
+WORD_BYTES = 6  # of a usual word and its space, to count shards
 HOT_PASSAGES = 500
-CODE_BYTES = 6  # of a word's hash that passages carry
 
 _U = np.uint64
 _I = np.int64
@@ -63,6 +63,7 @@ def _anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     n = len(words.hash)
     if not len(start):
         return doc, start, start, np.zeros(0, np.uint64)
+
     gram = np.zeros(n, np.uint64)
     for k in range(GRAM):
         gram[: n - k] = gram[: n - k] * _U(0x2545F4914F6CDD1D) + words.hash[k:]
@@ -140,28 +141,30 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         use = want[k] == have if len(want) else np.zeros(len(have), bool)
         first, windows = first[use], windows[use]
         rows, ids = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        last = start[first] + windows + WINDOW - 2
+        names = np.zeros(len(first), np.uint64)
         for n in np.unique(windows):
-            f = first[windows == n]
-            content = words.hash[start[f][:, None] + np.arange(n + WINDOW - 1)]
-            name = np.full(len(f), _U(n))
+            same = windows == n
+            content = words.hash[start[first[same]][:, None] + np.arange(n + WINDOW - 1)]
+            name = np.full(len(content), _U(n))
             for c in range(content.shape[1]):
                 name = mix64(name + content[:, c])
-            codes = content.astype("<u8").view(np.uint8).reshape(len(f), -1, 8)[:, :, :CODE_BYTES]
-            width = codes.shape[1] * CODE_BYTES
-            body = pa.py_buffer(np.ascontiguousarray(codes).tobytes())
-            offsets = pa.py_buffer((np.arange(len(f) + 1) * width).astype(np.int32).tobytes())
-            d = doc[f]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows[d]),
-                    pa.array(ids[d]),
-                    pa.array((start[f] - words.first[d]).astype(np.int32)),
-                    pa.array(gram[f].view(_I)),
-                    pa.array(name.view(_I)),
-                    pa.Array.from_buffers(pa.binary(), len(f), [None, offsets, body]),
-                ],
-                names=["row", "doc_id", "start", "anchor", "passage", "content"],
-            )
+            names[same] = name
+        data = b"".join(raw)
+        spans = zip(words.start[start[first]].tolist(), words.end[last].tolist())
+        contents = [b" ".join(data[x:y].split()) for x, y in spans]
+        d = doc[first]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows[d]),
+                pa.array(ids[d]),
+                pa.array((start[first] - words.first[d]).astype(np.int32)),
+                pa.array(gram[first].view(_I)),
+                pa.array(names.view(_I)),
+                pa.array(contents, pa.binary()),
+            ],
+            names=["row", "doc_id", "start", "anchor", "passage", "content"],
+        )
 
 
 class WaveletMatrix:
@@ -212,34 +215,48 @@ class FMIndex:
     def _suffix_array(text: np.ndarray) -> np.ndarray:
         """Order of the rotations of ``text`` by prefix doubling."""
         n = len(text)
-        rank = text.astype(_I)
-        reach = 1
+        if n == 0:
+            return np.zeros(0, _I)
+        # as many symbols as fit a number make the first key, then each round doubles the prefix
+        bits = int(text.max()).bit_length() + 1
+        reach = max(60 // bits, 1)
+        key = np.zeros(n, _I)
+        for k in range(reach):
+            key = key << bits | np.roll(text, -k)
         while True:
-            key = rank * (n + 2) + np.roll(rank, -reach) if reach > 1 or n else rank
             order = np.argsort(key, kind="stable")
-            sorted_key = key[order]
-            fresh = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])]) if n else np.zeros(0, _I)
-            rank = np.empty(n, _I)
-            rank[order] = fresh
-            if n == 0 or fresh[-1] == n - 1 or reach >= n:
+            ordered = key[order]
+            place = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+            if place[-1] == n - 1 or reach >= n:
                 return order
+            rank = np.empty(n, _I)
+            rank[order] = place
+            key = rank * (n + 1) + np.roll(rank, -reach)
             reach *= 2
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix interval [lo, hi) of every pattern (rows of equal length)."""
+        """Suffix interval [lo, hi) of every pattern (rows of equal length, each occurring in the text).
+
+        A pattern whose interval has shrunk to one suffix keeps that interval's
+        size, but goes no further back: its ``lo`` is then of its tail only.
+        """
         m = len(patterns)
         lo, hi = np.zeros(m, _I), np.full(m, len(self.suffixes), _I)
+        live = np.arange(m)
         for k in range(patterns.shape[1] - 1, -1, -1):
-            c = patterns[:, k]
-            a, b = self.wavelet.rank(c, lo, hi)
-            lo, hi = self.first[c] + a - self.base[c], self.first[c] + b - self.base[c]
+            c = patterns[live, k]
+            a, b = self.wavelet.rank(c, lo[live], hi[live])
+            lo[live], hi[live] = self.first[c] + a - self.base[c], self.first[c] + b - self.base[c]
+            live = live[hi[live] - lo[live] > 1]
+            if not len(live):
+                break
         return lo, hi
 
 
 def window_minima(passages: list[np.ndarray], least: np.ndarray) -> list[np.ndarray]:
     """For every window of every passage the smallest ``least`` of all passages that hold the window.
 
-    Passages are arrays of word codes, all in one shard.
+    Passages are arrays of word hashes, all in one shard.
     """
     lengths = np.array([len(p) for p in passages])
     _, ranks = np.unique(np.concatenate(passages), return_inverse=True)
@@ -252,43 +269,40 @@ def window_minima(passages: list[np.ndarray], least: np.ndarray) -> list[np.ndar
     begin = np.cumsum(lengths + 1) - lengths - 1
     windows = lengths - WINDOW + 1
     start = np.repeat(begin, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    patterns = text[start[:, None] + np.arange(WINDOW)]
-    lo, hi = index.search(patterns)
-    # intervals of different windows are disjoint: one minimum for each
-    one, where = np.unique(lo, return_inverse=True)
-    end = np.zeros(len(one), _I)
-    end[where] = hi
-    by_suffix = np.append(least[owner[index.suffixes]], np.iinfo(_I).max)
-    found = np.minimum.reduceat(by_suffix, np.stack([one, end], axis=1).ravel())[::2]
+    # equal windows are searched once
+    name = np.zeros(len(start), np.uint64)
+    for k in range(WINDOW):
+        name = mix64(name + text[start + k].astype(np.uint64))
+    _, one, where = np.unique(name, return_index=True, return_inverse=True)
+    lo, hi = index.search(text[start[one][:, None] + np.arange(WINDOW)])
+    # an interval of one suffix is the window itself; the others are disjoint, with one minimum for each
+    found = least[owner[start[one]]]
+    several = np.flatnonzero(hi - lo > 1)
+    if len(several):
+        order = several[np.argsort(lo[several])]
+        by_suffix = np.append(least[owner[index.suffixes]], np.iinfo(_I).max)
+        edges = np.stack([lo[order], hi[order]], axis=1).ravel()
+        found[order] = np.minimum.reduceat(by_suffix, edges)[::2]
     return np.split(found[where], np.cumsum(windows)[:-1])
 
 
-def _codes(content: pa.Array) -> list[np.ndarray]:
-    out = []
-    for c in content.to_pylist():
-        part = np.zeros((len(c) // CODE_BYTES, 8), np.uint8)
-        part[:, :CODE_BYTES] = np.frombuffer(c, np.uint8).reshape(-1, CODE_BYTES)
-        out.append(part.view("<u8")[:, 0])
-    return out
-
-
 def _search_shard(shard: pa.Table) -> pa.Table:
     """(passage, minima) of one shard."""
-    passages = _codes(shard.column("content").combine_chunks())
-    minima = window_minima(passages, shard.column("least").to_numpy())
+    words = words_of(texts_from_bytes(shard.column("content").to_pylist()), lower=False)
+    minima = window_minima(np.split(words.hash, words.first[1:-1]), shard.column("least").to_numpy())
     return pa.table({"passage": shard.column("passage"), "minima": pa.array(minima, pa.list_(pa.int64()))})
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(passage, window, content, least) of the windows of passages."""
-    width = WINDOW * CODE_BYTES
     for batch in batches:
         names, numbers, contents, least = [], [], [], []
         for p, c, d in zip(*[x.to_pylist() for x in batch.columns]):
-            for k in range(len(c) // CODE_BYTES - WINDOW + 1):
+            words = c.split()
+            for k in range(len(words) - WINDOW + 1):
                 names.append(p)
                 numbers.append(k)
-                contents.append(c[k * CODE_BYTES : k * CODE_BYTES + width])
+                contents.append(b" ".join(words[k : k + WINDOW]))
                 least.append(d)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.int64()), pa.array(numbers, pa.int32()), pa.array(contents, pa.binary()), pa.array(least, pa.int64())],
@@ -334,7 +348,8 @@ def cut_windows(df: DataFrame) -> DataFrame:
     docs = df.where("doc_id is not null and text is not null").select("doc_id", "text")
     anchors = written(docs.mapInArrow(_anchor_batches, "anchor long, doc_id long"), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = shared.where("low != high").select("anchor")
+    # a table of its own leaves the join two plain shuffles, which Spark splits where an anchor is hot
+    shared = written(shared.where("low != high").select("anchor"), "shared-anchors")
     lists = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
 
     packed = docs.select("text", F.xxhash64("doc_id", "text").alias("row"), "doc_id").mapInArrow(
@@ -350,9 +365,9 @@ def cut_windows(df: DataFrame) -> DataFrame:
     distinct = found.groupBy("passage", "anchor", "content").agg(F.min("doc_id").alias("least"))
     distinct = written(distinct, "distinct-passages")
 
-    hot = distinct.groupBy("anchor").count().where(F.col("count") > HOT_PASSAGES).select("anchor")
+    hot = written(distinct.groupBy("anchor").count().where(F.col("count") > HOT_PASSAGES).select("anchor"), "hot-anchors")
     size = distinct.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    shards = max(-(-size // (CODE_BYTES * SHARD_WORDS)), 1)
+    shards = max(-(-size // (WORD_BYTES * SHARD_WORDS)), 1)
     cold = distinct.join(hot, "anchor", "left_anti")
     cold = cold.select("passage", "content", "least", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"))
     searched = cold.groupBy("shard").applyInArrow(_search_shard, "passage long, minima array<long>")
