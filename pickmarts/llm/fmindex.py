@@ -43,13 +43,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickmarts.llm.columns import written
-from pickmarts.llm.textwords import Words, batches_by_bytes, mix64, texts_from_bytes, texts_of, words_of
+from pickmarts.llm.textwords import (
+    Words,
+    batches_by_bytes,
+    distinct_per_text,
+    mix64,
+    texts_from_bytes,
+    texts_of,
+    words_of,
+)
 
 WINDOW = 13
 GRAM = 4
 SHARD_WORDS = 1 << 15
 WORD_BYTES = 6  # of a usual word and its space, to count shards
-HOT_PASSAGES = 500
+HOT_PASSAGES = 4096
 
 _U = np.uint64
 _I = np.int64
@@ -94,14 +102,15 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches_by_bytes(batches, "text"):
         doc, _, at, gram = _anchors(words_of(texts_of(batch.column(1)), lower=False))
         first, _ = _runs(doc, at)
+        anchor, owner = distinct_per_text(gram[first], doc[first], batch.num_rows)
         ids = batch.column(0).to_numpy()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(gram[first].view(_I)), pa.array(ids[doc[first]])], names=["anchor", "doc_id"]
+            [pa.array(anchor.view(_I)), pa.array(ids[owner])], names=["anchor", "doc_id"]
         )
 
 
 def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1)
+    pack = zstandard.ZstdCompressor(level=3)
     for batch in batches_by_bytes(batches, "text"):
         texts = texts_of(batch.column(0))
         packed = pa.array([pack.compress(texts.raw(i)) for i in range(len(texts))], pa.binary())
