@@ -14,7 +14,7 @@ from the document, so reruns agree.
 
 Built-in functions only. Ranks are never ordered in one task: blocks of u
 are summed first, and rows are ordered inside (source, block); a source's block
-holds about 1/65536 of it. The table of sources has one row per source.
+holds about 1/4096 of it. The table of sources has one row per source.
 
 Defined cases: null text has no words; null source is a source (last); a source
 without words takes nothing; documents with equal ids share u and are ordered by
@@ -31,7 +31,7 @@ from pickmarts.llm.columns import drop_named, hash_unit, running_total, word_cou
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2
-RANK_BLOCKS = 1 << 16
+RANK_BLOCKS = 1 << 12
 # words are whole numbers; this only absorbs rounding of the fractional targets
 SLACK = 1e-6
 
