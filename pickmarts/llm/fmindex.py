@@ -355,7 +355,8 @@ def cut_windows(df: DataFrame) -> DataFrame:
     ``row`` is xxhash64(doc_id, text).
     """
     docs = df.where("doc_id is not null and text is not null").select("doc_id", "text")
-    anchors = written(docs.mapInArrow(_anchor_batches, "anchor long, doc_id long"), "anchors")
+    # found twice rather than kept: a table of all anchors would be the largest of all
+    anchors = docs.mapInArrow(_anchor_batches, "anchor long, doc_id long")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     # a table of its own leaves the join two plain shuffles, which Spark splits where an anchor is hot
     shared = written(shared.where("low != high").select("anchor"), "shared-anchors")
