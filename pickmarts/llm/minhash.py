@@ -208,10 +208,13 @@ def _prefix_pairs(active: DataFrame, texts: DataFrame) -> DataFrame:
     longest = F.col("n") - F.ceil(F.col("n") * SHARE / 100) + 1
     prefix = written(shared.where(F.col("place") <= longest), "prefix")
     several = prefix.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    several = several.select(F.col("token").alias("__t"), "low")
+    # tables between the aggregate, the joins and each other leave every join two plain shuffles, which Spark splits
+    # where a token is hot
+    several = written(several.select(F.col("token").alias("__t"), "low"), "several")
     right = prefix.select(*[F.col(c).alias(f"{c}2") for c in ("doc", "token", "n", "comp", "place")])
     # every pair across components has a side outside the token's lowest component
     left = prefix.join(several, F.col("token") == F.col("__t")).where("comp != low")
+    left = written(left.select("doc", "token", "n", "comp", "place"), "minor")
     common = F.ceil((F.col("n") + F.col("n2")) * SHARE / (100 + SHARE))
     met = (
         (F.col("token") == F.col("token2"))
@@ -235,7 +238,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     keys = real.join(reps, same, "left_semi").select("doc_id", "n", F.explode("bands").alias("key"))
 
     buckets = keys.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"))
-    buckets = buckets.where("centre != last").select(F.col("key").alias("__k"), "centre")
+    buckets = written(buckets.where("centre != last").select(F.col("key").alias("__k"), "centre"), "centres")
     members = written(keys.join(buckets, F.col("key") == F.col("__k")).select("key", "doc_id", "n", "centre"), "buckets")
     sizes = sets.select(F.col("rep").alias("__rep"), F.col("n").alias("n_centre"))
     stars = members.where("doc_id != centre").select("doc_id", "n", "centre").distinct()
@@ -253,7 +256,8 @@ def near_duplicates(df: DataFrame) -> DataFrame:
         "key", "doc_id", "n", F.coalesce("root", "doc_id").alias("comp")
     )
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    active = placed.join(mixed.select(F.col("key").alias("__k")), F.col("key") == F.col("__k"))
+    mixed = written(mixed.select(F.col("key").alias("__k")), "mixed")
+    active = placed.join(mixed, F.col("key") == F.col("__k"))
     active = written(active.select(F.col("doc_id").alias("doc"), "n", "comp").distinct(), "active")
     late = _verified(_prefix_pairs(active, texts), texts)
     forest = components(forest.union(late))
@@ -262,6 +266,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     named = sets.join(roots, F.col("rep") == F.col("__u"), "left").select(
         F.col("h1").alias("r1"), F.col("h2").alias("r2"), F.coalesce("root", "rep").alias("root")
     )
+    named = written(named, "named")
     same = (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()
     component = F.coalesce("root", "doc_id")
     return rows.join(named, same, "left").select(
