@@ -357,9 +357,9 @@ def cut_windows(df: DataFrame) -> DataFrame:
     docs = df.where("doc_id is not null and text is not null").select("doc_id", "text")
     # found twice rather than kept: a table of all anchors would be the largest of all
     anchors = docs.mapInArrow(_anchor_batches, "anchor long, doc_id long")
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    # a text names an anchor once, so a count tells (rows with one id count twice and only cost a search);
     # a table of its own leaves the join two plain shuffles, which Spark splits where an anchor is hot
-    shared = written(shared.where("low != high").select("anchor"), "shared-anchors")
+    shared = written(anchors.groupBy("anchor").count().where(F.col("count") > 1).select("anchor"), "shared-anchors")
     lists = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
 
     packed = docs.select("text", F.xxhash64("doc_id", "text").alias("row"), "doc_id").mapInArrow(
