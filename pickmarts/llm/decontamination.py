@@ -1,19 +1,21 @@
-"""Operator 10, benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Words are runs of letters and digits (A-Z folded). A test item gives its runs
-of ``SEED`` words as seeds (a shorter item gives one seed of all its words). Seeds
-are counted over all documents; an item keeps its rare ones: those in at most
-``RARE_SHARE`` of the documents, and in any case those at most ``COMMON_TIMES`` as
-frequent as its own lower quartile, so that an item copied into a third of the
-corpus, with edits here and there, keeps its seeds too. Where a kept seed occurs in a document, the passage around it on the seed's
-diagonal is aligned with the whole item (match 2, mismatch -1, gap -1). The
-alignment's score over that of a perfect copy is the leak score: paraphrased or
-edited copies lose some points, chance seeds nearly all.
+"""Operator 10, benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Words are runs of letters and digits (A-Z folded). A test item gives all its runs
+of ``SEED`` words as seeds (a shorter item gives one seed of all its words), however
+frequent they are: an item copied into a third of the corpus, cut short or edited
+there, is found like one copied once. Where a seed occurs in a document, the passage
+around it on the seed's diagonal is aligned with the whole item (match 2, mismatch -1,
+gap -1). The alignment's score over that of a perfect copy is the leak score:
+paraphrased or edited copies lose some points, chance seeds nearly all.
+
+What frequent seeds cost is bounded before and in the alignment: a passage goes on
+only if some stretch of it has words enough of the item to reach ``LEAST_SCORE`` (an
+upper bound, so nothing is lost), equal passages of a batch are aligned once, and
+passages are aligned many at a time.
 
 Items longer than ``SEGMENT`` words are aligned segment by segment. The benchmark
 is taken in blocks of about ``BLOCK_BYTES`` text, so what a task holds is bounded
-whatever the benchmark's size: two passes over the documents per block (count
-seeds, align), nothing shuffled but the counts of one block's seeds.
+whatever the benchmark's size: one pass over the documents per block, nothing shuffled.
 
 Defined cases: null text or text without words leaks nothing; items that are
 null or have no words are ignored; with no items nothing leaks; rows with null
@@ -36,6 +38,7 @@ from pickmarts.llm.textwords import (
     Texts,
     Words,
     batches_by_bytes,
+    mix64,
     ngram_hashes,
     texts_from_bytes,
     texts_of,
@@ -44,11 +47,13 @@ from pickmarts.llm.textwords import (
 
 SEED = 3
 SEGMENT = 256
-RARE_SHARE = 0.001
-COMMON_TIMES = 10
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_BYTES = 4 << 20
+#: Places of seeds and passages looked at together, and cells of the alignments made together.
+PLACES = 1 << 20
+PASSAGES = 1 << 13
+CELLS = 1 << 17
 
 _U = np.uint64
 
@@ -63,9 +68,6 @@ class Items:
     segment: np.ndarray
     place: np.ndarray  # word position of the seed in its segment
 
-    def kept(self, mask: np.ndarray) -> Items:
-        return Items(self.ids, self.words, self.seed[mask], self.segment[mask], self.place[mask])
-
 
 def items_of(rows: list[tuple[int, str]]) -> Items:
     texts = texts_from_bytes([(t or "").encode() for _, t in rows])
@@ -102,112 +104,163 @@ class SeedIndex:
         return at[hit], k[hit]
 
 
-def _grams(texts: Texts) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    words = words_of(texts, lower=True, separators=NOT_ALNUM)
-    return words, *ngram_hashes(words, SEED, short_whole=True)
+class SegmentWords:
+    """Which words a segment has, as one bit table: never misses a word, may add a few."""
 
+    def __init__(self, items: Items):
+        length = np.array([len(w) for w in items.words], np.int64)
+        bits = min(max(int(length.sum()) * 16, 1 << 16).bit_length(), 24)
+        self.shift = _U(64 - bits)
+        self.table = np.zeros(1 << bits, bool)
+        flat = np.concatenate(items.words) if items.words else np.zeros(0, np.uint64)
+        self.table[self._cell(np.repeat(np.arange(len(length)), length), flat)] = True
 
-def _count_batches(index: SeedIndex, text: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(index.seeds), np.int64)
-        rows = 0
-        for batch in batches_by_bytes(batches, text, most=2 << 20):
-            _, h, doc, _ = _grams(texts_of(batch.column(batch.schema.get_field_index(text))))
-            at, k = index.find(h)
-            pairs = np.unique(doc[at] * len(index.seeds) + k)  # a document counts a seed once
-            total += np.bincount(pairs % max(len(index.seeds), 1), minlength=len(index.seeds))
-            rows += batch.num_rows
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], rows))], names=["seed", "docs"]
-        )
+    def _cell(self, segment: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return (mix64(word ^ mix64(segment.astype(np.uint64) + _U(1))) >> self.shift).astype(np.int64)
 
-    return run
+    def most(self, word: np.ndarray, a: np.ndarray, b: np.ndarray, segment: np.ndarray, width: np.ndarray) -> np.ndarray:
+        """For each passage ``word[a:b]`` the most words of its segment in any stretch of ``width`` words."""
+        size = b - a
+        first = np.cumsum(size) - size
+        ends = np.repeat(first + size, size)
+        at = np.arange(len(ends))
+        hit = self.table[self._cell(np.repeat(segment, size), word[at + np.repeat(a - first, size)])]
+        total = np.concatenate([[0], np.cumsum(hit)])
+        return np.maximum.reduceat(total[np.minimum(at + np.repeat(width, size), ends)] - total[at], first)
 
 
-def rare_seeds(df: DataFrame, items: Items, text: str = "text") -> Items:
-    """The items with their rare seeds only, by document counts over all of ``df``."""
-    index = SeedIndex(items.seed)
-    counted = df.select(F.col(text)).mapInArrow(_count_batches(index, text), "seed long, docs long")
-    # one row per seed of the block at most, and one with the number of documents
-    counts = {r[0]: r[1] for r in counted.groupBy("seed").agg(F.sum("docs")).collect()}
-    docs = np.zeros(len(index.seeds), np.int64)
-    for k, n in counts.items():
-        if k >= 0:
-            docs[k] = n
-    each = docs[np.searchsorted(index.seeds, items.seed)]
-    line = np.zeros(len(items.words))
-    order = np.argsort(items.segment, kind="stable")
-    starts = np.searchsorted(items.segment[order], np.arange(len(items.words) + 1))
-    for k in range(len(items.words)):
-        own = each[order[starts[k] : starts[k + 1]]]
-        usual = max(np.quantile(own, 0.25), 1) if len(own) else 1
-        line[k] = max(COMMON_TIMES * usual, RARE_SHARE * counts.get(-1, 0))
-    return items.kept(each <= line[items.segment])
+def _grams(texts: Texts) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    words = words_of(texts, lower=True, separators=NOT_ALNUM)
+    return words, *ngram_hashes(words, SEED, short_whole=True)
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
-    """Best Smith-Waterman score of two word sequences, and the passage position where it ends."""
-    n = len(passage)
-    ramp = np.arange(1, n + 1) * -GAP
-    row = np.zeros(n + 1, np.int64)
-    best, end = 0, 0
-    for w in item:
-        new = np.maximum(row[:-1] + np.where(passage == w, MATCH, MISMATCH), row[1:] + GAP)
-        new = np.maximum(new, 0)
+def align_many(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair the best Smith-Waterman score of its word sequences, and the passage position where it ends."""
+    n, m = max(len(p) for p in passages), max(len(w) for w in items)
+    word, real = np.zeros((len(passages), n), np.uint64), np.zeros((len(passages), n), bool)
+    wanted, length = np.zeros((len(items), m), np.uint64), np.array([len(w) for w in items])
+    for k, (w, p) in enumerate(zip(items, passages)):
+        word[k, : len(p)], real[k, : len(p)], wanted[k, : len(w)] = p, True, w
+    ramp = np.arange(1, n + 1, dtype=np.int32) * np.int32(-GAP)
+    row = np.zeros((len(passages), n + 1), np.int32)
+    best, end, each = np.zeros(len(passages), np.int64), np.zeros(len(passages), np.int64), np.arange(len(passages))
+    for j in range(m):
+        same = (word == wanted[:, j, None]) & real & (j < length)[:, None]
+        new = np.maximum(row[:, :-1] + np.where(same, np.int32(MATCH), np.int32(MISMATCH)), row[:, 1:] + np.int32(GAP))
+        np.maximum(new, 0, out=new)
         # gaps along the row: the best earlier cell less its distance
-        new = np.maximum.accumulate(new + ramp) - ramp
-        row = np.concatenate([[0], new])
-        top = int(new.argmax())
-        if new[top] > best:
-            best, end = int(new[top]), top + 1
+        new += ramp
+        np.maximum.accumulate(new, axis=1, out=new)
+        new -= ramp
+        row[:, 1:] = new
+        place = new.argmax(axis=1)
+        top = new[each, place]
+        better = top > best
+        best[better], end[better] = top[better], place[better] + 1
     return best, end
 
 
-def leaks_of(texts: Texts, items: Items, index: SeedIndex) -> list[tuple[int, int, float, int, int]]:
+def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
+    """Best Smith-Waterman score of two word sequences, and the passage position where it ends."""
+    best, end = align_many([item], [passage])
+    return int(best[0]), int(end[0])
+
+
+def _joined(
+    doc: np.ndarray, segment: np.ndarray, low: np.ndarray, high: np.ndarray, length: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Ranges of diagonals, those near each other as one: they belong to one passage."""
+    order = np.lexsort((low, segment, doc))
+    doc, segment, low, high = doc[order], segment[order], low[order], high[order]
+    other = np.ones(len(doc), bool)
+    other[1:] = (doc[1:] != doc[:-1]) | (segment[1:] != segment[:-1])
+    lift = (np.cumsum(other) - 1) * (int(high.max()) - int(low.min()) + 1)
+    reach = np.maximum.accumulate(high + lift) - lift
+    fresh = other.copy()
+    fresh[1:] |= low[1:] - reach[:-1] > length[segment[1:]] // 2 + 1
+    starts = np.flatnonzero(fresh)
+    return doc[starts], segment[starts], low[starts], np.maximum.reduceat(high, starts)
+
+
+def _passages(
+    at: np.ndarray, k: np.ndarray, doc: np.ndarray, first_word: np.ndarray, items: Items, index: SeedIndex, length: np.ndarray
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document, segment, lowest and highest start) of every passage with a seed, PLACES places or one document at a time."""
+    lo = np.searchsorted(items.seed, index.seeds[k], side="left")
+    many = np.searchsorted(items.seed, index.seeds[k], side="right") - lo
+    before = np.concatenate([[0], np.cumsum(many)])
+    edges = np.append(np.flatnonzero(np.append(True, doc[at[1:]] != doc[at[:-1]])), len(at))
+    x = 0
+    while x < len(at):
+        # whole documents: as many as have PLACES places together, one at least
+        y = edges[np.searchsorted(before[edges], before[x] + PLACES, side="right") - 1]
+        y = y if y > x else edges[np.searchsorted(edges, x, side="right")]
+        parts = []
+        while x < y:
+            z = min(max(int(np.searchsorted(before, before[x] + PLACES, side="right")) - 1, x + 1), y)
+            n = many[x:z]
+            use = np.repeat(lo[x:z] - (before[x:z] - before[x]), n) + np.arange(before[z] - before[x])
+            place = np.repeat(at[x:z], n)
+            begin = first_word[place] - items.place[use]  # where the segment would start
+            parts.append(_joined(doc[place], items.segment[use], begin, begin, length))
+            x = z
+        yield parts[0] if len(parts) == 1 else _joined(*map(np.concatenate, zip(*parts)), length)
+
+
+def leaks_of(texts: Texts, items: Items, index: SeedIndex, members: SegmentWords) -> list[tuple[int, int, float, int, int]]:
     """(text, item id, score, first word, last word) of every item that leaks into a text, its best place each."""
     words, h, doc, first_word = _grams(texts)
     at, k = index.find(h)
     if not len(at):
         return []
-    lo = np.searchsorted(items.seed, index.seeds[k], side="left")
-    many = np.searchsorted(items.seed, index.seeds[k], side="right") - lo
-    use = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    at = np.repeat(at, many)
-    segment = items.segment[use]
-    begin = first_word[at] - items.place[use]  # where the segment would start
-    order = np.lexsort((begin, segment, doc[at]))
-    d, segment, begin = doc[at][order], segment[order], begin[order]
     length = np.array([len(w) for w in items.words])
-    fresh = np.ones(len(d), bool)
-    # seeds on nearby diagonals belong to one passage
-    fresh[1:] = (d[1:] != d[:-1]) | (segment[1:] != segment[:-1]) | (begin[1:] - begin[:-1] > length[segment[1:]] // 2 + 1)
-    starts = np.flatnonzero(fresh)
-    ends = np.append(starts[1:], len(d)) - 1
     found: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for s, e in zip(starts, ends):
-        item = items.words[segment[s]]
-        pad = len(item) // 2 + 1
-        a = max(begin[s] - pad, words.first[d[s]])
-        b = min(begin[e] + len(item) + pad, words.first[d[s] + 1])
-        passage = words.hash[a:b]
-        perfect = MATCH * len(item)
-        # no alignment scores more than its matching words allow
-        if MATCH * np.isin(passage, item).sum() < LEAST_SCORE * perfect:
-            continue
-        score, end = align(item, passage)
-        key = (int(d[s]), items.ids[segment[s]])
-        if score >= LEAST_SCORE * perfect and score / perfect > found.get(key, (0.0, 0, 0))[0]:
-            last = int(a + end - 1 - words.first[d[s]])
-            found[key] = (score / perfect, max(last - len(item) + 1, 0), last)
+    for d, segment, low, high in _passages(at, k, doc, first_word, items, index, length):
+        size = length[segment]
+        a = np.maximum(low - size // 2 - 1, words.first[d])
+        b = np.minimum(high + size + size // 2 + 1, words.first[d + 1])
+        # an alignment of LEAST_SCORE spans at most twice the item, and scores no more than its matching words allow
+        cuts = np.append(np.flatnonzero(np.diff(np.cumsum(b - a) // PLACES, prepend=-1)), len(a))
+        most = [
+            members.most(words.hash, a[x:y], b[x:y], segment[x:y], 2 * size[x:y]) for x, y in zip(cuts[:-1], cuts[1:])
+        ]
+        able = np.flatnonzero(np.concatenate(most) >= LEAST_SCORE * size)
+        for x in range(0, len(able), PASSAGES):
+            _best_places(able[x : x + PASSAGES], d, segment, a, b, words, items, found)
     return [(t, i, *found[(t, i)]) for t, i in sorted(found)]
 
 
+def _best_places(able, d, segment, a, b, words: Words, items: Items, found: dict) -> None:
+    """Aligns the passages ``able`` and notes the best place of each (document, item)."""
+    same: dict[tuple[int, bytes], int] = {}  # equal passages of a segment are aligned once
+    which = [same.setdefault((int(segment[s]), words.hash[a[s] : b[s]].tobytes()), len(same)) for s in able]
+    wanted = [items.words[s] for s, _ in same]
+    passages = [np.frombuffer(p, np.uint64) for _, p in same]
+    order = sorted(range(len(same)), key=lambda n: (len(wanted[n]), len(passages[n])))
+    score, end = np.zeros(len(same), np.int64), np.zeros(len(same), np.int64)
+    x = 0
+    while x < len(order):
+        y, wide = x + 1, len(passages[order[x]])
+        while y < len(order) and (y - x + 1) * max(wide, len(passages[order[y]])) <= CELLS:
+            wide = max(wide, len(passages[order[y]]))
+            y += 1
+        take = order[x:y]
+        score[take], end[take] = align_many([wanted[n] for n in take], [passages[n] for n in take])
+        x = y
+    for s, n in zip(able, which):
+        size, got = len(wanted[n]), int(score[n])
+        perfect = MATCH * size
+        key = (int(d[s]), items.ids[segment[s]])
+        if got >= LEAST_SCORE * perfect and got / perfect > found.get(key, (0.0, 0, 0))[0]:
+            last = int(a[s] + end[n] - 1 - words.first[d[s]])
+            found[key] = (got / perfect, max(last - size + 1, 0), last)
+
+
 def _report_batches(items: Items, text: str, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = SeedIndex(items.seed)
+        index, members = SeedIndex(items.seed), SegmentWords(items)
         for batch in batches_by_bytes(batches, text, most=2 << 20):
-            found = leaks_of(texts_of(batch.column(batch.schema.get_field_index(text))), items, index)
+            found = leaks_of(texts_of(batch.column(batch.schema.get_field_index(text))), items, index, members)
             if found:
                 t, item, score, first, last = zip(*found)
                 ids = batch.column(batch.schema.get_field_index(key)).take(pa.array(t))
@@ -221,9 +274,9 @@ def _report_batches(items: Items, text: str, key: str):
 
 def _clean_batches(items: Items, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = SeedIndex(items.seed)
+        index, members = SeedIndex(items.seed), SegmentWords(items)
         for batch in batches_by_bytes(batches, text, most=2 << 20):
-            found = leaks_of(texts_of(batch.column(batch.schema.get_field_index(text))), items, index)
+            found = leaks_of(texts_of(batch.column(batch.schema.get_field_index(text))), items, index, members)
             clean = np.ones(batch.num_rows, bool)
             clean[[f[0] for f in found]] = False
             yield batch.filter(pa.array(clean))
@@ -250,7 +303,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     schema = f"{key} {kind}, item_id long, score double, first_word long, last_word long"
     out = None
     for items in benchmark_blocks(benchmark):
-        part = narrow.mapInArrow(_report_batches(rare_seeds(narrow, items, text), text, key), schema)
+        part = narrow.mapInArrow(_report_batches(items, text, key), schema)
         out = part if out is None else out.union(part)
     return out if out is not None else df.sparkSession.createDataFrame([], schema)
 
@@ -259,5 +312,5 @@ def decontaminated(df: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     """The rows of ``df`` into which no benchmark item leaks, columns unchanged."""
     out = df
     for items in benchmark_blocks(benchmark):
-        out = out.mapInArrow(_clean_batches(rare_seeds(df, items, text), text), df.schema)
+        out = out.mapInArrow(_clean_batches(items, text), df.schema)
     return out
