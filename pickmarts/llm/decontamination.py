@@ -13,7 +13,8 @@ only if some stretch of it has words enough of the item to reach ``LEAST_SCORE``
 upper bound, so nothing is lost), equal passages of a batch are aligned once, and
 passages are aligned many at a time.
 
-Items longer than ``SEGMENT`` words are aligned segment by segment. The benchmark
+Items longer than ``SEGMENT`` words are aligned segment by segment, in as few segments
+of equal length as there must be, so that none is short. The benchmark
 is taken in blocks of about ``BLOCK_BYTES`` text, so what a task holds is bounded
 whatever the benchmark's size: one pass over the documents per block, nothing shuffled.
 
@@ -75,9 +76,10 @@ def items_of(rows: list[tuple[int, str]]) -> Items:
     ids, parts = [], []
     for k, (item, _) in enumerate(rows):
         a, b = words.first[k], words.first[k + 1]
-        for at in range(a, b, SEGMENT):
+        cuts = np.linspace(a, b, -(-(b - a) // SEGMENT) + 1).astype(np.int64)
+        for x, y in zip(cuts[:-1], cuts[1:]):
             ids.append(item)
-            parts.append(words.hash[at : min(at + SEGMENT, b)])
+            parts.append(words.hash[x:y])
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
     seed, segment, at = ngram_hashes(Words(flat, first[:0], first[:0], first), SEED, short_whole=True)

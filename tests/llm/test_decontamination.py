@@ -50,3 +50,22 @@ def test_places_dealt_in_small_pieces_give_the_same(spark, monkeypatch):
         monkeypatch.setattr(decontamination, "CELLS", cells)
         assert decontamination.leaks_of(rows, bench, index, members) == whole
     assert len(whole) > 100
+
+
+def test_a_long_item_has_no_short_segment(spark):
+    rng = random.Random(6)
+    item = [f"q{rng.randrange(10**6)}" for _ in range(256)] + ["one", "of", "the"]
+    filler = lambda n: [f"f{rng.randrange(5000)}" for _ in range(n)]
+    docs = [
+        (0, [*filler(30), "one", "of", "the", *filler(30)]),
+        (1, [*filler(30), *item, *filler(30)]),
+        (2, [*filler(30), *item[120:], *filler(30)]),  # its second half
+        (3, filler(60)),
+    ]
+    docs = _frame(spark, [(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    bench = _frame(spark, [(7, " ".join(item))], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in decontamination.leaks(docs, bench).collect()) == [1, 2]
+    assert sorted(r["doc_id"] for r in decontamination.decontaminated(docs, bench).collect()) == [0, 3]
+    for n in (0, 1, 2, 3, 255, 256, 257, 259, 512, 513, 5000):
+        parts = [len(w) for w in decontamination.items_of([(0, " ".join(f"w{k}" for k in range(n)))]).words]
+        assert sum(parts) == n and len(parts) == -(-n // 256) and (not n or max(parts) - min(parts) <= 1)
