@@ -90,3 +90,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """The intermediate tables of one operator, in a folder of its own in the shared checkpoint folder.
+
+    ``keep`` writes a table (a cut of lineage, as ``written``), ``drop`` deletes
+    tables that nothing reads any more. After each write the driver's JVM is asked
+    to collect its garbage, so that the shuffle files of finished steps go as well.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.root = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickmarts.llm import decontamination, fmindex, htmltext, langid, minhash, mixing, ppm, sharding, spotsigs, urlfilter
+from pickmarts.llm import (
+    decontamination,
+    fmindex,
+    htmltext,
+    langid,
+    merkle,
+    minhash,
+    mixing,
+    ppm,
+    sharding,
+    spotsigs,
+    suffixes,
+    urlfilter,
+    whitening,
+)
 from pickmarts.llm.columns import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +40,9 @@ def llm_queries() -> dict[str, Query]:
         "op10_decontamination": lambda s, d: decontamination.leaks(
             read_table(s, d, "documents"), read_table(s, d, "benchmark")
         ),
+        "op11_suffix_dedup": lambda s, d: suffixes.op11_dedup(read_table(s, d, "documents")),
+        "op12_merkle_manifest": lambda s, d: merkle.op12_manifest(read_table(s, d, "documents")),
+        "op13_whitening": lambda s, d: whitening.op13_whiten(read_table(s, d, "embeddings")),
     }
 
 
@@ -36,4 +53,6 @@ def llm_oracle() -> dict[str, str]:
         "op3_url_filter": urlfilter.ORACLE_SQL,
         "op4_minhash_dedup": minhash.ORACLE_SQL,
         "op7_mixing": mixing.ORACLE_SQL,
+        "op11_suffix_dedup": suffixes.ORACLE_SQL,
+        "op12_merkle_manifest": merkle.ORACLE_SQL,
     }
