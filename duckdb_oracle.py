@@ -10,8 +10,7 @@ Conventions so both engines agree bit for bit:
 * means are a DOUBLE sum over a count;
 * rounding is ``floor(x * 10^d + 0.5) / 10^d``;
 * a division by zero is NULL;
-* z-scores are rounded to 6 digits (the engines' variance algorithms differ in
-  the last bits).
+* variances come from exact whole sums: (n * sum(x^2) - sum(x)^2) / (n * (n - 1)).
 """
 
 from __future__ import annotations
@@ -207,15 +206,56 @@ FROM grid"""
 
 
 def zscores(period: str = "week", outliers: bool = False) -> str:
-    mean = "(sum(v) OVER p)::DOUBLE / count(*) OVER p"
-    z = f"(v - {mean}) / nullif(coalesce(stddev_samp(v) OVER p, 1.0), 0)"
+    n, x, xx = "count(*) OVER p", "sum(v) OVER p", "sum(v::HUGEINT * v) OVER p"
+    mean = f"({x})::DOUBLE / ({n})::DOUBLE"
+    spread = f"(({n})::HUGEINT * ({xx}) - ({x})::HUGEINT * ({x}))::DOUBLE"
+    std = f"CASE WHEN {n} > 1 THEN sqrt({spread} / (({n})::DOUBLE * ({n} - 1)::DOUBLE)) ELSE 1.0 END"
+    z = f"(v::DOUBLE - {mean}) / nullif({std}, 0)"
     return PICKS + f"""
 , orders AS (SELECT sk_order_id, {_labels('day', period)}, sum(pick_volume)::BIGINT AS v FROM f GROUP BY ALL),
 scored AS (SELECT sk_order_id, {period}, v, CASE WHEN {period} IS NOT NULL THEN {z} END AS z FROM orders WINDOW p AS (PARTITION BY {period}))
-SELECT sk_order_id, {period}, v AS pick_volume, {_half_up('z', 6)} AS zscore
+SELECT sk_order_id, {period}, v AS pick_volume, z AS zscore
 FROM scored {'WHERE abs(z) > 3' if outliers else ''}"""
 
 
+MEMBERS = (None, *DRILL_DOWNS)
+
+
+def family(mart) -> str:
+    """A mart and its drill-downs one under the other; ``mart`` gives each member's SQL."""
+    parts = [
+        f"SELECT '{g or 'none'}' AS drill_down, * FROM ({mart(g)}\n)" for g in MEMBERS
+    ]
+    return "\nUNION ALL BY NAME\n".join(parts)
+
+
+def shared_inputs() -> dict[str, str]:
+    groups = ", ".join(f"any_value(g{i}) AS {g}" for i, g in enumerate(DRILL_DOWNS))
+    keyed = ", ".join(f"{g} AS g{i}" for i, g in enumerate(DRILL_DOWNS))
+
+    def over(source: str, keys: str, cells: str, out: str) -> str:
+        # equal cells meet through a hashed row of their values
+        return PICKS + f"""
+, rows_ AS (SELECT *, {keyed}, {keys} AS cell FROM {source})
+SELECT {cells}, {groups}, {out} FROM rows_ GROUP BY cell, g0, g1, g2"""
+
+    rows = "count(*)::BIGINT AS _rows"
+    volume = "sum(pick_volume)::BIGINT AS pick_volume"
+    hour = "date_trunc('hour', pick_timestamp)"
+    return {
+        "input_hourly_volume": over("f", hour, f"any_value(pick_date) AS pick_date, any_value({hour})::TIMESTAMP AS pick_timestamp", f"{volume}, {rows}"),
+        "input_product_counts": over("f", "row(pick_date, product_id)", "any_value(pick_date) AS pick_date, any_value(product_id) AS product_id", rows),
+        "input_error_counts": over("(FROM picks WHERE pick_volume = 0)", "pick_date", "any_value(pick_date) AS pick_date", rows),
+        "input_order_days": over("f", "row(pick_date, sk_order_id)", "any_value(pick_date) AS pick_date, any_value(sk_order_id) AS sk_order_id", volume),
+    }
+
+
+SECTIONS = """SELECT s_name AS abbreviation, (SELECT n_name FROM nation WHERE n_nationkey = s_nationkey) AS description,
+  (SELECT n_regionkey::VARCHAR FROM nation WHERE n_nationkey = s_nationkey) AS "group",
+  CASE WHEN s_suppkey % 7 != 0 THEN CASE WHEN s_acctbal < 0 THEN 'C' WHEN s_acctbal < 5000 THEN 'B' ELSE 'A' END END AS pick_reference
+FROM supplier"""
+
+
 def _picks(where: str = "true", extra: str = "", **renamed: str) -> str:
     columns = ", ".join(renamed.get(c, c) for c in STAGED)
     return PICKS + f""", placed AS (SELECT *, {POSITION} FROM picks)
@@ -226,6 +266,9 @@ def oracle_queries() -> dict[str, str]:
     attributes = ", description, product_group"
     q: dict[str, str] = {
         "staged_pick_data": PICKS + f"SELECT {', '.join(STAGED)} FROM picks",
+        "csv_pick_data": PICKS + f"SELECT {', '.join(STAGED)} FROM picks",
+        "csv_warehouse_sections": SECTIONS,
+        "d_warehouse_section": SECTIONS,
         "d_product_details": f"""SELECT {_padded('p_partkey', 8)} AS product_id, p_name AS description,
           CASE WHEN p_partkey % 50 != 7 THEN p_type END AS product_group FROM part""",
         "sk_order_id": PICKS + f"SELECT {', '.join(STAGED)}, sk_order_id FROM picks",
@@ -257,6 +300,15 @@ def oracle_queries() -> dict[str, str]:
         q[f"pick_errors{name}"] = pick_errors(g)
         q[f"top_n_products_weekly{name}"] = top_n_products_weekly(g)
         q[f"pick_throughput_weekly{name}"] = pick_throughput_weekly(g)
+    families = {
+        "total_pick_volume": total_pick_volume,
+        "total_orders_processed": total_orders_processed,
+        "pick_errors": pick_errors,
+        "top_n_products_weekly": top_n_products_weekly,
+        "pick_throughput_weekly": pick_throughput_weekly,
+    }
+    q.update({f"family_{name}": family(mart) for name, mart in families.items()})
+    q.update(shared_inputs())
     for period in ("month", "year", "date", "quarter", "year_half"):
         q[f"zscore_distribution_{period}"] = zscores(period)
     return q

@@ -38,7 +38,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--marts", nargs="*", choices=sorted(MARTS), help="only these marts")
     p.add_argument("--sort-output", action="store_true", help="write marts sorted as the original reports")
     p.add_argument("--parallelism", type=int, default=4, help="marts written at a time")
-    p.add_argument("--buckets", type=int, default=full_run.DEFAULT_BUCKETS, help="buckets of the order-level mart input")
+    p.add_argument("--buckets", type=int, help="buckets of the order-level mart input (default: by size)")
     p.add_argument("--bucket-table", default=full_run.BUCKET_TABLE, help="catalog table used for it while marts run")
     p.add_argument("--master", help="Spark master (default: from the launcher)")
     return p.parse_args(argv)
@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     from pickmarts.session import build_session
 
     args = parse_args(sys.argv[1:] if argv is None else argv)
-    logging.basicConfig(level=logging.INFO, format="[%(asctime)s] %(levelname)s [%(name)s]: %(message)s")
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = build_session(args.master)
     if args.step in ("staging", "all"):
         full_run.run_staging(spark, raw_files(args), args.base, multiline=args.multiline)

@@ -13,7 +13,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.operators.positions import BUCKET_UNIT, running_position
+from pickmarts.operators.positions import BUCKET_UNIT, hot_cuts, running_position
 from pickmarts.schemas import ENRICHED_FACT_COLUMNS, FACT_COLUMNS, STAGED_PICK_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -42,13 +42,13 @@ def with_order_key(staged: DataFrame) -> DataFrame:
 def with_position_key(keyed: DataFrame, bucket_unit: str = BUCKET_UNIT) -> DataFrame:
     """1-based position inside (sk_order_id, origin) by pick time.
 
-    An order is numbered one time bucket at a time, so an order of any size
-    spreads over tasks (see ``pickmarts.operators.positions``). Picks without a
-    timestamp have a NULL position.
+    An order is numbered one range of it at a time, so an order of any size
+    spreads over tasks (see ``pickmarts.operators.positions``; one small job looks
+    for the ranges of hot orders). Picks without a timestamp have a NULL position.
     """
-    return running_position(
-        keyed, list(POSITION_GROUP), list(POSITION_ORDER), "sk_position_in_order", bucket_unit
-    ).select(*FACT_COLUMNS)
+    group, order = list(POSITION_GROUP), list(POSITION_ORDER)
+    cuts = hot_cuts(keyed, group, order, bucket_unit)
+    return running_position(keyed, group, order, "sk_position_in_order", bucket_unit, cuts).select(*FACT_COLUMNS)
 
 
 def curate_pick_data(staged: DataFrame, with_positions: bool = True, bucket_unit: str = BUCKET_UNIT) -> DataFrame:

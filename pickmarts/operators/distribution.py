@@ -60,6 +60,31 @@ def binned_order_volume(
     )
 
 
+def period_moments(orders: DataFrame, period: str) -> DataFrame:
+    """_period, _mean, _std of the integer ``pick_volume`` per period, from count, sum and sum of squares.
+
+    The three are exact whole numbers (the squares as 38-digit decimals), so
+    partial results merge without rounding; n * sum(x^2) - sum(x)^2 is taken
+    before anything becomes a double. Fits periods of up to 1e12 orders of up
+    to 1e7 units each; beyond that the sum fails instead of rounding.
+    """
+    volume = F.col("pick_volume").cast("decimal(19,0)")
+    sums = orders.groupBy(F.col(period).alias("_period")).agg(
+        F.count("pick_volume").alias("_n"),
+        F.sum("pick_volume").alias("_sum"),
+        F.sum((volume * volume).cast("decimal(38,0)")).alias("_squares"),
+    )
+    n, total = F.col("_n"), F.col("_sum").cast("decimal(19,0)")
+    spread = (n.cast("decimal(19,0)") * F.col("_squares") - total * total).cast("decimal(38,0)")
+    pairs = n.cast("double") * (n - 1).cast("double")
+    std = F.sqrt(F.try_divide(spread.cast("double"), pairs))
+    return sums.select(
+        "_period",
+        F.coalesce(F.try_divide(F.col("_sum").cast("double"), n.cast("double")), F.lit(0.0)).alias("_mean"),
+        F.when(n > 1, std).otherwise(F.lit(1.0)).alias("_std"),
+    )
+
+
 def weekly_zscore_distribution(
     f_order_picks: DataFrame, d_date: DataFrame, period: str = "week"
 ) -> DataFrame:
@@ -67,7 +92,8 @@ def weekly_zscore_distribution(
 
     Per period: mean (0 when undefined) and sample standard deviation (1 when
     the period has a single order). z = (volume - mean) / std, NULL when std
-    is 0. Orders outside the calendar have a NULL period and get NULL z.
+    is 0. Both come from exact sums (see ``period_moments``), so a z-score does
+    not depend on how rows were dealt to tasks. Orders outside the calendar have a NULL period and get NULL z.
 
     The per-period statistics are an aggregate with one row per period - at
     most the calendar's size plus one - so they are broadcast back to the
@@ -77,10 +103,7 @@ def weekly_zscore_distribution(
     cal_cols = [] if period == "date" else [period]
     j = with_calendar(f_order_picks.select("pick_date", "sk_order_id", "pick_volume"), d_date, "pick_date", *cal_cols)
     orders = j.groupBy("sk_order_id", period).agg(F.sum("pick_volume").alias("pick_volume"))
-    stats = orders.groupBy(F.col(period).alias("_period")).agg(
-        F.coalesce(F.avg("pick_volume"), F.lit(0.0)).alias("_mean"),
-        F.coalesce(F.stddev_samp("pick_volume"), F.lit(1.0)).alias("_std"),
-    )
+    stats = period_moments(orders, period)
     # NULL-safe join, NULL period masked below: a plain `=` would let the
     # optimizer push `period IS NOT NULL` into the statistics branch only,
     # and the two branches could no longer share one aggregate exchange.

@@ -12,6 +12,7 @@ Layout::
     <base>/curation/{d_product_details,d_warehouse_section}
     <base>/curation/_keyed_picks/kind={order_picks,pick_errors,returns}
     <base>/data_mart/_inputs/{hourly_volume,product_counts,error_counts,order_days}
+    <base>/data_mart/_families/<family>/drill_down={none,product_group,origin,warehouse_section}
     <base>/data_mart/<family>/<mart>
 
 The position key (the one costly curation step) is computed once, into
@@ -25,7 +26,9 @@ group up afterwards.
 
 The marts are fed from a few pre-aggregated inputs
 (``pickmarts.operators.mart_inputs``), each written once: a mart run reads the
-facts 5 times instead of once per mart.
+facts 5 times instead of once per mart. A mart and its drill-downs come from one
+aggregate over grouping sets (``pickmarts.operators.families``), written once and
+partitioned by member; each published mart is a copy of one partition.
 """
 
 from __future__ import annotations
@@ -38,11 +41,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pickmarts.operators import curation as cur
-from pickmarts.operators import mart_inputs
+from pickmarts.operators import families, mart_inputs
 from pickmarts.operators.calendar_dim import DEFAULT_END, DEFAULT_START, create_d_date
 from pickmarts.operators.distribution import OUTLIER_THRESHOLD
 from pickmarts.operators.positions import BUCKET_UNIT
-from pickmarts.plans.registry import MARTS, Facts
+from pickmarts.plans.registry import FAMILIES, MARTS, Facts, MartSpec
 from pickmarts.sources import staging as stg
 from pickmarts.sources.layers import CURATION, DATA_MART, STAGING, layer_path, write_table
 
@@ -60,9 +63,11 @@ FACT_KINDS = {"f_order_picks": KIND_ORDER_PICKS, "f_pick_errors": KIND_PICK_ERRO
 # then read it without a shuffle.
 BUCKETED_INPUTS = {"order_days": "sk_order_id"}
 
-# Buckets of that input: the parallelism of its consumers, to be set with the
-# cluster (about one bucket per 200 MB of it).
-DEFAULT_BUCKETS = 64
+# Buckets of that input are the tasks of its consumers. Unless a number is given
+# there is one for each ``BUCKET_BYTES`` of the pick facts as written (the input has
+# at most a row per fact and fewer columns), and at least ``LEAST_BUCKETS``.
+BUCKET_BYTES = 200 << 20
+LEAST_BUCKETS = 8
 
 # Name of the catalog table that a bucketed write needs while the marts run.
 BUCKET_TABLE = "pickmarts_order_days"
@@ -185,6 +190,19 @@ def _run_all(tasks: list, parallelism: int) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under ``path``."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
+def order_buckets(spark: SparkSession, base: str, bucket_bytes: int = BUCKET_BYTES, least: int = LEAST_BUCKETS) -> int:
+    """Number of buckets of the order-level input, from the size of the pick facts."""
+    size = stored_bytes(spark, layer_path(base, CURATION, "f_order_picks"))
+    return max(-(-size // bucket_bytes), least)
+
+
 def write_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> DataFrame:
     """Write ``df`` at ``path`` bucketed by ``key`` and return the bucketed table.
 
@@ -206,7 +224,7 @@ def build_mart_inputs(
     sources: set[str],
     parallelism: int = 1,
     bucket_table: str | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Write the shared inputs named in ``sources`` and return them read back.
 
@@ -223,7 +241,8 @@ def build_mart_inputs(
             path = layer_path(base, DATA_MART, "_inputs", name)
             df = build(plain[fact], products)
             if bucket_table and name in BUCKETED_INPUTS:
-                return name, write_bucketed(df, path, bucket_table, BUCKETED_INPUTS[name], buckets)
+                n = buckets or order_buckets(spark, base)
+                return name, write_bucketed(df, path, bucket_table, BUCKETED_INPUTS[name], n)
             write_table(df, path)
             return name, spark.read.parquet(path)
 
@@ -258,7 +277,7 @@ def run_marts(
     shared_inputs: bool = True,
     parallelism: int = 4,
     bucket_table: str | None = BUCKET_TABLE,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> list[str]:
     """All marts of the registry (or ``names``), each written under its family.
 
@@ -266,7 +285,8 @@ def run_marts(
     (default) the marts read the pre-aggregated inputs; without, every mart reads
     the enriched facts itself. ``parallelism`` marts are written at a time.
     ``bucket_table`` names the catalog table of the bucketed order-level input,
-    dropped again when the marts are written; None writes it unbucketed.
+    dropped again when the marts are written; None writes it unbucketed. ``buckets``
+    None: by size (``order_buckets``).
     """
     check_products_unique(read_products(spark, base))
     specs = [MARTS[n] for n in (names or list(MARTS))]
@@ -277,14 +297,31 @@ def run_marts(
     table = bucket_table if sources & set(BUCKETED_INPUTS) else None
     inputs = build_mart_inputs(spark, base, sources, parallelism, table, buckets)
 
+    # members of a family that are asked for together come from one pass
+    together: dict[str, list[MartSpec]] = {}
+    for s in specs if shared_inputs else []:
+        if s.member_of:
+            together.setdefault(s.member_of, []).append(s)
+    together = {name: members for name, members in together.items() if len(members) > 1}
+
+    def write_family(name):
+        def task():
+            members = together[name]
+            df = FAMILIES[name](_facts_for(members[0], inputs, d_date), tuple(s.drill_down for s in members))
+            path = layer_path(base, DATA_MART, "_families", name)
+            write_table(df, path, partition_by=[families.MEMBER])
+            return name, spark.read.schema(df.schema).parquet(path)
+
+        return task
+
     def write(spec):
         def task():
-            facts = (
-                _facts_for(spec, inputs, d_date)
-                if shared_inputs
-                else Facts(inputs["facts"], inputs["facts_errors"], d_date)
-            )
-            df = spec.build(facts)
+            if spec.member_of in together:
+                df = families.member(stacked[spec.member_of], spec.drill_down)
+            elif shared_inputs:
+                df = spec.build(_facts_for(spec, inputs, d_date))
+            else:
+                df = spec.build(Facts(inputs["facts"], inputs["facts_errors"], d_date))
             if sort_output and spec.sort_by:
                 df = df.orderBy(*[_sort_column(c) for c in spec.sort_by])
             metrics = {}
@@ -296,6 +333,7 @@ def run_marts(
         return task
 
     try:
+        stacked: dict[str, DataFrame] = dict(_run_all([write_family(n) for n in together], parallelism))
         return _run_all([write(s) for s in specs], parallelism)
     finally:
         if table:  # the external table's files stay under the mart inputs

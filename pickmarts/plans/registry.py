@@ -15,6 +15,13 @@ from pyspark.sql import DataFrame
 from pickmarts.operators.common import DRILL_DOWNS
 from pickmarts.operators.distribution import binned_order_volume, weekly_zscore_distribution, zscore_outliers
 from pickmarts.operators.errors import pick_errors
+from pickmarts.operators.families import (
+    orders_processed_family,
+    pick_errors_family,
+    pick_volume_family,
+    throughput_family,
+    top_products_family,
+)
 from pickmarts.operators.orders import avg_products_picked_per_order, order_count_by_type, order_mix
 from pickmarts.operators.throughput import pick_throughput_hourly, pick_throughput_weekly
 from pickmarts.operators.top_products import top_n_products_weekly
@@ -48,12 +55,24 @@ class MartSpec:
     # Shared pre-aggregated input a full run feeds it from
     # (``pickmarts.operators.mart_inputs``), or "facts".
     source: str = "facts"
+    # Drill-down family (``FAMILIES``) it is a member of, if any.
+    member_of: str | None = None
 
     @property
     def table(self) -> str:
         return self.published or self.name
 
 
+# Drill-down families: all members from one pass, (facts, members) -> DataFrame.
+FAMILIES: dict[str, Callable[[Facts, tuple], DataFrame]] = {
+    "total_pick_volume": lambda f, m: pick_volume_family(f.f_order_picks, f.d_date, m),
+    "total_orders_processed": lambda f, m: orders_processed_family(f.f_order_picks, f.d_date, m),
+    "pick_errors": lambda f, m: pick_errors_family(f.f_order_picks, f.f_pick_errors, f.d_date, m),
+    "top_n_products_weekly": lambda f, m: top_products_family(f.f_order_picks, f.d_date, m),
+    "pick_throughput_weekly": lambda f, m: throughput_family(f.f_order_picks, f.d_date, m),
+}
+
+
 def _family(base: str, g: str | None) -> str:
     return base if g is None else f"{base}_{g}"
 
@@ -70,6 +89,8 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: total_pick_volume(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("date", *gk),
+                member_of="total_pick_volume",
+                drill_down=g,
                 source="hourly_volume",
             ),
             MartSpec(
@@ -78,6 +99,8 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: total_orders_processed(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("date", *gk),
+                member_of="total_orders_processed",
+                drill_down=g,
                 source="order_days",
             ),
             MartSpec(
@@ -88,6 +111,7 @@ def _specs() -> list[MartSpec]:
                 needs_errors=True,
                 drill_down=g,
                 sort_by=("date", *gk),
+                member_of="pick_errors",
                 source="hourly_volume",
             ),
             MartSpec(
@@ -96,6 +120,8 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: top_n_products_weekly(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("week", *gk, "product_id"),
+                member_of="top_n_products_weekly",
+                drill_down=g,
                 source="product_counts",
             ),
             MartSpec(
@@ -104,6 +130,8 @@ def _specs() -> list[MartSpec]:
                 lambda f, g=g: pick_throughput_weekly(f.f_order_picks, f.d_date, g),
                 needs,
                 sort_by=("week", *gk),
+                member_of="pick_throughput_weekly",
+                drill_down=g,
                 source="hourly_volume",
                 published=_family("pick_throughput", g) if g else None,
             ),

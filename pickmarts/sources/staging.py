@@ -58,7 +58,9 @@ MISSING_TOKENS = (
 # One field more than the schema has, to notice rows that are too long.
 _SURPLUS = "_surplus"
 
-# The parts of the raw timestamp.
+# The raw timestamp as written by the picking system, and the parts of
+# any spelling the original loader accepts.
+_TIMESTAMP = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{1,6}$"
 _TIMESTAMP_PARTS = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})\.(\d{1,9})\s*$"
 
 
@@ -112,14 +114,19 @@ def _number(c: str, kind: str) -> Column:
 
 
 def _timestamp(c: str) -> Column:
-    """The raw timestamp; missing stays missing, a value that does not fit fails."""
+    """The raw timestamp; missing stays missing, a value that does not fit fails.
+
+    The usual spelling is recognised by one pattern and cast as a whole; only
+    rows of another spelling are taken apart.
+    """
     part = lambda k: F.regexp_extract(c, _TIMESTAMP_PARTS, k)
     micros = F.substring(F.rpad(part(7), 6, "0"), 1, 6)
     seconds = F.concat(part(6), F.lit("."), micros).cast("decimal(8,6)")
     whole = [part(k).cast("int") for k in range(1, 6)]
     misfit = F.raise_error(F.concat(F.lit(f"{c} does not fit: "), F.col(c))).cast("timestamp_ntz")
-    parsed = F.when(F.col(c).rlike(_TIMESTAMP_PARTS), F.make_timestamp_ntz(*whole, seconds)).otherwise(misfit)
-    return F.when(F.col(c).isNotNull(), parsed)
+    other = F.when(F.col(c).rlike(_TIMESTAMP_PARTS), F.make_timestamp_ntz(*whole, seconds)).otherwise(misfit)
+    usual = F.col(c).cast("timestamp_ntz")  # a day or hour that does not exist fails here
+    return F.when(F.col(c).isNull(), F.lit(None).cast("timestamp_ntz")).when(F.col(c).rlike(_TIMESTAMP), usual).otherwise(other)
 
 
 def stage_pick_data(raw: DataFrame) -> DataFrame:

@@ -22,6 +22,10 @@ pick_timestamp                l_shipdate + (l_orderkey*7919 + l_partkey*3571 +
 pick_date                     date of l_shipdate
 ============================  =================================================
 
+The section list comes from ``supplier`` and ``nation``, as raw text: abbreviation =
+s_name, description = n_name, group = the nation's region key, pick_reference =
+balance class A to C, or a missing-value token when s_suppkey % 7 = 0.
+
 The product list comes from ``part``: product_id as above, description =
 p_name, product_group = p_type except NULL when p_partkey % 50 = 7.
 """
@@ -98,6 +102,18 @@ def products_from_part(part: DataFrame) -> DataFrame:
     )
 
 
+def raw_sections_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """Raw section rows, input of the staging job."""
+    rows = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"], "left")
+    return rows.selectExpr(
+        "s_name AS abbreviation",
+        "n_name AS description",
+        "CAST(n_regionkey AS STRING) AS `group`",
+        "CASE WHEN s_suppkey % 7 = 0 THEN 'NA' WHEN s_acctbal < 0 THEN 'C' WHEN s_acctbal < 5000 THEN 'B' ELSE 'A' END"
+        " AS pick_reference",
+    )
+
+
 def staged_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picks_from_lineitem(read_table(spark, sf_dir, "lineitem"))
 

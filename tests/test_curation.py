@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SMOKE_DIR, ts
+from conftest import ORACLE_DIR, SMOKE_DIR, ts
 from pickmarts.operators import curation as cur
-from pickmarts.operators.positions import running_position
+from pickmarts.operators.positions import hot_cuts, running_position
 from pickmarts.schemas import STAGED_PICK_DATA
 from pickmarts.sources.tpch_adapter import staged_picks
 
@@ -99,19 +99,70 @@ def test_rows_without_timestamp_have_no_position(spark):
     assert not rows.where("pick_timestamp IS NULL").isEmpty()
 
 
-def test_building_positions_runs_no_job_and_shuffles_the_facts_once(spark):
-    tracker = spark.sparkContext.statusTracker()
+def test_positions_shuffle_the_facts_once_and_cache_nothing(spark):
     keyed = cur.with_order_key(staged_picks(spark, SMOKE_DIR))
-    spark.sparkContext.setJobGroup("build positions", "")
+    cached = set(spark.sparkContext._jsc.getPersistentRDDs())
     df = cur.with_position_key(keyed)
-    assert not tracker.getJobIdsForGroup("build positions")
     df.collect()
-    spark.sparkContext.setJobGroup("", "")
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     wide = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
     # the facts, the counts for their running sum, the running sums for the join
     assert len(wide) == 3, plan
-    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) == cached
+
+
+def _hot_hour(keyed):
+    """A third of the rows in one order, origin and hour; what the hour leaves open, later columns order."""
+    hot = F.col("position_in_order") <= "0002"
+    return keyed.withColumns(
+        {
+            "sk_order_id": F.when(hot, F.lit("hot_1998")).otherwise(F.col("sk_order_id")),
+            "origin": F.when(hot, F.lit(46)).otherwise(F.col("origin")),
+            "pick_timestamp": F.when(
+                hot, F.expr("timestampadd(SECOND, minute(pick_timestamp), timestamp_ntz'1998-03-01 10:00:00')")
+            ).otherwise(F.col("pick_timestamp")),
+        }
+    )
+
+
+def test_cuts_of_a_hot_hour_keep_every_number(spark):
+    keyed = _hot_hour(cur.with_order_key(staged_picks(spark, SMOKE_DIR)))
+    keys, order = list(cur.POSITION_GROUP), list(cur.POSITION_ORDER)
+    cuts = hot_cuts(keyed, keys, order, sample=1024, piece=16)
+    hot = cuts.collect()
+    # only the hot bucket is cut, and its cuts ascend
+    assert len(hot) == 1 and hot[0]["_pm_k0"] == "hot_1998" and 8 <= len(hot[0]["_pm_cuts"]) <= 1024 // 16
+    assert hot[0]["_pm_cuts"] == sorted(hot[0]["_pm_cuts"])
+    plain = keyed.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("int"))
+    got = running_position(keyed, keys, order, "pos", cuts=cuts)
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("case", ["one hour of one order", "no timestamp", "plain"])
+def test_no_task_numbers_three_times_the_median(spark, case):
+    keyed = cur.with_order_key(staged_picks(spark, ORACLE_DIR))
+    if case == "one hour of one order":
+        keyed = _hot_hour(keyed)
+    elif case == "no timestamp":
+        gone = F.when(F.col("position_in_order") > "0002", F.col("pick_timestamp"))
+        keyed = cur.with_order_key(staged_picks(spark, ORACLE_DIR).withColumn("pick_timestamp", gone))
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = cur.with_position_key(keyed).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = sorted(r["count"] for r in rows)
+    assert len(sizes) == 32 and sizes[-1] <= 3 * sizes[len(sizes) // 2], sizes
+
+
+def test_no_hot_bucket_gives_no_cuts(spark):
+    keyed = cur.with_order_key(staged_picks(spark, SMOKE_DIR))
+    assert hot_cuts(keyed, list(cur.POSITION_GROUP), list(cur.POSITION_ORDER)) is None
+    assert hot_cuts(keyed.where("false"), list(cur.POSITION_GROUP), list(cur.POSITION_ORDER)) is None
 
 
 def test_positions_equal_pandas_cumcount(spark):
