@@ -39,7 +39,7 @@ def _cells(table):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("lineitem", "part"):
+    for t in ("lineitem", "part", "supplier", "nation"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SMOKE_DIR, t)}.parquet')")
     return con
 

@@ -16,7 +16,6 @@ import pytest
 
 import duckdb_oracle
 from conftest import FACT_SCHEMA
-from pickmarts.functions.numeric import half_up
 from pickmarts.operators.calendar_dim import create_d_date
 from pickmarts.plans.registry import MARTS, Facts
 
@@ -100,8 +99,6 @@ def _cells(table: pa.Table):
 def test_mart_matches_sql(case, mart_sql, name):
     facts, con = case
     got = MARTS[name].build(facts)
-    if "zscore" in got.columns:
-        got = got.withColumn("zscore", half_up(got["zscore"], 6))
     got = got.toArrow()
     want = con.sql(mart_sql[name]).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
