@@ -1,139 +1,143 @@
-"""Operator 10, benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-Words are runs of letters and digits (A-Z folded). A test item gives all its runs
-of ``SEED`` words as seeds (a shorter item gives one seed of all its words), however
-frequent they are: an item copied into a third of the corpus, cut short or edited
-there, is found like one copied once. Where a seed occurs in a document, the passage
-around it on the seed's diagonal is aligned with the whole item (match 2, mismatch -1,
-gap -1). The alignment's score over that of a perfect copy is the leak score:
-paraphrased or edited copies lose some points, chance seeds nearly all.
-
-What frequent seeds cost is bounded before and in the alignment: a passage goes on
-only if some stretch of it has words enough of the item to reach ``LEAST_SCORE`` (an
-upper bound, so nothing is lost), equal passages of a batch are aligned once, and
-passages are aligned many at a time.
-
-Items longer than ``SEGMENT`` words are aligned segment by segment, in as few segments
-of equal length as there must be, so that none is short. The benchmark
-is taken in blocks of about ``BLOCK_BYTES`` text, so what a task holds is bounded
-whatever the benchmark's size: one pass over the documents per block, nothing shuffled.
+"""Operator 10, benchmark decontamination: rare seeds join passages to items, then Smith-Waterman.
+
+Words are runs of letters and digits (A-Z folded). A passage is aligned with a test
+item (match 2, mismatch -1, gap -1); the score over that of a perfect copy is the
+leak score, and from ``LEAST_SCORE`` on the item leaks: paraphrased or edited copies
+lose some points, chance likeness nearly all.
+
+The search is exact, whatever was edited. A score of half a perfect copy needs half
+of the item's ``n`` words matched, h = ceil(n / 2), inside a stretch of at most 2n words. So of any
+n - h + k words of the item at least k are matched there. The seeds of an item are
+its n - h + k rarest words in the corpus (k = ``HITS``, or h where that is
+less); a document is a candidate where k places of seeds lie within 2n words.
+
+1. The benchmark is cut into segments of at most ``SEGMENT`` words of equal length;
+   items up to that length are one.
+2. The words of the benchmark are counted in the whole corpus (in the tasks first).
+3. Places of seed words in the documents meet the seeds by a join on the word, and
+   are gathered by document and segment; stretches without k places go.
+4. Texts of candidates meet their segments by a join; stretches that hold too few of
+   the segment's words at all go (an upper bound on matches), the others are aligned.
+
+The benchmark is never collected, so neither it nor the corpus has a bound, and the
+documents are read the same number of times whatever its size. Two bit filters of a
+fixed size keep words and texts that can't matter out of the joins; what passes them
+by chance is sorted out by the joins themselves. A seed word that a third of the places
+hold is one key of an inner join, which Spark splits.
 
 Defined cases: null text or text without words leaks nothing; items that are
 null or have no words are ignored; with no items nothing leaks; rows with null
 or repeated ids are judged each by their own text; an empty table gives an
-empty result. All other columns pass through untouched.
+empty result. All other columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pickmarts.llm.textwords import (
-    NOT_ALNUM,
-    Texts,
-    Words,
-    batches_by_bytes,
-    mix64,
-    ngram_hashes,
-    texts_from_bytes,
-    texts_of,
-    words_of,
-)
-
-SEED = 3
+from pickmarts.llm.columns import Scratch
+from pickmarts.llm.suffixes import BitFilter
+from pickmarts.llm.textwords import NOT_ALNUM, batches_by_bytes, texts_from_bytes, texts_of, words_of
+
 SEGMENT = 256
+HITS = 4
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-BLOCK_BYTES = 4 << 20
-#: Places of seeds and passages looked at together, and cells of the alignments made together.
-PLACES = 1 << 20
-PASSAGES = 1 << 13
-CELLS = 1 << 17
-
-_U = np.uint64
-
-
-@dataclass
-class Items:
-    """One block of the benchmark: segments of word hashes and their seeds, sorted by hash."""
-
-    ids: list[int]  # item of each segment
-    words: list[np.ndarray]
-    seed: np.ndarray
-    segment: np.ndarray
-    place: np.ndarray  # word position of the seed in its segment
-
-
-def items_of(rows: list[tuple[int, str]]) -> Items:
-    texts = texts_from_bytes([(t or "").encode() for _, t in rows])
-    words = words_of(texts, lower=True, separators=NOT_ALNUM)
-    ids, parts = [], []
-    for k, (item, _) in enumerate(rows):
-        a, b = words.first[k], words.first[k + 1]
-        cuts = np.linspace(a, b, -(-(b - a) // SEGMENT) + 1).astype(np.int64)
-        for x, y in zip(cuts[:-1], cuts[1:]):
-            ids.append(item)
-            parts.append(words.hash[x:y])
-    first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    seed, segment, at = ngram_hashes(Words(flat, first[:0], first[:0], first), SEED, short_whole=True)
-    order = np.argsort(seed, kind="stable")
-    seed, segment, at = seed[order], segment[order], at[order]
-    return Items(ids, parts, seed, segment, at - first[:-1][segment] if len(seed) else at)
-
-
-class SeedIndex:
-    """Finds the positions of a sorted seed list in an array of hashes: a bit table, then binary search."""
-
-    def __init__(self, seeds: np.ndarray):
-        self.seeds = np.unique(seeds)
-        self.table = np.zeros(1 << 20, bool)
-        self.table[(self.seeds >> _U(44)).astype(np.int64)] = True
-
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes into ``h`` that hit, and the number of the seed they hit."""
-        at = np.flatnonzero(self.table[(h >> _U(44)).astype(np.int64)])
-        if not len(self.seeds) or not len(at):
-            return at[:0], at[:0]
-        k = np.minimum(np.searchsorted(self.seeds, h[at]), len(self.seeds) - 1)
-        hit = self.seeds[k] == h[at]
-        return at[hit], k[hit]
-
-
-class SegmentWords:
-    """Which words a segment has, as one bit table: never misses a word, may add a few."""
-
-    def __init__(self, items: Items):
-        length = np.array([len(w) for w in items.words], np.int64)
-        bits = min(max(int(length.sum()) * 16, 1 << 16).bit_length(), 24)
-        self.shift = _U(64 - bits)
-        self.table = np.zeros(1 << bits, bool)
-        flat = np.concatenate(items.words) if items.words else np.zeros(0, np.uint64)
-        self.table[self._cell(np.repeat(np.arange(len(length)), length), flat)] = True
-
-    def _cell(self, segment: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return (mix64(word ^ mix64(segment.astype(np.uint64) + _U(1))) >> self.shift).astype(np.int64)
-
-    def most(self, word: np.ndarray, a: np.ndarray, b: np.ndarray, segment: np.ndarray, width: np.ndarray) -> np.ndarray:
-        """For each passage ``word[a:b]`` the most words of its segment in any stretch of ``width`` words."""
-        size = b - a
-        first = np.cumsum(size) - size
-        ends = np.repeat(first + size, size)
-        at = np.arange(len(ends))
-        hit = self.table[self._cell(np.repeat(segment, size), word[at + np.repeat(a - first, size)])]
-        total = np.concatenate([[0], np.cumsum(hit)])
-        return np.maximum.reduceat(total[np.minimum(at + np.repeat(width, size), ends)] - total[at], first)
-
-
-def _grams(texts: Texts) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    words = words_of(texts, lower=True, separators=NOT_ALNUM)
-    return words, *ngram_hashes(words, SEED, short_whole=True)
+
+_I = np.int64
+
+
+def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item_id, part, words): the word hashes of each segment."""
+    for batch in batches_by_bytes(batches, "text"):
+        words = words_of(texts_of(batch.column(1)), lower=True, separators=NOT_ALNUM)
+        items, numbers, parts = [], [], []
+        for k, item in enumerate(batch.column(0).to_pylist()):
+            a, b = words.first[k], words.first[k + 1]
+            cuts = np.linspace(a, b, -(-(b - a) // SEGMENT) + 1).astype(_I)
+            for part, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
+                items.append(item)
+                numbers.append(part)
+                parts.append(words.hash[x:y].view(_I))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(items, pa.int64()), pa.array(numbers, pa.int32()), pa.array(parts, pa.list_(pa.int64()))],
+            names=["item_id", "part", "words"],
+        )
+
+
+def segments_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """item_id, part (of its text) and words of every segment; texts given twice under one id count once."""
+    usable = benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull())
+    usable = usable.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text")).distinct()
+    numbered = usable.mapInArrow(_segment_batches, "item_id long, part int, words array<long>")
+    # different texts under one id are segments of one item
+    return numbered.withColumn("part", F.xxhash64("part", "words"))
+
+
+def _count_batches(known: BitFilter):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_by_bytes(batches, "text"):
+            h = words_of(texts_of(batch.column(0)), lower=True, separators=NOT_ALNUM).hash
+            word, n = np.unique(h[known.has(h)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(_I)), pa.array(n)], names=["word", "n"])
+
+    return run
+
+
+def seeds_of(segments: DataFrame, counts: DataFrame) -> DataFrame:
+    """word, item_id, part, size and hits: the rarest words of every segment and how many of them a leak holds at least."""
+    words = segments.select("item_id", "part", F.size("words").alias("size"), F.posexplode("words").alias("at", "word"))
+    often = counts.select(F.col("word").alias("counted"), "n")
+    words = words.join(often, F.col("word") == F.col("counted"), "left")
+    segment = Window.partitionBy("item_id", "part").orderBy(F.coalesce("n", F.lit(0)), "word", "at")  # <= SEGMENT rows
+    half = F.ceil(F.col("size") / 2)
+    words = words.withColumn("hits", F.least(F.lit(HITS), half).cast("int")).withColumn("turn", F.row_number().over(segment))
+    rare = words.where(F.col("turn") <= F.col("size") - half + F.col("hits"))
+    return rare.select("word", "item_id", "part", "size", "hits").distinct()
+
+
+def _place_batches(seeds: BitFilter):
+    """(doc_id, row, at, word): places of seed words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_by_bytes(batches, "text"):
+            words = words_of(texts_of(batch.column(0)), lower=True, separators=NOT_ALNUM)
+            at = np.flatnonzero(seeds.has(words.hash))
+            doc = np.searchsorted(words.first, at, side="right") - 1
+            owner = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1).take(owner),
+                    batch.column(2).take(owner),
+                    pa.array((at - words.first[doc]).astype(np.int32)),
+                    pa.array(words.hash[at].view(_I)),
+                ],
+                names=["doc_id", "row", "at", "word"],
+            )
+
+    return run
+
+
+def _packed_batches(rows: BitFilter):
+    """(packed, doc_id, row) of the texts whose row passes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in batches_by_bytes(batches, "text"):
+            use = pa.array(np.flatnonzero(rows.has(batch.column(2).to_numpy().view(np.uint64))))
+            texts = texts_of(batch.column(0).take(use))
+            packed = pa.array([pack.compress(texts.raw(i)) for i in range(len(texts))], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [packed, batch.column(1).take(use), batch.column(2).take(use)], names=["packed", "doc_id", "row"]
+            )
+
+    return run
 
 
 def align_many(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -168,151 +172,127 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return int(best[0]), int(end[0])
 
 
-def _joined(
-    doc: np.ndarray, segment: np.ndarray, low: np.ndarray, high: np.ndarray, length: np.ndarray
-) -> tuple[np.ndarray, ...]:
-    """Ranges of diagonals, those near each other as one: they belong to one passage."""
-    order = np.lexsort((low, segment, doc))
-    doc, segment, low, high = doc[order], segment[order], low[order], high[order]
-    other = np.ones(len(doc), bool)
-    other[1:] = (doc[1:] != doc[:-1]) | (segment[1:] != segment[:-1])
-    lift = (np.cumsum(other) - 1) * (int(high.max()) - int(low.min()) + 1)
-    reach = np.maximum.accumulate(high + lift) - lift
-    fresh = other.copy()
-    fresh[1:] |= low[1:] - reach[:-1] > length[segment[1:]] // 2 + 1
-    starts = np.flatnonzero(fresh)
-    return doc[starts], segment[starts], low[starts], np.maximum.reduceat(high, starts)
-
-
-def _passages(
-    at: np.ndarray, k: np.ndarray, doc: np.ndarray, first_word: np.ndarray, items: Items, index: SeedIndex, length: np.ndarray
-) -> Iterator[tuple[np.ndarray, ...]]:
-    """(document, segment, lowest and highest start) of every passage with a seed, PLACES places or one document at a time."""
-    lo = np.searchsorted(items.seed, index.seeds[k], side="left")
-    many = np.searchsorted(items.seed, index.seeds[k], side="right") - lo
-    before = np.concatenate([[0], np.cumsum(many)])
-    edges = np.append(np.flatnonzero(np.append(True, doc[at[1:]] != doc[at[:-1]])), len(at))
-    x = 0
-    while x < len(at):
-        # whole documents: as many as have PLACES places together, one at least
-        y = edges[np.searchsorted(before[edges], before[x] + PLACES, side="right") - 1]
-        y = y if y > x else edges[np.searchsorted(edges, x, side="right")]
-        parts = []
-        while x < y:
-            z = min(max(int(np.searchsorted(before, before[x] + PLACES, side="right")) - 1, x + 1), y)
-            n = many[x:z]
-            use = np.repeat(lo[x:z] - (before[x:z] - before[x]), n) + np.arange(before[z] - before[x])
-            place = np.repeat(at[x:z], n)
-            begin = first_word[place] - items.place[use]  # where the segment would start
-            parts.append(_joined(doc[place], items.segment[use], begin, begin, length))
-            x = z
-        yield parts[0] if len(parts) == 1 else _joined(*map(np.concatenate, zip(*parts)), length)
-
-
-def leaks_of(texts: Texts, items: Items, index: SeedIndex, members: SegmentWords) -> list[tuple[int, int, float, int, int]]:
-    """(text, item id, score, first word, last word) of every item that leaks into a text, its best place each."""
-    words, h, doc, first_word = _grams(texts)
-    at, k = index.find(h)
-    if not len(at):
+def stretches(at: np.ndarray, size: int, hits: int, words: int) -> list[tuple[int, int]]:
+    """The parts of a text of ``words`` words that hold every alignment with ``hits`` of the places ``at`` (ascending)."""
+    first, last = at[: len(at) - hits + 1], at[hits - 1 :]
+    near = last - first < 2 * size
+    low = np.maximum(last[near] - 2 * size + 1, 0)
+    high = np.minimum(first[near] + 2 * size, words)
+    if not len(low):
         return []
-    length = np.array([len(w) for w in items.words])
-    found: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for d, segment, low, high in _passages(at, k, doc, first_word, items, index, length):
-        size = length[segment]
-        a = np.maximum(low - size // 2 - 1, words.first[d])
-        b = np.minimum(high + size + size // 2 + 1, words.first[d + 1])
-        # an alignment of LEAST_SCORE spans at most twice the item, and scores no more than its matching words allow
-        cuts = np.append(np.flatnonzero(np.diff(np.cumsum(b - a) // PLACES, prepend=-1)), len(a))
-        most = [
-            members.most(words.hash, a[x:y], b[x:y], segment[x:y], 2 * size[x:y]) for x, y in zip(cuts[:-1], cuts[1:])
-        ]
-        able = np.flatnonzero(np.concatenate(most) >= LEAST_SCORE * size)
-        for x in range(0, len(able), PASSAGES):
-            _best_places(able[x : x + PASSAGES], d, segment, a, b, words, items, found)
-    return [(t, i, *found[(t, i)]) for t, i in sorted(found)]
-
-
-def _best_places(able, d, segment, a, b, words: Words, items: Items, found: dict) -> None:
-    """Aligns the passages ``able`` and notes the best place of each (document, item)."""
-    same: dict[tuple[int, bytes], int] = {}  # equal passages of a segment are aligned once
-    which = [same.setdefault((int(segment[s]), words.hash[a[s] : b[s]].tobytes()), len(same)) for s in able]
-    wanted = [items.words[s] for s, _ in same]
-    passages = [np.frombuffer(p, np.uint64) for _, p in same]
-    order = sorted(range(len(same)), key=lambda n: (len(wanted[n]), len(passages[n])))
-    score, end = np.zeros(len(same), np.int64), np.zeros(len(same), np.int64)
-    x = 0
-    while x < len(order):
-        y, wide = x + 1, len(passages[order[x]])
-        while y < len(order) and (y - x + 1) * max(wide, len(passages[order[y]])) <= CELLS:
-            wide = max(wide, len(passages[order[y]]))
-            y += 1
-        take = order[x:y]
-        score[take], end[take] = align_many([wanted[n] for n in take], [passages[n] for n in take])
-        x = y
-    for s, n in zip(able, which):
-        size, got = len(wanted[n]), int(score[n])
-        perfect = MATCH * size
-        key = (int(d[s]), items.ids[segment[s]])
-        if got >= LEAST_SCORE * perfect and got / perfect > found.get(key, (0.0, 0, 0))[0]:
-            last = int(a[s] + end[n] - 1 - words.first[d[s]])
-            found[key] = (got / perfect, max(last - size + 1, 0), last)
-
-
-def _report_batches(items: Items, text: str, key: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, members = SeedIndex(items.seed), SegmentWords(items)
-        for batch in batches_by_bytes(batches, text, most=2 << 20):
-            found = leaks_of(texts_of(batch.column(batch.schema.get_field_index(text))), items, index, members)
-            if found:
-                t, item, score, first, last = zip(*found)
-                ids = batch.column(batch.schema.get_field_index(key)).take(pa.array(t))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(item, pa.int64()), pa.array(score), pa.array(first), pa.array(last)],
-                    names=[key, "item_id", "score", "first_word", "last_word"],
-                )
-
-    return run
-
-
-def _clean_batches(items: Items, text: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, members = SeedIndex(items.seed), SegmentWords(items)
-        for batch in batches_by_bytes(batches, text, most=2 << 20):
-            found = leaks_of(texts_of(batch.column(batch.schema.get_field_index(text))), items, index, members)
-            clean = np.ones(batch.num_rows, bool)
-            clean[[f[0] for f in found]] = False
-            yield batch.filter(pa.array(clean))
-
-    return run
-
-
-def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[Items]:
-    """The benchmark in blocks of about BLOCK_BYTES, dealt by a hash of the text."""
-    usable = benchmark.where(F.col(text).isNotNull() & F.col(item).isNotNull()).select(F.col(item), F.col(text))
-    size = usable.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES)
-    for b in range(blocks):
-        rows = usable.where(F.pmod(F.xxhash64(item, text), F.lit(blocks)) == b).distinct().collect()
-        items = items_of(sorted((r[0], r[1]) for r in rows))
-        if len(items.seed):
-            yield items
+    fresh = np.ones(len(low), bool)
+    fresh[1:] = low[1:] > high[:-1]  # both ascend
+    starts = np.flatnonzero(fresh)
+    return list(zip(low[starts].tolist(), np.append(high[starts[1:] - 1], high[-1]).tolist()))
+
+
+def best_place(segment: np.ndarray, words: np.ndarray, at: np.ndarray, hits: int) -> tuple[float, int, int] | None:
+    """Leak score, first and last word of the best alignment of a segment in a text; None below LEAST_SCORE."""
+    size = len(segment)
+    members = np.sort(segment)
+    passages = []
+    for low, high in stretches(at, size, hits, len(words)):
+        part = words[low:high]
+        k = np.minimum(np.searchsorted(members, part), size - 1)
+        total = np.concatenate([[0], np.cumsum(members[k] == part)])
+        width = min(2 * size, len(part))
+        if (total[width:] - total[: len(total) - width]).max() >= LEAST_SCORE * size:
+            passages.append((low, part))
+    found = None
+    for low, part in passages:
+        score, end = align(segment, part)
+        got = score / (MATCH * size)
+        if got >= LEAST_SCORE and (found is None or got > found[0]):
+            last = low + end - 1
+            found = (got, max(last - size + 1, 0), last)
+    return found
+
+
+def _align_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, row, item_id, score, first_word, last_word) of the candidates that leak."""
+    unpack = zstandard.ZstdDecompressor()
+    last, words = None, None
+    for batch in batches:
+        packed, at, segments = batch.column(0), batch.column(4), batch.column(6)
+        hits = batch.column(5).to_pylist()
+        rows, found = [], []
+        for i in range(batch.num_rows):
+            text = packed[i].as_py()
+            if text != last:  # a text's candidates follow one another
+                last, words = text, words_of(texts_from_bytes([unpack.decompress(text)]), lower=True, separators=NOT_ALNUM).hash
+            segment = segments[i].values.to_numpy().view(np.uint64)
+            best = best_place(segment, words, at[i].values.to_numpy().astype(_I), hits[i])
+            if best:
+                rows.append(i)
+                found.append(best)
+        score, first, end = zip(*found) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).take(pa.array(rows, pa.int64())) for c in (1, 2, 3)]
+            + [pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(end, pa.int64())],
+            names=["doc_id", "row", "item_id", "score", "first_word", "last_word"],
+        )
+
+
+def _row_name(key: str, text: str) -> Column:
+    return F.xxhash64(key, text)
+
+
+def _leaked_rows(df: DataFrame, benchmark: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, row, item_id, score, first_word, last_word) for every different row, ``row`` being its hash."""
+    scratch = Scratch(df.sparkSession, "leaks")
+    docs = df.where(F.col(text).isNotNull()).select(
+        F.col(text).alias("text"), F.col(key).alias("doc_id"), _row_name(key, text).alias("row")
+    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    segments = scratch.keep(segments_of(benchmark), "segments")
+    vocabulary = BitFilter(segments.select(F.explode("words").alias("word")).distinct(), "word")
+    counts = docs.select("text").mapInArrow(_count_batches(vocabulary), "word long, n long")
+    counts = scratch.keep(counts.groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    seeds = scratch.keep(seeds_of(segments, counts), "seeds")
+
+    places = docs.mapInArrow(
+        _place_batches(BitFilter(seeds.select("word").distinct(), "word")), f"doc_id {kind}, row long, at int, word long"
+    )
+    met = places.join(seeds.select(F.col("word").alias("seed"), "item_id", "part", "size", "hits"), F.col("word") == F.col("seed"))
+    met = met.groupBy("doc_id", "row", "item_id", "part", "size", "hits").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    close = "exists(sequence(1, size(at) - hits + 1), i -> element_at(at, i + hits - 1) - element_at(at, i) < 2 * size)"
+    candidates = scratch.keep(met.where(F.expr(f"if(size(at) >= hits, {close}, false)")), "candidates")
+
+    texts = docs.mapInArrow(_packed_batches(BitFilter(candidates, "row")), f"packed binary, doc_id {kind}, row long")
+    texts = texts.dropDuplicates(["doc_id", "row"]).select("packed", F.col("doc_id").alias("d2"), F.col("row").alias("r2"))
+    wanted = segments.select(F.col("item_id").alias("i2"), F.col("part").alias("p2"), "words").distinct()
+    same = (F.col("row") == F.col("r2")) & F.col("doc_id").eqNullSafe(F.col("d2"))
+    pairs = candidates.join(wanted, (F.col("item_id") == F.col("i2")) & (F.col("part") == F.col("p2"))).join(texts, same)
+    pairs = pairs.select("packed", "doc_id", "row", "item_id", "at", "hits", "words")
+    found = pairs.mapInArrow(
+        _align_batches, f"doc_id {kind}, row long, item_id long, score double, first_word long, last_word long"
+    )
+    # of an item's segments the best, then the earliest
+    place = F.struct("score", -F.col("first_word"), F.col("first_word"), F.col("last_word"))
+    best = found.groupBy("doc_id", "row", "item_id").agg(F.max(place).alias("b"))
+    best = best.select("doc_id", "row", "item_id", F.col("b.score"), F.col("b.first_word"), F.col("b.last_word"))
+    best = scratch.keep(best, "leaked")
+    scratch.drop("segments", "counts", "seeds", "candidates")
+    return best
+
+
+def _same_row(df: DataFrame, key: str, text: str, found: DataFrame) -> tuple[DataFrame, Column]:
+    """``found`` under fresh names, and the condition that a row of ``df`` is one of its rows."""
+    names = {c: f"{c}_{len(max(df.columns, key=len))}" for c in ("doc_id", "row")}  # longer than any column of df
+    found = found.withColumnsRenamed(names)
+    same = (_row_name(key, text) == F.col(names["row"])) & F.col(key).eqNullSafe(F.col(names["doc_id"]))
+    return found, same
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and leaked item: key, item_id, score (0.5 to 1), first_word and last_word of the passage."""
-    narrow = df.select(key, text)
-    kind = narrow.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, item_id long, score double, first_word long, last_word long"
-    out = None
-    for items in benchmark_blocks(benchmark):
-        part = narrow.mapInArrow(_report_batches(items, text, key), schema)
-        out = part if out is None else out.union(part)
-    return out if out is not None else df.sparkSession.createDataFrame([], schema)
+    found, same = _same_row(df.select(key, text), key, text, _leaked_rows(df, benchmark, key, text))
+    out = df.select(key, text).where(F.col(text).isNotNull()).join(found, same)
+    return out.select(key, "item_id", "score", "first_word", "last_word")
 
 
-def decontaminated(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def decontaminated(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` into which no benchmark item leaks, columns unchanged."""
-    out = df
-    for items in benchmark_blocks(benchmark):
-        out = out.mapInArrow(_clean_batches(items, text), df.schema)
-    return out
+    found = _leaked_rows(df, benchmark, key, text).select("doc_id", "row").distinct()
+    found, same = _same_row(df, key, text, found)
+    return df.join(found, same, "left_anti")
