@@ -74,8 +74,9 @@ def _edited(words: list[str], kind: str, rng: random.Random) -> list[str]:
 KINDS = ["foreign after every second", "every third replaced", "every third dropped", "half", "random", "exact"]
 
 
+@pytest.mark.parametrize("held", [0, decontamination.HELD_WORDS])
 @pytest.mark.parametrize("vocabulary", [40, 3000])
-def test_the_same_leaks_as_aligning_all_pairs(spark, vocabulary):
+def test_the_same_leaks_as_aligning_all_pairs(spark, vocabulary, held):
     """Also where no three words in a row survive, and where a few words make all texts."""
     rng = random.Random(vocabulary)
     word = lambda: f"w{int(vocabulary * rng.random() ** 2)}"
@@ -89,7 +90,7 @@ def test_the_same_leaks_as_aligning_all_pairs(spark, vocabulary):
         docs.append((d, " ".join([*filler, *body, *[word() for _ in range(rng.randrange(80))]])))
     want = _all_pairs(docs, items)
     got = decontamination.leaks(
-        _frame(spark, docs, "doc_id long, text string"), _frame(spark, items, "item_id long, text string")
+        _frame(spark, docs, "doc_id long, text string"), _frame(spark, items, "item_id long, text string"), held_words=held
     ).collect()
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want
     assert len(got) == len(want) > 60
@@ -105,14 +106,15 @@ def test_edits_that_leave_no_three_words_in_a_row(spark):
     assert {r["doc_id"]: round(r["score"], 4) for r in got} == {0: 0.7625, 1: 0.5125, 2: 0.5125}
 
 
-def test_repeated_rows_and_clashing_columns(spark):
+@pytest.mark.parametrize("held", [0, decontamination.HELD_WORDS])
+def test_repeated_rows_and_clashing_columns(spark, held):
     item = " ".join(f"q{n}" for n in range(20))
     rows = [(1, item, "a", 1, "x"), (1, item, "b", 2, "y"), (None, item, None, None, None), (2, "clean text", "c", 3, "z")]
     docs = _frame(spark, rows, "doc_id long, text string, row string, item_id long, doc_id_7 string")
     bench = _frame(spark, [(5, item, 1), (5, item, 2), (None, item, 3), (6, None, 4), (7, "...", 5)], "item_id long, text string, part int")
-    got = decontamination.leaks(docs, bench).collect()
+    got = decontamination.leaks(docs, bench, held_words=held).collect()
     assert sorted((r["doc_id"] or 0, r["item_id"], r["score"]) for r in got) == [(0, 5, 1.0), (1, 5, 1.0), (1, 5, 1.0)]
-    assert [tuple(r) for r in decontamination.decontaminated(docs, bench).collect()] == [rows[3]]
+    assert [tuple(r) for r in decontamination.decontaminated(docs, bench, held_words=held).collect()] == [rows[3]]
 
 
 def test_a_long_item_has_no_short_segment(spark):
