@@ -33,6 +33,14 @@ def drop_named(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def fresh_prefix(*frames: DataFrame) -> str:
+    """A prefix that no column of the frames begins with (compared without case), for helper columns."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for df in frames for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def running_total(
     df: DataFrame,
     group: list[str],
@@ -54,24 +62,25 @@ def running_total(
     so that rows need not be dealt by group to get them.
     """
     base = totals_from if totals_from is not None else df
-    sums = base.groupBy(*group, block).agg(F.sum(value).alias("__block_sum"))
+    p = fresh_prefix(df, base, *([attach] if attach is not None else []))
+    sums = base.groupBy(*group, block).agg(F.sum(value).alias(f"{p}sum"))
     extra = []
     if attach is not None:
         extra = [c for c in attach.columns if c not in group]
         sums = sums.join(attach, group, "left")
     earlier = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)],
-        F.col(block).alias("__b"),
-        F.coalesce(F.sum("__block_sum").over(earlier), F.lit(0)).cast("long").alias("__offset"),
+        *[F.col(c).alias(f"{p}g{i}") for i, c in enumerate(group)],
+        F.col(block).alias(f"{p}b"),
+        F.coalesce(F.sum(f"{p}sum").over(earlier), F.lit(0)).cast("long").alias(f"{p}offset"),
         *extra,
     )
     inside = Window.partitionBy(*group, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))
-    same = [F.col(c) == F.col(f"__g{i}") for i, c in enumerate(group)] + [F.col(block) == F.col("__b")]
+    rows = df.withColumn(f"{p}inside", F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))
+    same = [F.col(c) == F.col(f"{p}g{i}") for i, c in enumerate(group)] + [F.col(block) == F.col(f"{p}b")]
     joined = rows.join(offsets, on=same, how="left")
-    return joined.withColumn(out, F.col("__offset") + F.col("__inside")).drop(
-        "__inside", "__offset", "__b", *[f"__g{i}" for i in range(len(group))]
+    return joined.withColumn(out, F.col(f"{p}offset") + F.col(f"{p}inside")).drop(
+        f"{p}inside", f"{p}offset", f"{p}b", *[f"{p}g{i}" for i in range(len(group))]
     )
 
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -75,9 +76,8 @@ BAD_NAMES = frozenset(
 )
 REGIONS = ("article", "main")
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">]|['\"])*?)>", re.S
-)
+_OPEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_STOP = re.compile("[\"'>]")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -118,12 +118,48 @@ def _named_bad(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+class _Tags:
+    """Finds the tags of a page.
+
+    A ``>`` inside a quoted value does not end a tag. Where no other follows, quotes
+    mean nothing and the first ``>`` ends it; a ``<`` without any is text. Linear: no
+    quote is tried twice in vain.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.vain: set[int] = set()  # quotes from which no end is found
+
+    def after(self, at: int) -> tuple[int, int, str | None, str, str] | None:
+        """(begin, end, slash, tag, attributes) of the next tag; slash is None for comments and declarations."""
+        page = self.page
+        m = _OPEN.search(page, at)
+        if m is None or (m[2] is not None and m.end() > self.last[">"]):
+            return None  # no tag ends any more
+        if m[2] is None:
+            return m.start(), m.end(), None, "", ""
+        place, tried, end = m.end(), [], -1
+        while (s := _STOP.search(page, place)) is not None and s.start() not in self.vain:
+            if s[0] == ">":
+                end = s.start()
+                break
+            tried.append(s.start())
+            closed = page.find(s[0], s.end()) if s.start() < self.last[s[0]] else -1
+            place = closed + 1 if closed >= 0 else s.end()
+        if end < 0:
+            self.vain.update(tried)
+            end = page.find(">", m.end())
+        return m.start(), end + 1, m[1], m[2].lower(), page[m.end() : end]
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, unlabelled."""
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
     stack: list[tuple[str, bool, bool]] = []  # open containers: tag, inside boilerplate, inside the article
+    is_open: Counter[str] = Counter()
     bad = article = False
     link_depth = -1  # containers open when the current link began; -1 outside links
 
@@ -144,25 +180,22 @@ def blocks_of(page: str) -> list[Block]:
             if link_depth >= 0:
                 linked += len(text) - text.count(" ")
 
-    at = 0
-    while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
-        add(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    at, tags = 0, _Tags(page)
+    while (found := tags.after(at)) is not None:
+        begin, end, slash, tag, attributes = found
+        add(page[at:begin])
+        at = end
+        if slash is None:
             continue
-        tag = m[2].lower()
-        if m[1]:  # end tag
+        if slash:  # end tag
             if tag == "a":
                 link_depth = -1
             if tag in INLINE:
                 continue
             close_block()
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if is_open[tag] else ():
                 if stack[k][0] == tag:
+                    is_open.subtract(t for t, _, _ in stack[k:])
                     del stack[k:]
                     bad, article = stack[-1][1:] if stack else (False, False)
                     if link_depth > len(stack):
@@ -170,26 +203,28 @@ def blocks_of(page: str) -> list[Block]:
                     break
             continue
         if tag in RAW_TEXT:
-            if not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if not attributes.rstrip().endswith("/"):
+                closing = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                at = closing.end() if closing else len(page)
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag == "a":
             link_depth = len(stack)
-        if tag in INLINE and not (tag not in VOID and _named_bad(tag, m[3], article)):
+        if tag in INLINE and not (tag not in VOID and _named_bad(tag, attributes, article)):
             continue
         close_block()
         if tag in VOID:
             continue
         if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
-            stack.pop()  # these end where the next of their kind begins
+            is_open[stack.pop()[0]] -= 1  # these end where the next of their kind begins
             bad, article = stack[-1][1:] if stack else (False, False)
         article = article or tag in REGIONS
-        bad = bad or _named_bad(tag, m[3], article)
+        bad = bad or _named_bad(tag, attributes, article)
         stack.append((tag, bad, article))
+        is_open[tag] += 1
+    add(page[at:])
     close_block()
     return out
 

@@ -25,11 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pickmarts.llm.columns import crc_remainder, drop_named
+from pickmarts.llm.columns import crc_remainder, drop_named, fresh_prefix
 from pickmarts.llm.textwords import Texts, batches_by_bytes, texts_of
 
 WINDOW = 192
@@ -38,7 +38,6 @@ FILTERS = 24
 EMBEDDING = 8
 SAMPLE_DOCS = 500
 SAMPLE_WINDOWS = 4
-MAX_LANGS = 64
 EPOCHS = 5
 BATCH = 128
 RATE = 4e-3
@@ -75,16 +74,19 @@ class Network:
     def parameters(self) -> list[np.ndarray]:
         return [self.embed, *self.filters, *self.bias, self.out, self.out_bias]
 
-    def log_probabilities(self, windows: np.ndarray) -> np.ndarray:
+    def taps(self) -> list[list[np.ndarray]]:
+        """A tap's contribution depends on one byte only: embedding times filter slice, as a table of 256 rows."""
+        shaped = [f.reshape(w, EMBEDDING, FILTERS) for w, f in zip(WIDTHS, self.filters)]
+        return [[self.embed @ tap for tap in taps] for taps in shaped]
+
+    def log_probabilities(self, windows: np.ndarray, taps: list[list[np.ndarray]] | None = None) -> np.ndarray:
         """windows (n x WINDOW bytes) -> n x languages; one gather per filter tap, no matrix of patches."""
-        # a tap's contribution depends on one byte only: embedding times filter slice, as a table of 256 rows
         pooled = []
-        for width, weight, bias in zip(WIDTHS, self.filters, self.bias):
+        for width, tables, bias in zip(WIDTHS, taps or self.taps(), self.bias):
             span = windows.shape[1] - width + 1
-            taps = weight.reshape(width, EMBEDDING, FILTERS)
-            total = (self.embed @ taps[0])[windows[:, :span]]
+            total = tables[0][windows[:, :span]]
             for k in range(1, width):
-                total += (self.embed @ taps[k])[windows[:, k : k + span]]
+                total += tables[k][windows[:, k : k + span]]
             pooled.append(np.maximum(total.max(axis=1) + bias, 0))
         logits = np.concatenate(pooled, axis=1) @ self.out + self.out_bias
         logits -= logits.max(axis=1, keepdims=True)
@@ -164,9 +166,9 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def _predict_batches(net: Network, text: str, returned: list[str]):
+def _predict_batches(net: Network, text: str, returned: list[str], out: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array(net.langs, dtype=object)
+        names, taps = np.array(net.langs, dtype=object), net.taps()
         for batch in batches_by_bytes(batches, text, most=1 << 20):
             texts = texts_of(batch.column(batch.schema.get_field_index(text)))
             total = np.zeros((len(texts), len(net.langs)))
@@ -175,7 +177,7 @@ def _predict_batches(net: Network, text: str, returned: list[str]):
             for at in range(0, len(windows), 256):
                 part = windows[at : at + 256]
                 letters = _LETTER[part].sum(axis=1) + 1e-3
-                np.add.at(total, doc[at : at + 256], net.log_probabilities(part) * letters[:, None])
+                np.add.at(total, doc[at : at + 256], net.log_probabilities(part, taps) * letters[:, None])
                 np.add.at(weight, doc[at : at + 256], letters)
             mean = total / np.maximum(weight, 1e-3)[:, None]
             mean -= mean.max(axis=1, keepdims=True)
@@ -185,7 +187,7 @@ def _predict_batches(net: Network, text: str, returned: list[str]):
             kept = batch.select(returned)
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(names[best], pa.string()), pa.array(p[np.arange(len(p)), best])],
-                names=[*returned, "__lang", "__score"],
+                names=[*returned, *out],
             )
 
     return run
@@ -194,19 +196,11 @@ def _predict_batches(net: Network, text: str, returned: list[str]):
 def sample_windows(labelled: DataFrame, text: str, lang: str, key: Column) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Training windows, label numbers and languages, from a bounded sample of ``labelled``.
 
-    At most SAMPLE_DOCS * SAMPLE_WINDOWS * MAX_LANGS windows reach the driver.
+    SAMPLE_DOCS different texts of every language, those with the smallest hash of
+    (key, text): a function of the table, whatever its order, however many rows
+    share a key and however often a text stands. At most SAMPLE_DOCS *
+    SAMPLE_WINDOWS windows of a language reach the driver.
     """
-    counted = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGS).collect()
-    counts = {r[0]: r[1] for r in counted}
-    langs = sorted(counts)
-    if not langs:
-        return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), []
-    # every document of a language has the same chance, set so that the language gives SAMPLE_DOCS or all
-    chance = F.element_at(
-        F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, SAMPLE_DOCS / counts[k])))]), F.col(lang)
-    )
-    draw = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / float(1 << 40)
-    sampled = labelled.where(F.col(lang).isin(langs)).where(draw < chance)
     body = F.col(text).cast("binary")
     spread = F.transform(
         F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1)),
@@ -214,11 +208,18 @@ def sample_windows(labelled: DataFrame, text: str, lang: str, key: Column) -> tu
             body, (F.floor(F.octet_length(body) * k / SAMPLE_WINDOWS)).cast("int") + 1, F.lit(WINDOW)
         ),
     )
-    rows = (
-        sampled.select(F.col(lang).alias("lang"), F.array_distinct(spread).alias("w"), F.xxhash64(key).alias("at"))
-        .limit(2 * SAMPLE_DOCS * len(langs))
-        .collect()
-    )
+    rows = labelled.select(F.col(lang).alias("lang"), F.xxhash64(key, F.col(text)).alias("at"), F.array_distinct(spread).alias("w"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("at").alias("n")).collect()}
+    langs = sorted(counts)
+    if not langs:
+        return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), []
+    # rows that can't be among the first are left out before anything moves: twice as many as wanted stay
+    chance = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, 2 * SAMPLE_DOCS / max(counts[k], 1))))])
+    draw = F.pmod("at", F.lit(1 << 40))
+    rows = rows.where(draw / float(1 << 40) <= F.element_at(chance, F.col("lang")))
+    rows = rows.groupBy("lang", "at").agg(F.first("w").alias("w"))
+    first = Window.partitionBy("lang").orderBy(draw, "at")
+    rows = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_DOCS).collect()
     rows.sort(key=lambda r: (r["at"], r["lang"], r["w"]))
     number = {k: i for i, k in enumerate(langs)}
     pieces = [(bytes(w), number[r["lang"]]) for r in rows for w in r["w"] if any(_LETTER[b] for b in bytes(w))]
@@ -239,17 +240,19 @@ def identify(df: DataFrame, net: Network | None, text: str = "text", returned: l
     """All rows of ``df`` with lang_pred and score after the ``returned`` columns (all of them by default)."""
     df = drop_named(df, "lang_pred", "score")
     returned = returned if returned is not None else df.columns
-    rows = df.withColumn("__letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    prefix = fresh_prefix(df)
+    letter, best, sure = f"{prefix}letter", f"{prefix}lang", f"{prefix}score"
+    rows = df.withColumn(letter, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     shown = [F.col(f"`{c}`") for c in returned]
     if net is None:
         return rows.select(*shown, F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
-    kept = [*returned, "__letter"]
-    schema = StructType([rows.schema[c] for c in kept]).add("__lang", "string").add("__score", "double")
-    out = rows.mapInArrow(_predict_batches(net, text, kept), schema)
+    kept = [*returned, letter]
+    schema = StructType([rows.schema[c] for c in kept]).add(best, "string").add(sure, "double")
+    out = rows.mapInArrow(_predict_batches(net, text, kept, [best, sure]), schema)
     return out.select(
         *shown,
-        F.when(F.col("__letter"), F.col("__lang")).otherwise(UND).alias("lang_pred"),
-        F.when(F.col("__letter"), F.col("__score")).otherwise(0.0).alias("score"),
+        F.when(F.col(letter), F.col(best)).otherwise(UND).alias("lang_pred"),
+        F.when(F.col(letter), F.col(sure)).otherwise(0.0).alias("score"),
     )
 
 
@@ -265,14 +268,34 @@ def op5_identify(df: DataFrame) -> DataFrame:
     return out.select("doc_id", (crc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-# A document is rejected if it has no letter or the network is this unsure of
-# its language (an even guess among four would be 0.25).
-LEAST_SCORE = 0.3
+# The share of held-out windows whose score lies below the gate, and the gate's most over an even guess.
+GATE_SHARE = 0.001
+OVER_EVEN = 1.2
+
+
+def gate(net: Network, heldout: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> float:
+    """The least score of a document whose language is recognised.
+
+    The score that all but ``GATE_SHARE`` of single windows of held-out labelled
+    documents reach, but at most ``OVER_EVEN`` times an even guess among the learned
+    languages. Without held-out rows the latter.
+    """
+    most = min(OVER_EVEN / len(net.langs), 1.0)
+    usable = heldout.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    windows, _, _ = sample_windows(usable, text, lang, F.col(key))
+    taps = net.taps()
+    scores = [np.exp(net.log_probabilities(windows[i : i + 256], taps).max(axis=1)) for i in range(0, len(windows), 256)]
+    return float(min(np.quantile(np.concatenate(scores), GATE_SHARE), most)) if scores else most
 
 
 def known_language(df: DataFrame) -> DataFrame:
-    """The documents whose language is recognised, columns unchanged."""
-    out = identify(df, fit(training_rows(df)))
-    return out.where((F.col("lang_pred") != UND) & (F.col("score") >= LEAST_SCORE)).select(
-        *[F.col(f"`{c}`") for c in df.columns]
+    """The documents whose language is recognised, columns unchanged; all go where there is nothing to learn from."""
+    net = fit(training_rows(df))
+    if net is None:
+        return df.where("false")
+    least = gate(net, df.where(crc_remainder(F.col("doc_id"), 3) == 1))
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole")
+    out = identify(df.select(whole, "text"), net, returned=["whole"])
+    return out.where((F.col("lang_pred") != UND) & (F.col("score") >= least)).select(
+        *[F.col(f"whole.`{c}`").alias(c) for c in df.columns]
     )

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pickmarts.llm.columns import written
+from pickmarts.llm.columns import fresh_prefix, written
 from pickmarts.llm.components import components
 from pickmarts.llm.textwords import (
     Texts,
@@ -279,8 +279,9 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 
 def without_near_duplicates(df: DataFrame) -> DataFrame:
     """The rows of ``df`` whose document stands for its group (smallest id), columns unchanged."""
-    removed = near_duplicates(df).where("not kept").select(F.col("doc_id").alias("__removed")).distinct()
-    return df.join(removed, F.col("doc_id") == F.col("__removed"), "left_anti")
+    gone = f"{fresh_prefix(df)}removed"
+    removed = near_duplicates(df.select("doc_id", "text")).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return df.join(removed, F.col("doc_id") == F.col(gone), "left_anti")
 
 
 # The same rows in DuckDB SQL, from all pairs that share a shingle.

@@ -129,9 +129,12 @@ def mixed_documents(df: DataFrame) -> DataFrame:
     """The documents of the mix: each row as many times as it is taken, columns unchanged."""
     size = word_count(F.col("text"))
     narrow = written(df.select("doc_id", "source", size.alias("__size")), "mix")
-    out = mix(df, size, tie=F.crc32(F.col("text").cast("binary")), sums=narrow)
+    # the caller's columns travel as one, so that none is taken for a column of the mix
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole")
+    rows = df.select(whole, "doc_id", "source", size.alias("__words"), F.crc32(F.col("text").cast("binary")).alias("__crc"))
+    out = mix(rows, F.col("__words"), tie=F.col("__crc"), sums=narrow)
     copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return out.select("*", copies.alias("__copy")).select(*[F.col(f"`{c}`") for c in df.columns])
+    return out.select("whole", copies.alias("copy")).select(*[F.col(f"whole.`{c}`").alias(c) for c in df.columns])
 
 
 # The same rows in DuckDB SQL: targets by reaching the water level source by

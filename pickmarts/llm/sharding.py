@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.llm.columns import drop_named, hash_unit, running_total
+from pickmarts.llm.columns import drop_named, fresh_prefix, hash_unit, running_total
 
 ROW_BYTES = 16
 SHARDS = 40
@@ -124,9 +124,10 @@ def shard_rows(
     # rows without an id are spread over blocks by their text, before all others
     lowest = F.lit(-(1 << 62))
     block = F.coalesce(F.shiftright(F.col(key).cast("long"), BLOCK_BITS), lowest + F.col("text_crc32") % F.lit(1 << 16))
-    rows = rows.withColumn("__block", block)
+    name = f"{fresh_prefix(rows)}block"
+    rows = rows.withColumn(name, block)
     order = [F.col(key).asc_nulls_first(), F.col("text_crc32")]
-    return running_total(rows, ["shard"], "__block", order, F.lit(1), "slot").drop("__block")
+    return running_total(rows, ["shard"], name, order, F.lit(1), "slot").drop(name)
 
 
 def op1_shard(df: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pickmarts.llm.columns import drop_named
+from pickmarts.llm.columns import drop_named, fresh_prefix
 
 
 def host_of(url: Column) -> Column:
@@ -90,6 +90,8 @@ def judge(captures: DataFrame, changes: DataFrame, url: str = "url", fetched: st
     the oldest of them. ``fetched`` is a date column.
     """
     captures = drop_named(captures, "blocked", "lists", "entries", "since")
+    prefix = fresh_prefix(captures)
+    at, on, verdict = f"{prefix}url", f"{prefix}day", f"{prefix}verdict"
     intervals = validity_intervals(changes)
     reach = captures.agg(F.max(fetched)).first()[0]
     deepest = intervals.where("kind = 'path'").agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
@@ -99,32 +101,34 @@ def judge(captures: DataFrame, changes: DataFrame, url: str = "url", fetched: st
     )
 
     seen = captures.where(F.col(url).isNotNull() & F.col(fetched).isNotNull())
-    seen = seen.select(F.col(url).alias("__url"), F.col(fetched).alias("__day"), host_of(F.col(url)).alias("host"))
+    seen = seen.select(F.col(url).alias(at), F.col(fetched).alias(on), host_of(F.col(url)).alias("host"))
     seen = seen.where("host != ''").distinct()
     keys = F.concat(
         F.transform(host_keys(F.col("host")), lambda p: F.struct(F.lit("host").alias("kind"), p.alias("pattern"))),
         F.transform(
-            path_keys(F.col("__url"), F.col("host"), deepest),
+            path_keys(F.col(at), F.col("host"), deepest),
             lambda p: F.struct(F.lit("path").alias("kind"), p.alias("pattern")),
         )
         if deepest
         else F.array().cast("array<struct<kind:string,pattern:string>>"),
     )
-    keyed = seen.select("__url", "__day", _month("__day").alias("month"), F.inline(keys))
-    active = (F.col("since") <= F.col("__day")) & (F.col("until").isNull() | (F.col("__day") < F.col("until")))
+    keyed = seen.select(at, on, _month(on).alias("month"), F.inline(keys))
+    active = (F.col("since") <= F.col(on)) & (F.col("until").isNull() | (F.col(on) < F.col("until")))
     hits = keyed.join(monthly, ["kind", "pattern", "month"]).where(active)
-    verdicts = hits.groupBy("__url", "__day").agg(
+    verdicts = hits.groupBy(at, on).agg(
         F.array_join(F.sort_array(F.collect_set("list")), ",").alias("lists"),
         F.count("*").alias("entries"),
         F.min("since").alias("since"),
     )
-    same = (F.col(url) == F.col("__url")) & (F.col(fetched) == F.col("__day"))
+    # the verdict travels as one column, so that the captures may have columns of any name
+    verdicts = verdicts.select(at, on, F.struct("lists", "entries", "since").alias(verdict))
+    same = (F.col(url) == F.col(at)) & (F.col(fetched) == F.col(on))
     return captures.join(verdicts, same, "left").select(
         *[F.col(f"`{c}`") for c in captures.columns],
-        F.col("lists").isNotNull().alias("blocked"),
-        F.coalesce("lists", F.lit("")).alias("lists"),
-        F.coalesce("entries", F.lit(0)).alias("entries"),
-        "since",
+        F.col(verdict).isNotNull().alias("blocked"),
+        F.coalesce(F.col(f"{verdict}.lists"), F.lit("")).alias("lists"),
+        F.coalesce(F.col(f"{verdict}.entries"), F.lit(0)).alias("entries"),
+        F.col(f"{verdict}.since").alias("since"),
     )
 
 

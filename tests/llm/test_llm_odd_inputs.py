@@ -51,7 +51,9 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(ROWS, SCHEMA).repartition(3).cache()
+    df = spark.createDataFrame(ROWS, SCHEMA).repartition(3).cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.fixture(scope="module")

@@ -36,7 +36,9 @@ MIDDLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def documents(spark):
-    return read_table(spark, SMALL, "documents").cache()
+    df = read_table(spark, SMALL, "documents").cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.fixture(scope="module")
@@ -432,9 +434,10 @@ def test_pipeline_stages(spark, documents, texts):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "near_dedup", "benchmark_decontamination", "mixing", "sharding",
     ]
-    docs, kept = documents, {}
+    docs, kept, cached = documents, {}, []
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL).cache()
+        cached.append(docs)
         kept[name] = [r["doc_id"] for r in docs.select("doc_id").collect()]
         if name != "sharding":
             assert docs.columns == documents.columns
@@ -452,6 +455,8 @@ def test_pipeline_stages(spark, documents, texts):
         slots[r["shard"]].append(r["slot"])
         assert r["text"] == texts[r["doc_id"]]
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    for df in cached:
+        df.unpersist()
 
 
 def test_short_ngrams_and_distinct():
