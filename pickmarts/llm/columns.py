@@ -49,7 +49,6 @@ def running_total(
     value: Column,
     out: str,
     totals_from: DataFrame | None = None,
-    attach: DataFrame | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over the earlier rows of the same group, in the order (block, order).
 
@@ -58,22 +57,15 @@ def running_total(
     offset, and rows are summed only inside their block. ``block`` must be a
     non-null long that ascends with the order; its size bounds a task.
     ``totals_from`` may give a cheaper DataFrame of the same rows for the totals.
-    ``attach`` may hold one row per group; its columns come along with the offsets,
-    so that rows need not be dealt by group to get them.
     """
     base = totals_from if totals_from is not None else df
-    p = fresh_prefix(df, base, *([attach] if attach is not None else []))
+    p = fresh_prefix(df, base)
     sums = base.groupBy(*group, block).agg(F.sum(value).alias(f"{p}sum"))
-    extra = []
-    if attach is not None:
-        extra = [c for c in attach.columns if c not in group]
-        sums = sums.join(attach, group, "left")
     earlier = Window.partitionBy(*group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         *[F.col(c).alias(f"{p}g{i}") for i, c in enumerate(group)],
         F.col(block).alias(f"{p}b"),
         F.coalesce(F.sum(f"{p}sum").over(earlier), F.lit(0)).cast("long").alias(f"{p}offset"),
-        *extra,
     )
     inside = Window.partitionBy(*group, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn(f"{p}inside", F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))

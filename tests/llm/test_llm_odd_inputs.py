@@ -198,7 +198,7 @@ def test_mixing(docs, none):
     copies = mixing.mix(docs, word_count(F.col("text")), tie=F.crc32(F.col("text").cast("binary")))
     assert mixed.count() == copies.agg(F.sum("copies")).first()[0] > 0
     assert copies.columns == [c for c in docs.columns if c not in ("size", "rank")] + [
-        "size", "source_size", "target", "rank", "copies", "taken",
+        "size", "source_size", "target", "inclusion", "rank", "copies", "taken",
     ]
 
 
