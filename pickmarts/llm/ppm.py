@@ -1,16 +1,17 @@
 """Operator 9, LM scoring by prediction by partial matching (PPM) over bytes.
 
 A text is its words (A-Z folded), each closed by a space, then an end mark. The
-model predicts every byte from the up to ``ORDER`` bytes before it in its word
-(a space stands before a word's first byte). Its trie holds, for every byte
-context of the training texts, how often each byte followed. A byte not seen
+model predicts every byte from the up to ``ORDER`` bytes before it, as far back as
+the space before its word; a word's first byte and the end mark see one byte
+more, the last of the word before, so that a text's score depends on the order of its
+words. Its trie holds, for every such context of the training texts, how often each byte followed. A byte not seen
 after the longest known context escapes to the next shorter one: with T
 occurrences and D distinct bytes in a context the escape has probability
 D / 2T and a byte seen c times (2c - 1) / 2T (method D). Bytes of the longer
 context are excluded from the shorter one, as they would not have escaped; below
 the empty context all remaining symbols are equally likely. The tries are
-pretrained, so a word's code length depends on the word alone and a document's
-is a sum over its words.
+pretrained, so a word's code length depends on the word and the byte before its
+space alone, and a document's is a sum over its words and the borders between them.
 
 Texts of different kinds (languages) get a trie each: ``label`` names the kind of
 the training texts, the ``KINDS`` - 1 most frequent labels have their own trie and
@@ -20,19 +21,25 @@ weighted by their training texts; its own label is never used.
 How Spark does it:
 1. Words and their training counts: distinct words per task, then one
    aggregation. N and V, the tries' counts and the unigram base all come from
-   this vocabulary, which grows with the corpus.
+   this vocabulary, which grows with the corpus. The same pass counts the borders
+   (last byte of a word, first byte of the next): at most 256 * 257 of them.
 2. The tries are counted by one aggregation of (kind, context, byte) keys and stay
    a table, whole whatever their size. A byte's code length depends on the at most
    ``ORDER`` bytes before it and itself: such a place is a slot. Nodes and slots
-   are dealt by the last two bytes of their context, so a slot meets all its
-   contexts of two bytes and more in one group; the shorter contexts (at most
-   256 * 257 + 257 nodes a kind) are sent along. No task holds a trie. Each distinct
-   slot is scored once, and a word's code lengths come by a join on its slots.
+   are dealt by the last two bytes of their context and the third last, so a slot meets all its
+   contexts of three bytes and more in one group; nodes of two bytes go to each of the
+   ``SPLIT`` parts their third byte may lead to, the shorter contexts (at most
+   256 * 257 + 257 nodes a kind) are sent along. No task holds a trie, and the groups
+   grow in number with the nodes. Each distinct slot is scored once, and a word's code
+   lengths come by a join on its slots.
 3. The most frequent words, ``COMMON`` at most, are scored inside the document
-   pass from a table of bounded size; any other word makes up less than about
+   pass from a table of bounded size, and so are the borders: a table of what the byte
+   before the space adds to the code length of the byte after it. Any other word makes up less than about
    1 / ``COMMON`` of all, so it can't be a hot key. It meets its entry in the
    scored vocabulary by a join, and the sums come back by document.
 
+Intermediate tables are deleted after their last reader, but for the two that the result reads.
+
 Defined cases: null or blank text is its end mark alone; a null id counts as the
 empty text for the held-out rule; null labels are a label; repeated rows each get
 the score of their text; without training texts all counts are 0 and bytes are
@@ -49,8 +56,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.llm.columns import crc_remainder, written
-from pickmarts.llm.textwords import Texts, batches_by_bytes, texts_from_bytes, texts_of, words_of
+from pickmarts.llm.columns import Scratch, crc_remainder
+from pickmarts.llm.textwords import Texts, Words, batches_by_bytes, texts_from_bytes, texts_of, words_of
 
 ORDER = 5
 KINDS = 8
@@ -59,8 +66,13 @@ SYMBOLS = 257  # bytes and the end mark
 END = 256
 SPACE = 0x20
 SMOOTH = 0.1
-# the groups that nodes and slots are dealt to, by the last two bytes of their context
+# nodes and slots are dealt to groups by the last three bytes of their context, of the third only its
+# remainder by SPLIT counts; a group for each GROUP_NODES nodes, GROUPS at least
 GROUPS = 1024
+GROUP_NODES = 1 << 15
+SPLIT = 8
+# borders: the last byte of a word and what follows its space
+CELLS = 256 * SYMBOLS
 # distinct words and trie nodes a task holds before it hands them on
 TASK_WORDS = 250_000
 TASK_NODES = 400_000
@@ -110,6 +122,7 @@ def _node(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
 #: The slot of the end mark, which follows the space, and the first node of a context of two bytes.
 END_SLOT = (1 << 8 | SPACE) << 9 | END
 TWO_BYTES = 2 << 16 << 9
+THREE_BYTES = 3 << 24 << 9
 
 
 def slots_of(words: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +146,39 @@ def count_nodes(words: Texts, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(keys), np.concatenate(times)
 
 
+_FOLD = np.arange(256)
+_FOLD[65:91] += 32
+
+
+def borders(texts: Texts, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Every space after a word as its border (last byte before it, symbol after it), and its text."""
+    counts = words.counts()
+    some = np.flatnonzero(counts)
+    first = np.zeros(len(words.hash), bool)
+    first[words.first[:-1][some]] = True
+    inner = np.flatnonzero(~first)
+    last = words.first[1:][some] - 1
+    before = _FOLD[texts.data[words.end[np.concatenate([inner - 1, last])] - 1]]
+    after = np.concatenate([_FOLD[texts.data[words.start[inner]]], np.full(len(some), END)])
+    return before * SYMBOLS + after, np.concatenate([words.doc()[inner], some])
+
+
+def border_gains(low: list[tuple[np.ndarray, np.ndarray]], counts: np.ndarray) -> np.ndarray:
+    """What the byte before a space adds to the log10 probability of the symbol after it, by kind and border.
+
+    ``low``: each kind's nodes below two bytes; ``counts``: each kind's uses of every border.
+    """
+    cell = np.arange(CELLS)
+    node = _node(2 << 16 | cell // SYMBOLS << 8 | SPACE, cell % SYMBOLS)
+    plain = _node(np.full(SYMBOLS, 1 << 8 | SPACE), np.arange(SYMBOLS))
+    gains = []
+    for (short, times), uses in zip(low, counts):
+        seen = uses > 0
+        trie = Trie.of(np.concatenate([short, node[seen]]), np.concatenate([times, uses[seen]]))
+        gains.append(trie.code(node) - trie.code(plain)[cell % SYMBOLS])
+    return np.stack(gains)
+
+
 def end_nodes(n_texts: int) -> dict[int, int]:
     """The nodes of the end mark: it follows the space like a word's first byte."""
     return {int(_node(np.array([c]), np.array([END]))[0]): n_texts for c in (0, 1 << 8 | SPACE)} if n_texts else {}
@@ -222,12 +268,16 @@ def _word_bytes(texts: Texts, start: np.ndarray, end: np.ndarray) -> list[bytes]
 
 
 def _vocabulary_batches(kinds: int):
-    """(word, uses, learned_0 ...): distinct words of many texts, with uses in all and in the training texts by kind."""
+    """(word, uses, learned_0 ...): distinct words of many texts, with uses in all and in the training texts by kind.
+
+    The borders of the training texts come as words that begin with a space, which no word does.
+    """
     names = ["word", "uses", *[f"learned_{k}" for k in range(kinds)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place: dict[bytes, int] = {}
         table = np.zeros((1024, kinds + 1), _I)
+        met = np.zeros(kinds * CELLS, _I)
 
         def handed() -> pa.RecordBatch:
             part = table[: len(place)]
@@ -240,6 +290,9 @@ def _vocabulary_batches(kinds: int):
             kind = batch.column(1).to_numpy()  # -1: not a training text
             words = words_of(texts, lower=True)
             one, at, where = np.unique(words.hash, return_index=True, return_inverse=True)
+            cell, of = borders(texts, words)
+            taught = kind[of] >= 0
+            met += np.bincount(kind[of[taught]] * CELLS + cell[taught], minlength=kinds * CELLS)
             own = kind[words.doc()]
             uses = np.zeros((len(one), kinds + 1), _I)
             uses[:, 0] = np.bincount(where, minlength=len(one))
@@ -254,6 +307,10 @@ def _vocabulary_batches(kinds: int):
                 place.clear()
                 table[:] = 0
         yield handed()
+        seen = np.flatnonzero(met.reshape(kinds, CELLS).any(axis=0))
+        names_of = [b" " + int(c).to_bytes(3, "big") for c in seen]
+        uses = [pa.array(met[k * CELLS + seen]) for k in range(kinds)]
+        yield pa.RecordBatch.from_arrays([pa.array(names_of, pa.binary()), pa.array(np.zeros(len(seen), _I)), *uses], names=names)
 
     return run
 
@@ -324,7 +381,9 @@ def _coded(low: list[tuple[np.ndarray, np.ndarray]]):
         codes = []
         for k, (short, times) in enumerate(low):
             near = (short >> 17 == 0) | np.isin(short >> 9 & 255, last)
-            own = kind == k
+            # nodes of two bytes come once for every part that is dealt to this group
+            own = np.flatnonzero(kind == k)
+            own = own[np.unique(node[own], return_index=True)[1]]
             trie = Trie.of(np.concatenate([short[near], node[own]]), np.concatenate([times[near], uses[own]]))
             codes.append(trie.code(slots))
         return pa.table([pa.array(slots), *map(pa.array, codes)], names=["slot", *_codes(len(low))])
@@ -354,16 +413,20 @@ class CommonWords:
         return at, self.hash[at] == h
 
 
-def _local_batches(common: CommonWords, names: list[str]):
-    """(row, doc_id, n_words, known, base, scores): what the common words of each text add up to."""
+def _local_batches(common: CommonWords, gains: np.ndarray, names: list[str]):
+    """(row, doc_id, n_words, known, base, scores): what the common words and the borders of each text add up to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_by_bytes(batches, "text"):
-            words = words_of(texts_of(batch.column(0)), lower=True)
+            texts = texts_of(batch.column(0))
+            words = words_of(texts, lower=True)
             n = batch.num_rows
             at, hit = common.find(words.hash)
             doc, at = words.doc()[hit], at[hit]
             sums = [np.bincount(doc, weights=common.values[at, k], minlength=n) for k in range(common.values.shape[1])]
+            cell, of = borders(texts, words)
+            for k, gain in enumerate(gains):
+                sums[2 + k] += np.bincount(of, weights=gain[cell], minlength=n)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(words.counts()), pa.array(sums[0].astype(_I)), *map(pa.array, sums[1:])],
                 names=names,
@@ -410,9 +473,8 @@ def _kinds(df: DataFrame, learn: Column, label: Column | None) -> tuple[Column,
     return F.when(learn, kind).otherwise(-1), [*sizes, *([rest] if rest else [])] or [0]
 
 
-def slot_codes(nodes: DataFrame, slots: DataFrame, texts_of_kind: list[int]) -> DataFrame:
-    """(slot, code_0 ...): log10 probability of every slot under the trie of every kind."""
-    kinds = len(texts_of_kind)
+def short_nodes(nodes: DataFrame, texts_of_kind: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each kind's nodes below two bytes, end marks included, with their counts."""
     short = nodes.where(F.col("node") < TWO_BYTES).toArrow()  # at most 256 * 257 + 257 nodes a kind
     kind, node, uses = (short.column(c).to_numpy() for c in ("kind", "node", "uses"))
     low = []
@@ -424,14 +486,25 @@ def slot_codes(nodes: DataFrame, slots: DataFrame, texts_of_kind: list[int]) ->
                 np.concatenate([uses[kind == k], np.array(list(ends.values()), _I)]),
             )
         )
+    return low
+
+
+def slot_codes(nodes: DataFrame, slots: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(slot, code_0 ...): log10 probability of every slot under the trie of every kind."""
     end = nodes.sparkSession.range(1).select(F.lit(END_SLOT).cast("long").alias("slot"))
     asked = slots.union(end).distinct().select(
         F.lit(-1).alias("kind"), F.col("slot").alias("node"), F.lit(0).cast("long").alias("uses")
     )
     both = nodes.where(F.col("node") >= TWO_BYTES).select("kind", "node", "uses").union(asked)
-    group = F.pmod(F.xxhash64(F.shiftright("node", 9).bitwiseAND(F.lit(0xFFFF))), F.lit(GROUPS))
-    schema = "slot long, " + ", ".join(f"{c} double" for c in _codes(kinds))
-    return both.groupBy(group.alias("tail")).applyInArrow(_coded(low), schema)
+    third = F.shiftright("node", 9 + 16).bitwiseAND(F.lit(SPLIT - 1))
+    every = F.array(*[F.lit(k).cast("long") for k in range(SPLIT)])
+    parts = F.when(F.col("node") >= THREE_BYTES, F.array(third)).when(F.col("kind") >= 0, every)
+    both = both.select("kind", "node", "uses", F.explode(F.coalesce(parts, F.array(F.lit(0).cast("long")))).alias("part"))
+    groups = max(GROUPS, nodes.count() // GROUP_NODES)
+    group = F.pmod(F.xxhash64(F.shiftright("node", 9).bitwiseAND(F.lit(0xFFFF)), "part"), F.lit(groups))
+    both = both.select("kind", "node", "uses", group.alias("tail"))
+    schema = "slot long, " + ", ".join(f"{c} double" for c in _codes(len(low)))
+    return both.groupBy("tail").applyInArrow(_coded(low), schema)
 
 
 def _least_uses(vocabulary: DataFrame, most: int) -> float:
@@ -461,16 +534,27 @@ def score(df: DataFrame, learn: Column, label: Column | None = None) -> tuple[Da
     found = texts.select("text", "kind").mapInArrow(_vocabulary_batches(kinds), schema)
     vocabulary = found.groupBy("word").agg(*[F.sum(c).alias(c) for c in ["uses", *learned_by]])
     learned = sum((F.col(c) for c in learned_by[1:]), F.col(learned_by[0]))
-    vocabulary = written(vocabulary.withColumn("learned", learned), "words")
+    scratch = Scratch(df.sparkSession, "ppm")
+    counted = scratch.keep(vocabulary.withColumn("learned", learned), "words")
+    border = F.expr("substring(word, 1, 1) = X'20'")
+    vocabulary = counted.where(~border)
+    met = counted.where(border).select("word", *learned_by).toArrow()  # at most 256 * 257 rows
+    cells = np.array([int.from_bytes(w[1:], "big") for w in met.column(0).to_pylist()], _I)
+    crossed = np.zeros((kinds, CELLS), _I)
+    for k in range(kinds):
+        crossed[k, cells] = met.column(k + 1).to_numpy()
     size = vocabulary.agg(F.sum("learned"), F.count_if(F.col("learned") > 0)).first()
     total = (size[0] or 0) + n_texts
     distinct = (size[1] or 0) + (1 if n_texts else 0)
 
     counted = vocabulary.where("learned > 0").select("word", *learned_by)
     nodes = counted.mapInArrow(_node_batches(kinds), "kind int, node long, uses long")
-    nodes = written(nodes.groupBy("kind", "node").agg(F.sum("uses").alias("uses")), "trie")
+    nodes = scratch.keep(nodes.groupBy("kind", "node").agg(F.sum("uses").alias("uses")), "trie")
     slots = vocabulary.select("word").mapInArrow(_slot_batches, "slot long")
-    codes = written(slot_codes(nodes, slots, texts_of_kind), "codes")
+    low = short_nodes(nodes, texts_of_kind)
+    gains = border_gains(low, crossed)
+    codes = scratch.keep(slot_codes(nodes, slots, low), "codes")
+    scratch.drop("trie")
     ends = list(codes.where(F.col("slot") == END_SLOT).first())[1:]
 
     sums = _sums(kinds)
@@ -480,7 +564,8 @@ def score(df: DataFrame, learn: Column, label: Column | None = None) -> tuple[Da
     )
     summed = [F.sum(c).alias(s) for c, s in zip(_codes(kinds), sums[1:])]
     entries = spelled.join(codes, "slot").groupBy("hash", "learned", "uses").agg(*summed)
-    entries = written(
+    often = F.floor(F.log2("uses") * 4) >= F.lit(float(_least_uses(vocabulary, COMMON)))
+    entries = scratch.keep(
         entries.select(
             "hash",
             (F.col("learned") > 0).cast("long").alias("known"),
@@ -490,7 +575,7 @@ def score(df: DataFrame, learn: Column, label: Column | None = None) -> tuple[Da
         ),
         "entries",
     )
-    often = F.floor(F.log2("uses") * 4) >= F.lit(float(_least_uses(vocabulary, COMMON)))
+    scratch.drop("words", "codes")
     top = entries.where(often).drop("uses").toArrow()
     order = np.argsort(top.column(0).to_numpy().view(np.uint64))
     values = [top.column(k + 1).to_numpy()[order].astype(float) for k in range(kinds + 2)]
@@ -501,7 +586,7 @@ def score(df: DataFrame, learn: Column, label: Column | None = None) -> tuple[Da
     names = ["row", "doc_id", "n_words", "known", *sums]
     kind_of_id = df.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind_of_id}, n_words long, known long, {doubles}"
-    local = named.mapInArrow(_local_batches(common, names), schema)
+    local = scratch.keep(named.mapInArrow(_local_batches(common, gains, names), schema), "local")
     rare = named.select("text", "row").mapInArrow(_rare_batches(common), "row long, hash long, uses long")
     scored = entries.where(~often).drop("uses")
     met = rare.join(scored, "hash")

@@ -339,6 +339,8 @@ def test_ppm_against_brute_force(spark, monkeypatch):
                 for i in range(1, len(s)):
                     for k in range(min(i, ppm.ORDER) + 1):
                         trie[s[i - k : i]][s[i]] += 1
+            for a, b in zip(words, [*words[1:], None]):
+                trie[a[-1:] + b" "][256 if b is None else b[0]] += 1
         trie[b""][256] += len(own)
         trie[b" "][256] += len(own)
         tries.append((trie, len(own)))
@@ -371,8 +373,11 @@ def test_ppm_against_brute_force(spark, monkeypatch):
             for w in set(words):
                 if (i, w) not in memo:
                     s = b" " + w + b" "
-                    memo[i, w] = sum(code(trie, s[:k], s[k]) for k in range(1, len(s)))
-            each.append(sum(memo[i, w] for w in words) + code(trie, b" ", 256) + math.log10(n / len(learn)))
+                    memo[i, w] = sum(code(trie, s[:k], s[k]) for k in range(2, len(s)))
+            # a word's first byte and the end mark see the last byte of the word before
+            before = [b" ", *[w[-1:] + b" " for w in words]]
+            crossed = [code(trie, a, b) for a, b in zip(before, [*[w[0] for w in words], 256])]
+            each.append(sum(memo[i, w] for w in words) + sum(crossed) + math.log10(n / len(learn)))
         best = max(each)
         assert r["score"] == pytest.approx(best + math.log10(sum(10 ** (x - best) for x in each)))
 
