@@ -385,7 +385,7 @@ def _coded(low: list[tuple[np.ndarray, np.ndarray]]):
             own = np.flatnonzero(kind == k)
             own = own[np.unique(node[own], return_index=True)[1]]
             trie = Trie.of(np.concatenate([short[near], node[own]]), np.concatenate([times[near], uses[own]]))
-            codes.append(trie.code(slots))
+            codes.append(trie.code(slots).astype(np.float32))
         return pa.table([pa.array(slots), *map(pa.array, codes)], names=["slot", *_codes(len(low))])
 
     return run
@@ -490,7 +490,10 @@ def short_nodes(nodes: DataFrame, texts_of_kind: list[int]) -> list[tuple[np.nda
 
 
 def slot_codes(nodes: DataFrame, slots: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(slot, code_0 ...): log10 probability of every slot under the trie of every kind."""
+    """(slot, code_0 ...): log10 probability of every slot under the trie of every kind.
+
+    Kept in single precision (a part in 10^7), the largest table of all; sums are double.
+    """
     end = nodes.sparkSession.range(1).select(F.lit(END_SLOT).cast("long").alias("slot"))
     asked = slots.union(end).distinct().select(
         F.lit(-1).alias("kind"), F.col("slot").alias("node"), F.lit(0).cast("long").alias("uses")
@@ -503,7 +506,7 @@ def slot_codes(nodes: DataFrame, slots: DataFrame, low: list[tuple[np.ndarray, n
     groups = max(GROUPS, nodes.count() // GROUP_NODES)
     group = F.pmod(F.xxhash64(F.shiftright("node", 9).bitwiseAND(F.lit(0xFFFF)), "part"), F.lit(groups))
     both = both.select("kind", "node", "uses", group.alias("tail"))
-    schema = "slot long, " + ", ".join(f"{c} double" for c in _codes(len(low)))
+    schema = "slot long, " + ", ".join(f"{c} float" for c in _codes(len(low)))
     return both.groupBy("tail").applyInArrow(_coded(low), schema)
 
 
