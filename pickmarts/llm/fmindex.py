@@ -3,10 +3,10 @@
 A window is ``WINDOW`` consecutive words. A word is removed if a window over it
 also starts in a document with a smaller id. All windows are judged on the input.
 
-1. Sharding by content. Of the ``GRAM``-word runs inside a window the one with the
+1. Sharding by content. Of the four-word runs inside a window the one with the
    smallest hash is its anchor, so equal windows have equal anchors wherever they
    stand. Consecutive windows with the same anchor form a passage (at most
-   ``WINDOW - GRAM + 1`` windows). Anchors of one document only cannot hold a
+   ``WINDOW - GRAMS[0] + 1`` windows). Anchors of one document only cannot hold a
    shared window; the others are found by an aggregation (counted map-side), and
    only their passages go on.
 2. Equal passages become one, with the smallest document id that holds it, so a
@@ -15,15 +15,18 @@ also starts in a document with a smaller id. All windows are judged on the input
 3. A shard builds an FM-index over its passages: suffix array, Burrows-Wheeler
    transform, and a wavelet matrix of packed bits with block counts for rank
    queries. Its passages are streamed through it by backward search, all windows
-   of the shard in step; a matching statistic of ``WINDOW`` or more leaves an
-   interval of suffixes, and the smallest document id in the interval is reported
-   for the window.
+   of the shard in step. A window's matching statistic is the number of its last
+   words that occur elsewhere in the shard too; where it reaches ``WINDOW``, the
+   interval of suffixes is reported with the smallest document id in it.
 4. Reported windows meet the occurrences of their passage by a join, and the words
    they cover are cut from the texts.
 
 Shards hold about ``SHARD_WORDS`` words: their number follows the data. An anchor
-with more than ``HOT_PASSAGES`` different passages would overflow its shard; its
-windows are dealt by their own content instead and counted there.
+with more than ``HOT_PASSAGES`` different passages would overflow its shard: its
+passages are cut anew by the next longer anchor of ``GRAMS``, equal pieces become
+one row, and the pieces are dealt and searched like all passages. An anchor as long as a
+window has one piece, so none is left over. Passages are named by anchor and
+content (128 bits).
 
 Defined cases: null or blank text has no words (kept_sha256 of no bytes); texts
 of fewer words than a window lose nothing; rows with a null id neither lose words
@@ -42,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickmarts.llm.columns import written
+from pickmarts.llm.columns import Scratch
 from pickmarts.llm.textwords import (
     Words,
     batches_by_bytes,
@@ -54,7 +57,8 @@ from pickmarts.llm.textwords import (
 )
 
 WINDOW = 13
-GRAM = 4
+# words of an anchor: usually, and of hot ones
+GRAMS = (4, 8, WINDOW)
 SHARD_WORDS = 1 << 15
 WORD_BYTES = 6  # of a usual word and its space, to count shards
 HOT_PASSAGES = 4096
@@ -63,7 +67,7 @@ _U = np.uint64
 _I = np.int64
 
 
-def _anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(words: Words, size: int = GRAMS[0]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Every window's text and first word, and the word position and hash of its anchor."""
     counts = np.maximum(words.counts() - WINDOW + 1, 0)
     doc = np.repeat(np.arange(len(counts)), counts)
@@ -73,12 +77,12 @@ def _anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
         return doc, start, start, np.zeros(0, np.uint64)
 
     gram = np.zeros(n, np.uint64)
-    for k in range(GRAM):
+    for k in range(size):
         gram[: n - k] = gram[: n - k] * _U(0x2545F4914F6CDD1D) + words.hash[k:]
         gram ^= gram >> _U(29)
     gram = mix64(gram)
     # position of the first smallest gram in every stretch, by doubling the stretch
-    span, reach = WINDOW - GRAM + 1, 1
+    span, reach = WINDOW - size + 1, 1
     best = np.arange(n)
     while reach < span:
         step = min(reach, span - reach)
@@ -129,6 +133,20 @@ def _unpacked(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterato
             yield part, [unpack.decompress(packed[i]) for i in rows]
 
 
+def _passages(words: Words, data: bytes, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Name and content of the passages of ``windows`` windows from the words ``start`` on."""
+    names = np.zeros(len(start), np.uint64)
+    for n in np.unique(windows):
+        same = windows == n
+        content = words.hash[start[same][:, None] + np.arange(n + WINDOW - 1)]
+        name = np.full(len(content), _U(n))
+        for c in range(content.shape[1]):
+            name = mix64(name + content[:, c])
+        names[same] = name
+    spans = zip(words.start[start].tolist(), words.end[start + windows + WINDOW - 2].tolist())
+    return names, [b" ".join(data[x:y].split()) for x, y in spans]
+
+
 def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, doc_id, start, anchor, passage, content): the passages whose anchor is shared.
 
@@ -150,18 +168,7 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         use = want[k] == have if len(want) else np.zeros(len(have), bool)
         first, windows = first[use], windows[use]
         rows, ids = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        last = start[first] + windows + WINDOW - 2
-        names = np.zeros(len(first), np.uint64)
-        for n in np.unique(windows):
-            same = windows == n
-            content = words.hash[start[first[same]][:, None] + np.arange(n + WINDOW - 1)]
-            name = np.full(len(content), _U(n))
-            for c in range(content.shape[1]):
-                name = mix64(name + content[:, c])
-            names[same] = name
-        data = b"".join(raw)
-        spans = zip(words.start[start[first]].tolist(), words.end[last].tolist())
-        contents = [b" ".join(data[x:y].split()) for x, y in spans]
+        names, contents = _passages(words, b"".join(raw), start[first], windows)
         d = doc[first]
         yield pa.RecordBatch.from_arrays(
             [
@@ -243,14 +250,16 @@ class FMIndex:
             key = rank * (n + 1) + np.roll(rank, -reach)
             reach *= 2
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix interval [lo, hi) of every pattern (rows of equal length, each occurring in the text).
+    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistic and suffix interval [lo, hi) of every pattern, a row of words of the text itself.
 
-        A pattern whose interval has shrunk to one suffix keeps that interval's
-        size, but goes no further back: its ``lo`` is then of its tail only.
+        The statistic is the number of the pattern's last words that more than one
+        suffix begins with. Backward search stops beyond it: the interval then holds
+        the one suffix of the tail that is a word longer.
         """
         m = len(patterns)
         lo, hi = np.zeros(m, _I), np.full(m, len(self.suffixes), _I)
+        statistic = np.zeros(m, _I)
         live = np.arange(m)
         for k in range(patterns.shape[1] - 1, -1, -1):
             c = patterns[live, k]
@@ -259,7 +268,8 @@ class FMIndex:
             live = live[hi[live] - lo[live] > 1]
             if not len(live):
                 break
-        return lo, hi
+            statistic[live] += 1
+        return statistic, lo, hi
 
 
 def window_minima(passages: list[np.ndarray], least: np.ndarray) -> list[np.ndarray]:
@@ -283,10 +293,10 @@ def window_minima(passages: list[np.ndarray], least: np.ndarray) -> list[np.ndar
     for k in range(WINDOW):
         name = mix64(name + text[start + k].astype(np.uint64))
     _, one, where = np.unique(name, return_index=True, return_inverse=True)
-    lo, hi = index.search(text[start[one][:, None] + np.arange(WINDOW)])
-    # an interval of one suffix is the window itself; the others are disjoint, with one minimum for each
+    statistic, lo, hi = index.search(text[start[one][:, None] + np.arange(WINDOW)])
+    # below the threshold a window stands only where it is; the intervals above are disjoint, with one minimum for each
     found = least[owner[start[one]]]
-    several = np.flatnonzero(hi - lo > 1)
+    several = np.flatnonzero(statistic >= WINDOW)
     if len(several):
         order = several[np.argsort(lo[several])]
         by_suffix = np.append(least[owner[index.suffixes]], np.iinfo(_I).max)
@@ -296,27 +306,42 @@ def window_minima(passages: list[np.ndarray], least: np.ndarray) -> list[np.ndar
 
 
 def _search_shard(shard: pa.Table) -> pa.Table:
-    """(passage, minima) of one shard."""
+    """(anchor, passage, minima) of one shard."""
     words = words_of(texts_from_bytes(shard.column("content").to_pylist()), lower=False)
     minima = window_minima(np.split(words.hash, words.first[1:-1]), shard.column("least").to_numpy())
-    return pa.table({"passage": shard.column("passage"), "minima": pa.array(minima, pa.list_(pa.int64()))})
+    return pa.table(
+        {"anchor": shard.column("anchor"), "passage": shard.column("passage"), "minima": pa.array(minima, pa.list_(pa.int64()))}
+    )
 
 
-def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(passage, window, content, least) of the windows of passages."""
-    for batch in batches:
-        names, numbers, contents, least = [], [], [], []
-        for p, c, d in zip(*[x.to_pylist() for x in batch.columns]):
-            words = c.split()
-            for k in range(len(words) - WINDOW + 1):
-                names.append(p)
-                numbers.append(k)
-                contents.append(b" ".join(words[k : k + WINDOW]))
-                least.append(d)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int64()), pa.array(numbers, pa.int32()), pa.array(contents, pa.binary()), pa.array(least, pa.int64())],
-            names=["passage", "window", "content", "least"],
-        )
+def _recut_batches(size: int):
+    """Cut passages (anchor, passage, content, least) into pieces whose windows share an anchor of ``size`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = batch.column(2).to_pylist()
+            words = words_of(texts_from_bytes(raw), lower=False)
+            doc, start, at, gram = _anchors(words, size)
+            first, windows = _runs(doc, at)
+            names, contents = _passages(words, b"".join(raw), start[first], windows)
+            d = doc[first]
+            whole = pa.array(d)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(whole),
+                    batch.column(1).take(whole),
+                    pa.array((start[first] - words.first[d]).astype(np.int32)),
+                    pa.array(gram[first].view(_I)),
+                    pa.array(names.view(_I)),
+                    pa.array(contents, pa.binary()),
+                    batch.column(3).take(whole),
+                ],
+                names=["whole_anchor", "whole", "window", "anchor", "passage", "content", "least"],
+            )
+
+    return run
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,47 +374,75 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests)], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
+def _reported(distinct: DataFrame, tables: Scratch) -> DataFrame:
+    """(anchor, passage, minima) of all passages of the kept table "distinct-0" (passage, anchor, content, least).
+
+    Every window is searched in one shard only, under its shortest anchor that is not hot.
+    """
+    dealt, cuts = [], []
+    for level, size in enumerate(GRAMS[1:]):
+        hot = distinct.groupBy("anchor").count().where(F.col("count") > HOT_PASSAGES).select("anchor")
+        hot = tables.keep(hot, f"hot-{level}")
+        if hot.isEmpty():
+            break
+        dealt.append(distinct.join(hot, "anchor", "left_anti").select("anchor", "passage", "content", "least"))
+        pieces = distinct.join(hot, "anchor", "left_semi").select("anchor", "passage", "content", "least")
+        pieces = pieces.mapInArrow(
+            _recut_batches(size),
+            "whole_anchor long, whole long, window int, anchor long, passage long, content binary, least long",
+        )
+        cuts.append(tables.keep(pieces, f"pieces-{level}"))
+        distinct = cuts[-1].groupBy("passage", "anchor", "content").agg(F.min("least").alias("least"))
+        distinct = tables.keep(distinct, f"distinct-{level + 1}")
+    dealt.append(distinct.select("anchor", "passage", "content", "least"))
+
+    sizes = [d.agg(F.sum(F.octet_length("content"))).first()[0] or 0 for d in dealt]
+    shards = max(-(-sum(sizes) // (WORD_BYTES * SHARD_WORDS)), 1)
+    everything = dealt[0]
+    for d in dealt[1:]:
+        everything = everything.union(d)
+    searched = everything.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard")
+    reported = tables.keep(searched.applyInArrow(_search_shard, "anchor long, passage long, minima array<long>"), "minima")
+    tables.drop(*[f"distinct-{k}" for k in range(len(dealt))], *[f"hot-{k}" for k in range(len(dealt))])
+
+    # the pieces of a passage in their order give its windows, the deepest cut first
+    for pieces in reversed(cuts):
+        parts = pieces.select("whole_anchor", "whole", "window", "anchor", "passage").join(reported, ["anchor", "passage"])
+        in_order = F.sort_array(F.collect_list(F.struct("window", "minima")))
+        wholes = parts.groupBy("whole_anchor", "whole").agg(F.flatten(F.transform(in_order, lambda p: p["minima"])))
+        reported = reported.union(wholes)
+    return reported
+
+
 def cut_windows(df: DataFrame) -> DataFrame:
     """(row, starts): the first words of the windows to cut, for every row that has any.
 
     ``row`` is xxhash64(doc_id, text).
     """
+    tables = Scratch(df.sparkSession, "fm-index")
     docs = df.where("doc_id is not null and text is not null").select("doc_id", "text")
     # found twice rather than kept: a table of all anchors would be the largest of all
     anchors = docs.mapInArrow(_anchor_batches, "anchor long, doc_id long")
     # a text names an anchor once, so a count tells (rows with one id count twice and only cost a search);
     # a table of its own leaves the join two plain shuffles, which Spark splits where an anchor is hot
-    shared = written(anchors.groupBy("anchor").count().where(F.col("count") > 1).select("anchor"), "shared-anchors")
+    shared = tables.keep(anchors.groupBy("anchor").count().where(F.col("count") > 1).select("anchor"), "shared-anchors")
     lists = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
 
     packed = docs.select("text", F.xxhash64("doc_id", "text").alias("row"), "doc_id").mapInArrow(
         _pack_batches, "packed binary, row long, doc_id long"
     )
     found = packed.join(lists, "doc_id").select("packed", "row", "doc_id", "anchors")
-    found = written(
+    found = tables.keep(
         found.mapInArrow(
             _passage_batches, "row long, doc_id long, start int, anchor long, passage long, content binary"
         ),
         "passages",
     )
+    tables.drop("shared-anchors")
     distinct = found.groupBy("passage", "anchor", "content").agg(F.min("doc_id").alias("least"))
-    distinct = written(distinct, "distinct-passages")
-
-    hot = written(distinct.groupBy("anchor").count().where(F.col("count") > HOT_PASSAGES).select("anchor"), "hot-anchors")
-    size = distinct.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    shards = max(-(-size // (WORD_BYTES * SHARD_WORDS)), 1)
-    cold = distinct.join(hot, "anchor", "left_anti")
-    cold = cold.select("passage", "content", "least", F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"))
-    searched = cold.groupBy("shard").applyInArrow(_search_shard, "passage long, minima array<long>")
-
-    windows = distinct.join(hot, "anchor", "left_semi").select("passage", "content", "least")
-    windows = windows.mapInArrow(_window_batches, "passage long, window int, content binary, least long")
-    minima = windows.groupBy(F.col("content").alias("same")).agg(F.min("least").alias("minimum"))
-    counted = windows.join(minima, F.col("content") == F.col("same")).groupBy("passage")
-    counted = counted.agg(F.sort_array(F.collect_list(F.struct("window", "minimum"))).alias("w"))
-    reported = searched.union(counted.select("passage", F.col("w.minimum").alias("minima")))
-
-    places = found.select("row", "doc_id", "start", "passage").join(reported, "passage")
+    reported = _reported(tables.keep(distinct, "distinct-0"), tables)
+
+    places = found.select("row", "doc_id", "start", "anchor", "passage").join(reported, ["anchor", "passage"])
     first = F.filter(
         F.transform("minima", lambda m, k: F.when(m < F.col("doc_id"), F.col("start") + k)), lambda s: s.isNotNull()
     )

@@ -131,13 +131,58 @@ def test_changed_weight_moves_rows_only_into_the_grown_subtree(spark):
 # --- 2 substring dedup -----------------------------------------------------------
 
 
-def test_anchors_with_many_passages_are_dealt_by_window(spark, monkeypatch):
+def test_hot_anchors_are_cut_anew_and_searched_too(spark, monkeypatch):
     df = read_table(spark, SMALL, "documents")
     plain = {tuple(r) for r in fmindex.op2_dedup(df).collect()}
     monkeypatch.setattr(fmindex, "HOT_PASSAGES", 1)
     assert {tuple(r) for r in fmindex.op2_dedup(df).collect()} == plain
 
 
+def test_a_phrase_in_most_documents_overflows_no_shard(spark, monkeypatch):
+    rng = random.Random(3)
+    some = [f"w{k}" for k in range(40)]
+    phrase = "all rights reserved by the owners of this page and its authors in full".split()
+    texts = {}
+    for d in range(300):
+        # 4, 8 or 14 words of the phrase between words of its own, so that anchors of every length are hot
+        n = rng.choice((4, 8, 14))
+        texts[d] = rng.choices(some, k=rng.randint(6, 14)) + phrase[:n] + rng.choices(some, k=rng.randint(6, 14))
+    for d in range(300, 330):
+        texts[d] = texts[d - 300] + rng.choices(some, k=3)
+    first: dict[tuple, int] = {}
+    for d, w in texts.items():
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k : k + 13]), d)
+    want = {}
+    for d, w in texts.items():
+        gone = {k + j for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < d for j in range(13)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        want[d] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    assert sum(n > 0 for _, n, _ in want.values()) > 100
+    monkeypatch.setattr(fmindex, "HOT_PASSAGES", 8)
+    monkeypatch.setattr(fmindex, "SHARD_WORDS", 64)
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    got = {r[0]: (r[1], r[2], r[3]) for r in fmindex.op2_dedup(df).collect()}
+    assert got == want
+
+
+def test_matching_statistics_against_brute_force():
+    rng = np.random.default_rng(11)
+    text = np.append(rng.integers(1, 4, 120), 0)
+    index = fmindex.FMIndex(text)
+    starts = np.arange(len(text) - 13)
+    statistic, lo, hi = index.search(text[starts[:, None] + np.arange(13)])
+    everywhere = text.tolist()
+
+    def times(run):
+        return sum(everywhere[k : k + len(run)] == run for k in range(len(everywhere) - len(run) + 1))
+
+    for s, m, a, b in zip(starts, statistic, lo, hi):
+        window = everywhere[s : s + 13]
+        assert m == max([k for k in range(1, 14) if times(window[-k:]) > 1], default=0)
+        assert b - a == (times(window) if m == 13 else 1)
+
+
 def test_backward_search_finds_every_window():
     rng = np.random.default_rng(5)
     base = [rng.integers(0, 4, 30).astype(np.uint64) for _ in range(6)]
