@@ -3,14 +3,20 @@
 The network reads a window of ``WINDOW`` bytes: byte embeddings, convolutions of
 widths 2 to 4 with rectified outputs, the maximum of every filter over the
 window, and a softmax over the languages. It is trained in numpy (Adam) on a
-bounded sample of labelled text. A text is scored over all its windows, end to
+bounded sample of labelled text (``fit``). ``refine`` then learns from every window
+of every labelled row: the rows are dealt to ``ROUNDS`` rounds by a hash, the tasks
+sum the gradient of a round over all its windows, and the driver takes one step
+a round from that sum, so the weights don't depend on the layout of the table but
+for rounding. The pipeline refines its network and takes its gate from all windows of the held-out
+rows; the query ``op5_language_id`` uses the network of the sample.
+
+A text is scored over all its windows, end to
 end and in batches of windows; a document's probabilities are the softmax of
 its windows' mean log-probabilities, weighted by the letters they hold.
 
 Sample bound (documented parameters): ``SAMPLE_DOCS`` documents per language,
 chosen by a hash of their id, and up to ``SAMPLE_WINDOWS`` windows spread over
-the whole of each text. Languages come from a count over all labelled rows; the
-``MAX_LANGS`` most frequent are learned. A window is the same number of bytes
+the whole of each text. Languages come from a count over all labelled rows. A window is the same number of bytes
 for any text, so memory follows the batch.
 
 Defined cases: null text, or text without any letter, is ``und`` with score 0;
@@ -41,6 +47,9 @@ SAMPLE_WINDOWS = 4
 EPOCHS = 5
 BATCH = 128
 RATE = 4e-3
+# steps over all rows after those over the sample, and their first rate
+ROUNDS = 6
+REFINE_RATE = 5e-4
 UND = "und"
 
 
@@ -92,7 +101,8 @@ class Network:
         logits -= logits.max(axis=1, keepdims=True)
         return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
-    def gradients(self, windows: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    def gradients(self, windows: np.ndarray, labels: np.ndarray, shares: np.ndarray | None = None) -> list[np.ndarray]:
+        """Of the mean cross entropy, or of its sum with a share for each window."""
         n = len(windows)
         x = self.embed[windows]
         pooled, best, patches = [], [], []
@@ -111,7 +121,7 @@ class Network:
         p = np.exp(logits)
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(n), labels] -= 1
-        p /= n
+        p = p / np.float32(n) if shares is None else p * shares[:, None].astype(np.float32)
         g_out, g_bias = live.T @ p, p.sum(axis=0)
         g_hidden = (p @ self.out.T) * (hidden > 0)
         g_embed = np.zeros_like(self.embed)
@@ -129,24 +139,33 @@ class Network:
         return [g_embed, *g_filters, *g_filter_bias, g_out, g_bias]
 
 
+class Adam:
+    """Steps on the parameters of a network, in place."""
+
+    def __init__(self, params: list[np.ndarray]):
+        self.params = params
+        self.m = [np.zeros_like(p) for p in params]
+        self.v = [np.zeros_like(p) for p in params]
+        self.step = 0
+
+    def take(self, gradients: list[np.ndarray], rate: float) -> None:
+        self.step += 1
+        for p, g, a, b in zip(self.params, gradients, self.m, self.v):
+            a += 0.1 * (g - a)
+            b += 0.001 * (g * g - b)
+            p -= rate * (a / (1 - 0.9**self.step)) / (np.sqrt(b / (1 - 0.999**self.step)) + 1e-8)
+
+
 def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], seed: int = 7) -> Network:
     """Adam on cross entropy; languages weigh alike through their equal samples."""
     net = Network.fresh(langs, seed)
-    params = net.parameters()
-    m = [np.zeros_like(p) for p in params]
-    v = [np.zeros_like(p) for p in params]
+    adam = Adam(net.parameters())
     rng = np.random.default_rng(seed)
-    step = 0
     for epoch in range(EPOCHS):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), BATCH):
             take = order[at : at + BATCH]
-            step += 1
-            rate = RATE * (0.7**epoch)
-            for p, g, a, b in zip(params, net.gradients(windows[take], labels[take]), m, v):
-                a += 0.1 * (g - a)
-                b += 0.001 * (g * g - b)
-                p -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
+            adam.take(net.gradients(windows[take], labels[take]), RATE * (0.7**epoch))
     return net
 
 
@@ -236,6 +255,51 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     return train(windows, labels, langs) if len(windows) else None
 
 
+def _gradient_batches(net: Network, weights: np.ndarray):
+    """(place, value): the gradient over all windows of a task's rows (text, lang), a row for every weight of the network."""
+    number = {k: i for i, k in enumerate(net.langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(sum(p.size for p in net.parameters()))
+        for batch in batches_by_bytes(batches, "text", most=1 << 18):
+            label = np.array([number.get(k, -1) for k in batch.column(1).to_pylist()])
+            windows, doc = windows_of(texts_of(batch.column(0)))
+            use = np.flatnonzero(_LETTER[windows].any(axis=1) & (label[doc] >= 0))
+            for at in range(0, len(use), BATCH):
+                part = use[at : at + BATCH]
+                own = label[doc[part]]
+                total += np.concatenate([g.ravel() for g in net.gradients(windows[part], own, weights[own])])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["place", "value"]
+        )
+
+    return run
+
+
+def refine(net: Network, labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Network:
+    """``net`` after ``ROUNDS`` steps over all windows of the labelled rows, each row in one of them.
+
+    Languages weigh alike, by their windows in the whole table. Only sums reach the
+    driver: a number for every language and, a round, one for every weight of the network.
+    """
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(ROUNDS)).alias("round")
+    )
+    windows = F.sum(F.ceil(F.octet_length("text") / WINDOW))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(windows.alias("n")).collect()}
+    weights = np.array([ROUNDS / (len(net.langs) * max(counts.get(k, 0), 1)) for k in net.langs])
+    adam = Adam(net.parameters())
+    for k in range(ROUNDS):
+        part = rows.where(F.col("round") == k).select("text", "lang")
+        sums = part.mapInArrow(_gradient_batches(net, weights), "place int, value double")
+        sums = sums.groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+        flat = np.zeros(sum(p.size for p in adam.params))
+        flat[sums.column("place").to_numpy()] = sums.column("value").to_numpy()
+        cuts = np.split(flat, np.cumsum([p.size for p in adam.params])[:-1])
+        adam.take([g.reshape(p.shape).astype(np.float32) for g, p in zip(cuts, adam.params)], REFINE_RATE * (0.7**k))
+    return net
+
+
 def identify(df: DataFrame, net: Network | None, text: str = "text", returned: list[str] | None = None) -> DataFrame:
     """All rows of ``df`` with lang_pred and score after the ``returned`` columns (all of them by default)."""
     df = drop_named(df, "lang_pred", "score")
@@ -268,24 +332,51 @@ def op5_identify(df: DataFrame) -> DataFrame:
     return out.select("doc_id", (crc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-# The share of held-out windows whose score lies below the gate, and the gate's most over an even guess.
+# The share of held-out windows whose score lies below the gate, the gate's most over an even guess, and its steps between.
 GATE_SHARE = 0.001
 OVER_EVEN = 1.2
+GATE_STEPS = 4096
+
+
+def _step_counts(net: Network, most: float):
+    """(step, n): how many windows of a task's texts score in each step from an even guess to ``most`` (GATE_STEPS: above)."""
+    even = 1 / len(net.langs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, taps = np.zeros(GATE_STEPS + 1, np.int64), net.taps()
+        for batch in batches_by_bytes(batches, "text", most=1 << 18):
+            windows, _ = windows_of(texts_of(batch.column(0)))
+            windows = windows[_LETTER[windows].any(axis=1)]
+            for at in range(0, len(windows), 256):
+                score = np.exp(net.log_probabilities(windows[at : at + 256], taps).max(axis=1).astype(float))
+                step = np.floor((score - even) / (most - even) * GATE_STEPS).astype(np.int64)
+                counts += np.bincount(np.clip(step, 0, GATE_STEPS), minlength=GATE_STEPS + 1)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["step", "n"])
+
+    return run
 
 
-def gate(net: Network, heldout: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> float:
+def gate(net: Network, heldout: DataFrame, text: str = "text", lang: str = "lang") -> float:
     """The least score of a document whose language is recognised.
 
-    The score that all but ``GATE_SHARE`` of single windows of held-out labelled
-    documents reach, but at most ``OVER_EVEN`` times an even guess among the learned
-    languages. Without held-out rows the latter.
+    The score that all but ``GATE_SHARE`` of all windows of the held-out labelled
+    documents reach, to one of ``GATE_STEPS`` steps, but at most ``OVER_EVEN`` times an
+    even guess among the learned languages. Without held-out rows the latter. At
+    most GATE_STEPS + 1 counts reach the driver.
     """
-    most = min(OVER_EVEN / len(net.langs), 1.0)
-    usable = heldout.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    windows, _, _ = sample_windows(usable, text, lang, F.col(key))
-    taps = net.taps()
-    scores = [np.exp(net.log_probabilities(windows[i : i + 256], taps).max(axis=1)) for i in range(0, len(windows), 256)]
-    return float(min(np.quantile(np.concatenate(scores), GATE_SHARE), most)) if scores else most
+    even = 1 / len(net.langs)
+    most = min(OVER_EVEN * even, 1.0)
+    if most <= even:
+        return most
+    usable = heldout.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"))
+    found = usable.mapInArrow(_step_counts(net, most), "step int, n long").groupBy("step").agg(F.sum("n").alias("n"))
+    counts = np.zeros(GATE_STEPS + 1, np.int64)
+    for r in found.collect():
+        counts[r["step"]] = r["n"]
+    below = np.cumsum(counts[:-1])  # windows below the end of each step
+    steps = int((below <= GATE_SHARE * counts.sum()).sum())
+    return even + (most - even) * steps / GATE_STEPS
 
 
 def known_language(df: DataFrame) -> DataFrame:
@@ -293,6 +384,7 @@ def known_language(df: DataFrame) -> DataFrame:
     net = fit(training_rows(df))
     if net is None:
         return df.where("false")
+    net = refine(net, training_rows(df))
     least = gate(net, df.where(crc_remainder(F.col("doc_id"), 3) == 1))
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole")
     out = identify(df.select(whole, "text"), net, returned=["whole"])

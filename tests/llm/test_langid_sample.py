@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pickmarts.llm import langid
@@ -95,3 +96,53 @@ def test_gradients_against_differences():
             down = loss()
             p[at] = was
             assert abs((up - down) / 2e-2 - g[at]) <= 0.05 * abs(g[at]) + 2e-3
+
+
+def _all_windows(rows, langs):
+    windows, doc = langid.windows_of(langid.texts_of(pa.array([t for _, t, _ in rows])))
+    use = langid._LETTER[windows].any(axis=1)
+    return windows[use], np.array([langs.index(k) for _, _, k in rows])[doc[use]]
+
+
+def _long_rows(n):
+    rng = np.random.default_rng(3)
+    words = ["alpha", "beta", "gamma", "delta", "straße", "été", "niño", "x1", "zz"]
+    return [(i, " ".join(rng.choice(words, int(rng.integers(3, 220)))), "abc"[int(rng.integers(0, 20)) % 3]) for i in range(n)]
+
+
+def test_gate_counts_every_window(spark, monkeypatch):
+    """More documents than a sample holds, and windows between those a sample takes."""
+    monkeypatch.setattr(langid, "OVER_EVEN", 3.0)
+    monkeypatch.setattr(langid, "GATE_SHARE", 0.4)
+    rows = _long_rows(3 * langid.SAMPLE_DOCS + 900)
+    net = langid.Network.fresh(["a", "b", "c"])
+    windows, _ = _all_windows(rows, net.langs)
+    scores = np.sort(np.exp(net.log_probabilities(windows).max(axis=1)))
+    expected = scores[int(0.4 * len(scores))]
+    step = (1 - 1 / 3) / langid.GATE_STEPS
+    least = langid.gate(net, spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert expected - step - 1e-6 <= least <= expected + 1e-6
+
+
+def test_refinement_learns_from_every_window(spark, monkeypatch):
+    rows = _long_rows(2500)
+    net = langid.Network.fresh(["a", "b", "c"])
+    windows, labels = _all_windows(rows, net.langs)
+    weights = np.array([0.5, 1.0, 2.0])
+    plain = [g.ravel() for g in net.gradients(windows, labels, weights[labels])]
+    df = spark.createDataFrame(rows, SCHEMA).select("text", "lang")
+    for parts in (2, 5):
+        sums = df.repartition(parts).mapInArrow(langid._gradient_batches(net, weights), "place int, value double")
+        found = sums.groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").toArrow().column("value")
+        assert np.allclose(found.to_numpy(), np.concatenate(plain), rtol=1e-3, atol=1e-2)
+
+    seen = []
+    real = langid.Network.gradients
+    monkeypatch.setattr(langid.Adam, "take", lambda self, g, rate: seen.append([x.copy() for x in g]))
+    langid.refine(net, spark.createDataFrame(rows, SCHEMA))
+    assert len(seen) == langid.ROUNDS
+    sizes = Counter(k for _, t, k in rows for _ in range(-(-len(t.encode()) // langid.WINDOW)))
+    weights = np.array([langid.ROUNDS / (3 * sizes[k]) for k in net.langs])
+    whole = real(net, windows, labels, weights[labels])
+    for k, g in enumerate(whole):  # each window in one of the rounds
+        assert np.allclose(sum(x[k] for x in seen), g, rtol=1e-2, atol=1e-3)
