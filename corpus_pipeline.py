@@ -12,6 +12,18 @@ from pickmarts.llm import decontamination, langid, minhash, mixing, sharding
 from pickmarts.llm.columns import read_table, written
 
 
+# Rows that go to Python at once: they stand in an executor's memory several times, outside its heap.
+ARROW_ROWS = 1024
+
+
+def _few_rows_at_once(stage):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter or of no language the network knows."""
     return langid.known_language(docs)
@@ -45,6 +57,8 @@ STAGES = [
     ("sharding", shards),
 ]
 
+STAGES = [(name, _few_rows_at_once(stage)) for name, stage in STAGES]
+
 # language ID, MinHash, alignment: not expressible in SQL; tested against brute force
 ORACLE_SQL = None
 

@@ -99,7 +99,7 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches_by_bytes(batches, "text"):
+    for batch in batches_by_bytes(batches, "text", most=1 << 20):
         texts = texts_of(batch.column(1))
         n = len(texts)
         h, doc = shingle_sets(texts)
@@ -132,7 +132,7 @@ def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
 
 
-def _slices(batch: pa.RecordBatch, names: list[str], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, names: list[str], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Slices with about ``most`` packed bytes."""
     sizes = sum(np.array([len(x) for x in batch.column(batch.schema.get_field_index(c)).to_pylist()]) for c in names)
     group = np.cumsum(sizes) // most
