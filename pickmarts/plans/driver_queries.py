@@ -40,6 +40,9 @@ from pickmarts.sources.tpch_adapter import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Order lines of a task that counts picks by product.
+DEALT_ROWS = 1 << 18
+
 
 def adapter_calendar(spark: SparkSession) -> DataFrame:
     return create_d_date(spark, ADAPTER_CALENDAR_START, ADAPTER_CALENDAR_END)
@@ -66,8 +69,19 @@ def _through_csv(raw: DataFrame, read: Callable[[SparkSession, str], DataFrame])
     return read(spark, path)
 
 
+def by_product(picks: DataFrame, lines: int) -> DataFrame:
+    """Picks dealt by product, a partition for each ``DEALT_ROWS`` of ``lines`` order lines.
+
+    Enrichment and all counts by product happen in the tasks of this one shuffle; their number
+    follows the input, whatever the session's number of partitions, and so a task's memory is bounded.
+    """
+    return picks.repartition(max(1, -(-lines // DEALT_ROWS)), "product_id")
+
+
 def mart_facts(spark: SparkSession, sf_dir: str, spec: MartSpec) -> Facts:
     picks = cur.order_picks_fact(keyed_picks(spark, sf_dir, with_positions=False, lines="picks"))
+    if spec.needs_products and spec.source == "product_counts":
+        picks = by_product(picks, read_table(spark, sf_dir, "lineitem").count())
     if spec.needs_products:
         picks = cur.enrich(picks, cur.unique_products(products(spark, sf_dir)))
     return Facts(picks, None, adapter_calendar(spark))

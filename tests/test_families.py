@@ -124,3 +124,19 @@ def test_buckets_follow_the_size_of_the_facts(spark, tmp_path):
         assert len(sizes) == buckets and max(sizes) <= limit
     finally:
         spark.sql("DROP TABLE IF EXISTS t_sized")
+
+
+@pytest.mark.parametrize("name", ["top_n_products_weekly_product_group", "family_top_n_products_weekly"])
+def test_a_task_counts_products_of_a_bounded_number_of_lines(spark, monkeypatch, name):
+    """The partitions follow the rows, not the session's setting; the rows stay."""
+    from pickmarts.plans import driver_queries
+
+    run = driver_queries.all_queries()[name]
+    whole = rows_of(run(spark, SMOKE_DIR))
+    lines = spark.read.parquet(f"{SMOKE_DIR}/lineitem.parquet").count()
+    monkeypatch.setattr(driver_queries, "DEALT_ROWS", lines // 20)
+    df = run(spark, SMOKE_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x]
+    assert len(dealt) == 1 and f", {-(-lines // (lines // 20))})" in dealt[0], plan
+    assert rows_of(df) == whole
