@@ -142,14 +142,19 @@ def top_products_family(
     members: tuple[str | None, ...] = ALL_MEMBERS,
     n: int = DEFAULT_TOP_N,
 ) -> DataFrame:
-    """M13-M16."""
+    """M13-M16.
+
+    Picks are counted by week and all drill-downs at once, in the tasks that hold a product if the
+    facts are dealt by it; only these counts are repeated for each member and shuffled, once.
+    """
     if int(n) < 1:
         raise ValueError("n must be at least 1")
     drills = _drills(members)
     picks = with_rows(f_order_picks, "pick_date", "product_id", *drills)
-    daily = grouped_sets(picks, ["pick_date", "product_id"], members, row_count(picks).cast("bigint").alias("picks"))
-    counts = with_calendar(daily, d_date, "pick_date", "week").groupBy(MEMBER, "week", "product_id", *drills)
-    counts = counts.agg(F.sum("picks").alias("total_picks"))
+    daily = picks.groupBy("pick_date", "product_id", *drills).agg(row_count(picks).cast("bigint").alias("picks"))
+    weeks = with_calendar(daily, d_date, "pick_date", "week").groupBy("week", "product_id", *drills)
+    weeks = weeks.agg(F.sum("picks").alias("picks"))
+    counts = grouped_sets(weeks, ["week", "product_id"], members, F.sum("picks").alias("total_picks"))
     w = Window.partitionBy(MEMBER, "week", *drills).orderBy(F.col("total_picks").desc(), F.col("product_id").asc_nulls_last())
     best = counts.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= F.lit(int(n)))
     return best.select(MEMBER, "week", "product_id", *drills, "total_picks")

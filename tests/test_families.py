@@ -126,6 +126,18 @@ def test_buckets_follow_the_size_of_the_facts(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS t_sized")
 
 
+def test_products_are_counted_by_member_where_they_were_dealt(spark):
+    """Facts dealt by product are shuffled twice: the counts of all members, and the best of each task."""
+    rows = [fact_row(product_id=f"{k % 40:06d}", group=f"G{k % 3}" if k % 7 else None) for k in range(400)]
+    dealt = facts(spark, rows).repartition(5, "product_id")
+    family = families.top_products_family(dealt, calendar(spark, "2018-01-30"))
+    plan = family._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ENSURE_REQUIREMENTS" in x]
+    assert len(shuffles) == 2, plan
+    for g in (None, "product_group", "origin", "warehouse_section"):
+        assert rows_of(families.member(family, g)) == rows_of(top_n_products_weekly(dealt, calendar(spark, "2018-01-30"), g))
+
+
 @pytest.mark.parametrize("name", ["top_n_products_weekly_product_group", "family_top_n_products_weekly"])
 def test_a_task_counts_products_of_a_bounded_number_of_lines(spark, monkeypatch, name):
     """The partitions follow the rows, not the session's setting; the rows stay."""
