@@ -358,16 +358,22 @@ def _slot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _spelled_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hash, learned, uses, slot): a row for every symbol of every vocabulary entry."""
+    """(hash, slot): a row for every symbol of every vocabulary entry."""
     for batch in batches:
         if batch.num_rows:
             words = texts_from_bytes(batch.column(0).to_pylist())
             slot, word = slots_of(words)
-            of = pa.array(word)
-            own = pa.array(words_of(words, lower=True).hash.view(_I))  # every entry is one word
+            own = words_of(words, lower=True).hash.view(_I)  # every entry is one word
+            yield pa.RecordBatch.from_arrays([pa.array(own[word]), pa.array(slot)], names=["hash", "slot"])
+
+
+def _hashed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, learned, uses) of every vocabulary entry."""
+    for batch in batches:
+        if batch.num_rows:
+            words = words_of(texts_from_bytes(batch.column(0).to_pylist()), lower=True)
             yield pa.RecordBatch.from_arrays(
-                [own.take(of), batch.column(1).take(of), batch.column(2).take(of), pa.array(slot)],
-                names=["hash", "learned", "uses", "slot"],
+                [pa.array(words.hash.view(_I)), *batch.columns[1:]], names=["hash", "learned", "uses"]
             )
 
 
@@ -562,11 +568,11 @@ def score(df: DataFrame, learn: Column, label: Column | None = None) -> tuple[Da
 
     sums = _sums(kinds)
     doubles = ", ".join(f"{c} double" for c in sums)
-    spelled = vocabulary.select("word", "learned", "uses").mapInArrow(
-        _spelled_batches, "hash long, learned long, uses long, slot long"
-    )
+    spelled = vocabulary.select("word").mapInArrow(_spelled_batches, "hash long, slot long")
+    # counts meet the sums afterwards, once a word instead of once a symbol
+    words = vocabulary.select("word", "learned", "uses").mapInArrow(_hashed_batches, "hash long, learned long, uses long")
     summed = [F.sum(c).alias(s) for c, s in zip(_codes(kinds), sums[1:])]
-    entries = spelled.join(codes, "slot").groupBy("hash", "learned", "uses").agg(*summed)
+    entries = spelled.join(codes, "slot").groupBy("hash").agg(*summed).join(words, "hash")
     often = F.floor(F.log2("uses") * 4) >= F.lit(float(_least_uses(vocabulary, COMMON)))
     entries = scratch.keep(
         entries.select(

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 from pickmarts.llm import ppm
@@ -91,3 +92,14 @@ def test_intermediate_tables_go(spark):
     assert ppm.op9_score(df).count() == 50
     left = {p.name for p in set(folder.glob("ppm-*/*")) - before}
     assert left == {"entries", "local"}
+
+
+def test_counts_of_a_word_are_not_carried_by_its_symbols():
+    """A symbol's row is the hash of its word and its slot; the counts come once a word."""
+    words = pa.array([b"ab", b"abc"], pa.binary())
+    batch = pa.RecordBatch.from_arrays([words, pa.array([3, 4]), pa.array([5, 6])], names=["word", "learned", "uses"])
+    spelled = next(ppm._spelled_batches(iter([batch.select(["word"])])))
+    assert spelled.schema.names == ["hash", "slot"] and spelled.num_rows == 3 + 4
+    counted = next(ppm._hashed_batches(iter([batch])))
+    assert counted.schema.names == ["hash", "learned", "uses"] and counted.num_rows == 2
+    assert set(counted.column(0).to_pylist()) == set(spelled.column(0).to_pylist())
